@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from rawloom.functions import names
 from rawloom.layout import DELIMITED, FIXED, Layout
 from rawloom.operators.infer import infer_and_cast
 from rawloom.plans.report import report
-from rawloom.sources.dataset import read_dataset, write_dataset, write_report
+from rawloom.sources.dataset import read_folders, write_dataset, write_report
 from rawloom.sources.delimited import read_delimited
 from rawloom.sources.fixedwidth import read_fixed_width
 from rawloom.sources.layouts import (
@@ -28,7 +28,7 @@ STYLES = {"dat": FIXED, "csv": DELIMITED}
 
 
 def path_tags(kind: str, root: str, loose: bool = False) -> dict[str, Column]:
-    """Year, stem and part of the file a row comes from, computed from its path."""
+    """Year and stem of the file a row comes from, computed from its path."""
     path = names.raw_file(F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "/"))
     name = names.raw_name(path)
     year = F.coalesce(
@@ -37,11 +37,10 @@ def path_tags(kind: str, root: str, loose: bool = False) -> dict[str, Column]:
     return {
         "year": year,
         "stem": names.stem_of_name(name, F.lit(kind), loose),
-        "part": names.part_of_name(name),
     }
 
 
-def _layout_rows(
+def _layouts(
     spark: SparkSession, layout_files: dict[str, set[str]], **options
 ) -> dict[tuple[str, str], Layout]:
     """Layouts per (kind, layout file): as many rows as the raw files have columns."""
@@ -57,11 +56,11 @@ def _layout_rows(
     return out
 
 
-def _expectations(spark: SparkSession, manifest: DataFrame, shapes, file_rows) -> DataFrame:
+def _expectations(manifest: DataFrame, shapes: DataFrame, file_rows: DataFrame) -> DataFrame:
     """Declared rows and columns per output (year, stem).
 
-    A row count given for the data file itself counts first; a total that several parts
-    share is compared with nothing smaller than their sum, so it is left out for them.
+    A row count given for the data file itself counts first. A total for several parts
+    that share the layout says nothing about one of them, so it is left out there.
     """
     per_layout = manifest.groupBy("layout_file").agg(F.count(F.lit(1)).alias("_sharing"))
     by_file = file_rows.select(
@@ -102,7 +101,7 @@ def intake(
     """Read all raw files below ``root`` and write them typed below ``out``.
 
     Files whose layouts read alike are one job: their lines are cut, cast and written
-    in one pass without a shuffle, tagged with year, stem and part from their paths.
+    in one pass without a shuffle, tagged with year and stem from their paths.
     With ``run_qc`` each job's output is profiled once, grouped by year and stem, and
     compared with what the layouts declare; reports go to ``out/_reports``.
 
@@ -110,75 +109,52 @@ def intake(
     its types are inferred. Returns the manifest with a ``status`` per file: ``parsed``,
     ``no layout``, ``empty`` or ``not read``. The driver sees file names and layouts only.
     """
-    files = build_manifest(spark, root, years, stems, kinds, globs, loose)
-    require_no_collisions(files)
     texts = read_layout_texts(spark, root)
     parsed = parsed_layouts(texts, parity=parity)
     shapes, file_rows = layout_shapes(parsed), layout_file_rows(parsed)
-    manifest = attach_layouts(files, shapes)
-
-    wanted: dict[str, set[str]] = defaultdict(set)
-    listing = manifest.select("path", "kind", "layout_file", "length").collect()
+    found = attach_layouts(build_manifest(spark, root, years, stems, kinds, globs, loose), shapes)
+    # One listing of the tree: file names, not data. Readers need the paths here anyway.
+    listing = found.collect()
     if not listing:
         raise ValueError(f"no raw files found below {root}")
+    manifest = spark.createDataFrame(listing, found.schema)
+    require_no_collisions(manifest)
+
+    wanted: dict[str, set[str]] = defaultdict(set)
     for f in listing:
         if f.kind in STYLES and f.layout_file:
             wanted[f.kind].add(f.layout_file)
-    layouts = _layout_rows(spark, wanted, parity=parity) if wanted else {}
+    layouts = _layouts(spark, wanted, parity=parity) if wanted else {}
 
-    groups: dict[tuple[str, str], tuple[Layout | None, list[str]]] = {}
+    jobs: dict[tuple[str, str], tuple[Layout | None, list[Row]]] = {}
     status = {}
     for f in listing:
         layout = layouts.get((f.kind, f.layout_file))
         if f.length == 0:
             status[f.path] = "empty"
-        elif f.kind == "sas":
-            status[f.path] = "parsed" if sas_reader else "not read"
-            if sas_reader:
-                groups.setdefault(("sas", f.path), (None, []))[1].append(f.path)
-        elif layout is None:
+        elif f.kind == "sas" and sas_reader is None:
+            status[f.path] = "not read"
+        elif f.kind != "sas" and layout is None:
             status[f.path] = "no layout"
         else:
             status[f.path] = "parsed"
-            groups.setdefault((f.kind, layout.fingerprint()), (layout, []))[1].append(f.path)
-
-    expected = _expectations(spark, manifest, shapes, file_rows) if run_qc else None
-    for number, ((kind, _), (layout, paths)) in enumerate(sorted(groups.items(), key=_group_key)):
-        if kind == "dat":
-            rows = read_fixed_width(
-                spark, paths, layout, mode=mode, tags=path_tags(kind, root, loose)
-            )
-        elif kind == "csv":
-            rows = read_delimited(
-                spark, paths, layout, mode=mode, tags=path_tags(kind, root, loose)
-            )
+            alike = layout.fingerprint() if layout else f.path
+            jobs.setdefault((f.kind, alike), (layout, []))[1].append(f)
+
+    expected = _expectations(manifest, shapes, file_rows)
+    for number, ((kind, _), (layout, files)) in enumerate(sorted(jobs.items(), key=lambda j: j[0])):
+        paths = [f.path for f in files]
+        if kind == "sas":
+            own = {c: F.lit(files[0][c]).cast("string").alias(c) for c in ("year", "stem")}
+            rows = infer_and_cast(sas_reader(spark, paths), text="keep").select("*", *own.values())
         else:
-            tags = manifest.filter(F.col("path") == paths[0]).select("year", "stem", "part").first()
-            rows = infer_and_cast(sas_reader(spark, paths), text="keep").select(
-                "*", *[F.lit(tags[t]).cast("string").alias(t) for t in ("year", "stem", "part")]
-            )
-        write_dataset(rows.drop("part"), out, structure, rows_per_file)
+            read = read_fixed_width if kind == "dat" else read_delimited
+            rows = read(spark, paths, layout, mode=mode, tags=path_tags(kind, root, loose))
+        write_dataset(rows, out, structure, rows_per_file)
         if run_qc:
-            stems_here = [
-                r.stem
-                for r in manifest.filter(F.col("path").isin(paths)).select("stem").distinct().collect()
-            ]
-            _check(spark, out, structure, stems_here, expected, number)
+            written = read_folders(spark, out, {(f.year, f.stem) for f in files}, structure)
+            reports = report(written, expected, by=["year", "stem"])
+            as_json = F.to_json(F.struct("year", "stem", "report"))
+            write_report(reports.select(as_json), f"{out}/_reports/{number:04d}")
     verdicts = spark.createDataFrame(list(status.items()), "path string, status string")
     return manifest.join(verdicts, "path", "left")
-
-
-def _group_key(item):
-    return item[0]
-
-
-def _check(spark, out, structure, stems, expected, number) -> None:
-    """Profile what a job has written, one report per (year, stem)."""
-    written = (
-        read_dataset(spark, out, "{" + ",".join(stems) + "}", structure, parts=False)
-        .withColumn("year", F.col("year").cast("string"))
-    )
-    reports = report(written, expected, by=["year", "stem"])
-    write_report(
-        reports.select(F.to_json(F.struct("year", "stem", "report"))), f"{out}/_reports/{number:04d}"
-    )

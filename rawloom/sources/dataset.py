@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +53,19 @@ def read_dataset(
     return reader.option("mergeSchema", True).parquet(path)
 
 
+def read_folders(
+    spark: SparkSession, out: str, keys: Iterable[tuple[str, str]], structure: str
+) -> DataFrame:
+    """Only the folders of the given (year, stem) pairs, both columns as text."""
+    first, _ = partition_columns(structure)
+    paths = [
+        f"{out}/year={year}/stem={stem}" if first == "year" else f"{out}/stem={stem}/year={year}"
+        for year, stem in sorted(keys)
+    ]
+    frame = spark.read.option("basePath", out).parquet(*paths)
+    return frame.withColumns({c: F.col(c).cast("string") for c in ("year", "stem")})
+
+
 def union_parts(*frames: DataFrame) -> DataFrame:
     """One longitudinal table; columns that a part lacks are NULL there."""
     out = frames[0]
