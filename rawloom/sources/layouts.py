@@ -3,6 +3,8 @@
 A layout file is a small text with a heading block, a line of dash runs and one body
 line per column. Each file is one row holding an array of lines, and everything is
 computed inside that row: no shuffle, and as many files at a time as there are tasks.
+Rows are filtered only after the final (outer) explode, because a filter on a derived
+column would be pushed down through the whole chain with every expression copied into it.
 """
 
 from __future__ import annotations
@@ -246,8 +248,7 @@ def parsed_layouts(
 def layout_fields(parsed: DataFrame) -> DataFrame:
     """The ``layout`` table: one row per column of each described raw file."""
     fixed = F.col("style") == FIXED
-    df = parsed.filter(F.col("name_at").isNotNull() & F.col("type_at").isNotNull())
-    df = df.select(
+    df = parsed.select(
         "layout_file",
         "layout_stem",
         "style",
@@ -285,19 +286,35 @@ def layout_fields(parsed: DataFrame) -> DataFrame:
     # Delimited: a repeated name keeps its first place and takes its last type.
     df = df.withColumn("named", F.filter("rows", lambda r: r["name"] != ""))
     df = df.withColumn("names", F.array_distinct(F.transform("named", lambda r: r["name"])))
+    df = df.withColumn(
+        "lasts",
+        F.transform(
+            "names", lambda n: F.element_at(F.filter("named", lambda r: r["name"] == n), -1)
+        ),
+    )
     unique = F.transform(
-        "names",
-        lambda n, i: F.element_at(F.filter("named", lambda r: r["name"] == n), -1).withField(
-            "ord", i + 1
+        "lasts",
+        lambda r, i: F.struct(
+            (i + 1).alias("ord"), *[r[c].alias(c) for c in ("name", "label", "type")],
+            r["start"].alias("start"), r["width"].alias("width"),
         ),
     )
-    df = df.withColumn("fields", F.when(fixed, F.col("rows")).otherwise(unique))
+    usable = F.col("name_at").isNotNull() & F.col("type_at").isNotNull()
+    df = df.withColumn("fields", F.when(usable & fixed, F.col("rows")).when(usable, unique))
     offset = F.aggregate(
         F.slice("widths", F.lit(1), F.col("f.ord") - 1),
         F.lit(0),
         lambda total, w: total + F.greatest(w, F.lit(0)),
     )
-    return df.select("*", F.explode("fields").alias("f")).select(
+    exploded = df.select(
+        "layout_file",
+        "layout_stem",
+        "style",
+        "widths",
+        F.size("fields").alias("n"),
+        F.explode_outer("fields").alias("f"),
+    )
+    return exploded.filter(F.col("f").isNotNull()).select(
         "layout_file",
         "layout_stem",
         "style",
@@ -308,7 +325,7 @@ def layout_fields(parsed: DataFrame) -> DataFrame:
         "f.start",
         "f.width",
         F.when(fixed, offset).alias("offset"),
-        (F.col("f.ord") == F.size("fields")).alias("is_last"),
+        (F.col("f.ord") == F.col("n")).alias("is_last"),
     )
 
 
@@ -342,7 +359,7 @@ def layout_shapes(parsed: DataFrame) -> DataFrame:
 
 def layout_file_rows(parsed: DataFrame) -> DataFrame:
     """Rows declared per data file; the first mention of a file counts."""
-    mentions = parsed.select("layout_file", F.posexplode("lines").alias("pos", "line")).select(
+    mentions = parsed.select("layout_file", F.posexplode_outer("lines").alias("pos", "line")).select(
         "layout_file",
         "pos",
         extract(F.col("line"), DATA_FILE_PATTERN).alias("data_file"),
