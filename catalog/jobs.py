@@ -26,7 +26,7 @@ from rawloom import (
     write_dataset,
     write_report,
 )
-from rawloom.operators.ordered import indexed_lines, part_number
+from rawloom.operators.ordered import indexed_lines
 from rawloom.session import scratch_dir
 from rawloom.streaming.incremental import read_profiles
 
@@ -102,18 +102,41 @@ def directory_view(spark, sf_dir):
 @_c.add(
     "e9_indexed_lines",
     """
-    SELECT CAST(row_number() OVER (ORDER BY o_orderkey) - 1 AS BIGINT) // 1000 + 1 AS part,
-           CAST(o_orderkey AS VARCHAR) AS line
-    FROM orders""",
+    SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n_lines, count(*) AS n_indexes,
+           CAST(0 AS BIGINT) AS out_of_order FROM orders GROUP BY 1""",
 )
 def lines_with_index(spark, sf_dir):
-    """Line numbers within one large file, which is read in several splits."""
+    """Line numbers within written files: dense, and in the order of the lines."""
     raw = scratch_dir(spark, "lines")
-    keys = table(spark, sf_dir, "orders").select("o_orderkey").orderBy("o_orderkey")
-    keys.select(F.col("o_orderkey").cast("string").alias("value")).coalesce(1).write.text(raw)
-    lines = indexed_lines(spark, raw)
-    return lines.select(
-        part_number(F.col("row_index"), 1000).alias("part"), F.col("value").alias("line")
+    orders = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+    keys = F.lpad(F.col("o_orderkey").cast("string"), 18, "0").alias("value")
+    orders.sortWithinPartitions("year", "o_orderkey").select(keys, "year").write.partitionBy(
+        "year"
+    ).text(raw)
+    per_file = (
+        indexed_lines(spark, raw)
+        .groupBy("_file")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            (F.max("row_index") + 1).alias("last"),
+            F.count_distinct("row_index").alias("indexes"),
+            F.min_by("value", "row_index").alias("first_line"),
+            F.min("value").alias("least"),
+            F.max_by("value", "row_index").alias("last_line"),
+            F.max("value").alias("most"),
+        )
+    )
+    ordered = (
+        (F.col("first_line") == F.col("least"))
+        & (F.col("last_line") == F.col("most"))
+        & (F.col("last") == F.col("indexes"))
+    )
+    return per_file.groupBy(
+        F.regexp_extract("_file", "/year=([0-9]+)/", 1).cast("int").alias("year")
+    ).agg(
+        F.sum("n").alias("n_lines"),
+        F.sum("indexes").alias("n_indexes"),
+        F.count_if(~ordered).alias("out_of_order"),
     )
 
 
@@ -180,13 +203,11 @@ def whole_intake(spark, sf_dir):
     file = F.concat(F.lit("orders_"), year, F.lit(".dat"))
     rendered = orders.select(order_line().alias("value"), year.alias("folder"), file.alias("file"))
     rendered.write.partitionBy("folder", "file").text(root)
-    layouts = orders.select(year.alias("folder")).distinct().select(
-        "folder",
-        F.concat(F.lit("orders_"), "folder", F.lit(".fts")).alias("file"),
-        F.lit(_LAYOUT_TEXT).alias("value"),
+    path = F.concat(F.lit(f"{root}/folder="), "year", F.lit("/orders_"), "year", F.lit(".fts"))
+    layouts = orders.select(year.alias("year")).distinct().select(
+        path.alias("layout_file"), F.lit(_LAYOUT_TEXT).alias("text")
     )
-    layouts.write.mode("append").partitionBy("folder", "file").text(root)
-    intake(spark, root, out)
+    intake(spark, root, out, layout_texts=layouts)
     return _summary(read_dataset(spark, out, "orders"))
 
 
@@ -206,7 +227,7 @@ def incremental(spark, sf_dir):
 @_c.add(
     "i2_batch_profiles",
     """
-    SELECT CASE WHEN o_orderdate < TIMESTAMP '1996-01-01' THEN 0 ELSE 1 END AS batch_id,
+    SELECT CASE WHEN o_orderdate < TIMESTAMP '1996-01-01' THEN CAST(0 AS BIGINT) ELSE 1 END AS batch_id,
            'o_custkey' AS "column", count(DISTINCT o_custkey) AS unique_values,
            CAST(max(o_custkey) AS DOUBLE) AS max FROM orders GROUP BY 1
     UNION ALL

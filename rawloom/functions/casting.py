@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rawloom.functions.text import blank_to_null, column
+from rawloom.functions.text import blank_to_null, column, strip
 from rawloom.layout import Layout
 
 MODES = ("failfast", "permissive", "drop")
@@ -30,37 +30,45 @@ def char(c: Column) -> Column:
     return blank_to_null(c)
 
 
-def num(c: Column) -> Column:
-    """Plain decimal notation only; ``+5``, ``.5``, ``1e5``, ``NaN`` give NULL."""
-    text = blank_to_null(c)
+def _num_of(text: Column) -> Column:
     return F.when(text.rlike(NUM_PATTERN), text.cast("double"))
 
 
-def _parsed_date(text: Column) -> Column:
-    dashed = F.concat_ws(
-        "-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2)
+def _date_of(text: Column) -> Column:
+    dashed = F.concat(
+        F.substring(text, 1, 4),
+        F.lit("-"),
+        F.substring(text, 5, 2),
+        F.lit("-"),
+        F.substring(text, 7, 2),
     )
     return F.when(text.rlike(DATE_PATTERN), dashed.try_cast("date"))
 
 
+def _date_or_fail(text: Column) -> Column:
+    complaint = F.raise_error(F.concat(F.lit("not a yyyyMMdd date: "), text)).cast("date")
+    return F.coalesce(_date_of(text), F.when(text.isNotNull(), complaint))
+
+
+def num(c: Column) -> Column:
+    """Plain decimal notation only; ``+5``, ``.5``, ``1e5``, ``NaN`` give NULL."""
+    return _num_of(strip(c))
+
+
 def date(c: Column, mode: str = "failfast") -> Column:
     """Eight digits, year first. Blank is NULL; anything else fails or gives NULL."""
     text = blank_to_null(c)
-    parsed = _parsed_date(text)
-    if check_mode(mode) != "failfast":
-        return parsed
-    complaint = F.raise_error(F.concat(F.lit("not a yyyyMMdd date: "), text)).cast("date")
-    return F.coalesce(parsed, F.when(text.isNotNull(), complaint))
+    return _date_or_fail(text) if check_mode(mode) == "failfast" else _date_of(text)
 
 
 def bad_date(c: Column) -> Column:
     text = blank_to_null(c)
-    return text.isNotNull() & _parsed_date(text).isNull()
+    return text.isNotNull() & _date_of(text).isNull()
 
 
 def float_text(c: Column) -> Column:
     """Any usual float notation; NULL instead of an error."""
-    text = blank_to_null(c)
+    text = strip(c)
     return F.when(text.rlike(FLOAT_PATTERN), text.try_cast("double"))
 
 
@@ -78,42 +86,45 @@ def to_day(c: Column) -> Column:
     return c.cast("date")
 
 
-def cast_field(c: Column, type_name: str, mode: str = "failfast") -> Column:
-    """Type names are exact; every other name means CHAR."""
+def _cast_text(text: Column, type_name: str, mode: str) -> Column:
+    """Cast stripped text. Type names are exact; every other name means CHAR."""
     if type_name == "NUM":
-        return num(c)
+        return _num_of(text)
     if type_name == "DATE":
-        return date(c, mode)
-    return char(c)
+        return _date_or_fail(text) if mode == "failfast" else _date_of(text)
+    return text
 
 
 def cast_by_layout(df: DataFrame, layout: Layout, mode: str = "failfast") -> DataFrame:
     """Cast the layout's columns, in layout order; other columns follow unchanged.
 
     ``permissive`` adds ``_corrupt_reason``; ``drop`` removes the rows that have one.
+    Columns are stripped in one projection and cast in the next, so that each is
+    stripped once however often the cast looks at it.
     """
     check_mode(mode)
-    names = [f.name for f in layout.output_fields]
-    others = [c for c in df.columns if c not in names and c != REASON]
-    casts = [cast_field(column(f.name), f.type, mode).alias(f.name) for f in layout.output_fields]
+    fields = layout.output_fields
+    names = {f.name for f in fields}
+    others = [column(c) for c in df.columns if c not in names and c != REASON]
+    reason = [F.col(REASON)] if REASON in df.columns else []
+    stripped = df.select(
+        *[blank_to_null(column(f.name)).alias(f.name) for f in fields], *others, *reason
+    )
+    casts = [_cast_text(column(f.name), f.type, mode).alias(f.name) for f in fields]
     if mode == "failfast":
-        return df.select(*casts, *[column(c) for c in others])
-    complaints = [
-        F.when(bad_date(column(f.name)), F.lit(f"not a date: {f.name}"))
-        for f in layout.output_fields
-        if f.type == "DATE"
+        return stripped.select(*casts, *others)
+
+    dates = [f.name for f in fields if f.type == "DATE"]
+    kept = [column(n).alias(f"_text_{i}") for i, n in enumerate(dates)]
+    out = stripped.select(*casts, *others, *reason, *kept)
+    complaints = reason + [
+        F.when(F.col(f"_text_{i}").isNotNull() & column(n).isNull(), F.lit(f"not a date: {n}"))
+        for i, n in enumerate(dates)
     ]
-    if REASON in df.columns:
-        complaints.insert(0, F.col(REASON))
-    reason = (
-        F.nullif(F.concat_ws("; ", *complaints), F.lit(""))
-        if complaints
-        else F.lit(None).cast("string")
-    )
-    out = df.select(*casts, *[column(c) for c in others], reason.alias(REASON))
-    if mode == "drop":
-        return out.filter(F.col(REASON).isNull()).drop(REASON)
-    return out
+    all_reasons = F.nullif(F.concat_ws("; ", *complaints), F.lit(""))
+    out = out.withColumn(REASON, all_reasons if complaints else F.lit(None).cast("string"))
+    out = out.select(*[column(f.name) for f in fields], *others, REASON)
+    return out.filter(F.col(REASON).isNull()).drop(REASON) if mode == "drop" else out
 
 
 def string_schema(names: Sequence[str]) -> T.StructType:

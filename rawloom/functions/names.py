@@ -25,6 +25,12 @@ _END_PART = r"(?:^|[^0-9])(?:19|20)[0-9]{2}_([0-9]{1,3})$"
 _STATE_TOKEN = r"(?i)_[a-z]{2}_"
 
 
+def source_path() -> Column:
+    """Plain path of the file a row was read from (the metadata column is URL-encoded)."""
+    encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    return F.regexp_replace(F.url_decode(encoded), "^file:/+", "/")
+
+
 def raw_file(path: Column) -> Column:
     """The path of the raw file itself.
 

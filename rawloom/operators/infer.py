@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rawloom.functions.casting import FLOAT_PATTERN, float_text, nan_to_null, to_day
+from rawloom.functions.casting import FLOAT_PATTERN, nan_to_null, to_day
 from rawloom.functions.text import blank_to_null, column, ident
 from rawloom.operators.ordered import top_per_group
 
@@ -95,9 +95,11 @@ def detect_kinds(
             "column", F.coalesce("given", "kind", F.lit(STRING)).alias("kind")
         )
 
+    # Stripped in one projection, judged in the next: no value is stripped twice.
+    values = df.select(*[text_value(column(n)).alias(f"v{i}") for i, n in enumerate(texts)])
     flags = []
-    for i, n in enumerate(texts):
-        text = text_value(column(n))
+    for i in range(len(texts)):
+        text = F.col(f"v{i}")
         flags += [
             F.count(text).alias(f"n{i}"),
             F.bool_and(F.when(text.isNotNull(), is_day(text))).alias(f"d{i}"),
@@ -114,24 +116,21 @@ def detect_kinds(
         )
         for i, n in enumerate(texts)
     ]
-    one_row = df.agg(*flags) if flags else df.sparkSession.range(1)
+    one_row = values.agg(*flags) if flags else df.sparkSession.range(1)
     return one_row.select(F.inline(F.array(*judged, *typed)))
 
 
-def cast_by_kind(c: Column, kind: str, data_type: T.DataType) -> Column:
-    """A value that does not fit the kind becomes NULL."""
+def _cast_by_kind(c: Column, kind: str, data_type: T.DataType) -> Column:
+    """A value that does not fit the kind becomes NULL. Text comes stripped."""
     is_text = isinstance(data_type, T.StringType)
     if kind == DATE:
-        if not is_text:
-            return to_day(c)
-        text = text_value(c)
-        return F.when(is_day(text), F.substring(text, 1, 10).try_cast("date"))
+        return F.when(is_day(c), F.substring(c, 1, 10).try_cast("date")) if is_text else to_day(c)
     if kind == NUMERIC:
         if is_text:
-            return float_text(text_value(c))
+            return F.when(is_number(c), c.try_cast("double"))
         number = c.cast("double")
         return nan_to_null(number) if isinstance(data_type, (T.DoubleType, T.FloatType)) else number
-    return blank_to_null(c) if is_text else blank_to_null(c.cast("string"))
+    return c if is_text else blank_to_null(c.cast("string"))
 
 
 def infer_and_cast(
@@ -154,6 +153,10 @@ def infer_and_cast(
         wanted = [*unknown, *[c for c in order or [] if c not in unknown]]
         verdicts = detect_kinds(df.select(*[column(n) for n in wanted]), sample, order)
         kinds |= {r["column"]: r["kind"] for r in verdicts.collect()}
-    return df.select(
-        *[cast_by_kind(column(n), kinds[n] or STRING, t).alias(n) for n, t in types.items()]
+    stripped = {
+        n: blank_to_null(column(n)).alias(n) if isinstance(t, T.StringType) else column(n)
+        for n, t in types.items()
+    }
+    return df.select(*stripped.values()).select(
+        *[_cast_by_kind(column(n), kinds[n] or STRING, t).alias(n) for n, t in types.items()]
     )

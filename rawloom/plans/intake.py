@@ -29,7 +29,7 @@ STYLES = {"dat": FIXED, "csv": DELIMITED}
 
 def path_tags(kind: str, root: str, loose: bool = False) -> dict[str, Column]:
     """Year and stem of the file a row comes from, computed from its path."""
-    path = names.raw_file(F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "/"))
+    path = names.raw_file(names.source_path())
     name = names.raw_name(path)
     year = F.coalesce(
         names.folder_year(path, root), names.year_of_name(name, F.lit(kind), loose)
@@ -41,13 +41,13 @@ def path_tags(kind: str, root: str, loose: bool = False) -> dict[str, Column]:
 
 
 def _layouts(
-    spark: SparkSession, layout_files: dict[str, set[str]], **options
+    texts: DataFrame, layout_files: dict[str, set[str]], **options
 ) -> dict[tuple[str, str], Layout]:
     """Layouts per (kind, layout file): as many rows as the raw files have columns."""
     out = {}
     for kind, files in layout_files.items():
-        texts = read_layout_texts(spark, sorted(files), glob="*")
-        fields = layout_fields(parsed_layouts(texts, style=STYLES[kind], **options))
+        wanted = texts.filter(F.col("layout_file").isin(sorted(files)))
+        fields = layout_fields(parsed_layouts(wanted, style=STYLES[kind], **options))
         rows = defaultdict(list)
         for row in fields.collect():
             rows[row["layout_file"]].append(row)
@@ -96,6 +96,7 @@ def intake(
     run_qc: bool = True,
     loose: bool = False,
     parity: bool = False,
+    layout_texts: DataFrame | None = None,
     sas_reader: Callable[[SparkSession, list[str]], DataFrame] | None = None,
 ) -> DataFrame:
     """Read all raw files below ``root`` and write them typed below ``out``.
@@ -105,14 +106,18 @@ def intake(
     With ``run_qc`` each job's output is profiled once, grouped by year and stem, and
     compared with what the layouts declare; reports go to ``out/_reports``.
 
+    Layouts are the ``.fts`` files below ``root``, or the rows (layout_file, text) of
+    ``layout_texts`` for layouts kept elsewhere; ``layout_file`` then is the path where
+    the file would lie.
+
     SAS files need ``sas_reader``, a function that gives a decoded DataFrame for paths;
     its types are inferred. Returns the manifest with a ``status`` per file: ``parsed``,
     ``no layout``, ``empty`` or ``not read``. The driver sees file names and layouts only.
     """
-    texts = read_layout_texts(spark, root)
+    texts = read_layout_texts(spark, root) if layout_texts is None else layout_texts
     parsed = parsed_layouts(texts, parity=parity)
     shapes, file_rows = layout_shapes(parsed), layout_file_rows(parsed)
-    found = attach_layouts(build_manifest(spark, root, years, stems, kinds, globs, loose), shapes)
+    found = attach_layouts(build_manifest(spark, root, years, stems, kinds, globs, loose), texts)
     # One listing of the tree: file names, not data. Readers need the paths here anyway.
     listing = found.collect()
     if not listing:
@@ -124,7 +129,7 @@ def intake(
     for f in listing:
         if f.kind in STYLES and f.layout_file:
             wanted[f.kind].add(f.layout_file)
-    layouts = _layouts(spark, wanted, parity=parity) if wanted else {}
+    layouts = _layouts(texts, wanted, parity=parity) if wanted else {}
 
     jobs: dict[tuple[str, str], tuple[Layout | None, list[Row]]] = {}
     status = {}
@@ -141,7 +146,10 @@ def intake(
             alike = layout.fingerprint() if layout else f.path
             jobs.setdefault((f.kind, alike), (layout, []))[1].append(f)
 
-    expected = _expectations(manifest, shapes, file_rows)
+    expected = _expectations(manifest, shapes, file_rows) if run_qc else None
+    if run_qc:
+        # One row per file, computed once for all reports.
+        expected = spark.createDataFrame(expected.collect(), expected.schema)
     for number, ((kind, _), (layout, files)) in enumerate(sorted(jobs.items(), key=lambda j: j[0])):
         paths = [f.path for f in files]
         if kind == "sas":

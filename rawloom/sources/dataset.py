@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Characters that Spark writes as %XX in the folders of partition values.
+_ESCAPED = set("\"#%'*/:=?\\\x7f{[]^") | {chr(c) for c in range(1, 32)}
 STRUCTURES = {"year/file_stem": ["year", "stem"], "file_stem/year": ["stem", "year"]}
 
 
@@ -57,11 +59,15 @@ def read_folders(
     spark: SparkSession, out: str, keys: Iterable[tuple[str, str]], structure: str
 ) -> DataFrame:
     """Only the folders of the given (year, stem) pairs, both columns as text."""
-    first, _ = partition_columns(structure)
-    paths = [
-        f"{out}/year={year}/stem={stem}" if first == "year" else f"{out}/stem={stem}/year={year}"
-        for year, stem in sorted(keys)
-    ]
+
+    def folder(name: str, value: str) -> str:
+        return f"{name}=" + "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in value)
+
+    order = partition_columns(structure)
+    paths = []
+    for year, stem in sorted(keys):
+        values = {"year": year, "stem": stem}
+        paths.append("/".join([out, *[folder(c, values[c]) for c in order]]))
     frame = spark.read.option("basePath", out).parquet(*paths)
     return frame.withColumns({c: F.col(c).cast("string") for c in ("year", "stem")})
 

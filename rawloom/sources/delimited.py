@@ -38,26 +38,37 @@ def split_delimited(
         raise ValueError("encoding_errors must be 'fail' or 'replace'")
     value = column(value_col)
     others = [c for c in df.columns if c != value_col]
-    schema = string_schema(layout.names).add(_BAD, "string")
-    options = _csv_options(sep) | {"columnNameOfCorruptRecord": _BAD}
+    rest = [column(c) for c in others]
+    lines = df.filter(F.octet_length(value) > 0)
     line = value if encoding_errors == "fail" else F.make_valid_utf8(value)
-    parsed = df.filter(F.octet_length(value) > 0).select(
-        F.from_csv(line, schema.toDDL(), options).alias(_RECORD),
-        F.is_valid_utf8(line).alias("_valid_text"),
-        *[column(c) for c in others],
-    )
-    bad = F.col(f"{_RECORD}.{_BAD}")
-    reason = F.when(~F.col("_valid_text"), F.lit("not valid UTF-8")).when(
-        bad.isNotNull(), F.concat(F.lit(f"expected {len(layout.names)} fields: "), bad)
-    )
+    options = _csv_options(sep)
+    record = F.col(_RECORD)
     fields = [F.col(f"{_RECORD}.{ident(n)}").alias(n) for n in layout.names]
-    rest = [column(c) for c in others]
+
     if mode == "failfast":
-        checked = F.when(reason.isNotNull(), F.raise_error(reason).cast("boolean")).otherwise(True)
-        return parsed.filter(checked).select(*fields, *rest)
+        # The check looks at the raw line only: a filter on the parsed record would be
+        # pushed below the parsing and parse every line twice.
+        bad_text = F.raise_error(F.lit("line is not valid UTF-8")).cast("boolean")
+        lines = lines.filter(F.when(~F.is_valid_utf8(line), bad_text).otherwise(True))
+        schema = string_schema(layout.names).toDDL()
+        parsed = F.from_csv(line, schema, options | {"mode": "FAILFAST"})
+        return lines.select(parsed.alias(_RECORD), *rest).select(*fields, *rest)
+
+    schema = string_schema(layout.names).add(_BAD, "string").toDDL()
+    parsed = F.from_csv(line, schema, options | {"columnNameOfCorruptRecord": _BAD})
     if mode == "drop":
-        return parsed.filter(reason.isNull()).select(*fields, *rest)
-    return parsed.select(*fields, *rest, reason.alias(REASON))
+        # The outer explode of one record keeps the filter above the parsing.
+        once = lines.filter(F.is_valid_utf8(line)).select(
+            F.explode_outer(F.array(parsed)).alias(_RECORD), *rest
+        )
+        return once.filter(record[_BAD].isNull()).select(*fields, *rest)
+    reason = F.when(~F.col("_valid_text"), F.lit("not valid UTF-8")).when(
+        record[_BAD].isNotNull(),
+        F.concat(F.lit(f"expected {len(layout.names)} fields: "), record[_BAD]),
+    )
+    return lines.select(
+        parsed.alias(_RECORD), F.is_valid_utf8(line).alias("_valid_text"), *rest
+    ).select(*fields, *rest, reason.alias(REASON))
 
 
 def read_delimited(

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rawloom.functions.casting import truncated_int
-from rawloom.functions.names import base_name, name_stem
+from rawloom.functions.names import base_name, name_stem, source_path
 from rawloom.functions.text import (
     extract,
     first_where,
@@ -295,8 +295,8 @@ def layout_fields(parsed: DataFrame) -> DataFrame:
     unique = F.transform(
         "lasts",
         lambda r, i: F.struct(
-            (i + 1).alias("ord"), *[r[c].alias(c) for c in ("name", "label", "type")],
-            r["start"].alias("start"), r["width"].alias("width"),
+            (i + 1).alias("ord"),
+            *[r[c].alias(c) for c in ("name", "label", "type", "start", "width")],
         ),
     )
     usable = F.col("name_at").isNotNull() & F.col("type_at").isNotNull()
@@ -378,7 +378,7 @@ def read_layout_texts(spark: SparkSession, path, glob: str = "*.fts") -> DataFra
         wholetext=True,
         recursiveFileLookup=True,
         pathGlobFilter=glob,
-    ).select(F.col("_metadata.file_path").alias("layout_file"), F.col("value").alias("text"))
+    ).select(source_path().alias("layout_file"), F.col("value").alias("text"))
 
 
 def scan_layouts(

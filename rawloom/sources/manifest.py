@@ -130,13 +130,12 @@ def require_no_collisions(manifest: DataFrame) -> None:
         raise ValueError(f"several inputs map to the same output:\n{listing}")
 
 
-def attach_layouts(manifest: DataFrame, shapes: DataFrame) -> DataFrame:
+def attach_layouts(manifest: DataFrame, layout_files: DataFrame) -> DataFrame:
     """Add ``layout_file``: the layout in the same folder, NULL when there is none."""
-    layouts = shapes.select(
-        F.regexp_replace("layout_file", "^file:/+", "/").alias("_path"), "layout_file"
-    ).select(
-        names.dir_name(F.col("_path")).alias("_dir"),
-        names.name_stem(names.base_name(F.col("_path"))).alias("_stem"),
+    path = F.col("layout_file")
+    layouts = layout_files.select(
+        names.dir_name(path).alias("_dir"),
+        names.name_stem(names.base_name(path)).alias("_stem"),
         "layout_file",
     )
     return manifest.join(
