@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from rawloom.functions import names
 from rawloom.layout import DELIMITED, FIXED, Layout
 from rawloom.operators.infer import infer_and_cast
+from rawloom.operators.profile import row_count
 from rawloom.plans.report import report
 from rawloom.sources.dataset import read_folders, write_dataset, write_report
 from rawloom.sources.delimited import read_delimited
@@ -60,7 +61,7 @@ def _expectations(manifest: DataFrame, shapes: DataFrame, file_rows: DataFrame)
     """Declared rows and columns per output (year, stem).
 
     A row count given for the data file itself counts first. A total for several parts
-    that share the layout says nothing about one of them, so it is left out there.
+    that share the layout says nothing about one of them; see ``total_check``.
     """
     per_layout = manifest.groupBy("layout_file").agg(F.count(F.lit(1)).alias("_sharing"))
     by_file = file_rows.select(
@@ -82,6 +83,26 @@ def _expectations(manifest: DataFrame, shapes: DataFrame, file_rows: DataFrame)
     )
 
 
+def total_check(written: DataFrame, manifest: DataFrame, shapes: DataFrame) -> DataFrame:
+    """Rows written per layout, over all files that share it, against the declared total."""
+    counted = row_count(written, ["year", "stem"])
+    per_layout = (
+        manifest.filter(F.col("layout_file").isNotNull())
+        .join(counted, ["year", "stem"])
+        .groupBy("layout_file")
+        .agg(F.sum("actual_rows").alias("actual_rows"))
+    )
+    expected = shapes.select("layout_file", "expected_rows")
+    return per_layout.join(expected, "layout_file", "left").select(
+        "layout_file",
+        "actual_rows",
+        "expected_rows",
+        F.when(
+            F.col("expected_rows").isNotNull(), F.col("actual_rows") != F.col("expected_rows")
+        ).alias("row_mismatch"),
+    )
+
+
 def intake(
     spark: SparkSession,
     root: str,
@@ -104,7 +125,8 @@ def intake(
     Files whose layouts read alike are one job: their lines are cut, cast and written
     in one pass without a shuffle, tagged with year and stem from their paths.
     With ``run_qc`` each job's output is profiled once, grouped by year and stem, and
-    compared with what the layouts declare; reports go to ``out/_reports``.
+    compared with what the layouts declare; reports go to ``out/_reports``, and the rows
+    of all files that share a layout, against its declared total, to ``out/_totals``.
 
     Layouts are the ``.fts`` files below ``root``, or the rows (layout_file, text) of
     ``layout_texts`` for layouts kept elsewhere; ``layout_file`` then is the path where
@@ -164,5 +186,7 @@ def intake(
             reports = report(written, expected, by=["year", "stem"])
             as_json = F.to_json(F.struct("year", "stem", "report"))
             write_report(reports.select(as_json), f"{out}/_reports/{number:04d}")
+            totals = total_check(written, manifest, shapes)
+            write_report(totals.select(F.to_json(F.struct("*"))), f"{out}/_totals/{number:04d}")
     verdicts = spark.createDataFrame(list(status.items()), "path string, status string")
     return manifest.join(verdicts, "path", "left")

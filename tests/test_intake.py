@@ -109,6 +109,14 @@ def test_intake(spark, tree, tmp_path):
     assert reports["2007", "maxdata_ak_ip"]["shape_check"]["row_mismatch"] is False
     assert "expected_rows" not in reports["2007", "maxdata_CO_ip"]["shape_check"]
 
+    totals = [json.loads(r.value) for r in spark.read.text(out + "/_totals/*").collect()]
+    found = {t["layout_file"].rsplit("/")[-1]: t for t in totals}
+    assert found["claims_2017.fts"] | {"layout_file": ""} == {
+        "layout_file": "", "actual_rows": 18, "expected_rows": 6, "row_mismatch": True,
+    }
+    assert found["claims_2016.fts"]["row_mismatch"] is False
+    assert found["maxdata_ip_2007.fts"].get("row_mismatch") is None
+
     # A second run replaces the same folders.
     intake(spark, tree, out, run_qc=False)
     assert read_dataset(spark, out, "claims").count() == 24
