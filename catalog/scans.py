@@ -48,7 +48,7 @@ def order_lines(orders: DataFrame) -> DataFrame:
 @_c.add("a1_fixed_width_strict", ORDERS_SQL)
 def fixed_width_strict(spark, sf_dir):
     lines = order_lines(table(spark, sf_dir, "orders"))
-    return cast_by_layout(slice_fixed(lines, ORDERS_LAYOUT), ORDERS_LAYOUT)
+    return cast_by_layout(slice_fixed(lines, ORDERS_LAYOUT), ORDERS_LAYOUT, stripped=True)
 
 
 _FLAT_SQL = r"regexp_replace(text, '[\r\n]+', ' ', 'g')"
@@ -79,7 +79,7 @@ def fixed_width_lenient(spark, sf_dir):
             F.regexp_replace("text", "[\r\n]+", " "),
         ).alias("value")
     )
-    return cast_by_layout(slice_fixed(lines, layout), layout)
+    return cast_by_layout(slice_fixed(lines, layout), layout, stripped=True)
 
 
 PART_LAYOUT = Layout(

@@ -16,6 +16,7 @@ from rawloom.operators.profile import (
 from rawloom.operators.reconcile import schema_diff, shape_check
 from rawloom.plans.intake import intake
 from rawloom.plans.report import report
+from rawloom.session import tune
 from rawloom.sources.dataset import read_dataset, write_dataset, write_report
 from rawloom.sources.delimited import read_delimited, split_delimited
 from rawloom.sources.fixedwidth import read_fixed_width, slice_fixed
@@ -53,6 +54,7 @@ __all__ = [
     "stream_profiles",
     "stream_rows",
     "top_values",
+    "tune",
     "unique_values",
     "value_counts",
     "write_dataset",

@@ -47,7 +47,7 @@ def _date_of(text: Column) -> Column:
 
 def _date_or_fail(text: Column) -> Column:
     complaint = F.raise_error(F.concat(F.lit("not a yyyyMMdd date: "), text)).cast("date")
-    return F.coalesce(_date_of(text), F.when(text.isNotNull(), complaint))
+    return F.coalesce(_date_of(text), F.when(text != "", complaint))
 
 
 def num(c: Column) -> Column:
@@ -57,13 +57,13 @@ def num(c: Column) -> Column:
 
 def date(c: Column, mode: str = "failfast") -> Column:
     """Eight digits, year first. Blank is NULL; anything else fails or gives NULL."""
-    text = blank_to_null(c)
+    text = strip(c)
     return _date_or_fail(text) if check_mode(mode) == "failfast" else _date_of(text)
 
 
 def bad_date(c: Column) -> Column:
-    text = blank_to_null(c)
-    return text.isNotNull() & _date_of(text).isNull()
+    text = strip(c)
+    return (text != "") & _date_of(text).isNull()
 
 
 def float_text(c: Column) -> Column:
@@ -92,33 +92,34 @@ def _cast_text(text: Column, type_name: str, mode: str) -> Column:
         return _num_of(text)
     if type_name == "DATE":
         return _date_or_fail(text) if mode == "failfast" else _date_of(text)
-    return text
+    return F.when(text != "", text)
 
 
-def cast_by_layout(df: DataFrame, layout: Layout, mode: str = "failfast") -> DataFrame:
+def cast_by_layout(
+    df: DataFrame, layout: Layout, mode: str = "failfast", stripped: bool = False
+) -> DataFrame:
     """Cast the layout's columns, in layout order; other columns follow unchanged.
 
     ``permissive`` adds ``_corrupt_reason``; ``drop`` removes the rows that have one.
-    Columns are stripped in one projection and cast in the next, so that each is
-    stripped once however often the cast looks at it.
+    ``stripped`` says that the columns carry no outer white space any more. Stripping is
+    a projection of its own, so that it is done once however often a cast looks at it.
     """
     check_mode(mode)
     fields = layout.output_fields
     names = {f.name for f in fields}
     others = [column(c) for c in df.columns if c not in names and c != REASON]
     reason = [F.col(REASON)] if REASON in df.columns else []
-    stripped = df.select(
-        *[blank_to_null(column(f.name)).alias(f.name) for f in fields], *others, *reason
-    )
+    if not stripped:
+        df = df.select(*[strip(column(f.name)).alias(f.name) for f in fields], *others, *reason)
     casts = [_cast_text(column(f.name), f.type, mode).alias(f.name) for f in fields]
     if mode == "failfast":
-        return stripped.select(*casts, *others)
+        return df.select(*casts, *others)
 
     dates = [f.name for f in fields if f.type == "DATE"]
     kept = [column(n).alias(f"_text_{i}") for i, n in enumerate(dates)]
-    out = stripped.select(*casts, *others, *reason, *kept)
+    out = df.select(*casts, *others, *reason, *kept)
     complaints = reason + [
-        F.when(F.col(f"_text_{i}").isNotNull() & column(n).isNull(), F.lit(f"not a date: {n}"))
+        F.when((F.col(f"_text_{i}") != "") & column(n).isNull(), F.lit(f"not a date: {n}"))
         for i, n in enumerate(dates)
     ]
     all_reasons = F.nullif(F.concat_ws("; ", *complaints), F.lit(""))

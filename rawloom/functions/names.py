@@ -63,11 +63,8 @@ def extension(name: Column) -> Column:
 
 def kind_of(name: Column) -> Column:
     """dat, csv or sas by extension in any case; NULL when unsupported."""
-    ext = extension(name)
-    out = F.lit(None).cast("string")
-    for kind, extensions in EXTENSIONS.items():
-        out = F.when(ext.isin(*extensions), kind).otherwise(out)
-    return out
+    kinds = [F.lit(x) for kind, exts in EXTENSIONS.items() for ext in exts for x in (ext, kind)]
+    return F.try_element_at(F.create_map(*kinds), extension(name))
 
 
 def folder_year(path: Column, root: str | None = None) -> Column:

@@ -45,6 +45,20 @@ def strip(c: Column) -> Column:
     return F.btrim(F.trim(c), F.lit(WHITESPACE))
 
 
+def printable(line: Column) -> Column:
+    """True for lines of printable ASCII, a carriage return at the end aside.
+
+    Trimming blanks is all that fields of such a line need, save the last.
+    """
+    return line.rlike(r"^[ -~]*\r?\z")
+
+
+def strip_fields(names: list[str], plain: Column) -> list[Column]:
+    """Strip the fields of a line; ``plain`` tells whether the line is ``printable``."""
+    inner = [F.when(plain, F.trim(column(n))).otherwise(strip(column(n))) for n in names[:-1]]
+    return [c.alias(n) for c, n in zip([*inner, strip(column(names[-1]))], names)]
+
+
 def blank_to_null(c: Column) -> Column:
     return F.nullif(strip(c), F.lit(""))
 

@@ -13,6 +13,7 @@ from rawloom.layout import DELIMITED, FIXED, Layout
 from rawloom.operators.infer import infer_and_cast
 from rawloom.operators.profile import row_count
 from rawloom.plans.report import report
+from rawloom.session import tune
 from rawloom.sources.dataset import read_folders, write_dataset, write_report
 from rawloom.sources.delimited import read_delimited
 from rawloom.sources.fixedwidth import read_fixed_width
@@ -136,6 +137,7 @@ def intake(
     its types are inferred. Returns the manifest with a ``status`` per file: ``parsed``,
     ``no layout``, ``empty`` or ``not read``. The driver sees file names and layouts only.
     """
+    tune(spark)
     texts = read_layout_texts(spark, root) if layout_texts is None else layout_texts
     parsed = parsed_layouts(texts, parity=parity)
     shapes, file_rows = layout_shapes(parsed), layout_file_rows(parsed)

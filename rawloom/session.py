@@ -9,6 +9,19 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Projections over many raw fields make long generated methods, and the JVM's compiler
+# leaves methods of more than 8000 bytes interpreted. With this limit Spark splits them.
+COMPILED_METHOD_LIMIT = "8000"
+_LIMIT_KEY = "spark.sql.codegen.hugeMethodLimit"
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Set what wide raw files need, unless the session has its own setting."""
+    if spark.conf.get(_LIMIT_KEY) == "65535":
+        spark.conf.set(_LIMIT_KEY, COMPILED_METHOD_LIMIT)
+    return spark
+
+
 def local_session(cpus: int | str = "*", app: str = "rawloom", **conf: str) -> SparkSession:
     """A local session for tests and benchmarks; clusters bring their own."""
     cores = os.cpu_count() or 8 if cpus in ("*", "") else int(cpus)
@@ -23,7 +36,7 @@ def local_session(cpus: int | str = "*", app: str = "rawloom", **conf: str) -> S
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return tune(builder.getOrCreate())
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rawloom.functions.casting import REASON, cast_by_layout, check_mode, string_schema
-from rawloom.functions.text import column, ident
+from rawloom.functions.text import column, ident, printable, strip_fields
 from rawloom.layout import Layout
 
 _RECORD = "_parsed_record"
 _BAD = "_bad_record"
+_PLAIN = "_printable"
 
 
 def _csv_options(sep: str) -> dict[str, str]:
@@ -26,9 +27,12 @@ def split_delimited(
     mode: str = "failfast",
     encoding_errors: str = "fail",
     sep: str = ",",
+    stripped: bool = False,
 ) -> DataFrame:
     """Split each line into the layout's columns, all strings.
 
+    ``stripped`` removes outer white space from the fields.
+
     Empty lines are skipped. A line with too few or too many fields, or (with
     ``encoding_errors="fail"``) with bytes that are not UTF-8, is malformed: it fails,
     is marked or is removed according to ``mode``.
@@ -44,6 +48,14 @@ def split_delimited(
     options = _csv_options(sep)
     record = F.col(_RECORD)
     fields = [F.col(f"{_RECORD}.{ident(n)}").alias(n) for n in layout.names]
+    plain = printable(line).alias(_PLAIN)
+
+    def finish(rows: DataFrame, *marks: Column) -> DataFrame:
+        if not stripped:
+            return rows.select(*fields, *rest, *marks)
+        named = rows.select(*fields, *rest, *marks, _PLAIN)
+        marked = [F.col(REASON)] if marks else []
+        return named.select(*strip_fields(layout.names, F.col(_PLAIN)), *rest, *marked)
 
     if mode == "failfast":
         # The check looks at the raw line only: a filter on the parsed record would be
@@ -52,23 +64,24 @@ def split_delimited(
         lines = lines.filter(F.when(~F.is_valid_utf8(line), bad_text).otherwise(True))
         schema = string_schema(layout.names).toDDL()
         parsed = F.from_csv(line, schema, options | {"mode": "FAILFAST"})
-        return lines.select(parsed.alias(_RECORD), *rest).select(*fields, *rest)
+        return finish(lines.select(parsed.alias(_RECORD), plain, *rest))
 
     schema = string_schema(layout.names).add(_BAD, "string").toDDL()
     parsed = F.from_csv(line, schema, options | {"columnNameOfCorruptRecord": _BAD})
     if mode == "drop":
         # The outer explode of one record keeps the filter above the parsing.
         once = lines.filter(F.is_valid_utf8(line)).select(
-            F.explode_outer(F.array(parsed)).alias(_RECORD), *rest
+            F.explode_outer(F.array(parsed)).alias(_RECORD), plain, *rest
         )
-        return once.filter(record[_BAD].isNull()).select(*fields, *rest)
+        return finish(once.filter(record[_BAD].isNull()))
     reason = F.when(~F.col("_valid_text"), F.lit("not valid UTF-8")).when(
         record[_BAD].isNotNull(),
         F.concat(F.lit(f"expected {len(layout.names)} fields: "), record[_BAD]),
     )
-    return lines.select(
-        parsed.alias(_RECORD), F.is_valid_utf8(line).alias("_valid_text"), *rest
-    ).select(*fields, *rest, reason.alias(REASON))
+    once = lines.select(
+        parsed.alias(_RECORD), F.is_valid_utf8(line).alias("_valid_text"), plain, *rest
+    )
+    return finish(once, reason.alias(REASON))
 
 
 def read_delimited(
@@ -95,9 +108,9 @@ def read_delimited(
     if not header and not multiline:
         lines = spark.read.text(load, recursiveFileLookup=True).select("value", *tag_columns)
         rows = split_delimited(
-            lines, layout, mode=mode, encoding_errors=encoding_errors, sep=sep
+            lines, layout, mode=mode, encoding_errors=encoding_errors, sep=sep, stripped=True
         )
-        return cast_by_layout(rows, layout, mode)
+        return cast_by_layout(rows, layout, mode, stripped=True)
 
     if encoding_errors != "replace":
         raise ValueError("header and multiline need encoding_errors='replace'")

@@ -8,10 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rawloom.functions.casting import REASON, cast_by_layout, check_mode
-from rawloom.functions.text import column, decode_bytes
+from rawloom.functions.text import column, decode_bytes, printable, strip_fields
 from rawloom.layout import Layout
 
 
+_PLAIN = "_printable"
+
+
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Lines ended by a line feed only, their bytes untouched, files split freely."""
     return spark.read.text(
@@ -49,7 +52,7 @@ def slice_fixed(
     offsets: str = "cumulative",
     count_newline: bool = False,
 ) -> DataFrame:
-    """Cut each line into the layout's fields, as untrimmed strings.
+    """Cut each line into the layout's fields, as strings without outer white space.
 
     ``unit="byte"`` cuts bytes and wants complete records: a short one fails
     (``failfast``), is marked in ``_corrupt_reason`` (``permissive``) or removed
@@ -63,25 +66,33 @@ def slice_fixed(
     starts = layout.offsets(offsets)
     value = column(value_col)
     others = [column(c) for c in df.columns if c != value_col]
-    if unit == "char":
-        marks = [F.lit(None).cast("string").alias(REASON)] if mode == "permissive" else []
-        return df.select(*_char_fields(value, layout, starts, encoding), *others, *marks)
-    if unit != "byte":
+    if unit not in ("byte", "char"):
         raise ValueError("unit must be 'byte' or 'char'")
-
-    needed = max(start + max(f.width, 0) for f, start in zip(layout.fields, starts))
-    found = F.octet_length(value) + (1 if count_newline else 0)
-    short = found < needed
-    message = F.concat(F.lit(f"record shorter than {needed} bytes: "), found.cast("string"))
     marks = []
-    if mode == "failfast":
-        # A filter, so that the check survives whatever columns are selected later.
-        df = df.filter(F.when(short, F.raise_error(message).cast("boolean")).otherwise(True))
-    elif mode == "drop":
-        df = df.filter(~short)
+    if unit == "byte":
+        needed = max(start + max(f.width, 0) for f, start in zip(layout.fields, starts))
+        found = F.octet_length(value) + (1 if count_newline else 0)
+        short = found < needed
+        message = F.concat(F.lit(f"record shorter than {needed} bytes: "), found.cast("string"))
+        if mode == "failfast":
+            # A filter, so that the check survives whatever columns are selected later.
+            complaint = F.raise_error(message).cast("boolean")
+            df = df.filter(F.when(short, complaint).otherwise(True))
+        elif mode == "drop":
+            df = df.filter(~short)
+        else:
+            marks = [F.when(short, message).alias(REASON)]
+        fields = _byte_fields(value, layout, starts, encoding)
     else:
-        marks = [F.when(short, message).alias(REASON)]
-    return df.select(*_byte_fields(value, layout, starts, encoding), *others, *marks)
+        if mode == "permissive":
+            marks = [F.lit(None).cast("string").alias(REASON)]
+        fields = _char_fields(value, layout, starts, encoding)
+
+    # Looking for rare white space once per line spares looking for it in every field.
+    line = value if encoding.lower() in ("utf-8", "utf8") else F.decode(value.cast("binary"), encoding)
+    cut = df.select(*fields, *others, *marks, printable(line).alias(_PLAIN))
+    stripped = strip_fields(layout.names, F.col(_PLAIN))
+    return cut.select(*stripped, *others, *([F.col(REASON)] if marks else []))
 
 
 def read_fixed_width(
@@ -96,4 +107,5 @@ def read_fixed_width(
     lines = read_lines(spark, paths)
     if tags:
         lines = lines.select("value", *[c.alias(n) for n, c in tags.items()])
-    return cast_by_layout(slice_fixed(lines, layout, mode=mode, **slicing), layout, mode)
+    cut = slice_fixed(lines, layout, mode=mode, **slicing)
+    return cast_by_layout(cut, layout, mode, stripped=True)

@@ -36,8 +36,11 @@ def stream_rows(
     lines = reader.text(source)
     if tags:
         lines = lines.select("value", *[c.alias(n) for n, c in tags.items()])
-    split = split_delimited if layout.style == DELIMITED else slice_fixed
-    return cast_by_layout(split(lines, layout, mode=mode, **splitting), layout, mode)
+    if layout.style == DELIMITED:
+        rows = split_delimited(lines, layout, mode=mode, stripped=True, **splitting)
+    else:
+        rows = slice_fixed(lines, layout, mode=mode, **splitting)
+    return cast_by_layout(rows, layout, mode, stripped=True)
 
 
 def stream_intake(
