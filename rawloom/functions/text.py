@@ -67,13 +67,17 @@ def is_blank(c: Column) -> Column:
     return strip(c) == ""
 
 
+def is_utf8(encoding: str) -> bool:
+    return encoding.lower().replace("_", "-") in ("utf-8", "utf8")
+
+
 def decode_bytes(c: Column, encoding: str = "utf-8") -> Column:
     """Bytes to text. Bad UTF-8 bytes are dropped, everything else is kept.
 
     The repair runs only for values that fail the validity test: each byte becomes
     one character, stray bytes are deleted, and the rest is read as UTF-8 again.
     """
-    if encoding.lower().replace("_", "-") not in ("utf-8", "utf8"):
+    if not is_utf8(encoding):
         return F.decode(c, encoding)
     as_text = c.cast("string")
     one_char_per_byte = F.decode(c, "ISO-8859-1")

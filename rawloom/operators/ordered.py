@@ -56,7 +56,8 @@ def row_index(
 
 def positioned_lines(spark: SparkSession, paths) -> DataFrame:
     """Lines with file, start of the split they lie in, and an order within the split."""
-    return spark.read.text(paths, lineSep="\n", recursiveFileLookup=True).select(
+    load = paths if isinstance(paths, str) else list(paths)
+    return spark.read.text(load, lineSep="\n", recursiveFileLookup=True).select(
         "value",
         F.col("_metadata.file_path").alias(FILE),
         F.col("_metadata.file_block_start").alias(BLOCK),

@@ -24,7 +24,7 @@ from rawloom.sources.layouts import (
     parsed_layouts,
     read_layout_texts,
 )
-from rawloom.sources.manifest import attach_layouts, build_manifest, require_no_collisions
+from rawloom.sources.manifest import attach_layouts, require_no_collisions, select_files
 
 STYLES = {"dat": FIXED, "csv": DELIMITED}
 
@@ -141,9 +141,9 @@ def intake(
     texts = read_layout_texts(spark, root) if layout_texts is None else layout_texts
     parsed = parsed_layouts(texts, parity=parity)
     shapes, file_rows = layout_shapes(parsed), layout_file_rows(parsed)
-    found = attach_layouts(build_manifest(spark, root, years, stems, kinds, globs, loose), texts)
+    found = attach_layouts(select_files(spark, root, years, stems, kinds, globs, loose), texts)
     # One listing of the tree: file names, not data. Readers need the paths here anyway.
-    listing = found.collect()
+    listing = sorted(found.collect(), key=lambda f: (f.year, f.path))
     if not listing:
         raise ValueError(f"no raw files found below {root}")
     manifest = spark.createDataFrame(listing, found.schema)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rawloom.functions.casting import REASON, cast_by_layout, check_mode, string_schema
-from rawloom.functions.text import column, ident, printable, strip_fields
+from rawloom.functions.text import column, ident, is_utf8, printable, strip_fields
 from rawloom.layout import Layout
 
 _RECORD = "_parsed_record"
@@ -28,6 +28,7 @@ def split_delimited(
     encoding_errors: str = "fail",
     sep: str = ",",
     stripped: bool = False,
+    encoding: str = "utf-8",
 ) -> DataFrame:
     """Split each line into the layout's columns, all strings.
 
@@ -44,7 +45,10 @@ def split_delimited(
     others = [c for c in df.columns if c != value_col]
     rest = [column(c) for c in others]
     lines = df.filter(F.octet_length(value) > 0)
-    line = value if encoding_errors == "fail" else F.make_valid_utf8(value)
+    if not is_utf8(encoding):
+        line = F.decode(value.cast("binary"), encoding)
+    else:
+        line = value if encoding_errors == "fail" else F.make_valid_utf8(value)
     options = _csv_options(sep)
     record = F.col(_RECORD)
     fields = [F.col(f"{_RECORD}.{ident(n)}").alias(n) for n in layout.names]
@@ -94,6 +98,7 @@ def read_delimited(
     encoding_errors: str = "fail",
     sep: str = ",",
     tags: dict[str, Column] | None = None,
+    encoding: str = "utf-8",
 ) -> DataFrame:
     """Typed table of delimited files.
 
@@ -108,14 +113,14 @@ def read_delimited(
     if not header and not multiline:
         lines = spark.read.text(load, recursiveFileLookup=True).select("value", *tag_columns)
         rows = split_delimited(
-            lines, layout, mode=mode, encoding_errors=encoding_errors, sep=sep, stripped=True
+            lines, layout, "value", mode, encoding_errors, sep, stripped=True, encoding=encoding
         )
         return cast_by_layout(rows, layout, mode, stripped=True)
 
     if encoding_errors != "replace":
         raise ValueError("header and multiline need encoding_errors='replace'")
     schema = string_schema(layout.names)
-    options = _csv_options(sep)
+    options = _csv_options(sep) | {"encoding": encoding}
     if mode == "failfast":
         options["mode"] = "FAILFAST"
     elif mode == "drop":

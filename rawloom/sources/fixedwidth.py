@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rawloom.functions.casting import REASON, cast_by_layout, check_mode
-from rawloom.functions.text import column, decode_bytes, printable, strip_fields
+from rawloom.functions.text import column, decode_bytes, is_utf8, printable, strip_fields
 from rawloom.layout import Layout
+from rawloom.operators.ordered import indexed_lines, row_slice
 
 
 _PLAIN = "_printable"
@@ -89,7 +90,7 @@ def slice_fixed(
         fields = _char_fields(value, layout, starts, encoding)
 
     # Looking for rare white space once per line spares looking for it in every field.
-    line = value if encoding.lower() in ("utf-8", "utf8") else F.decode(value.cast("binary"), encoding)
+    line = value if is_utf8(encoding) else F.decode(value.cast("binary"), encoding)
     cut = df.select(*fields, *others, *marks, printable(line).alias(_PLAIN))
     stripped = strip_fields(layout.names, F.col(_PLAIN))
     return cut.select(*stripped, *others, *([F.col(REASON)] if marks else []))
@@ -101,10 +102,21 @@ def read_fixed_width(
     layout: Layout,
     mode: str = "failfast",
     tags: dict[str, Column] | None = None,
+    start_row: int = 0,
+    num_rows: int | None = None,
     **slicing,
 ) -> DataFrame:
-    """Typed table of fixed-width files. ``tags`` adds columns, e.g. from the path."""
-    lines = read_lines(spark, paths)
+    """Typed table of fixed-width files. ``tags`` adds columns, e.g. from the path.
+
+    ``start_row`` and ``num_rows`` take a slice of each file. Lines have to be counted
+    and shuffled for that; reading whole files needs neither.
+    """
+    if start_row or num_rows is not None:
+        if tags:
+            raise ValueError("a slice of rows carries no tags")
+        lines = row_slice(indexed_lines(spark, paths), start_row, num_rows).select("value")
+    else:
+        lines = read_lines(spark, paths)
     if tags:
         lines = lines.select("value", *[c.alias(n) for n, c in tags.items()])
     cut = slice_fixed(lines, layout, mode=mode, **slicing)

@@ -214,7 +214,7 @@ def select_globs(manifest: DataFrame, root: str, globs: Sequence[str]) -> DataFr
     )
 
 
-def build_manifest(
+def select_files(
     spark: SparkSession,
     root: str,
     years: Iterable | None = None,
@@ -230,8 +230,12 @@ def build_manifest(
     else:
         directly = "^" + re.escape(names.plain_path(root)) + "/(?:[^/=]*=)?[0-9]{4}/[^/]+$"
         candidates = files.filter(F.col("path").rlike(directly))
-    selected = select_kinds(select_years(candidates, years), kinds)
-    return select_stems(selected, stems).orderBy("year", "path")
+    return select_stems(select_kinds(select_years(candidates, years), kinds), stems)
+
+
+def build_manifest(spark: SparkSession, root: str, *args, **kwargs) -> DataFrame:
+    """``select_files`` in year and path order."""
+    return select_files(spark, root, *args, **kwargs).orderBy("year", "path")
 
 
 def rejected_files(spark: SparkSession, root: str) -> DataFrame:

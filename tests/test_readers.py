@@ -92,6 +92,30 @@ def test_other_encoding(spark, tmp_path):
     ]
 
 
+def test_row_slices(spark, tmp_path):
+    path = write(tmp_path, FIXED_RECORDS)
+    whole = read_fixed_width(spark, path, CLAIMS).collect()
+    parts = [read_fixed_width(spark, path, CLAIMS, start_row=k, num_rows=4).collect() for k in (0, 4, 8)]
+    assert sorted(map(str, parts[0] + parts[1])) == sorted(map(str, whole))
+    assert len(parts[0]) == 4 and parts[2] == []
+    assert read_fixed_width(spark, path, CLAIMS, start_row=5).count() == 1
+
+
+def test_csv_in_another_encoding(spark, tmp_path):
+    path = write(tmp_path, "é,1,\nü\xa0,2,\n".encode("latin-1"), "m.csv")
+    rows = read_delimited(spark, path, IP, encoding="ISO-8859-1").collect()
+    assert [r.BENE_ID for r in rows] == ["é", "ü"]
+
+
+def test_carriage_returns_and_rare_white_space(spark, tmp_path):
+    layout = Layout((Field("a", "CHAR", 4), Field("b", "NUM", 4)))
+    lines = ["ab     1\r", "a\tb\t  2 ", "\u2003a\t\t  3", "    \x85\x85  ", " a b  4 "]
+    path = write(tmp_path, "\n".join(lines).encode())
+    rows = read_fixed_width(spark, path, layout, unit="char").collect()
+    fields = [(x[:4].strip() or None, x[4:].strip()) for x in lines]
+    assert rows == [(a, float(b) if b else None) for a, b in fields]
+
+
 def test_csv(spark, tmp_path):
     rows = read_delimited(spark, write(tmp_path, CSV_TEXT, "m.csv"), IP).collect()
     assert rows == [
