@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from rawloom.functions import names
+from rawloom.functions.text import column, ident
 from rawloom.layout import DELIMITED, FIXED, Layout
 from rawloom.operators.infer import infer_and_cast
 from rawloom.operators.profile import row_count
 from rawloom.plans.report import report
 from rawloom.session import tune
-from rawloom.sources.dataset import read_folders, write_dataset, write_report
+from rawloom.sources.dataset import KEYS, Keys, read_folders, write_dataset, write_report
 from rawloom.sources.delimited import read_delimited
 from rawloom.sources.fixedwidth import read_fixed_width
 from rawloom.sources.layouts import (
@@ -29,17 +31,16 @@ from rawloom.sources.manifest import attach_layouts, require_no_collisions, sele
 STYLES = {"dat": FIXED, "csv": DELIMITED}
 
 
-def path_tags(kind: str, root: str, loose: bool = False) -> dict[str, Column]:
+def path_tags(
+    kind: str, root: str, loose: bool = False, keys: Keys = KEYS
+) -> dict[str, Column]:
     """Year and stem of the file a row comes from, computed from its path."""
     path = names.raw_file(names.source_path())
     name = names.raw_name(path)
     year = F.coalesce(
         names.folder_year(path, root), names.year_of_name(name, F.lit(kind), loose)
     )
-    return {
-        "year": year,
-        "stem": names.stem_of_name(name, F.lit(kind), loose),
-    }
+    return {keys[0]: year, keys[1]: names.stem_of_name(name, F.lit(kind), loose)}
 
 
 def _layouts(
@@ -84,12 +85,11 @@ def _expectations(manifest: DataFrame, shapes: DataFrame, file_rows: DataFrame)
     )
 
 
-def total_check(written: DataFrame, manifest: DataFrame, shapes: DataFrame) -> DataFrame:
+def total_check(counts: DataFrame, manifest: DataFrame, shapes: DataFrame) -> DataFrame:
     """Rows written per layout, over all files that share it, against the declared total."""
-    counted = row_count(written, ["year", "stem"])
     per_layout = (
         manifest.filter(F.col("layout_file").isNotNull())
-        .join(counted, ["year", "stem"])
+        .join(counts, ["year", "stem"])
         .groupBy("layout_file")
         .agg(F.sum("actual_rows").alias("actual_rows"))
     )
@@ -120,11 +120,15 @@ def intake(
     parity: bool = False,
     layout_texts: DataFrame | None = None,
     sas_reader: Callable[[SparkSession, list[str]], DataFrame] | None = None,
+    keys: Keys = KEYS,
+    parallel_jobs: int = 4,
 ) -> DataFrame:
     """Read all raw files below ``root`` and write them typed below ``out``.
 
     Files whose layouts read alike are one job: their lines are cut, cast and written
-    in one pass without a shuffle, tagged with year and stem from their paths.
+    in one pass without a shuffle, tagged with year and stem from their paths. ``keys``
+    names these two columns, for data that has a ``year`` or ``stem`` of its own. Up to
+    ``parallel_jobs`` jobs run at a time, so that small ones do not leave a cluster idle.
     With ``run_qc`` each job's output is profiled once, grouped by year and stem, and
     compared with what the layouts declare; reports go to ``out/_reports``, and the rows
     of all files that share a layout, against its declared total, to ``out/_totals``.
@@ -155,6 +159,12 @@ def intake(
             wanted[f.kind].add(f.layout_file)
     layouts = _layouts(texts, wanted, parity=parity) if wanted else {}
 
+    taken = {k.lower() for k in keys}
+    for (_, file), layout in layouts.items():
+        clash = [n for n in layout.names if n.lower() in taken]
+        if clash:
+            raise ValueError(f"{file} has columns {clash}: choose other keys than {keys}")
+
     jobs: dict[tuple[str, str], tuple[Layout | None, list[Row]]] = {}
     status = {}
     for f in listing:
@@ -170,25 +180,41 @@ def intake(
             alike = layout.fingerprint() if layout else f.path
             jobs.setdefault((f.kind, alike), (layout, []))[1].append(f)
 
-    expected = _expectations(manifest, shapes, file_rows) if run_qc else None
+    expected = None
     if run_qc:
         # One row per file, computed once for all reports.
-        expected = spark.createDataFrame(expected.collect(), expected.schema)
-    for number, ((kind, _), (layout, files)) in enumerate(sorted(jobs.items(), key=lambda j: j[0])):
+        told = _expectations(manifest, shapes, file_rows).collect()
+        expected = spark.createDataFrame(
+            told,
+            f"{ident(keys[0])} string, {ident(keys[1])} string, expected_rows bigint, "
+            "expected_columns int, expected_names array<string>",
+        )
+
+    def run(numbered) -> list[Row]:
+        """Write one job's files; return its row count per (year, stem)."""
+        number, ((kind, _), (layout, files)) = numbered
         paths = [f.path for f in files]
         if kind == "sas":
-            own = {c: F.lit(files[0][c]).cast("string").alias(c) for c in ("year", "stem")}
-            rows = infer_and_cast(sas_reader(spark, paths), text="keep").select("*", *own.values())
+            own = [F.lit(files[0][c]).cast("string").alias(k) for c, k in zip(KEYS, keys)]
+            rows = infer_and_cast(sas_reader(spark, paths), text="keep").select("*", *own)
         else:
             read = read_fixed_width if kind == "dat" else read_delimited
-            rows = read(spark, paths, layout, mode=mode, tags=path_tags(kind, root, loose))
-        write_dataset(rows, out, structure, rows_per_file)
-        if run_qc:
-            written = read_folders(spark, out, {(f.year, f.stem) for f in files}, structure)
-            reports = report(written, expected, by=["year", "stem"])
-            as_json = F.to_json(F.struct("year", "stem", "report"))
-            write_report(reports.select(as_json), f"{out}/_reports/{number:04d}")
-            totals = total_check(written, manifest, shapes)
-            write_report(totals.select(F.to_json(F.struct("*"))), f"{out}/_totals/{number:04d}")
+            rows = read(spark, paths, layout, mode, tags=path_tags(kind, root, loose, keys))
+        write_dataset(rows, out, structure, rows_per_file, keys=keys)
+        if not run_qc:
+            return []
+        written = read_folders(spark, out, {(f.year, f.stem) for f in files}, structure, keys)
+        reports = report(written, expected, by=list(keys))
+        as_json = F.to_json(F.struct(*[column(k) for k in keys], "report"))
+        write_report(reports.select(as_json), f"{out}/_reports/{number:04d}")
+        return row_count(written, keys).toDF(*KEYS, "actual_rows").collect()
+
+    numbered = list(enumerate(sorted(jobs.items(), key=lambda j: j[0])))
+    with ThreadPoolExecutor(max(1, parallel_jobs)) as pool:
+        counts = [row for found in pool.map(run, numbered) for row in found]
+    if counts:
+        counted = spark.createDataFrame(counts, "year string, stem string, actual_rows bigint")
+        totals = total_check(counted, manifest, shapes)
+        write_report(totals.select(F.to_json(F.struct("*"))), f"{out}/_totals")
     verdicts = spark.createDataFrame(list(status.items()), "path string, status string")
     return manifest.join(verdicts, "path", "left")

@@ -9,13 +9,17 @@ from pyspark.sql import functions as F
 
 # Characters that Spark writes as %XX in the folders of partition values.
 _ESCAPED = set("\"#%'*/:=?\\\x7f{[]^") | {chr(c) for c in range(1, 32)}
-STRUCTURES = {"year/file_stem": ["year", "stem"], "file_stem/year": ["stem", "year"]}
+STRUCTURES = ("year/file_stem", "file_stem/year")
+# Names of the partition columns for year and stem; choose others where the data has
+# columns of these names.
+Keys = tuple[str, str]
+KEYS: Keys = ("year", "stem")
 
 
-def partition_columns(structure: str) -> list[str]:
+def partition_columns(structure: str, keys: Keys = KEYS) -> list[str]:
     if structure not in STRUCTURES:
-        raise ValueError(f"structure must be one of {sorted(STRUCTURES)}, got {structure!r}")
-    return STRUCTURES[structure]
+        raise ValueError(f"structure must be one of {STRUCTURES}, got {structure!r}")
+    return list(keys) if structure == "year/file_stem" else [keys[1], keys[0]]
 
 
 def write_dataset(
@@ -24,13 +28,14 @@ def write_dataset(
     structure: str = "year/file_stem",
     rows_per_file: int | None = None,
     mode: str = "overwrite",
+    keys: Keys = KEYS,
 ) -> None:
     """Write below ``out``, one folder per year and stem in the given order.
 
     Only the folders that receive rows are replaced. Nothing is shuffled: input splits
     follow the raw files, so a task writes to one or few folders.
     """
-    writer = df.write.mode(mode).partitionBy(*partition_columns(structure))
+    writer = df.write.mode(mode).partitionBy(*partition_columns(structure, keys))
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic")
     if rows_per_file and rows_per_file > 0:
@@ -38,38 +43,45 @@ def write_dataset(
     writer.parquet(out)
 
 
+def _folder(out: str, structure: str, keys: Keys, year: str, stem: str) -> str:
+    values = dict(zip(keys, (f"{keys[0]}={year}", f"{keys[1]}={stem}")))
+    return "/".join([out, *[values[c] for c in partition_columns(structure, keys)]])
+
+
 def read_dataset(
     spark: SparkSession,
     out: str,
     stem: str | None = None,
     structure: str = "year/file_stem",
     parts: bool = True,
+    keys: Keys = KEYS,
 ) -> DataFrame:
     """A logical table: all years of a stem, and of its numbered parts (``stem__001``)."""
-    partition_columns(structure)
-    reader = spark.read.option("basePath", out)
+    reader = spark.read.option("basePath", out).option("mergeSchema", True)
     if stem is None:
-        return reader.option("mergeSchema", True).parquet(out)
-    folder = f"stem={stem}" + ("{,__[0-9],__[0-9][0-9],__[0-9][0-9][0-9]}" if parts else "")
-    path = f"{out}/year=*/{folder}" if structure == "year/file_stem" else f"{out}/{folder}/year=*"
-    return reader.option("mergeSchema", True).parquet(path)
+        return reader.parquet(out)
+    wanted = stem + ("{,__[0-9],__[0-9][0-9],__[0-9][0-9][0-9]}" if parts else "")
+    return reader.parquet(_folder(out, structure, keys, "*", wanted))
 
 
 def read_folders(
-    spark: SparkSession, out: str, keys: Iterable[tuple[str, str]], structure: str
+    spark: SparkSession,
+    out: str,
+    folders: Iterable[tuple[str, str]],
+    structure: str = "year/file_stem",
+    keys: Keys = KEYS,
 ) -> DataFrame:
     """Only the folders of the given (year, stem) pairs, both columns as text."""
 
-    def folder(name: str, value: str) -> str:
-        return f"{name}=" + "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in value)
+    def escaped(value: str) -> str:
+        return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in value)
 
-    order = partition_columns(structure)
-    paths = []
-    for year, stem in sorted(keys):
-        values = {"year": year, "stem": stem}
-        paths.append("/".join([out, *[folder(c, values[c]) for c in order]]))
+    paths = [
+        _folder(out, structure, keys, escaped(year), escaped(stem))
+        for year, stem in sorted(folders)
+    ]
     frame = spark.read.option("basePath", out).parquet(*paths)
-    return frame.withColumns({c: F.col(c).cast("string") for c in ("year", "stem")})
+    return frame.withColumns({c: F.col(c).cast("string") for c in keys})
 
 
 def union_parts(*frames: DataFrame) -> DataFrame:

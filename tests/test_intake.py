@@ -109,7 +109,7 @@ def test_intake(spark, tree, tmp_path):
     assert reports["2007", "maxdata_ak_ip"]["shape_check"]["row_mismatch"] is False
     assert "expected_rows" not in reports["2007", "maxdata_CO_ip"]["shape_check"]
 
-    totals = [json.loads(r.value) for r in spark.read.text(out + "/_totals/*").collect()]
+    totals = [json.loads(r.value) for r in spark.read.text(out + "/_totals").collect()]
     found = {t["layout_file"].rsplit("/")[-1]: t for t in totals}
     assert found["claims_2017.fts"] | {"layout_file": ""} == {
         "layout_file": "", "actual_rows": 18, "expected_rows": 6, "row_mismatch": True,
@@ -148,6 +148,21 @@ def test_intake_stem_first_and_sas(spark, tree, tmp_path):
     assert len([f for f in os.listdir(out + "/stem=claims/year=2016") if f.endswith(".parquet")]) == 2
 
 
+def test_data_with_a_year_column(spark, tmp_path):
+    root, out = str(tmp_path / "in"), str(tmp_path / "out")
+    put(root, "2016/a b+c_2016.csv", "1999,x\n2000,y\n")
+    put(
+        root,
+        "2016/a b+c_2016.fts",
+        "Order Column Type\n----- ------ ----\n1     YEAR   NUM\n2     Stem   CHAR\n",
+    )
+    with pytest.raises(ValueError, match="choose other keys"):
+        intake(spark, root, out)
+    intake(spark, root, out, keys=("file_year", "file_stem"))
+    rows = read_dataset(spark, out, "a b+c", keys=("file_year", "file_stem")).sort("YEAR").collect()
+    assert [tuple(r) for r in rows] == [(1999.0, "x", 2016, "a b+c"), (2000.0, "y", 2016, "a b+c")]
+
+
 def test_no_files(spark, tmp_path):
     os.makedirs(tmp_path / "in" / "2016")
     with pytest.raises(ValueError, match="no raw files"):
