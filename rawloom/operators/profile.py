@@ -208,9 +208,9 @@ def numeric_summary(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     profiled_columns(df, by)
     names = numeric_columns(df, by)
     if not names:
-        return df.sparkSession.createDataFrame(
-            [], "column string, min double, max double, mean double, stddev double"
-        )
+        none = [F.lit(None).cast("double").alias(m) for m in ("min", "max", "mean", "stddev")]
+        empty = df.filter(F.lit(False))
+        return empty.select(*[column(b) for b in by], F.lit("").alias("column"), *none)
     measures = []
     for i, n in enumerate(names):
         c = column(n)

@@ -362,7 +362,7 @@ def layout_file_rows(parsed: DataFrame) -> DataFrame:
     mentions = parsed.select("layout_file", F.posexplode_outer("lines").alias("pos", "line")).select(
         "layout_file",
         "pos",
-        extract(F.col("line"), DATA_FILE_PATTERN).alias("data_file"),
+        base_name(extract(F.col("line"), DATA_FILE_PATTERN)).alias("data_file"),
         whole_number(extract(F.col("line"), DATA_FILE_ROWS_PATTERN)).alias("expected_rows"),
     )
     return (

@@ -111,6 +111,15 @@ def test_no_table(spark):
     assert layout_fields(two).count() == 0
 
 
+def test_declared_rows_of_files(spark):
+    text = (
+        "Data File: /out/a.csv  Rows: 1,000  Size(Bytes): 60\nData File: a.csv Rows: 2\n"
+        "Data File: b.csv  Size(Bytes): 5  Rows: 7\nData File: c.csv\nRows: 9\n"
+    )
+    rows = layout_file_rows(parse(spark, text)).collect()
+    assert {(r.data_file, r.expected_rows) for r in rows} == {("a.csv", 1000), ("b.csv", 7)}
+
+
 def test_bad_text(spark, tmp_path):
     (tmp_path / "x.fts").write_bytes(b"Order Name\n----- ----\n1     \xff\n")
     with pytest.raises(Exception, match="layout is not UTF-8"):

@@ -81,6 +81,13 @@ def test_empty_table(spark):
     assert json.loads(report(empty).first().report)["top_categories"] == {}
 
 
+def test_no_numeric_columns(spark):
+    df = spark.createDataFrame([("x", "y")], "ds string, s string")
+    found = numeric_summary(df, ["ds"])
+    assert found.columns == ["ds", "column", "min", "max", "mean", "stddev"] and found.count() == 0
+    assert json.loads(report(df, by=["ds"]).first().report)["numeric_summary"] == {}
+
+
 def test_odd_values(spark):
     df = spark.createDataFrame(
         [(0.0, "", {"k": 1}), (-0.0, None, None), (math.nan, "", None), (math.nan, "a", None), (None, "A", None)],
