@@ -1,15 +1,17 @@
 """Queries of the operators, and their SQL where SQL can express them."""
 
-from . import byte_bpe, decontaminate, language, token_counts, toxicity, url_filter
+from . import byte_bpe, decontaminate, language, near_duplicates, repeats, token_counts, toxicity, url_filter
 
 QUERIES = {
     f.__name__: f
     for f in (
         language.op1_language_id,
+        near_duplicates.op2_near_duplicates,
         decontaminate.op3_decontaminate,
         token_counts.op5_token_counts,
         byte_bpe.op6_byte_bpe,
         url_filter.op8_url_filter,
+        repeats.op9_suffix_array_dedup,
         toxicity.op10_toxicity,
     )
 }
