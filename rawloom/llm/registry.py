@@ -1,6 +1,6 @@
 """Queries of the operators, and their SQL where SQL can express them."""
 
-from . import byte_bpe, decontaminate, language, near_duplicates, repeats, token_counts, toxicity, url_filter
+from . import byte_bpe, decontaminate, language, main_text, near_duplicates, neighbours, repeats, token_counts, toxicity, url_filter
 
 QUERIES = {
     f.__name__: f
@@ -8,8 +8,10 @@ QUERIES = {
         language.op1_language_id,
         near_duplicates.op2_near_duplicates,
         decontaminate.op3_decontaminate,
+        neighbours.op4_nearest_neighbours,
         token_counts.op5_token_counts,
         byte_bpe.op6_byte_bpe,
+        main_text.op7_html_extraction,
         url_filter.op8_url_filter,
         repeats.op9_suffix_array_dedup,
         toxicity.op10_toxicity,
