@@ -19,6 +19,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +35,9 @@ PHRASE = 384
 #: Bytes of text whose arrays make one bucket.
 BUCKET_BYTES = 8 << 20
 
+#: Bytes of text that a task works on at a time.
+SLICE_BYTES = 8 << 20
+
 ONE, TWO = ragged.noise(256, 21), ragged.noise(256, 22)
 TRIGGER = np.uint64((1 << 64) // PHRASE)
 BATCH = T.StructType([
@@ -167,12 +171,19 @@ def _parsed(docs: DataFrame, buckets: int, length: int) -> DataFrame:
 
     def rows(batches):
         for whole in batches:
-            for lo in range(0, whole.num_rows, 60_000):
-                yield from _parse_batch(whole.slice(lo, 60_000), buckets, length)
+            for lo, hi in _slices(ragged.flat(whole.column(1))[1]):
+                yield from _parse_batch(whole.slice(lo, hi - lo), buckets, length)
 
     return docs.select("doc", "text").mapInArrow(rows, BATCH)
 
 
+def _slices(offsets: np.ndarray):
+    """Runs of texts that are worked on together: few enough for 16-bit numbers, and of bounded size unless one text is longer."""
+    for lo, hi in ragged.runs(offsets, SLICE_BYTES):
+        for i in range(lo, hi, 60_000):
+            yield i, min(i + 60_000, hi)
+
+
 def _parse_batch(batch, buckets: int, length: int):
     ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
     found = [[] for _ in range(9)]
@@ -332,8 +343,8 @@ def _suffixes(asked: DataFrame, buckets: int, addresses: int, length: int) -> Da
     def rows(batches):
         import zstandard
 
-        for batch in batches:
-            unpack = zstandard.ZstdDecompressor().decompress
+        unpack = zstandard.ZstdDecompressor().decompress
+        for batch in _smaller(batches):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             texts = pa.array([unpack(t) for t in batch.column(1).to_pylist()], pa.large_binary())
             wanted = batch.column(2)
@@ -347,7 +358,7 @@ def _suffixes(asked: DataFrame, buckets: int, addresses: int, length: int) -> Da
                 address = _address((gram % np.uint64(addresses)).astype(np.int64), gram)
                 flat = wanted.slice(i, j - i)
                 asks = flat.flatten().to_numpy(zero_copy_only=False).astype(np.uint64)
-                asker = np.repeat(np.arange(j - i), np.array([len(x) for x in flat], np.int64))
+                asker = np.repeat(np.arange(j - i), pa.compute.list_value_length(flat).to_numpy(zero_copy_only=False))
                 mark = lambda who, what: ragged.mixed(what ^ ragged.mixed(who.astype(np.uint64)))
                 hit = np.flatnonzero(np.isin(mark(doc, address), mark(asker, asks)))
                 begin, end = p.run[hit], p.run_stop[hit]
@@ -365,6 +376,13 @@ def _suffixes(asked: DataFrame, buckets: int, addresses: int, length: int) -> Da
     return asked.select("doc", "packed", "asks").mapInArrow(rows, fields)
 
 
+def _smaller(batches):
+    """Batches whose compressed texts are a quarter of a slice, or one text."""
+    for batch in batches:
+        for lo, hi in ragged.runs(ragged.flat(batch.column(1))[1], SLICE_BYTES // 4):
+            yield batch.slice(lo, hi - lo)
+
+
 def _pack_suffixes(data, sizes, key, start, bucket, buckets: int):
     at = np.cumsum(sizes) - sizes
     rolling = ragged.Rolling(data, ONE)
@@ -449,17 +467,19 @@ def _ordered(bucket_table: pa.Table, length: int) -> pa.Table:
 
 
 def _packed(docs: DataFrame) -> DataFrame:
-    """Texts compressed for the shuffle."""
+    """``doc``, the text compressed for the shuffle as ``packed``, and the other columns."""
 
     def rows(batches):
         import zstandard
 
         pack = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
-            raw = batch.column(1).cast(pa.large_binary()).fill_null(b"")
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([pack(t) for t in raw.to_pylist()], pa.binary())], ["doc", "packed"])
+            raw = batch.column(1).cast(pa.large_binary()).to_pylist()
+            packed = pa.array([None if t is None else pack(t) for t in raw], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), packed, *batch.columns[2:]], ["doc", "packed", *batch.schema.names[2:]])
 
-    return docs.select("doc", "text").mapInArrow(rows, "doc long, packed binary")
+    fields = T.StructType([docs.schema["doc"], T.StructField("packed", T.BinaryType()), *docs.schema.fields[2:]])
+    return docs.mapInArrow(rows, fields)
 
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
@@ -506,57 +526,76 @@ def _kept(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, texts: bool = False) -> DataFrame:
-    """Per row: the key, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and, if ``texts``, ``kept_text``.
+    """Per row: the key, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``; with ``texts`` instead all columns, the text cut.
 
     Every byte goes that lies in a string of ``length`` bytes which also begins in a document with a
-    smaller key. Strings are compared in the texts as given, and none crosses documents. ``kept_text``
-    keeps a character of which a byte stays. NULL and empty texts have no bytes. Keys should be
+    smaller key. Strings are compared in the texts as given, and none crosses documents. A cut text
+    keeps a character of which a byte stays; NULL stays NULL. NULL and empty texts have no bytes. Keys should be
     distinct: equal keys take nothing from each other, and rows with one key all lose the spans found
     for any of them. Rows with a NULL key stay whole. An empty table gives an empty table.
     """
     spans = repeated_spans(docs, key, text, length).groupBy("doc").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
     kind = docs.schema[key].dataType
-    rows_in = _packed(docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))).join(spans, "doc", "left").select(
-        "doc", "packed", F.col("spans.start").alias("start"), F.col("spans.n").alias("n")
+    others = [c for c in docs.columns if texts and c not in (key, text)]
+    rows_in = (
+        _packed(docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"), *_renamed(others)))
+        .join(spans, "doc", "left")
+        .select("doc", "packed", F.col("spans.start").alias("start"), F.col("spans.n").alias("n"), *[f"c{i}" for i in range(len(others))])
     )
-    fields = "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * texts
+    fields = T.StructType([T.StructField("doc", T.LongType())])
+    if texts:
+        fields = fields.add("text", "string")
+        for i, c in enumerate(others):
+            fields = fields.add(f"c{i}", docs.schema[c].dataType)
+    else:
+        for name, t in (("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string")):
+            fields = fields.add(name, t)
 
     def rows(batches):
         import zstandard
 
-        unpack = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
-            out = [[] for _ in range(5)]
+        unpack, pack = zstandard.ZstdDecompressor().decompress, zstandard.ZstdCompressor().compress
+        for batch in _smaller(batches):
+            out = [[], [], [], []]
             for i, packed in enumerate(batch.column(1).to_pylist()):
+                if packed is None:
+                    packed = pack(b"")
                 data = np.frombuffer(unpack(packed), np.uint8)
-                removed = n_spans = 0
-                kept = data
+                stays, n_spans = None, 0
                 if batch.column(2)[i].is_valid:
                     starts, sizes = (batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in (2, 3))
                     inside = starts < len(data)
                     begin, end = _runs(starts[inside], sizes[inside], length, len(data))
-                    stays = _kept(data, begin, end)
-                    kept, n_spans = data[stays], len(begin)
-                    removed = len(data) - len(kept)
-                    if texts and removed:
+                    stays, n_spans = _kept(data, begin, end), len(begin)
+                if texts:
+                    if stays is not None and len(data):  # whole characters
                         heads = np.cumsum((data & 0xC0) != 0x80) - 1
                         whole = np.zeros(heads[-1] + 1, bool)
                         whole[heads[stays]] = True
-                        out[4].append(data[whole[heads]].tobytes().decode("utf-8", "replace"))
-                out[0].append(len(data))
-                out[1].append(removed)
-                out[2].append(n_spans)
-                out[3].append(hashlib.sha256(kept).hexdigest())
-                if texts and not removed:
-                    out[4].append(data.tobytes().decode("utf-8", "replace"))
-            columns = [batch.column(0), *[pa.array(o, pa.int64()) for o in out[:3]], pa.array(out[3], pa.string())]
-            names = ["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+                        data = data[whole[heads]]
+                    out[0].append(data.tobytes().decode("utf-8", "replace"))
+                else:
+                    kept = data if stays is None else data[stays]
+                    for column, value in zip(out, (len(data), len(data) - len(kept), n_spans, hashlib.sha256(kept).hexdigest())):
+                        column.append(value)
             if texts:
-                columns, names = [*columns, pa.array(out[4], pa.string())], [*names, "kept_text"]
-            yield pa.RecordBatch.from_arrays(columns, names)
+                null = batch.column(1).is_null()
+                cut = pa.array(out[0], pa.string())
+                columns = [batch.column(0), pa.compute.if_else(null, pa.scalar(None, pa.string()), cut), *batch.columns[4:]]
+            else:
+                columns = [batch.column(0), *[pa.array(o, pa.int64()) for o in out[:3]], pa.array(out[3], pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, fields.names)
 
     found = rows_in.mapInArrow(rows, fields)
-    return found.select(F.col("doc").cast(kind).alias(key), *found.columns[1:])
+    if not texts:
+        return found.select(F.col("doc").cast(kind).alias(key), *found.columns[1:])
+    place = {key: F.col("doc").cast(kind), text: F.col("text"), **{c: F.col(f"c{i}") for i, c in enumerate(others)}}
+    return found.select(*[place[c].alias(c) for c in docs.columns])
+
+
+def _renamed(columns: list[str]) -> list:
+    """Columns under names that clash with none of ours."""
+    return [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)]
 
 
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
