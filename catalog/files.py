@@ -17,9 +17,9 @@ concat('/in/', CASE WHEN o_custkey % 11 = 0 THEN 'misc' ELSE year END, '/',
     CASE o_orderkey % 6
         WHEN 0 THEN concat('claims', o_custkey, '_', year, '.dat')
         WHEN 1 THEN concat('claims', o_custkey, '_', year, '_00', o_custkey % 9 + 1, '.dat')
-        WHEN 2 THEN concat('maxdata_', state, '_ip', o_custkey, '_', year, '.csv')
+        WHEN 2 THEN concat('visits_', state, '_ip', o_custkey, '_', year, '.csv')
         WHEN 3 THEN concat('den', o_custkey, 'x', year, '.sas7bdat')
-        WHEN 4 THEN concat('req01459', o_custkey % 10, '_', o_custkey, '.CSV')
+        WHEN 4 THEN concat('lot03827', o_custkey % 10, '_', o_custkey, '.CSV')
         ELSE concat('notes', o_custkey, '.txt') END)
 """
 _SQL_PATHS = f"""
@@ -164,12 +164,12 @@ def manifest(spark, sf_dir):
     f"""
     SELECT path, dir_year AS year FROM ({_SQL_DESCRIBED})
     WHERE kind IN ('dat', 'csv') AND dir_year IN ('1996', '1998', '2050')
-      AND (name LIKE 'claims1%' OR name LIKE 'maxdata%')""",
+      AND (name LIKE 'claims1%' OR name LIKE 'visits%')""",
 )
 def file_filter(spark, sf_dir):
     files = m.select_kinds(described(spark, sf_dir), ["dat", "csv"])
     files = m.select_years(files.filter(F.col("dir_year").isNotNull()), [1996, "1998", "", "2050"])
-    return m.select_stems(files, ["claims1", "maxdata", " "]).select("path", "year")
+    return m.select_stems(files, ["claims1", "visits", " "]).select("path", "year")
 
 
 # Folders that lack dat files in some years: the kind depends on the year.
@@ -236,10 +236,10 @@ def collisions(spark, sf_dir):
     """
     SELECT path, CASE WHEN c_custkey % 2 = 0 THEN '/in/2007/' || base || '.fts' END AS layout_file
     FROM (SELECT c_custkey, CASE WHEN c_custkey % 4 < 2
-                 THEN 'claims' || c_custkey || '_2007' ELSE 'maxdata_ip' || c_custkey || '_2007' END
+                 THEN 'claims' || c_custkey || '_2007' ELSE 'visits_ip' || c_custkey || '_2007' END
                  AS base,
                  CASE WHEN c_custkey % 4 < 2 THEN '/in/2007/claims' || c_custkey || '_2007_003.dat'
-                 ELSE '/in/2007/maxdata_CO_ip' || c_custkey || '_2007.csv' END AS path
+                 ELSE '/in/2007/visits_CO_ip' || c_custkey || '_2007.csv' END AS path
           FROM customer)""",
 )
 def layout_match(spark, sf_dir):
@@ -247,10 +247,10 @@ def layout_match(spark, sf_dir):
     keyed = table(spark, sf_dir, "customer").select(
         "c_custkey",
         F.when(key % 4 < 2, F.concat(F.lit("claims"), key, F.lit("_2007_003.dat")))
-        .otherwise(F.concat(F.lit("maxdata_CO_ip"), key, F.lit("_2007.csv")))
+        .otherwise(F.concat(F.lit("visits_CO_ip"), key, F.lit("_2007.csv")))
         .alias("name"),
         F.when(key % 4 < 2, F.concat(F.lit("claims"), key, F.lit("_2007")))
-        .otherwise(F.concat(F.lit("maxdata_ip"), key, F.lit("_2007")))
+        .otherwise(F.concat(F.lit("visits_ip"), key, F.lit("_2007")))
         .alias("base"),
     )
     files = keyed.select(F.concat(F.lit("/in/2007/"), "name").alias("path"), F.lit(1).alias("length"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from catalog.common import Catalog, table
+from catalog.common import Catalog, money, table
 from catalog.scans import (
     ORDERS_LAYOUT,
     ORDERS_SQL,
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from rawloom import (
     intake,
+    qc_folder,
     read_dataset,
     read_delimited,
     read_fixed_width,
@@ -49,9 +50,8 @@ def delimited_files(spark, sf_dir):
 
 
 _BY_YEAR = """
-    SELECT CAST(year(o_orderdate) AS INTEGER) AS year, 'orders__00' || o_orderpriority[1:1] AS stem,
-           count(*) AS n_rows, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key
-    FROM orders GROUP BY 1, 2"""
+    SELECT *, CAST(year(o_orderdate) AS VARCHAR) AS year, 'orders__00' || o_orderpriority[1:1] AS stem
+    FROM orders"""
 
 
 def _orders_by_year(spark, sf_dir):
@@ -62,19 +62,11 @@ def _orders_by_year(spark, sf_dir):
     )
 
 
-def _summary(df):
-    return df.groupBy("year", "stem").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.min("o_orderkey").alias("first_key"),
-        F.max("o_orderkey").alias("last_key"),
-    )
-
-
 @_c.add("a8_write_read", _BY_YEAR)
 def write_read(spark, sf_dir):
     out = scratch_dir(spark, "typed")
     write_dataset(_orders_by_year(spark, sf_dir), out, rows_per_file=5000)
-    return _summary(read_dataset(spark, out))
+    return read_dataset(spark, out)
 
 
 @_c.add("a10_logical_table", _BY_YEAR)
@@ -83,7 +75,7 @@ def logical_table(spark, sf_dir):
     out = scratch_dir(spark, "typed")
     for _ in range(2):
         write_dataset(_orders_by_year(spark, sf_dir), out, "file_stem/year")
-    return _summary(read_dataset(spark, out, "orders", "file_stem/year"))
+    return read_dataset(spark, out, "orders", "file_stem/year")
 
 
 @_c.add(
@@ -190,10 +182,7 @@ Order Field Long  Field Short     SAS  Start Field
 
 @_c.add(
     "k5_intake",
-    """
-    SELECT CAST(year(o_orderdate) AS INTEGER) AS year, 'orders' AS stem, count(*) AS n_rows,
-           CAST(min(o_orderkey) AS DOUBLE) AS first_key, CAST(max(o_orderkey) AS DOUBLE) AS last_key
-    FROM orders GROUP BY 1""",
+    f"SELECT *, CAST(year(o_orderdate) AS VARCHAR) AS year, 'orders' AS stem FROM ({ORDERS_SQL})",
 )
 def whole_intake(spark, sf_dir):
     """A tree with one raw file per year, each written as a folder of parts."""
@@ -208,7 +197,234 @@ def whole_intake(spark, sf_dir):
         path.alias("layout_file"), F.lit(_LAYOUT_TEXT).alias("text")
     )
     intake(spark, root, out, layout_texts=layouts)
-    return _summary(read_dataset(spark, out, "orders"))
+    return read_dataset(spark, out, "orders")
+
+
+_CSV_LAYOUT = """
+Order Column        SAS      Description
+      Name          Type
+----- ------------- -------- -------------
+1     o_orderkey    NUM      Key
+2     {second} {type}     Second
+
+Note: declared by the sender"""
+_SECOND = {"price": ("o_totalprice", "NUM "), "state": ("o_orderstatus", "CHAR")}
+
+
+def _csv_text(second: str = "price"):
+    name, kind = _SECOND[second]
+    return F.lit(_CSV_LAYOUT.replace("{second}", name.ljust(13)).replace("{type}", kind))
+
+
+def _csv_line(second: str = "price"):
+    value = money("o_totalprice") if second == "price" else F.col("o_orderstatus")
+    return F.concat(F.col("o_orderkey").cast("string"), F.lit(","), value)
+
+
+def _tree(root, rows, folder, file, line):
+    """Raw files, each a folder of parts, from rows that name their folder and file."""
+    rows.select(line.alias("value"), folder.alias("folder"), file.alias("file")).write.mode(
+        "append"
+    ).partitionBy("folder", "file").text(root)
+
+
+def _told(error: str) -> str:
+    """``raised`` and how many folders the error names."""
+    return error.split(" ", 1)[0]
+
+
+@_c.add(
+    "k5_collisions",
+    """
+    SELECT k AS "case", 'raised' AS outcome, CAST(n AS VARCHAR) AS n_folders
+    FROM (SELECT count(DISTINCT c_nationkey) AS n FROM customer), (SELECT unnest(['kinds', 'parts']) AS k)""",
+)
+def collisions(spark, sf_dir):
+    """Parts with layouts of their own, and two kinds of file, that would share folders."""
+    nation = table(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("string").alias("n"))
+    found = []
+    for case in ("parts", "kinds"):
+        root, out = scratch_dir(spark, "tree"), scratch_dir(spark, "typed")
+        stem = F.concat(F.lit("cl"), "n", F.lit("_2016"))
+        files = ("_001.csv", "_002.csv") if case == "parts" else (".dat", "_001.csv")
+        for file in files:
+            _tree(root, nation, F.lit("2016"), F.concat(stem, F.lit(file)), F.lit("1,2"))
+        path = F.concat(F.lit(f"{root}/folder=2016/"), stem)
+        names = nation.distinct()
+        if case == "parts":
+            layouts = names.select(F.concat(path, F.lit("_001.fts")).alias("layout_file"), _csv_text().alias("text")).unionByName(
+                names.select(F.concat(path, F.lit("_002.fts")).alias("layout_file"), _csv_text("state").alias("text"))
+            )
+        else:
+            layouts = names.select(F.concat(path, F.lit(".fts")).alias("layout_file"), F.lit(_LAYOUT_TEXT).alias("text"))
+        try:
+            intake(spark, root, out, kinds="csv" if case == "parts" else "all", loose=case == "parts", layout_texts=layouts)
+            found.append((case, "read", ""))
+        except ValueError as e:
+            found.append((case, "raised", _told(str(e))))
+    rows = [F.struct(F.lit(a).alias("case"), F.lit(b).alias("outcome"), F.lit(c).alias("n_folders")) for a, b, c in found]
+    return nation.limit(1).select(F.inline(F.array(*rows)))
+
+
+def _shared_tree(spark, sf_dir, stem: str, root: str):
+    """Two csv parts a year in one folder, with declared rows; odd years declare one too many."""
+    orders = table(spark, sf_dir, "orders")
+    year, part = F.year("o_orderdate").cast("string"), F.col("o_orderkey") % 2 + 1
+    file = F.concat(F.lit(f"{stem}_"), year, F.lit("_00"), part.cast("string"), F.lit(".csv"))
+    _tree(root, orders, year, file, _csv_line())
+    per_year = orders.groupBy(year.alias("year")).agg(
+        F.count_if(part == 1).alias("first"), F.count_if(part == 2).alias("second")
+    )
+    more = F.col("year").cast("int") % 2
+
+    def mention(number: int, rows) -> list:
+        head = F.concat(F.lit(f"\nData File: {stem}_"), "year", F.lit(f"_00{number}.csv  Rows: "))
+        return [head, rows.cast("string"), F.lit("  Size(Bytes): 1")]
+
+    total = F.concat(F.lit(f"{stem}_"), "year", F.lit(" ("), (F.col("first") + F.col("second")).cast("string"), F.lit(" Rows)"))
+    text = F.concat(total, *mention(1, F.col("first")), *mention(2, F.col("second") + more), F.lit("\n"), _csv_text())
+    path = F.concat(F.lit(f"{root}/folder="), "year", F.lit(f"/{stem}_"), "year", F.lit(".fts"))
+    return per_year.select(path.alias("layout_file"), text.alias("text"))
+
+
+def _stored_reports(spark, out):
+    def item(path, kind):
+        return F.get_json_object(F.get_json_object("value", "$.report"), path).cast(kind)
+
+    lines = spark.read.option("recursiveFileLookup", True).text(f"{out}/_reports")
+    return lines.select(
+        F.get_json_object("value", "$.year").alias("year"),
+        F.get_json_object("value", "$.stem").alias("stem"),
+        item("$.shape_check.actual_rows", "bigint").alias("actual_rows"),
+        item("$.shape_check.expected_rows", "bigint").alias("expected_rows"),
+        item("$.shape_check.row_mismatch", "boolean").alias("row_mismatch"),
+        item("$.duplicate_rows", "bigint").alias("duplicate_rows"),
+    )
+
+
+def _stored_totals(spark, out):
+    lines = spark.read.option("recursiveFileLookup", True).text(f"{out}/_totals")
+    return lines.select(
+        F.regexp_extract(F.get_json_object("value", "$.layout_file"), "([0-9]{4})[.]fts", 1).alias("year"),
+        F.regexp_extract(F.get_json_object("value", "$.layout_file"), "/([a-z0-9]+)_[0-9]{4}[.]fts", 1).alias("stem"),
+        F.get_json_object("value", "$.actual_rows").cast("bigint").alias("total_rows"),
+        F.get_json_object("value", "$.expected_rows").cast("bigint").alias("total_expected"),
+    )
+
+
+_FOLDERS = """
+    SELECT y AS year, stem, n AS actual_rows, n + CAST(y AS INTEGER) % 2 AS expected_rows,
+           CAST(y AS INTEGER) % 2 = 1 AS row_mismatch, CAST(0 AS BIGINT) AS duplicate_rows,
+           n AS total_rows, n AS total_expected
+    FROM (SELECT CAST(year(o_orderdate) AS VARCHAR) AS y, count(*) AS n FROM orders GROUP BY 1)"""
+
+
+@_c.add("k5_shared_folder", _FOLDERS.replace("stem,", "'sales' AS stem,"))
+def shared_folder(spark, sf_dir):
+    """Parts that share a folder: rows of both, the sum of what is declared, the total once."""
+    root, out = scratch_dir(spark, "tree"), scratch_dir(spark, "typed")
+    layouts = _shared_tree(spark, sf_dir, "sales", root)
+    intake(spark, root, out, layout_texts=layouts)
+    return _stored_reports(spark, out).join(_stored_totals(spark, out), ["year", "stem"])
+
+
+@_c.add("k5_reports", _FOLDERS.replace(") GROUP BY 1)", ")").replace("stem,", "unnest(['007', 'a']) AS stem,"))
+def reports_of_runs(spark, sf_dir):
+    """A run for each half of the years: numeric and other stems, all reports and totals are kept."""
+    root, out = scratch_dir(spark, "tree"), scratch_dir(spark, "typed")
+    layouts = _shared_tree(spark, sf_dir, "007", root).unionByName(_shared_tree(spark, sf_dir, "a", root))
+    years = [str(y) for y in range(1990, 2003)]
+    for some in (years[::2], years[1::2]):
+        intake(spark, root, out, years=some, layout_texts=layouts)
+    return _stored_reports(spark, out).join(_stored_totals(spark, out), ["year", "stem"])
+
+
+def _put(spark, path: str, content: bytes) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    stream.write(bytearray(content))
+    stream.close()
+
+
+@_c.add(
+    "k5_status",
+    """
+    SELECT * FROM (VALUES
+        ('good_2016.dat', 'parsed', NULL), ('c[x]_2016.dat', 'parsed', NULL), ('latin_2015.dat', 'parsed', 'folder of 2016, name of 2015'),
+        ('short_2016.dat', 'failed', 'record shorter than 20 bytes: 3'), ('code_2016.dat', 'bad layout', 'layout is not UTF-8'),
+        ('_hidden_2016.dat', 'rejected', 'hidden name'), ('notes.txt', 'rejected', 'unsupported kind')) AS t(file_name, status, note),
+        (SELECT count(*) AS n_rows, min(n_name) AS first_name, max(n_name) AS last_name FROM nation)""",
+)
+def statuses(spark, sf_dir):
+    """A tree with every kind of trouble: each file has its status, and what can be read is."""
+    root, out = scratch_dir(spark, "tree"), scratch_dir(spark, "typed")
+    nation = [r.n_name for r in table(spark, sf_dir, "nation").select("n_name").collect()]
+    layout = _LAYOUT_TEXT.split("\n1     Key")[0].replace("Columns in File: 6", "Columns in File: 1") + "\n1     Name        name            CHAR 1     20\n"
+    plain = "".join(f"{n:<20}\n" for n in nation)
+    for name in ("good_2016", "c[x]_2016", "latin_2015", "short_2016"):
+        _put(spark, f"{root}/2016/{name}.fts", layout.encode())
+    _put(spark, f"{root}/2016/code_2016.fts", layout.replace("Name", "N\xe4me").encode("latin-1"))
+    for name in ("good_2016", "c[x]_2016", "code_2016", "_hidden_2016"):
+        _put(spark, f"{root}/2016/{name}.dat", plain.encode())
+    _put(spark, f"{root}/2016/latin_2015.dat", plain.replace("A", "\xc4").encode("latin-1"))
+    _put(spark, f"{root}/2016/short_2016.dat", (plain + "abc\n").encode())
+    _put(spark, f"{root}/2016/notes.txt", b"x")
+    found = intake(spark, root, out, dat_options={"encoding": "ISO-8859-1"}).select("file_name", "status", "note")
+    gone = spark.read.text(f"{out}/_rejects").select(
+        F.regexp_extract(F.get_json_object("value", "$.path"), "([^/]*)$", 1).alias("file_name"),
+        F.lit("rejected").alias("status"),
+        F.get_json_object("value", "$.reason").alias("note"),
+    )
+    written = read_dataset(spark, out).withColumn("name", F.replace("name", F.lit("\xc4"), F.lit("A")))
+    written = written.groupBy("stem").agg(F.count("*").alias("n_rows"), F.min("name").alias("first_name"), F.max("name").alias("last_name"))
+    # what was written, whatever the status
+    best = written.agg(F.min("n_rows").alias("n_rows"), F.min("first_name").alias("first_name"), F.max("last_name").alias("last_name"), F.count("*").alias("folders"))
+    told = best.where("folders = 3").drop("folders").collect()
+    return found.unionByName(gone).select("*", *[F.lit(v).alias(c) for r in told for c, v in r.asDict().items()])
+
+
+@_c.add(
+    "k4_qc_folder",
+    """
+    WITH o AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders),
+    s AS (SELECT o_orderstatus AS v, count(*) AS n FROM o GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1)
+    SELECT count(*) AS actual_rows, 5 AS actual_columns, count(*) + 1 AS expected_rows, true AS row_mismatch,
+           6 AS expected_columns, true AS column_mismatch, '["o_orderdate"]' AS missing_columns,
+           '[]' AS unexpected_columns, count(DISTINCT o_custkey) AS customers, count(*) - count(o_orderstatus) AS missing,
+           CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM o)) AS BIGINT) AS duplicate_rows,
+           min(o_totalprice) AS least, max(o_totalprice) AS most, round(avg(o_totalprice), 4) AS mean,
+           round(stddev_pop(o_totalprice), 4) AS stddev, any_value(s.v) AS top, any_value(s.n) AS top_n
+    FROM o, s""",
+)
+def qc_of_folder(spark, sf_dir):
+    """A Parquet folder against a layout that declares a row and a column too many."""
+    folder, place = scratch_dir(spark, "parquet"), scratch_dir(spark, "report")
+    orders = table(spark, sf_dir, "orders")
+    orders.drop("o_orderdate").write.parquet(folder)
+    text = F.concat(F.lit("Data File: orders.dat  Rows: "), (F.count("*") + 1).cast("string"), F.lit("  Size: 1\n" + _LAYOUT_TEXT))
+    layout = orders.agg(text.alias("text")).select(F.lit("/in/orders.fts").alias("layout_file"), "text")
+    found = qc_folder(spark, folder, layout, "/in/orders.dat", out=place)
+
+    def item(path, kind):
+        return F.get_json_object("report", path).cast(kind)
+
+    price = "$.numeric_summary.o_totalprice"
+    top = F.from_json(F.get_json_object("report", "$.top_categories.o_orderstatus"), "map<string,bigint>")
+    return found.select(
+        *[item(f"$.shape_check.{c}", k).alias(c) for c, k in (
+            ("actual_rows", "bigint"), ("actual_columns", "int"), ("expected_rows", "bigint"), ("row_mismatch", "boolean"),
+            ("expected_columns", "int"), ("column_mismatch", "boolean"))],
+        *[item(f"$.{c}", "string").alias(c) for c in ("missing_columns", "unexpected_columns")],
+        item("$.column_checks.o_custkey.unique_values", "bigint").alias("customers"),
+        item("$.column_checks.o_orderstatus.missing_values", "bigint").alias("missing"),
+        item("$.duplicate_rows", "bigint").alias("duplicate_rows"),
+        item(f"{price}.min", "double").alias("least"),
+        item(f"{price}.max", "double").alias("most"),
+        F.round(item(f"{price}.mean", "double"), 4).alias("mean"),
+        F.round(item(f"{price}.stddev", "double"), 4).alias("stddev"),
+        F.get(F.map_keys(top), F.lit(0)).alias("top"),
+        F.get(F.map_values(top), F.lit(0)).alias("top_n"),
+    )
 
 
 @_c.add("i1_incremental", ORDERS_SQL)

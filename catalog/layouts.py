@@ -249,7 +249,7 @@ def shape_scan(spark, sf_dir):
 @_c.add(
     "a7_file_rows",
     """
-    SELECT '/in/l' || c_custkey || '.fts' AS layout_file, 'maxdata_' || v || '.csv' AS data_file,
+    SELECT '/in/l' || c_custkey || '.fts' AS layout_file, 'visits_' || v || '.csv' AS data_file,
            CAST(CASE v WHEN 'ak' THEN c_custkey * 1000 ELSE c_nationkey END AS BIGINT)
                AS expected_rows
     FROM customer, (VALUES ('ak'), ('co')) s(v)""",
@@ -260,11 +260,11 @@ def file_rows(spark, sf_dir):
             "layout_file"
         ),
         F.concat(
-            F.lit("Data File: maxdata_ak.csv  Rows:     "),
+            F.lit("Data File: visits_ak.csv  Rows:     "),
             F.format_number(F.col("c_custkey") * 1000, 0),
-            F.lit("  Size(Bytes): 60\nData File: maxdata_co.csv  Rows: "),
+            F.lit("  Size(Bytes): 60\nData File: visits_co.csv  Rows: "),
             F.col("c_nationkey").cast("string"),
-            F.lit("\nData File: maxdata_ak.csv  Rows: 1\nRows: 77\n"),
+            F.lit("\nData File: visits_ak.csv  Rows: 1\nRows: 77\n"),
         ).alias("text"),
     )
     return lay.layout_file_rows(lay.parsed_layouts(texts))

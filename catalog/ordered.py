@@ -66,9 +66,36 @@ def part_number(spark, sf_dir):
     "SELECT p_partkey, p_name FROM part ORDER BY p_retailprice, p_partkey LIMIT 500 OFFSET 100",
 )
 def offset_limit(spark, sf_dir):
-    """Single-file form over an ordered frame."""
-    ordered = table(spark, sf_dir, "part").orderBy("p_retailprice", "p_partkey")
-    return ordered.offset(100).limit(500).select("p_partkey", "p_name")
+    """Rows 100 to 599 of one ordering, numbered in two levels so that no task sorts them all."""
+    part = table(spark, sf_dir, "part").select(
+        "p_partkey",
+        "p_name",
+        "p_retailprice",
+        F.lit(1).alias("all"),
+        F.floor(F.col("p_retailprice") / 50).alias("stretch"),
+    )
+    numbered = o.row_index(part, ["all"], "stretch", ["p_retailprice", "p_partkey"])
+    return o.row_slice(numbered, 100, 500).select("p_partkey", "p_name")
+
+
+@_c.add(
+    "e5_null_group",
+    """
+    SELECT grp, o_orderkey FROM (
+        SELECT CASE WHEN o_custkey % 4 > 0 THEN CAST(o_custkey % 4 AS BIGINT) END AS grp, o_orderkey,
+               min(o_orderkey) FILTER (WHERE o_orderstatus = 'P')
+                   OVER (PARTITION BY CASE WHEN o_custkey % 4 > 0 THEN o_custkey % 4 END) AS stop
+        FROM orders)
+    WHERE stop IS NULL OR o_orderkey < stop""",
+)
+def take_while_null_group(spark, sf_dir):
+    """Rows before the first pending order; the NULL group stops like the others."""
+    customer = F.col("o_custkey") % 4
+    rows = table(spark, sf_dir, "orders").select(
+        F.when(customer > 0, customer).alias("grp"), "o_orderkey", "o_orderstatus"
+    )
+    kept = o.take_while(rows, ["grp"], "o_orderkey", F.col("o_orderstatus") == "P")
+    return kept.select("grp", "o_orderkey")
 
 
 _LAYOUT_SQL = """SELECT 'f' || (p_partkey // 100) AS layout_file,

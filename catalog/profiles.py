@@ -226,9 +226,10 @@ def column_profile(spark, sf_dir):
     return _rounded_profile(table(spark, sf_dir, "lineitem"))
 
 
-# Names of users as column names: the first half of the values declares, the rest is found.
-_TOLD = """SELECT DISTINCT event_type AS dataset, 'U' || user_id AS "column" FROM events WHERE value < 5"""
-_HERE = """SELECT DISTINCT event_type AS dataset, 'U' || user_id AS "column" FROM events WHERE value > 90"""
+# Names of users as column names: events of small value declare and all others are found,
+# for every fifth user the other way round.
+_TOLD = """SELECT DISTINCT event_type AS dataset, 'U' || user_id AS "column" FROM events WHERE (value < 10) <> (user_id % 5 = 0)"""
+_HERE = """SELECT DISTINCT event_type AS dataset, 'U' || user_id AS "column" FROM events WHERE ((value < 10) <> (user_id % 5 = 0)) IS NOT TRUE"""
 
 
 def _told_and_here(spark, sf_dir):
@@ -244,7 +245,8 @@ def _told_and_here(spark, sf_dir):
             .agg(F.min("user_id").alias("ord"))
         )
 
-    return names(F.col("value") < 5), names(F.col("value") > 90)
+    told = (F.col("value") < 10) != (F.col("user_id") % 5 == 0)
+    return names(told), names(~F.coalesce(told, F.lit(False)))
 
 
 @_c.add(
@@ -286,10 +288,10 @@ def name_difference(spark, sf_dir):
            expected_columns, CASE WHEN expected_columns IS NOT NULL THEN 11 <> expected_columns END
                AS column_mismatch
     FROM (SELECT l_orderkey AS dataset, count(*) AS actual_rows FROM lineitem GROUP BY 1) a
-    LEFT JOIN (SELECT o_orderkey AS dataset,
+    LEFT JOIN (SELECT 2 * o_orderkey AS dataset,
                       CASE WHEN o_orderstatus <> 'P' THEN o_custkey % 8 END AS expected_rows,
                       CAST(9 + o_custkey % 3 AS INTEGER) AS expected_columns
-               FROM orders WHERE o_orderpriority <> '5-LOW') e USING (dataset)""",
+               FROM orders) e USING (dataset)""",
 )
 def shape(spark, sf_dir):
     """Rows per order against a declaration that is absent or partial for some."""
@@ -299,9 +301,8 @@ def shape(spark, sf_dir):
         .agg(F.count(F.lit(1)).alias("actual_rows"))
         .withColumn("actual_columns", F.lit(len(lineitem.columns)))
     )
-    orders = table(spark, sf_dir, "orders").filter(F.col("o_orderpriority") != "5-LOW")
-    expected = orders.select(
-        F.col("o_orderkey").alias("dataset"),
+    expected = table(spark, sf_dir, "orders").select(
+        (2 * F.col("o_orderkey")).alias("dataset"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_custkey") % 8).alias("expected_rows"),
         (F.col("o_custkey") % 3 + 9).cast("int").alias("expected_columns"),
     )
@@ -353,24 +354,32 @@ def detect_kind(spark, sf_dir):
 @_c.add(
     "g4_sampled_kinds",
     """
-    SELECT 'c_name' AS "column", 'string' AS kind, any_value(1) AS n FROM customer UNION ALL
-    SELECT 'c_acctbal', 'numeric', any_value(1) FROM customer UNION ALL
-    SELECT 'late_text', CASE WHEN min(c_custkey) FILTER (WHERE c_custkey >= 10) = 10 THEN 'numeric' END,
-           any_value(1) FROM customer""",
+    WITH v AS (
+        SELECT c_custkey, 'c_name' AS "column", c_name AS value FROM customer UNION ALL
+        SELECT c_custkey, 'c_acctbal', CAST(c_acctbal AS VARCHAR) FROM customer UNION ALL
+        SELECT c_custkey, 'late_text', CASE WHEN c_custkey < 12 THEN CAST(c_custkey AS VARCHAR)
+                                            ELSE c_name END FROM customer UNION ALL
+        SELECT c_custkey, 'row', lpad(CAST(c_custkey AS VARCHAR), 18, '0') FROM customer),
+    n AS (SELECT *, TRY_CAST(value AS DOUBLE) IS NOT NULL AND value NOT SIMILAR TO '0[0-9].*' AS number,
+                 row_number() OVER (PARTITION BY "column" ORDER BY c_custkey) AS nth FROM v),
+    k AS (SELECT "column", CASE WHEN bool_and(number) THEN 'numeric' ELSE 'string' END AS kind
+          FROM n WHERE nth <= 10 GROUP BY 1)
+    SELECT n."column", kind, count(*) FILTER (WHERE kind = 'numeric' AND NOT number) AS misfits
+    FROM n JOIN k ON n."column" = k."column" GROUP BY 1, 2""",
 )
 def sampled_kinds(spark, sf_dir):
-    """Kinds by the first ten values only: text that starts later goes unnoticed."""
+    """Kinds by the first ten values, and how many values of the whole table belie them."""
     customer = table(spark, sf_dir, "customer")
     key = F.col("c_custkey")
     texts = _as_text(
         customer.select(
             "c_name",
             "c_acctbal",
-            F.when(key < 10, key.cast("string")).otherwise(F.col("c_name")).alias("late_text"),
+            F.when(key < 12, key.cast("string")).otherwise(F.col("c_name")).alias("late_text"),
             F.lpad(key.cast("string"), 18, "0").alias("row"),
         )
     )
-    return infer.detect_kinds(texts, sample=10, order=["row"]).withColumn("n", F.lit(1))
+    return infer.sampled_kinds(texts, ["row"], 10)
 
 
 @_c.add(
@@ -387,6 +396,64 @@ def infer_cast(spark, sf_dir):
     return infer.infer_and_cast(texted_orders(spark, sf_dir))
 
 
+@_c.add(
+    "k3_codes",
+    """
+    SELECT lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS zeros,
+           CAST(10000000000000000 + o_orderkey AS VARCHAR) AS long_number,
+           CASE WHEN o_orderkey % 3 > 0 THEN CAST(o_orderkey AS DOUBLE) END AS gaps,
+           CAST(o_orderdate AS DATE) AS day, CAST(o_orderdate AS DATE) AS moment,
+           CASE WHEN o_orderkey % 5 > 0 THEN o_totalprice END AS amount,
+           CAST(o_custkey AS DOUBLE) AS whole, CAST(o_orderkey % 2 = 0 AS VARCHAR) AS flag
+    FROM orders""",
+)
+def infer_codes(spark, sf_dir):
+    """Text codes stay text; typed dates, timestamps, integers and NaN follow their types."""
+    key = F.col("o_orderkey")
+    return infer.infer_and_cast(
+        table(spark, sf_dir, "orders").select(
+            F.lpad(F.col("o_custkey").cast("string"), 9, "0").alias("zeros"),
+            (key + 10**16).cast("string").alias("long_number"),
+            F.when(key % 3 > 0, key.cast("string")).otherwise(F.lit(" ")).alias("gaps"),
+            F.col("o_orderdate").cast("date").alias("day"),
+            F.col("o_orderdate").cast("timestamp_ntz").alias("moment"),
+            F.when(key % 5 > 0, F.col("o_totalprice")).otherwise(float("nan")).alias("amount"),
+            F.col("o_custkey").alias("whole"),
+            (key % 2 == 0).alias("flag"),
+        )
+    )
+
+
+@_c.add(
+    "d2_column_list",
+    """
+    SELECT column_name AS "column",
+           CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+                          ELSE lower(data_type) END AS data_type,
+           CAST(ordinal_position AS INTEGER) AS ord
+    FROM information_schema.columns WHERE table_name = 'orders'""",
+)
+def column_list(spark, sf_dir):
+    return profile.column_list(table(spark, sf_dir, "orders"))
+
+
+@_c.add(
+    "d5_duplicates_maps",
+    """
+    SELECT CAST(count(*) - count(DISTINCT (user_id % 50, event_type, user_id % 3)) AS BIGINT) AS duplicate_rows
+    FROM events""",
+)
+def duplicates_maps(spark, sf_dir):
+    """Rows with maps: equal if the entries are, whatever their order."""
+    events = table(spark, sf_dir, "events")
+    user, kind = F.col("user_id"), F.col("event_type")
+    pairs = F.lit("user"), (user % 50).cast("string"), F.lit("kind"), kind
+    turned = F.create_map(*pairs[2:], *pairs[:2])
+    entries = F.when(F.col("event_id") % 2 == 0, F.create_map(*pairs)).otherwise(turned)
+    nested = F.array(F.struct(F.create_map(F.lit("r"), user % 3).alias("inner")))
+    return profile.duplicate_rows(events.select(entries.alias("entries"), nested.alias("nested")))
+
+
 @_c.add(
     "g1_union_parts",
     """

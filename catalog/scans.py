@@ -358,3 +358,101 @@ def numbers(spark, sf_dir):
         part_count(F.col("o_custkey"), 7).alias("parts"),
         text.zero_pad(F.col("o_orderkey")).alias("padded"),
     )
+
+
+def outcomes(spark, read) -> list[tuple[str, str]]:
+    """How three looks at a table end: its count, one column, all columns."""
+    out = []
+    for look in ("count", "one column", "all columns"):
+        frame = read()
+        frame = frame.select(frame.columns[0]) if look == "one column" else frame
+        try:
+            frame.count() if look == "count" else frame.write.format("noop").mode("overwrite").save()
+            out.append((look, "read"))
+        except Exception as e:  # noqa: BLE001
+            out.append((look, "failed" if "USER_RAISED_EXCEPTION" in str(e) else "broke"))
+    return out
+
+
+def _with_outcomes(counted: DataFrame, found: list[tuple[str, str]]) -> DataFrame:
+    """A row for each look, beside what one pass has counted."""
+    looks = [F.struct(F.lit(look).alias("look"), F.lit(end).alias("outcome")) for look, end in found]
+    return counted.select(F.inline(F.array(*looks)), *counted.columns)
+
+
+_LOOKS = "unnest(['count', 'one column', 'all columns']) AS look, 'failed' AS outcome"
+
+
+@_c.add(
+    "a3_failfast",
+    f"SELECT {_LOOKS}, n_bad, n_lines FROM (SELECT count(*) FILTER (WHERE p_size % 10 = 3) AS n_bad, "
+    "count(*) AS n_lines FROM part)",
+)
+def delimited_failfast(spark, sf_dir):
+    """Lines with a field too many fail every look, and ``permissive`` marks exactly these."""
+    part = table(spark, sf_dir, "part")
+    extra = F.when(F.col("p_size") % 10 == 3, F.lit(",more")).otherwise("")
+    lines = part.select(
+        F.concat(F.col("p_partkey").cast("string"), F.lit(","), F.col("p_brand"), extra).alias("value")
+    )
+    layout = Layout((Field("key", "NUM"), Field("brand", "CHAR")), "delimited")
+    marked = split_delimited(lines, layout, mode="permissive")
+    counted = marked.agg(F.count(casting.REASON).alias("n_bad"), F.count(F.lit(1)).alias("n_lines"))
+    return _with_outcomes(counted, outcomes(spark, lambda: split_delimited(lines, layout)))
+
+
+@_c.add(
+    "b4_failfast",
+    f"SELECT {_LOOKS}, n_bad, n_lines FROM (SELECT count(*) FILTER (WHERE o_custkey % 7 = 0) AS n_bad, "
+    "count(*) AS n_lines FROM orders)",
+)
+def date_failfast(spark, sf_dir):
+    """Impossible dates fail every look, and ``permissive`` marks exactly these."""
+    bad = F.col("o_custkey") % 7 == 0
+    day = F.when(bad, F.lit("20169999")).otherwise(F.date_format("o_orderdate", "yyyyMMdd"))
+    lines = table(spark, sf_dir, "orders").select(
+        F.concat(F.lpad(F.col("o_orderkey").cast("string"), 14, " "), day).alias("value")
+    )
+    layout = Layout((Field("key", "NUM", 14), Field("day", "DATE", 8)))
+
+    def read(mode="failfast"):
+        return cast_by_layout(slice_fixed(lines, layout, mode=mode), layout, mode, stripped=True)
+
+    counted = read("permissive").agg(
+        F.count(casting.REASON).alias("n_bad"), F.count(F.lit(1)).alias("n_lines")
+    )
+    return _with_outcomes(counted, outcomes(spark, read))
+
+
+@_c.add(
+    "a2_crlf_short_lines",
+    """
+    SELECT CAST(o_orderkey AS DOUBLE) AS key,
+           CASE WHEN n >= 2 THEN o_orderstatus END AS status,
+           CASE WHEN n >= 3 THEN round(o_totalprice, 2) END AS price,
+           CASE WHEN n >= 4 THEN CAST(o_orderdate AS DATE) END AS day,
+           CASE WHEN n >= 5 THEN o_orderpriority END AS priority
+    FROM (SELECT *, 1 + o_custkey % 5 AS n FROM orders)""",
+)
+def crlf_short_lines(spark, sf_dir):
+    """Lines that end early, in a carriage return: fields of every type are NULL from there on."""
+    layout = Layout(
+        (
+            Field("key", "NUM", 14),
+            Field("status", "CHAR", 2),
+            Field("price", "NUM", 16),
+            Field("day", "DATE", 8),
+            Field("priority", "CHAR", 0),
+        )
+    )
+    n = F.col("o_custkey") % 5
+    fields = [
+        F.lpad(F.col("o_orderkey").cast("string"), 14, " "),
+        F.when(n >= 1, F.rpad("o_orderstatus", 2, " ")),
+        F.when(n >= 2, F.lpad(money("o_totalprice"), 16, " ")),
+        F.when(n >= 3, F.date_format("o_orderdate", "yyyyMMdd")),
+        F.when(n >= 4, F.col("o_orderpriority")),
+    ]
+    line = F.concat(F.concat_ws("", *fields), F.lit("\r"))
+    lines = table(spark, sf_dir, "orders").select(line.alias("value"))
+    return cast_by_layout(slice_fixed(lines, layout), layout, stripped=True)

@@ -2,7 +2,7 @@
 
 from rawloom.layout import Field, Layout
 from rawloom.functions.casting import cast_by_layout, char, date, num
-from rawloom.operators.infer import detect_kinds, infer_and_cast
+from rawloom.operators.infer import detect_kinds, infer_and_cast, sampled_kinds
 from rawloom.operators.profile import (
     column_profile,
     duplicate_rows,
@@ -15,6 +15,7 @@ from rawloom.operators.profile import (
 )
 from rawloom.operators.reconcile import schema_diff, shape_check
 from rawloom.plans.intake import intake
+from rawloom.plans.qc import declared, qc_folder
 from rawloom.plans.report import report
 from rawloom.session import tune
 from rawloom.sources.dataset import read_dataset, write_dataset, write_report
@@ -33,14 +34,17 @@ __all__ = [
     "collisions",
     "column_profile",
     "date",
+    "declared",
     "detect_kinds",
     "duplicate_rows",
     "infer_and_cast",
+    "sampled_kinds",
     "intake",
     "missing_values",
     "num",
     "numeric_summary",
     "profile",
+    "qc_folder",
     "read_dataset",
     "read_delimited",
     "read_fixed_width",

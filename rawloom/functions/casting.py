@@ -86,12 +86,12 @@ def to_day(c: Column) -> Column:
     return c.cast("date")
 
 
-def _cast_text(text: Column, type_name: str, mode: str) -> Column:
+def _cast_text(text: Column, type_name: str) -> Column:
     """Cast stripped text. Type names are exact; every other name means CHAR."""
     if type_name == "NUM":
         return _num_of(text)
     if type_name == "DATE":
-        return _date_or_fail(text) if mode == "failfast" else _date_of(text)
+        return _date_of(text)
     return F.when(text != "", text)
 
 
@@ -111,11 +111,17 @@ def cast_by_layout(
     reason = [F.col(REASON)] if REASON in df.columns else []
     if not stripped:
         df = df.select(*[strip(column(f.name)).alias(f.name) for f in fields], *others, *reason)
-    casts = [_cast_text(column(f.name), f.type, mode).alias(f.name) for f in fields]
+    dates = [f.name for f in fields if f.type == "DATE"]
+    if mode == "failfast" and dates:
+        # A filter, so that the check survives whatever columns are selected later.
+        wrong = [F.when((column(n) != "") & _date_of(column(n)).isNull(), column(n)) for n in dates]
+        bad = F.coalesce(*wrong, F.lit(None).cast("string"))
+        complaint = F.raise_error(F.concat(F.lit("not a yyyyMMdd date: "), bad)).cast("boolean")
+        df = df.filter(F.when(bad.isNotNull(), complaint).otherwise(True))
+    casts = [_cast_text(column(f.name), f.type).alias(f.name) for f in fields]
     if mode == "failfast":
         return df.select(*casts, *others)
 
-    dates = [f.name for f in fields if f.type == "DATE"]
     kept = [column(n).alias(f"_text_{i}") for i, n in enumerate(dates)]
     out = df.select(*casts, *others, *reason, *kept)
     complaints = reason + [

@@ -18,10 +18,12 @@ from rawloom.functions.text import extract
 EXTENSIONS = {"dat": ("dat",), "csv": ("csv",), "sas": ("sas7bdat", "sas")}
 KINDS = tuple(EXTENSIONS)
 
-# Name patterns.
-_END_YEAR = r"(?:^|[^0-9])((?:19|20)[0-9]{2})(?:_[0-9]{1,3})?$"
+# Name patterns. A part number has any number of digits, but a year after
+# a year (``plan_2016_2017``) is no part.
+_NO_YEAR = r"(?!(?:19|20)[0-9]{2}$)"
+_END_YEAR = rf"(?:^|[^0-9])((?:19|20)[0-9]{{2}})(?:_{_NO_YEAR}[0-9]+)?$"
 _ANY_YEAR = r"(?:^|[^0-9])((?:19|20)[0-9]{2})(?:[^0-9]|$)"
-_END_PART = r"(?:^|[^0-9])(?:19|20)[0-9]{2}_([0-9]{1,3})$"
+_END_PART = rf"(?:^|[^0-9])(?:19|20)[0-9]{{2}}_{_NO_YEAR}([0-9]+)$"
 _STATE_TOKEN = r"(?i)_[a-z]{2}_"
 
 
@@ -76,6 +78,11 @@ def folder_year(path: Column, root: str | None = None) -> Column:
     return extract(path, before + r"/(?:[^/=]*=)?([0-9]{4})/")
 
 
+def literal_path(path: str) -> str:
+    """A path that readers do not take for a pattern."""
+    return re.sub(r"([][{}*?\\])", r"\\\1", path)
+
+
 def plain_path(root: str) -> str:
     """A folder without scheme and without trailing slash."""
     return re.sub(r"^file:/+", "/", root).rstrip("/")
@@ -107,15 +114,20 @@ def year_of_name(name: Column, kind: Column, loose: bool = False) -> Column:
 
 def stem_of_name(name: Column, kind: Column, loose: bool = False) -> Column:
     stem = name_stem(name)
-    dat = F.regexp_replace(
-        F.regexp_replace(stem, r"_[0-9]{4}_([0-9]{3})$", "__$1"), r"_[0-9]{4}$", ""
+    # The historical rules know three digits only.
+    part = "[0-9]{3}" if loose else rf"{_NO_YEAR}[0-9]{{3,}}"
+    numbered = rf"_[0-9]{{4}}_({part})$"
+    dat = F.when(stem.rlike(numbered), F.regexp_replace(stem, numbered, "__$1")).otherwise(
+        F.regexp_replace(stem, r"_[0-9]{4}$", "")
     )
-    csv = F.regexp_replace(stem, r"_[0-9]{4}(?:_[0-9]{3})?$", "")
+    csv = F.regexp_replace(stem, rf"_[0-9]{{4}}(?:_{part})?$", "")
     if loose:
         year = extract(stem, r"([0-9]{4})")
         kept = F.when(year.isNull(), stem).otherwise(F.replace(stem, year, F.lit("")))
     else:
-        kept = F.regexp_replace(stem, r"(^|[^0-9])(?:19|20)[0-9]{2}(_[0-9]{1,3})?$", "$1$2")
+        kept = F.regexp_replace(
+            stem, rf"(^|[^0-9])(?:19|20)[0-9]{{2}}(_{_NO_YEAR}[0-9]+)?$", "$1$2"
+        )
     sas = F.regexp_replace(F.regexp_replace(kept, r"_+$", ""), r"-+$", "")
     sas = F.when(sas == "", stem).otherwise(sas)
     return _by_kind(kind, dat, csv, sas)
@@ -132,10 +144,11 @@ def layout_stem(name: Column, kind: Column, loose: bool = False) -> Column:
     Parts share a layout, and so do the files of all states (two-letter tokens).
     """
     stem = name_stem(name)
+    # The historical rules, which the longer part numbers are added to.
+    whole = F.regexp_replace(stem, r"_[0-9]{3}$", "")
     if loose:
         csv = F.regexp_replace(stem, r"_[a-z]{2}_", "_")
     else:
-        csv = F.regexp_replace(F.regexp_replace(stem, r"_[0-9]{3}$", ""), _STATE_TOKEN, "_")
-    return F.when(kind == "dat", F.regexp_replace(stem, r"_[0-9]{3}$", "")).when(
-        kind == "csv", csv
-    )
+        whole = F.regexp_replace(whole, rf"(_[0-9]{{4}})_{_NO_YEAR}[0-9]{{4,}}$", "$1")
+        csv = F.regexp_replace(whole, _STATE_TOKEN, "_")
+    return F.when(kind == "dat", whole).when(kind == "csv", csv)

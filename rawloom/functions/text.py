@@ -46,17 +46,23 @@ def strip(c: Column) -> Column:
 
 
 def printable(line: Column) -> Column:
-    """True for lines of printable ASCII, a carriage return at the end aside.
+    """True for lines of printable ASCII: trimming blanks is all that their fields need."""
+    return line.rlike(r"^[ -~]*\z")
 
-    Trimming blanks is all that fields of such a line need, save the last.
+
+def without_return(line: Column) -> Column:
+    """The bytes of a line without a carriage return at its end.
+
+    In a short line the return would lie in some field before the last.
     """
-    return line.rlike(r"^[ -~]*\r?\z")
+    data = line.cast("binary")
+    cut = F.substring(data, F.lit(1), F.octet_length(line) - 1)
+    return F.when(F.endswith(line, F.lit("\r")), cut).otherwise(data)
 
 
 def strip_fields(names: list[str], plain: Column) -> list[Column]:
     """Strip the fields of a line; ``plain`` tells whether the line is ``printable``."""
-    inner = [F.when(plain, F.trim(column(n))).otherwise(strip(column(n))) for n in names[:-1]]
-    return [c.alias(n) for c, n in zip([*inner, strip(column(names[-1]))], names)]
+    return [F.when(plain, F.trim(column(n))).otherwise(strip(column(n))).alias(n) for n in names]
 
 
 def blank_to_null(c: Column) -> Column:
@@ -98,7 +104,7 @@ def extract(c: Column, pattern: str, group: int = 1) -> Column:
 
 
 def whole_number(c: Column) -> Column:
-    """``20,311`` to 20311; NULL when no number remains."""
+    """``1,234`` to 1234; NULL when no number remains."""
     return F.regexp_replace(c, ",", "").try_cast("bigint")
 
 

@@ -13,7 +13,8 @@ from rawloom.functions.text import blank_to_null, column, ident
 from rawloom.operators.ordered import top_per_group
 
 DATE, NUMERIC, STRING = "date", "numeric", "string"
-# Dates, optionally with a time of day.
+# Codes that look like numbers; dates, optionally with a time of day.
+CODE_PATTERN = r"^[+-]?(0[0-9]|[0-9]{16,}$)"
 DAY_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?)?$"
 
 
@@ -28,11 +29,21 @@ def is_day(text: Column) -> Column:
 
 
 def is_number(text: Column) -> Column:
-    return text.rlike(FLOAT_PATTERN)
+    """Float notation, but no code: leading zeros and integers too long for a double stay text."""
+    return text.rlike(FLOAT_PATTERN) & ~text.rlike(CODE_PATTERN)
 
 
-def kind_of_value(text: Column) -> Column:
-    return F.when(is_day(text), DATE).when(is_number(text), NUMERIC).otherwise(STRING)
+def _kind_bit(text: Column) -> Column:
+    """1 for a day, 2 for a number, 4 for other text; the cheap tests come first."""
+    first = F.substring(text, 1, 1)
+    like_day = (F.substring(text, 5, 1) == "-") & is_day(text)
+    like_number = first.isin(*"0123456789+-.") & is_number(text)
+    return F.when(text.isNotNull(), F.when(like_day, 1).when(like_number, 2).otherwise(4))
+
+
+def _kind_of_bits(bits: Column) -> Column:
+    """Kind of a column from the kinds of its values; one without values is text."""
+    return F.when(bits == 1, DATE).when(bits == 2, NUMERIC).otherwise(STRING)
 
 
 def _kind_of_type(data_type: T.DataType) -> str | None:
@@ -45,81 +56,62 @@ def _kind_of_type(data_type: T.DataType) -> str | None:
     return STRING
 
 
-def only_kinds(kinds: Column, *allowed: str) -> Column:
-    """Subset test on an array of kinds."""
-    return F.size(F.array_except(kinds, F.array(*[F.lit(a) for a in allowed]))) == 0
-
-
 def first_values(df: DataFrame, order: Sequence[str], n: int = 10) -> DataFrame:
     """The first ``n`` non-missing values of each text column, in a given row order."""
-    columns = [c for c in df.columns if c not in order]
-    texts = df.select(*[column(c) for c in order], *[column(c).cast("string") for c in columns])
-    long = texts.unpivot(list(order), [ident(c) for c in columns], "column", "value")
+    names = [c for c, t in df.dtypes if c not in order or t == "string"]
+    keys = [column(c).alias(f"_order_{i}") for i, c in enumerate(order)]
+    texts = df.select(*keys, *[column(c).cast("string") for c in names])
+    ordering = [f"_order_{i}" for i in range(len(order))]
+    long = texts.unpivot(ordering, [ident(c) for c in names], "column", "value")
     present = long.filter(text_value(F.col("value")).isNotNull())
-    ordering = [column(c) for c in order]
-    return top_per_group(present, ["column"], ordering, n)
+    picked = top_per_group(present, ["column"], [F.col(o) for o in ordering], n)
+    return picked.select(*[F.col(o).alias(c) for o, c in zip(ordering, order)], "column", "value", "rank")
 
 
-def detect_kinds(
-    df: DataFrame, sample: int | None = None, order: Sequence[str] | None = None
-) -> DataFrame:
+def detect_kinds(df: DataFrame) -> DataFrame:
     """Kind of each column: date, numeric or string.
 
-    Text columns are judged by their values, over the whole table in one aggregation;
-    a column without values is text. ``sample`` judges only the first values by
-    ``order`` instead. Other columns are judged by their type.
+    Text columns are judged by all their values, in one aggregation that looks at each
+    value once; a column without values is text. Other columns are judged by their type.
     """
     given = {f.name: _kind_of_type(f.dataType) for f in df.schema.fields}
     texts = [n for n, kind in given.items() if kind is None]
     typed = [F.struct(F.lit(n).alias("column"), F.lit(k).alias("kind"))
              for n, k in given.items() if k is not None]
-    if sample is not None:
-        if not order:
-            raise ValueError("a sample needs an order to be the same every time")
-        spark = df.sparkSession
-        picked = first_values(df.select(*order, *[column(n) for n in texts if n not in order]),
-                              order, sample)
-        sets = picked.groupBy("column").agg(
-            F.collect_set(kind_of_value(text_value(F.col("value")))).alias("kinds")
-        )
-        judged = sets.select(
-            "column",
-            F.when(only_kinds(F.col("kinds"), DATE), DATE)
-            .when(only_kinds(F.col("kinds"), NUMERIC), NUMERIC)
-            .otherwise(STRING)
-            .alias("kind"),
-        )
-        rows = [(n, k) for n, k in given.items() if n not in order]
-        names = spark.createDataFrame(rows, "column string, given string")
-        return names.join(judged, "column", "left").select(
-            "column", F.coalesce("given", "kind", F.lit(STRING)).alias("kind")
-        )
-
     # Stripped in one projection, judged in the next: no value is stripped twice.
     values = df.select(*[text_value(column(n)).alias(f"v{i}") for i, n in enumerate(texts)])
-    flags = []
-    for i in range(len(texts)):
-        text = F.col(f"v{i}")
-        flags += [
-            F.count(text).alias(f"n{i}"),
-            F.bool_and(F.when(text.isNotNull(), is_day(text))).alias(f"d{i}"),
-            F.bool_and(F.when(text.isNotNull(), is_number(text))).alias(f"f{i}"),
-        ]
+    bits = [F.bit_or(_kind_bit(F.col(f"v{i}"))).alias(f"b{i}") for i in range(len(texts))]
     judged = [
-        F.struct(
-            F.lit(n).alias("column"),
-            F.when(F.col(f"n{i}") == 0, STRING)
-            .when(F.col(f"d{i}"), DATE)
-            .when(F.col(f"f{i}"), NUMERIC)
-            .otherwise(STRING)
-            .alias("kind"),
-        )
+        F.struct(F.lit(n).alias("column"), _kind_of_bits(F.col(f"b{i}")).alias("kind"))
         for i, n in enumerate(texts)
     ]
-    one_row = values.agg(*flags) if flags else df.sparkSession.range(1)
+    one_row = values.agg(*bits) if bits else df.sparkSession.range(1)
     return one_row.select(F.inline(F.array(*judged, *typed)))
 
 
+def sampled_kinds(df: DataFrame, order: Sequence[str], n: int = 10) -> DataFrame:
+    """Kind of each text column by its first ``n`` values, and how many values do not fit it.
+
+    The sample judges, the whole table is checked: ``misfits`` counts every value of the
+    column, early or late, that is not of the kind.
+    """
+    texts = [f.name for f in df.schema.fields if _kind_of_type(f.dataType) is None]
+    picked = first_values(df.select(*dict.fromkeys([*order, *texts])), order, n)
+    judged = picked.groupBy("column").agg(F.bit_or(_kind_bit(text_value(F.col("value")))).alias("bits"))
+    kinds = {r["column"]: r["kind"] for r in judged.select("column", _kind_of_bits(F.col("bits")).alias("kind")).collect()}
+    bit = {DATE: 1, NUMERIC: 2}
+    values = df.select(*[text_value(column(c)).alias(f"v{i}") for i, c in enumerate(texts)])
+    misfits = [
+        F.count_if(_kind_bit(F.col(f"v{i}")) != bit[kinds[c]] if kinds.get(c) in bit else F.lit(False)).alias(f"m{i}")
+        for i, c in enumerate(texts)
+    ]
+    rows = [
+        F.struct(F.lit(c).alias("column"), F.lit(kinds.get(c, STRING)).alias("kind"), F.col(f"m{i}").alias("misfits"))
+        for i, c in enumerate(texts)
+    ]
+    return values.agg(*misfits).select(F.inline(F.array(*rows)))
+
+
 def _cast_by_kind(c: Column, kind: str, data_type: T.DataType) -> Column:
     """A value that does not fit the kind becomes NULL. Text comes stripped."""
     is_text = isinstance(data_type, T.StringType)
@@ -133,16 +125,13 @@ def _cast_by_kind(c: Column, kind: str, data_type: T.DataType) -> Column:
     return c if is_text else blank_to_null(c.cast("string"))
 
 
-def infer_and_cast(
-    df: DataFrame,
-    sample: int | None = None,
-    order: Sequence[str] | None = None,
-    text: str = "detect",
-) -> DataFrame:
-    """Typed copy of a decoded table.
+def infer_and_cast(df: DataFrame, text: str = "detect") -> DataFrame:
+    """Typed copy of a decoded table; no value is lost to a type that does not fit it.
 
-    ``text="keep"`` leaves text columns as text, for sources that already tell numbers
-    and dates from text. Only the verdicts (one per column) come to the driver.
+    A text column becomes dates or numbers only if all its values are, and none is a code
+    with leading zeros or more digits than a double holds. ``text="keep"`` leaves text
+    columns as text, for sources that already tell numbers and dates from text. Only the
+    verdicts (one per column) come to the driver; the table is read once for them.
     """
     if text not in ("detect", "keep"):
         raise ValueError("text must be 'detect' or 'keep'")
@@ -150,8 +139,7 @@ def infer_and_cast(
     kinds = {n: _kind_of_type(t) for n, t in types.items()}
     unknown = [n for n, kind in kinds.items() if kind is None]
     if unknown and text == "detect":
-        wanted = [*unknown, *[c for c in order or [] if c not in unknown]]
-        verdicts = detect_kinds(df.select(*[column(n) for n in wanted]), sample, order)
+        verdicts = detect_kinds(df.select(*[column(n) for n in unknown]))
         kinds |= {r["column"]: r["kind"] for r in verdicts.collect()}
     stripped = {
         n: blank_to_null(column(n)).alias(n) if isinstance(t, T.StringType) else column(n)

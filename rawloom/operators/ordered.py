@@ -25,26 +25,25 @@ def running_total(
     ``block`` cuts each group into consecutive stretches that one task can hold. Block
     totals are summed map-side, and only these totals are run through a window per
     group; rows are windowed within their block. The join and the inner window share
-    the partitioning by (group, block). Rows whose keys are NULL raise an error.
+    the partitioning by (group, block). NULL keys are groups like any other.
     """
-    keys = [*group, block]
-    totals = df.groupBy(*keys).agg(F.sum(value).alias("_total"))
+    # One struct as key: NULLs in it are equal to each other, in joins as in windows.
+    keyed = df.withColumn("_key", F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate([*group, block])]))
+    totals = keyed.groupBy("_key").agg(F.sum(value).alias("_total"))
     earlier = (
-        Window.partitionBy(*group)
-        .orderBy(block)
+        Window.partitionBy(*[F.col(f"_key.k{i}") for i in range(len(group))])
+        .orderBy(f"_key.k{len(group)}")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    before = totals.select(
-        *keys, F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before")
-    )
+    before = totals.select("_key", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"))
     within = (
-        Window.partitionBy(*keys)
+        Window.partitionBy("_key")
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
     )
     no_block = F.raise_error(F.lit("running_total: a row has no block total")).cast("bigint")
     running = F.coalesce("_before", no_block) + F.coalesce(F.sum(value).over(within), F.lit(0))
-    return df.join(before, keys, "left").withColumn(out, running).drop("_before")
+    return keyed.join(before, "_key", "left").withColumn(out, running).drop("_before", "_key")
 
 
 def row_index(
@@ -87,13 +86,22 @@ def part_number(index: Column, chunk_rows: int) -> Column:
 def take_while(df: DataFrame, key: Sequence[str], position: str, stop: Column) -> DataFrame:
     """Rows of each group before the first one that meets ``stop``.
 
-    One stop position per group, found with map-side aggregation and joined back.
+    One stop position per group, found with map-side aggregation and joined back. NULL
+    keys are groups like any other.
     """
-    stops = df.filter(stop).groupBy(*key).agg(F.min(position).alias("_stop"))
+    names = [f"_key_{i}" for i in range(len(key))]
+    stops = (
+        df.filter(stop)
+        .groupBy(*[F.col(k).alias(n) for k, n in zip(key, names)])
+        .agg(F.min(position).alias("_stop"))
+    )
+    same = F.lit(True)
+    for k, n in zip(key, names):
+        same = same & F.col(k).eqNullSafe(F.col(n))
     return (
-        df.join(stops, list(key), "left")
+        df.join(stops, same, "left")
         .filter(F.col("_stop").isNull() | (F.col(position) < F.col("_stop")))
-        .drop("_stop")
+        .drop("_stop", *names)
     )
 
 

@@ -16,9 +16,6 @@ from pyspark.sql import types as T
 from rawloom.functions.text import column, ident
 from rawloom.operators.ordered import top_per_group
 
-# At most this many repeated row hashes (8 bytes each) are broadcast.
-REPEATED_HASH_LIMIT = 500_000
-
 
 def profiled_columns(df: DataFrame, by: Sequence[str] = ()) -> list[str]:
     if df.isStreaming:
@@ -50,6 +47,31 @@ def _has_map(t: T.DataType) -> bool:
     return isinstance(t, T.StructType) and any(_has_map(f.dataType) for f in t.fields)
 
 
+def _groupable(c: Column, t: T.DataType) -> Column:
+    """A value that can be grouped: maps become entries in the order of their keys."""
+    if not _has_map(t):
+        return c
+    if isinstance(t, T.MapType):
+        entries = F.transform(
+            F.map_entries(c),
+            lambda e: F.struct(
+                _groupable(e["key"], t.keyType).alias("key"),
+                _groupable(e["value"], t.valueType).alias("value"),
+            ),
+        )
+        return F.array_sort(entries, lambda a, b: _order(a["key"], b["key"]))
+    if isinstance(t, T.ArrayType):
+        return F.transform(c, lambda e: _groupable(e, t.elementType))
+    if isinstance(t, T.StructType):
+        parts = [_groupable(c.getField(f.name), f.dataType).alias(f.name) for f in t.fields]
+        return F.when(c.isNotNull(), F.struct(*parts))
+    return F.to_json(c)  # variants: their text
+
+
+def _order(a: Column, b: Column) -> Column:
+    return F.when(a < b, -1).when(a > b, 1).otherwise(0)
+
+
 def countable_columns(df: DataFrame, by: Sequence[str] = ()) -> list[str]:
     """Columns whose values can be grouped; maps cannot."""
     return [f.name for f in df.schema.fields if f.name not in by and not _has_map(f.dataType)]
@@ -93,6 +115,10 @@ def _by_type(df: DataFrame, names: Sequence[str]) -> list[list[str]]:
 
 def _long(df: DataFrame, by: Sequence[str], names: Sequence[str]) -> DataFrame:
     narrow = df.select(*[column(b) for b in by], *[column(n) for n in names])
+    if not names:  # a table without such columns has no values
+        return narrow.filter(F.lit(False)).withColumns(
+            {"column": F.lit(""), "value": F.lit(None).cast("string")}
+        )
     return narrow.unpivot(
         [ident(b) for b in by], [ident(n) for n in names], "column", "value"
     )
@@ -184,19 +210,18 @@ def duplicate_rows(
 
     ``prefilter`` suits long rows with few copies: a first pass shuffles only a 64-bit
     hash and a count per row, and a second pass groups, exactly, just the rows whose
-    hash occurs more than once. These hashes are broadcast if a count shows that they
-    are few, else all rows are grouped directly.
+    hash occurs more than once. The planner broadcasts these hashes if they are few.
+
+    Maps are equal if they hold the same entries, in whatever order.
     """
-    names = countable_columns(df, by)
-    profiled_columns(df, by)
+    names = profiled_columns(df, by)
+    df = df.select(*[column(b) for b in by], *[_groupable(column(f.name), f.dataType).alias(f.name)
+                                               for f in df.schema.fields if f.name not in by])
     if prefilter:
         keyed = df.withColumn("_hash", F.xxhash64(*[column(n) for n in [*by, *names]]))
         hashes = keyed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n"))
-        repeated = hashes.filter(F.col("_n") > 1).select("_hash").persist()
-        if repeated.limit(REPEATED_HASH_LIMIT + 1).count() <= REPEATED_HASH_LIMIT:
-            df = keyed.join(F.broadcast(repeated), "_hash", "left_semi").drop("_hash")
-        else:
-            repeated.unpersist()
+        repeated = hashes.filter(F.col("_n") > 1).select("_hash")
+        df = keyed.join(repeated, "_hash", "left_semi").drop("_hash")
     groups = df.groupBy(*[column(n) for n in [*by, *names]]).agg(
         F.count(F.lit(1)).alias("_copies")
     )
@@ -298,20 +323,21 @@ class Profile:
     shape: DataFrame
     columns: DataFrame
     top: DataFrame
-    duplicates: DataFrame
+    duplicates: DataFrame | None
     by: tuple[str, ...] = ()
 
 
 def profile(
     df: DataFrame, by: Sequence[str] = (), k: int = 5, approx: bool = False,
-    prefilter_duplicates: bool = False,
+    prefilter_duplicates: bool = False, duplicates: bool = True,
 ) -> Profile:
+    """All parts of a profile; without ``duplicates`` nothing shuffles whole rows."""
     names = profiled_columns(df, by)
     shape = row_count(df, by).withColumn("actual_columns", F.lit(len(names)))
     return Profile(
         shape=shape,
         columns=column_profile(df, by, approx),
         top=top_values(df, k, by),
-        duplicates=duplicate_rows(df, by, prefilter_duplicates),
+        duplicates=duplicate_rows(df, by, prefilter_duplicates) if duplicates else None,
         by=tuple(by),
     )

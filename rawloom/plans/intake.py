@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,20 +15,36 @@ from rawloom.functions import names
 from rawloom.functions.text import column, ident
 from rawloom.layout import DELIMITED, FIXED, Layout
 from rawloom.operators.infer import infer_and_cast
-from rawloom.operators.profile import row_count
+from rawloom.operators.profile import profile
 from rawloom.plans.report import report
 from rawloom.session import tune
-from rawloom.sources.dataset import KEYS, Keys, read_folders, write_dataset, write_report
+from rawloom.sources.dataset import (
+    KEYS,
+    Keys,
+    existing_folders,
+    read_folders,
+    read_folders_text,
+    write_dataset,
+    write_report,
+    write_reports,
+)
 from rawloom.sources.delimited import read_delimited
 from rawloom.sources.fixedwidth import read_fixed_width
 from rawloom.sources.layouts import (
     layout_fields,
     layout_file_rows,
     layout_shapes,
+    located_tables,
     parsed_layouts,
     read_layout_texts,
 )
-from rawloom.sources.manifest import attach_layouts, require_no_collisions, select_files
+from rawloom.sources.manifest import (
+    attach_layouts,
+    rejected_files,
+    require_no_collisions,
+    select_files,
+    year_folders,
+)
 
 STYLES = {"dat": FIXED, "csv": DELIMITED}
 
@@ -43,55 +61,82 @@ def path_tags(
     return {keys[0]: year, keys[1]: names.stem_of_name(name, F.lit(kind), loose)}
 
 
+def _layout_texts(spark: SparkSession, path: str) -> DataFrame:
+    """Layout files below a folder or pattern; none if there are no such folders."""
+    try:
+        return read_layout_texts(spark, path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], "layout_file string, text string")
+
+
 def _layouts(
-    texts: DataFrame, layout_files: dict[str, set[str]], **options
+    located: DataFrame, layout_files: dict[str, set[str]], bad: dict[str, str]
 ) -> dict[tuple[str, str], Layout]:
-    """Layouts per (kind, layout file): as many rows as the raw files have columns."""
+    """Layouts per (kind, layout file): as many rows as the raw files have columns.
+
+    What is wrong with a layout goes to ``bad`` and concerns its own files only.
+    """
     out = {}
     for kind, files in layout_files.items():
-        wanted = texts.filter(F.col("layout_file").isin(sorted(files)))
-        fields = layout_fields(parsed_layouts(wanted, style=STYLES[kind], **options))
+        fields = layout_fields(parsed_layouts(None, style=STYLES[kind], located=located))
         rows = defaultdict(list)
         for row in fields.collect():
-            rows[row["layout_file"]].append(row)
+            if row["layout_file"] in files:
+                rows[row["layout_file"]].append(row)
         for file, found in rows.items():
-            out[kind, file] = Layout.from_rows(found, name=file)
+            try:
+                out[kind, file] = Layout.from_rows(found, name=file)
+            except ValueError as e:
+                bad[file] = str(e)
     return out
 
 
 def _expectations(manifest: DataFrame, shapes: DataFrame, file_rows: DataFrame) -> DataFrame:
-    """Declared rows and columns per output (year, stem).
+    """Declared rows and columns per output folder (year, stem).
 
-    A row count given for the data file itself counts first. A total for several parts
-    that share the layout says nothing about one of them; see ``total_check``.
+    A row count given for the data file itself counts first. A total for all files that
+    share a layout says nothing about some of them, only about a folder that has them
+    all. A folder's rows are the sum over its files, and unknown if any of them is.
     """
+    folder = ["year", "stem"]
     per_layout = manifest.groupBy("layout_file").agg(F.count(F.lit(1)).alias("_sharing"))
     by_file = file_rows.select(
         "layout_file", F.col("data_file").alias("file_name"), F.col("expected_rows").alias("_own")
     )
-    return (
-        manifest.join(shapes.drop("layout_stem"), "layout_file")
-        .join(per_layout, "layout_file")
-        .join(by_file, ["layout_file", "file_name"], "left")
-        .select(
-            "year",
-            "stem",
-            F.coalesce("_own", F.when(F.col("_sharing") == 1, F.col("expected_rows"))).alias(
-                "expected_rows"
-            ),
-            "expected_columns",
-            "expected_names",
+    declared = (
+        manifest.join(by_file, ["layout_file", "file_name"], "left")
+        .groupBy(*folder, "layout_file")
+        .agg(
+            F.count(F.lit(1)).alias("_files"),
+            F.when(F.count("_own") == F.count(F.lit(1)), F.sum("_own")).alias("_own"),
         )
+        .join(per_layout, "layout_file")
+        .join(shapes.drop("layout_stem"), "layout_file")
+    )
+    whole = F.when(F.col("_files") == F.col("_sharing"), F.col("expected_rows"))
+    rows = F.coalesce("_own", whole)
+    return declared.groupBy(*folder).agg(
+        F.when(F.count(rows) == F.count(F.lit(1)), F.sum(rows)).alias("expected_rows"),
+        F.max("expected_columns").alias("expected_columns"),
+        F.max("expected_names").alias("expected_names"),
     )
 
 
 def total_check(counts: DataFrame, manifest: DataFrame, shapes: DataFrame) -> DataFrame:
-    """Rows written per layout, over all files that share it, against the declared total."""
+    """Rows written per layout, over all files that share it, against the declared total.
+
+    A folder counts once however many of its files the layout describes. Rows of a folder
+    that several layouts feed belong to none of them alone, so their totals are unknown.
+    """
+    feeds = manifest.filter(F.col("layout_file").isNotNull()).select("layout_file", "year", "stem").distinct()
+    shared = feeds.groupBy("year", "stem").agg((F.count(F.lit(1)) > 1).alias("_shared"))
     per_layout = (
-        manifest.filter(F.col("layout_file").isNotNull())
+        feeds.join(shared, ["year", "stem"])
         .join(counts, ["year", "stem"])
         .groupBy("layout_file")
-        .agg(F.sum("actual_rows").alias("actual_rows"))
+        .agg(F.when(~F.bool_or("_shared"), F.sum("actual_rows")).alias("actual_rows"))
     )
     expected = shapes.select("layout_file", "expected_rows")
     return per_layout.join(expected, "layout_file", "left").select(
@@ -104,6 +149,11 @@ def total_check(counts: DataFrame, manifest: DataFrame, shapes: DataFrame) -> Da
     )
 
 
+def _local(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """A small table computed once; the driver holds it."""
+    return spark.createDataFrame(rows.collect(), rows.schema)
+
+
 def intake(
     spark: SparkSession,
     root: str,
@@ -122,6 +172,9 @@ def intake(
     sas_reader: Callable[[SparkSession, list[str]], DataFrame] | None = None,
     keys: Keys = KEYS,
     parallel_jobs: int = 4,
+    dat_options: dict | None = None,
+    csv_options: dict | None = None,
+    check_duplicates: bool = True,
 ) -> DataFrame:
     """Read all raw files below ``root`` and write them typed below ``out``.
 
@@ -129,9 +182,17 @@ def intake(
     in one pass without a shuffle, tagged with year and stem from their paths. ``keys``
     names these two columns, for data that has a ``year`` or ``stem`` of its own. Up to
     ``parallel_jobs`` jobs run at a time, so that small ones do not leave a cluster idle.
+    Files that one folder would get from several jobs raise an error before any is read;
+    all such folders are named. With ``years`` only the folders of these are listed.
+    ``dat_options`` and ``csv_options`` go to the readers (``encoding``, ``offsets``,
+    ``count_newline``, ``sep``, ``header``, ``encoding_errors``).
+
     With ``run_qc`` each job's output is profiled once, grouped by year and stem, and
-    compared with what the layouts declare; reports go to ``out/_reports``, and the rows
-    of all files that share a layout, against its declared total, to ``out/_totals``.
+    compared with what the layouts declare. Reports go to ``out/_reports``, a folder for
+    each year and stem; the rows of all files that share a layout, against its declared
+    total, to ``out/_totals``; files that cannot be taken in to ``out/_rejects``. Later
+    runs replace only what they have. ``check_duplicates=False`` leaves out the count of
+    equal rows, the only part of a report that shuffles whole rows.
 
     Layouts are the ``.fts`` files below ``root``, or the rows (layout_file, text) of
     ``layout_texts`` for layouts kept elsewhere; ``layout_file`` then is the path where
@@ -139,13 +200,17 @@ def intake(
 
     SAS files need ``sas_reader``, a function that gives a decoded DataFrame for paths;
     its types are inferred. Returns the manifest with a ``status`` per file: ``parsed``,
-    ``no layout``, ``empty`` or ``not read``. The driver sees file names and layouts only.
+    ``failed`` (its folder could not be read or written; the others are), ``bad layout``,
+    ``no layout``, ``empty`` or ``not read``; and a ``note``: why a file failed, that its
+    name tells another year than its folder, or that its layout declares other starts
+    than the widths give. The driver sees file names and layouts only.
     """
     tune(spark)
-    texts = read_layout_texts(spark, root) if layout_texts is None else layout_texts
-    parsed = parsed_layouts(texts, parity=parity)
-    shapes, file_rows = layout_shapes(parsed), layout_file_rows(parsed)
-    found = attach_layouts(select_files(spark, root, years, stems, kinds, globs, loose), texts)
+    if layout_texts is None:
+        layout_texts = _layout_texts(spark, root if globs else year_folders(root, years))
+    found = attach_layouts(
+        select_files(spark, root, years, stems, kinds, globs, loose), layout_texts
+    )
     # One listing of the tree: file names, not data. Readers need the paths here anyway.
     listing = sorted(found.collect(), key=lambda f: (f.year, f.path))
     if not listing:
@@ -153,11 +218,23 @@ def intake(
     manifest = spark.createDataFrame(listing, found.schema)
     require_no_collisions(manifest)
 
-    wanted: dict[str, set[str]] = defaultdict(set)
-    for f in listing:
-        if f.kind in STYLES and f.layout_file:
-            wanted[f.kind].add(f.layout_file)
-    layouts = _layouts(texts, wanted, parity=parity) if wanted else {}
+    # Only layouts that describe some file are parsed, and these once.
+    used = manifest.select("layout_file").where("layout_file IS NOT NULL").distinct()
+    texts = layout_texts.join(used, "layout_file", "left_semi").persist()
+    readable = F.is_valid_utf8("text")
+    bad = {r["layout_file"]: "layout is not UTF-8" for r in texts.where(~readable).select("layout_file").collect()}
+    located = located_tables(texts.where(readable), parity=parity).persist()
+    try:
+        parsed = parsed_layouts(None, located=located)
+        shapes, file_rows = _local(spark, layout_shapes(parsed)), _local(spark, layout_file_rows(parsed))
+        wanted: dict[str, set[str]] = defaultdict(set)
+        for f in listing:
+            if f.kind in STYLES and f.layout_file:
+                wanted[f.kind].add(f.layout_file)
+        layouts = _layouts(located, wanted, bad) if wanted else {}
+    finally:
+        located.unpersist()
+        texts.unpersist()
 
     taken = {k.lower() for k in keys}
     for (_, file), layout in layouts.items():
@@ -165,24 +242,35 @@ def intake(
         if clash:
             raise ValueError(f"{file} has columns {clash}: choose other keys than {keys}")
 
+    offsets = (dat_options or {}).get("offsets", "cumulative")
     jobs: dict[tuple[str, str], tuple[Layout | None, list[Row]]] = {}
-    status = {}
+    status, notes = {}, defaultdict(list)
     for f in listing:
         layout = layouts.get((f.kind, f.layout_file))
+        if f.dir_year and f.name_year and f.dir_year != f.name_year:
+            notes[f.path].append(f"folder of {f.dir_year}, name of {f.name_year}")
         if f.length == 0:
             status[f.path] = "empty"
         elif f.kind == "sas" and sas_reader is None:
             status[f.path] = "not read"
+        elif f.kind != "sas" and f.layout_file in bad:
+            status[f.path] = "bad layout"
+            notes[f.path].append(bad[f.layout_file])
         elif f.kind != "sas" and layout is None:
             status[f.path] = "no layout"
         else:
             status[f.path] = "parsed"
+            if f.kind == "dat" and offsets == "cumulative":
+                moved = layout.declared_starts_differ()
+                if moved:
+                    notes[f.path].append(f"declared starts differ: {', '.join(moved)}")
             alike = layout.fingerprint() if layout else f.path
             jobs.setdefault((f.kind, alike), (layout, []))[1].append(f)
+    _require_own_folders(jobs)
 
     expected = None
     if run_qc:
-        # One row per file, computed once for all reports.
+        # One row per folder, computed once for all reports.
         told = _expectations(manifest, shapes, file_rows).collect()
         expected = spark.createDataFrame(
             told,
@@ -190,31 +278,80 @@ def intake(
             "expected_columns int, expected_names array<string>",
         )
 
-    def run(numbered) -> list[Row]:
-        """Write one job's files; return its row count per (year, stem)."""
-        number, ((kind, _), (layout, files)) = numbered
-        paths = [f.path for f in files]
+    def take_in(kind: str, layout: Layout | None, files: list[Row]) -> list[Row]:
+        """Write the files' rows; the count per (year, stem) from their reports."""
+        paths = [names.literal_path(f.path) for f in files]
+        folders = {(f.year, f.stem) for f in files}
         if kind == "sas":
             own = [F.lit(files[0][c]).cast("string").alias(k) for c, k in zip(KEYS, keys)]
-            rows = infer_and_cast(sas_reader(spark, paths), text="keep").select("*", *own)
+            rows = infer_and_cast(sas_reader(spark, [f.path for f in files]), text="keep").select("*", *own)
         else:
             read = read_fixed_width if kind == "dat" else read_delimited
-            rows = read(spark, paths, layout, mode, tags=path_tags(kind, root, loose, keys))
-        write_dataset(rows, out, structure, rows_per_file, keys=keys)
+            more = (dat_options if kind == "dat" else csv_options) or {}
+            rows = read(spark, paths, layout, mode, tags=path_tags(kind, root, loose, keys), **more)
+        write_dataset(rows, out, structure, rows_per_file, keys=keys, folders=folders)
         if not run_qc:
             return []
-        written = read_folders(spark, out, {(f.year, f.stem) for f in files}, structure, keys)
-        reports = report(written, expected, by=list(keys))
-        as_json = F.to_json(F.struct(*[column(k) for k in keys], "report"))
-        write_report(reports.select(as_json), f"{out}/_reports/{number:04d}")
-        return row_count(written, keys).toDF(*KEYS, "actual_rows").collect()
+        there = existing_folders(spark, out, folders, structure, keys)
+        if not there:
+            return [Row(year=y, stem=s, actual_rows=0) for y, s in sorted(folders)]
+        written = read_folders(spark, out, there, structure, keys)
+        result = None if check_duplicates else profile(written, keys, duplicates=False)
+        reports = report(written, expected, by=list(keys), result=result)
+        as_json = F.to_json(F.struct(*[column(k) for k in keys], "report")).alias("value")
+        write_reports(reports.select(as_json, *[column(k) for k in keys]), f"{out}/_reports", keys)
+        stored = read_folders_text(spark, f"{out}/_reports", there, keys)
+        inner = F.get_json_object("value", "$.report")
+        return stored.select(
+            *[column(k).alias(c) for k, c in zip(keys, KEYS)],
+            F.get_json_object(inner, "$.shape_check.actual_rows").cast("bigint").alias("actual_rows"),
+        ).collect()
+
+    def run(job) -> list[Row]:
+        """One job; if it fails, its folders one by one, so that only bad ones are left out."""
+        (kind, _), (layout, files) = job
+        try:
+            return take_in(kind, layout, files)
+        except Exception as e:  # noqa: BLE001
+            by_folder: dict[tuple, list[Row]] = defaultdict(list)
+            for f in files:
+                by_folder[f.year, f.stem].append(f)
+            if len(by_folder) == 1:
+                for f in files:
+                    status[f.path] = "failed"
+                    notes[f.path].append(_reason(e))
+                return []
+            return [row for own in by_folder.values() for row in run(((kind, ""), (layout, own)))]
 
-    numbered = list(enumerate(sorted(jobs.items(), key=lambda j: j[0])))
     with ThreadPoolExecutor(max(1, parallel_jobs)) as pool:
-        counts = [row for found in pool.map(run, numbered) for row in found]
+        counts = [row for found in pool.map(run, sorted(jobs.items(), key=lambda j: j[0])) for row in found]
     if counts:
         counted = spark.createDataFrame(counts, "year string, stem string, actual_rows bigint")
         totals = total_check(counted, manifest, shapes)
-        write_report(totals.select(F.to_json(F.struct("*"))), f"{out}/_totals")
-    verdicts = spark.createDataFrame(list(status.items()), "path string, status string")
+        below = F.replace("layout_file", F.lit(names.plain_path(root) + "/"), F.lit(""))
+        write_reports(totals.select(F.to_json(F.struct("*")).alias("value"), below.alias("layout")), f"{out}/_totals", ["layout"])
+    rejects = rejected_files(spark, root).select(F.to_json(F.struct("path", "length", "reason")))
+    write_report(rejects, f"{out}/_rejects")
+    verdicts = spark.createDataFrame(
+        [(p, s, "; ".join(notes[p]) or None) for p, s in status.items()], "path string, status string, note string"
+    )
     return manifest.join(verdicts, "path", "left")
+
+
+def _reason(error: Exception) -> str:
+    """The first line that tells what went wrong, for a note."""
+    text = str(error)
+    told = re.search(r"\[USER_RAISED_EXCEPTION\] ([^\n]*?)(?: SQLSTATE| JVM stacktrace|$)", text)
+    return (told.group(1) if told else text.split("\n", 1)[0])[:300]
+
+
+def _require_own_folders(jobs: dict) -> None:
+    """Raise if several jobs write to one folder: each would replace the other's rows."""
+    writers: dict[tuple, dict] = defaultdict(dict)
+    for job, (_, files) in jobs.items():
+        for f in files:
+            writers[f.year, f.stem].setdefault(job, f.path)
+    shared = {k: v for k, v in writers.items() if len(v) > 1}
+    if shared:
+        listing = "\n".join(f"  {y}/{s}: e.g. {' and '.join(sorted(v.values()))}" for (y, s), v in sorted(shared.items(), key=str))
+        raise ValueError(f"{len(shared)} output folders have files of several kinds or layouts:\n{listing}")

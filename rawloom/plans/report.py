@@ -75,8 +75,9 @@ def report(
         top.groupBy(*by).agg(
             _by_name(F.collect_list(F.struct("ord", "column", "body"))).alias("top_categories")
         ),
-        result.duplicates,
     ]
+    if result.duplicates is not None:
+        pieces.append(result.duplicates)
     told_schema = T.StructType(
         [
             T.StructField("expected_rows", T.LongType()),
@@ -128,7 +129,7 @@ def report(
         F.lit(',"column_checks":'),
         _json_object("column_checks"),
         F.lit(',"duplicate_rows":'),
-        F.coalesce("duplicate_rows", F.lit(0)).cast("string"),
+        F.lit("null") if result.duplicates is None else F.coalesce("duplicate_rows", F.lit(0)).cast("string"),
         F.lit(',"numeric_summary":'),
         _json_object("numeric_summary"),
         F.lit(',"top_categories":'),

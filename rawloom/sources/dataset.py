@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import re
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from rawloom.functions.names import literal_path
+from rawloom.functions.text import column
 
 # Characters that Spark writes as %XX in the folders of partition values.
 _ESCAPED = set("\"#%'*/:=?\\\x7f{[]^") | {chr(c) for c in range(1, 32)}
@@ -29,18 +34,35 @@ def write_dataset(
     rows_per_file: int | None = None,
     mode: str = "overwrite",
     keys: Keys = KEYS,
+    folders: Iterable[tuple[str, str]] = (),
 ) -> None:
     """Write below ``out``, one folder per year and stem in the given order.
 
-    Only the folders that receive rows are replaced. Nothing is shuffled: input splits
-    follow the raw files, so a task writes to one or few folders.
+    Only the folders that receive rows are replaced; of ``folders``, the (year, stem)
+    pairs that the rows are known to belong to, those without any row are removed.
+    Nothing is shuffled: input splits follow the raw files, so a task writes to one or
+    few folders.
     """
+    known = set(folders)
+    if known:
+        seen = Observation()
+        pair = F.struct(*[column(k).cast("string").alias(c) for k, c in zip(keys, KEYS)])
+        df = df.observe(seen, F.collect_set(pair).alias("pairs"))
     writer = df.write.mode(mode).partitionBy(*partition_columns(structure, keys))
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "dynamic")
     if rows_per_file and rows_per_file > 0:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     writer.parquet(out)
+    if known:
+        filled = {(r["year"], r["stem"]) for r in seen.get["pairs"]}
+        for year, stem in sorted(known - filled):
+            _remove(df.sparkSession, _folder(out, structure, keys, _escaped(year), _escaped(stem)))
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def _folder(out: str, structure: str, keys: Keys, year: str, stem: str) -> str:
@@ -57,11 +79,13 @@ def read_dataset(
     keys: Keys = KEYS,
 ) -> DataFrame:
     """A logical table: all years of a stem, and of its numbered parts (``stem__001``)."""
-    reader = spark.read.option("basePath", out).option("mergeSchema", True)
     if stem is None:
-        return reader.parquet(out)
-    wanted = stem + ("{,__[0-9],__[0-9][0-9],__[0-9][0-9][0-9]}" if parts else "")
-    return reader.parquet(_folder(out, structure, keys, "*", wanted))
+        return _read(spark, out, [out], keys)
+    name = _escaped(stem)
+    wanted = literal_path(name) + ("{,__[0-9]*}" if parts else "")
+    found = _read(spark, out, [_folder(literal_path(out), structure, keys, "*", wanted)], keys)
+    # The pattern lets through more than numbers; this prunes folders.
+    return found.filter(column(keys[1]).rlike("^" + re.escape(stem) + "(__[0-9]+)?$"))
 
 
 def read_folders(
@@ -72,16 +96,57 @@ def read_folders(
     keys: Keys = KEYS,
 ) -> DataFrame:
     """Only the folders of the given (year, stem) pairs, both columns as text."""
+    paths = [
+        literal_path(_folder(out, structure, keys, _escaped(year), _escaped(stem)))
+        for year, stem in sorted(folders)
+    ]
+    return _read(spark, out, paths, keys)
 
-    def escaped(value: str) -> str:
-        return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in value)
 
+def existing_folders(
+    spark: SparkSession,
+    out: str,
+    folders: Iterable[tuple[str, str]],
+    structure: str = "year/file_stem",
+    keys: Keys = KEYS,
+) -> set[tuple[str, str]]:
+    """Those of the (year, stem) pairs that have a folder."""
+    found = set()
+    for year, stem in folders:
+        folder = _folder(out, structure, keys, _escaped(year), _escaped(stem))
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+            found.add((year, stem))
+    return found
+
+
+def read_folders_text(
+    spark: SparkSession, out: str, folders: Iterable[tuple[str, str]], keys: Keys = KEYS
+) -> DataFrame:
+    """The reports of the given (year, stem) pairs: ``value`` and both keys as text."""
     paths = [
-        _folder(out, structure, keys, escaped(year), escaped(stem))
-        for year, stem in sorted(folders)
+        literal_path(_folder(out, STRUCTURES[0], keys, _escaped(y), _escaped(s)))
+        for y, s in sorted(folders)
     ]
-    frame = spark.read.option("basePath", out).parquet(*paths)
-    return frame.withColumns({c: F.col(c).cast("string") for c in keys})
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("value", *keys)])
+    return spark.read.schema(schema).option("basePath", out).text(paths)
+
+
+def _escaped(value: str) -> str:
+    """A partition value as Spark writes it in a folder's name."""
+    return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in value)
+
+
+def _read(spark: SparkSession, out: str, paths: list[str], keys: Keys) -> DataFrame:
+    """Folders with year and stem as text: ``007`` is a stem, not the number 7."""
+    reader = spark.read.option("basePath", out).option("mergeSchema", True)
+    schema = T.StructType(
+        [
+            T.StructField(f.name, T.StringType()) if f.name in keys else f
+            for f in reader.parquet(*paths).schema.fields
+        ]
+    )
+    return reader.schema(schema).parquet(*paths)
 
 
 def union_parts(*frames: DataFrame) -> DataFrame:
@@ -94,11 +159,15 @@ def union_parts(*frames: DataFrame) -> DataFrame:
 
 def write_report(report: DataFrame, path: str) -> None:
     """Store a one-column JSON report. Reports grow with columns, not with rows."""
-    report.select(F.col(report.columns[0]).alias("value")).coalesce(1).write.mode(
-        "overwrite"
-    ).text(path)
+    report.select(F.col(report.columns[0]).alias("value")).write.mode("overwrite").text(path)
+
 
+def write_reports(reports: DataFrame, path: str, keys: Sequence[str]) -> None:
+    """Store reports in a folder for each key; only folders of keys at hand are replaced.
 
-def default_report_path(dataset_dir: str) -> str:
-    """The underscore keeps later scans of the folder from reading it as data."""
-    return f"{dataset_dir.rstrip('/')}/_qc_report.json"
+    The reports' columns are the keys and one JSON text.
+    """
+    value = next(c for c in reports.columns if c not in keys)
+    reports.select(column(value).alias("value"), *[column(k) for k in keys]).write.mode(
+        "overwrite"
+    ).option("partitionOverwriteMode", "dynamic").partitionBy(*keys).text(path)

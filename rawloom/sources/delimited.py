@@ -61,19 +61,18 @@ def split_delimited(
         marked = [F.col(REASON)] if marks else []
         return named.select(*strip_fields(layout.names, F.col(_PLAIN)), *rest, *marked)
 
+    schema = string_schema(layout.names).add(_BAD, "string").toDDL()
+    parsed = F.from_csv(line, schema, options | {"columnNameOfCorruptRecord": _BAD})
     if mode == "failfast":
-        # The check looks at the raw line only: a filter on the parsed record would be
-        # pushed below the parsing and parse every line twice.
+        # Filters, so that the checks survive whatever columns are selected later. The
+        # outer explode of one record keeps the second one above the parsing.
         bad_text = F.raise_error(F.lit("line is not valid UTF-8")).cast("boolean")
         lines = lines.filter(F.when(~F.is_valid_utf8(line), bad_text).otherwise(True))
-        schema = string_schema(layout.names).toDDL()
-        parsed = F.from_csv(line, schema, options | {"mode": "FAILFAST"})
-        return finish(lines.select(parsed.alias(_RECORD), plain, *rest))
-
-    schema = string_schema(layout.names).add(_BAD, "string").toDDL()
-    parsed = F.from_csv(line, schema, options | {"columnNameOfCorruptRecord": _BAD})
+        once = lines.select(F.explode_outer(F.array(parsed)).alias(_RECORD), plain, *rest)
+        found = F.concat(F.lit(f"malformed line, expected {len(layout.names)} fields: "), record[_BAD])
+        ragged = F.raise_error(found).cast("boolean")
+        return finish(once.filter(F.when(record[_BAD].isNotNull(), ragged).otherwise(True)))
     if mode == "drop":
-        # The outer explode of one record keeps the filter above the parsing.
         once = lines.filter(F.is_valid_utf8(line)).select(
             F.explode_outer(F.array(parsed)).alias(_RECORD), plain, *rest
         )

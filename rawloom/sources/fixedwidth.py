@@ -8,12 +8,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rawloom.functions.casting import REASON, cast_by_layout, check_mode
-from rawloom.functions.text import column, decode_bytes, is_utf8, printable, strip_fields
+from rawloom.functions.text import (
+    column,
+    decode_bytes,
+    is_utf8,
+    printable,
+    strip_fields,
+    without_return,
+)
 from rawloom.layout import Layout
 from rawloom.operators.ordered import indexed_lines, row_slice
 
 
-_PLAIN = "_printable"
+_PLAIN, _DATA, _TEXT = "_printable", "_bytes", "_text"
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -23,17 +30,21 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
 
 
-def _byte_fields(value: Column, layout: Layout, starts: list[int], encoding: str) -> list[Column]:
-    data = value.cast("binary")
-    return [
-        decode_bytes(F.substring(data, start + 1, max(f.width, 0)), encoding).alias(f.name)
-        for f, start in zip(layout.fields, starts)
-        if f.name
-    ]
+def _byte_fields(layout: Layout, starts: list[int], encoding: str) -> list[Column]:
+    """Fields cut from bytes. A printable line has one byte a character: its text is cut
+    as it is, and only other lines are cut, checked and repaired byte by byte."""
+    data, text, plain = F.col(_DATA), F.col(_TEXT), F.col(_PLAIN)
+    out = []
+    for f, start in zip(layout.fields, starts):
+        if f.name:
+            place = start + 1, max(f.width, 0)
+            decoded = decode_bytes(F.substring(data, *place), encoding)
+            out.append(F.when(plain, F.substring(text, *place)).otherwise(decoded).alias(f.name))
+    return out
 
 
-def _char_fields(value: Column, layout: Layout, starts: list[int], encoding: str) -> list[Column]:
-    line = decode_bytes(value.cast("binary"), encoding)
+def _char_fields(layout: Layout, starts: list[int], encoding: str) -> list[Column]:
+    line = F.when(F.col(_PLAIN), F.col(_TEXT)).otherwise(decode_bytes(F.col(_DATA), encoding))
     rest_of_line = 2**31 - 1
     last = len(layout.fields) - 1
     return [
@@ -83,17 +94,19 @@ def slice_fixed(
             df = df.filter(~short)
         else:
             marks = [F.when(short, message).alias(REASON)]
-        fields = _byte_fields(value, layout, starts, encoding)
+        fields = _byte_fields(layout, starts, encoding)
     else:
         if mode == "permissive":
             marks = [F.lit(None).cast("string").alias(REASON)]
-        fields = _char_fields(value, layout, starts, encoding)
+        fields = _char_fields(layout, starts, encoding)
 
     # Looking for rare white space once per line spares looking for it in every field.
-    line = value if is_utf8(encoding) else F.decode(value.cast("binary"), encoding)
-    cut = df.select(*fields, *others, *marks, printable(line).alias(_PLAIN))
-    stripped = strip_fields(layout.names, F.col(_PLAIN))
-    return cut.select(*stripped, *others, *([F.col(REASON)] if marks else []))
+    marked = [F.col(REASON)] if marks else []
+    lines = df.select(*others, *marks, without_return(value).alias(_DATA))
+    text = F.col(_DATA).cast("string") if is_utf8(encoding) else F.decode(_DATA, encoding)
+    lines = lines.withColumn(_TEXT, text).withColumn(_PLAIN, printable(F.col(_TEXT)))
+    cut = lines.select(*fields, *others, *marked, _PLAIN)
+    return cut.select(*strip_fields(layout.names, F.col(_PLAIN)), *others, *marked)
 
 
 def read_fixed_width(

@@ -32,8 +32,9 @@ FOOTER = "end of file transfer summary"
 COLUMNS_PATTERN = r"Columns in File:\s*([0-9]+)"
 ROWS_PATTERN = r"\(([0-9,]+)\s+Rows\)"
 EXACT_ROWS_PATTERN = r"Exact File Quantity \(Rows\):\s*([0-9,]+)"
-DATA_FILE_PATTERN = r"Data File:\s*(\S+)\s.*?Rows:\s*[0-9,]+"
-DATA_FILE_ROWS_PATTERN = r"Data File:\s*\S+\s.*?Rows:\s*([0-9,]+)"
+# A data file's name may hold single blanks; two of them, a tab or "Rows:" end it.
+DATA_FILE_PATTERN = r"Data File:\s*(\S(?:(?!\s\s|\t|\s+Rows:).)*?\S|\S)(?:\s\s|\t|\s+Rows:)"
+DATA_FILE_ROWS_PATTERN = r"Data File:\s*\S.*?Rows:\s*([0-9,]+)"
 NAME_HEADINGS = ("field short name", "field name", "column", "field")
 NAME_WORDS = (("short", "name"), ("field", "name"), ("column",))
 # Zero-based span numbers of a fixed-width layout.
@@ -208,21 +209,25 @@ def located_tables(texts: DataFrame, header_lines: int = 3, parity: bool = False
 
 
 def parsed_layouts(
-    texts: DataFrame,
+    texts: DataFrame | None,
     header_lines: int = 3,
     parity: bool = False,
     style: str = "auto",
     name_hint: str = "Column",
     type_hint: str = "SAS Type",
+    located: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per layout file: its lines, headings, cells, and which cell means what."""
+    """One row per layout file: its lines, headings, cells, and which cell means what.
+
+    ``located`` is the result of ``located_tables`` where it is at hand already.
+    """
     if style not in ("auto", FIXED, DELIMITED):
         raise ValueError(f"style must be 'auto', {FIXED!r} or {DELIMITED!r}")
 
     def norm_hint(hint: str) -> str:
         return " ".join("".join(c if c.isalpha() else " " for c in hint.lower()).split())
 
-    df = located_tables(texts, header_lines, parity)
+    df = located_tables(texts, header_lines, parity) if located is None else located
     norm = F.col("norm")
     wide = F.size("headings") > WIDTH_SPAN
     first_start = F.get(F.get("cells", F.lit(0)), F.lit(START_SPAN))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,14 +16,40 @@ KIND_PREFERENCE = ("dat", "csv", "sas")
 LISTING_SCHEMA = "path string, length bigint"
 
 
+def year_folders(root: str, years: Iterable | None) -> str:
+    """The folders of the years below root as one pattern; root itself for all years."""
+    wanted = sorted({str(y).strip() for y in years or [] if str(y).strip()})
+    if not wanted:
+        return root
+    some = ",".join(f"{names.literal_path(y)},*={names.literal_path(y)}" for y in wanted)
+    return f"{root.rstrip('/')}/{{{some}}}"
+
+
 def list_files(spark: SparkSession, root: str | Sequence[str]) -> DataFrame:
-    """Path and size of every file; contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(root if isinstance(root, str) else list(root))
-        .select(F.regexp_replace("path", "^file:/+", "/").alias("path"), "length")
-    )
+    """Path and size of every file; contents are not read. Folders may be patterns."""
+    try:
+        files = (
+            spark.read.format("binaryFile")
+            .option("recursiveFileLookup", True)
+            .load(root if isinstance(root, str) else list(root))
+        )
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], LISTING_SCHEMA)
+    return files.select(F.regexp_replace("path", "^file:/+", "/").alias("path"), "length")
+
+
+def hidden_files(spark: SparkSession, root: str) -> DataFrame:
+    """Files in year folders whose names begin with ``_`` or ``.``, which readers leave out."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/*/[_.]*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    rows = [
+        (names.plain_path(f.getPath().toString()), f.getLen())
+        for f in found
+        if f.isFile() and not f.getPath().getName().endswith(".crc")
+    ]
+    return spark.createDataFrame(rows, LISTING_SCHEMA)
 
 
 def describe_files(files: DataFrame, root: str | None = None, loose: bool = False) -> DataFrame:
@@ -121,13 +148,14 @@ def collisions(manifest: DataFrame) -> DataFrame:
 
 
 def require_no_collisions(manifest: DataFrame) -> None:
-    found = collisions(manifest).limit(20).collect()
+    """Raise if several files have one output key; every such key is named."""
+    found = sorted(collisions(manifest).collect(), key=str)
     if found:
         listing = "\n".join(
             f"  {r.year}/{r.stem}: {r.n_files} files, e.g. {r.first_path} and {r.last_path}"
             for r in found
         )
-        raise ValueError(f"several inputs map to the same output:\n{listing}")
+        raise ValueError(f"{len(found)} outputs have several inputs each:\n{listing}")
 
 
 def attach_layouts(manifest: DataFrame, layout_files: DataFrame) -> DataFrame:
@@ -224,7 +252,8 @@ def select_files(
     loose: bool = False,
 ) -> DataFrame:
     """Raw files to read, directly in the year folders below ``root`` or by globs."""
-    files = describe_files(list_files(spark, root), root, loose)
+    listed = list_files(spark, root if globs else year_folders(root, years))
+    files = describe_files(listed, root, loose)
     if globs:
         candidates = select_globs(files, root, globs)
     else:
@@ -239,10 +268,20 @@ def build_manifest(spark: SparkSession, root: str, *args, **kwargs) -> DataFrame
 
 
 def rejected_files(spark: SparkSession, root: str) -> DataFrame:
-    """Files of no supported kind, layout files aside, and files without a year."""
-    files = describe_files(list_files(spark, root), root)
-    return files.filter(
-        (F.col("ext") != "fts") & (F.col("kind").isNull() | F.col("year").isNull())
-    ).withColumn(
-        "reason", F.when(F.col("kind").isNull(), "unsupported kind").otherwise("no year")
+    """Files of no supported kind, layout files aside, without a year, or with hidden names."""
+    files = describe_files(list_files(spark, root), root).withColumn("hidden", F.lit(False))
+    hidden = describe_files(hidden_files(spark, root), root).withColumn("hidden", F.lit(True))
+    # what Spark's writers leave beside their output is no raw file
+    hidden = hidden.filter(F.col("kind").isNotNull())
+    unusable = F.col("hidden") | F.col("kind").isNull() | F.col("year").isNull()
+    return (
+        files.unionByName(hidden)
+        .filter((F.col("ext") != "fts") & unusable)
+        .withColumn(
+            "reason",
+            F.when(F.col("hidden"), "hidden name")
+            .when(F.col("kind").isNull(), "unsupported kind")
+            .otherwise("no year"),
+        )
+        .drop("hidden")
     )

@@ -15,8 +15,8 @@ Order Field Long    Field Short SAS  Start Field
 -- End of File Transfer Summary
 """
 
-DELIMITED_LAYOUT = """Data File: maxdata_ak_ip_2007.csv  Rows:      3  Size(Bytes): 60
-Data File: maxdata_co_ip_2007.csv  Rows: 20,311  Size(Bytes): 1
+DELIMITED_LAYOUT = """Data File: visits_ak_ip_2007.csv  Rows:      3  Size(Bytes): 60
+Data File: visits_co_ip_2007.csv  Rows: 12,840  Size(Bytes): 1
 
 Order Column      SAS      Description
       Name        Type

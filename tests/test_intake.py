@@ -23,9 +23,9 @@ def tree(tmp_path):
     put(root, "2017/claims_2017_001.dat", FIXED_RECORDS)
     put(root, "2017/claims_2017_002.dat", FIXED_RECORDS + FIXED_RECORDS)
     put(root, "2017/claims_2017.fts", FIXED_LAYOUT.replace("claims_2016", "claims_2017"))
-    put(root, "2007/maxdata_ak_ip_2007.csv", CSV_TEXT)
-    put(root, "2007/maxdata_CO_ip_2007.csv", CSV_TEXT)
-    put(root, "2007/maxdata_ip_2007.fts", DELIMITED_LAYOUT)
+    put(root, "2007/visits_ak_ip_2007.csv", CSV_TEXT)
+    put(root, "2007/visits_CO_ip_2007.csv", CSV_TEXT)
+    put(root, "2007/visits_ip_2007.fts", DELIMITED_LAYOUT)
     put(root, "2007/den2007.sas7bdat", b"x")
     put(root, "2008/den2008.sas7bdat", b"x")
     put(root, "2008/nothing.txt", b"x")
@@ -37,8 +37,8 @@ def tree(tmp_path):
 def test_manifest(spark, tree):
     rows = build_manifest(spark, tree).collect()
     assert [(r.year, r.file_name, r.kind, r.stem, r.part) for r in rows] == [
-        ("2007", "maxdata_CO_ip_2007.csv", "csv", "maxdata_CO_ip", None),
-        ("2007", "maxdata_ak_ip_2007.csv", "csv", "maxdata_ak_ip", None),
+        ("2007", "visits_CO_ip_2007.csv", "csv", "visits_CO_ip", None),
+        ("2007", "visits_ak_ip_2007.csv", "csv", "visits_ak_ip", None),
         ("2008", "den2008.sas7bdat", "sas", "den", None),
         ("2009", "other_2009.dat", "dat", "other", None),
         ("2016", "claims_2016.dat", "dat", "claims", None),
@@ -49,7 +49,7 @@ def test_manifest(spark, tree):
         "den2007.sas7bdat",
         "den2008.sas7bdat",
     }
-    assert build_manifest(spark, tree, years=["2007", ""], stems=["maxdata_a"]).count() == 1
+    assert build_manifest(spark, tree, years=["2007", ""], stems=["visits_a"]).count() == 1
     assert build_manifest(spark, tree, years=[], stems=[" "]).count() == 7
     assert build_manifest(spark, tree, years=[1999]).count() == 0
     by_glob = build_manifest(spark, tree, globs=["{year}/claims*.dat", "{year}/*_001.dat"])
@@ -68,8 +68,8 @@ def test_intake(spark, tree, tmp_path):
     out = str(tmp_path / "out")
     status = {r.file_name: r.status for r in intake(spark, tree, out).collect()}
     assert status == {
-        "maxdata_CO_ip_2007.csv": "parsed",
-        "maxdata_ak_ip_2007.csv": "parsed",
+        "visits_CO_ip_2007.csv": "parsed",
+        "visits_ak_ip_2007.csv": "parsed",
         "den2008.sas7bdat": "not read",
         "other_2009.dat": "no layout",
         "claims_2016.dat": "parsed",
@@ -78,9 +78,9 @@ def test_intake(spark, tree, tmp_path):
     }
     claims = read_dataset(spark, out, "claims")
     assert claims.groupBy("year", "stem").count().sort("year", "stem").collect() == [
-        (2016, "claims", 6),
-        (2017, "claims__001", 6),
-        (2017, "claims__002", 12),
+        ("2016", "claims", 6),
+        ("2017", "claims__001", 6),
+        ("2017", "claims__002", 12),
     ]
     assert claims.dtypes[:5] == [
         ("BENE_ID", "string"),
@@ -90,7 +90,7 @@ def test_intake(spark, tree, tmp_path):
         ("REMARK", "string"),
     ]
     reports = {}
-    for line in spark.read.text(out + "/_reports/*").collect():
+    for line in spark.read.option("recursiveFileLookup", True).text(out + "/_reports").collect():
         entry = json.loads(line.value)
         reports[entry["year"], entry["stem"]] = json.loads(entry["report"])
     assert len(reports) == 5
@@ -106,8 +106,8 @@ def test_intake(spark, tree, tmp_path):
     assert claims16["missing_columns"] == [] and claims16["unexpected_columns"] == []
     assert claims16["duplicate_rows"] == 1
     assert "expected_rows" not in reports["2017", "claims__001"]["shape_check"]
-    assert reports["2007", "maxdata_ak_ip"]["shape_check"]["row_mismatch"] is False
-    assert "expected_rows" not in reports["2007", "maxdata_CO_ip"]["shape_check"]
+    assert reports["2007", "visits_ak_ip"]["shape_check"]["row_mismatch"] is False
+    assert "expected_rows" not in reports["2007", "visits_CO_ip"]["shape_check"]
 
     totals = [json.loads(r.value) for r in spark.read.text(out + "/_totals").collect()]
     found = {t["layout_file"].rsplit("/")[-1]: t for t in totals}
@@ -115,7 +115,7 @@ def test_intake(spark, tree, tmp_path):
         "layout_file": "", "actual_rows": 18, "expected_rows": 6, "row_mismatch": True,
     }
     assert found["claims_2016.fts"]["row_mismatch"] is False
-    assert found["maxdata_ip_2007.fts"].get("row_mismatch") is None
+    assert found["visits_ip_2007.fts"].get("row_mismatch") is None
 
     # A second run replaces the same folders.
     intake(spark, tree, out, run_qc=False)
@@ -160,7 +160,87 @@ def test_data_with_a_year_column(spark, tmp_path):
         intake(spark, root, out)
     intake(spark, root, out, keys=("file_year", "file_stem"))
     rows = read_dataset(spark, out, "a b+c", keys=("file_year", "file_stem")).sort("YEAR").collect()
-    assert [tuple(r) for r in rows] == [(1999.0, "x", 2016, "a b+c"), (2000.0, "y", 2016, "a b+c")]
+    assert [tuple(r) for r in rows] == [(1999.0, "x", "2016", "a b+c"), (2000.0, "y", "2016", "a b+c")]
+
+
+LAYOUT = "Order Column Type\n----- ------ ----\n1     a      NUM\n2     b      CHAR\n"
+
+
+def told(spark, out):
+    found = {}
+    for line in spark.read.option("recursiveFileLookup", True).text(out + "/_reports").collect():
+        entry = json.loads(line.value)
+        found[entry["year"], entry["stem"]] = json.loads(entry["report"])["shape_check"]
+    return found
+
+
+def test_folders_of_several_jobs(spark, tmp_path):
+    root, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for part, layout in (("001", LAYOUT), ("002", LAYOUT.replace("CHAR", "NUM "))):
+        put(root, f"2016/cl_2016_{part}.csv", "1,2\n")
+        put(root, f"2016/cl_2016_{part}.fts", layout)
+    with pytest.raises(ValueError, match="^1 output folders"):
+        intake(spark, root, out, loose=True)
+    mixed = str(tmp_path / "mixed")
+    put(mixed, "2016/cl_2016.dat", b"1    x\n")
+    put(mixed, "2016/cl_2016_001.csv", "1,2\n")
+    put(mixed, "2016/cl_2016.fts", "Order L N    T    S W\n----- ---- ---- ---- ---- ----\n1     A    a    NUM  1    5\n")
+    with pytest.raises(ValueError, match="several kinds or layouts"):
+        intake(spark, mixed, out, kinds="all")
+    assert not os.path.exists(out)
+
+
+def test_shared_folder_numeric_stem_and_later_runs(spark, tmp_path):
+    root, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for year in ("2016", "2017"):
+        put(root, f"{year}/007_{year}_001.csv", "1,x\n2,y\n")
+        put(root, f"{year}/007_{year}_002.csv", "3,x\n4,y\n5,z\n")
+        mentions = f"Data File: 007_{year}_001.csv  Rows: 2\nData File: 007_{year}_002.csv  Rows: 3\n"
+        put(root, f"{year}/007_{year}.fts", f"Exact File Quantity (Rows): 5\n{mentions}{LAYOUT}")
+    for year in ("2016", "2017"):
+        assert {r.status for r in intake(spark, root, out, years=[year]).collect()} == {"parsed"}
+    shapes = told(spark, out)
+    assert {k: (s["actual_rows"], s["expected_rows"], s["row_mismatch"]) for k, s in shapes.items()} == {
+        (y, "007"): (5, 5, False) for y in ("2016", "2017")
+    }
+    totals = [json.loads(r.value) for r in spark.read.option("recursiveFileLookup", True).text(out + "/_totals").collect()]
+    assert [(t["actual_rows"], t["expected_rows"]) for t in totals] == [(5, 5), (5, 5)]
+    assert {(r.year, r.stem) for r in read_dataset(spark, out).collect()} == {("2016", "007"), ("2017", "007")}
+    # a part number of four digits is read and found
+    put(root, "2017/007_2017_1000.csv", "6,x\n")
+    intake(spark, root, out, years=["2017"])
+    assert read_dataset(spark, out, "007").filter("year = 2017").count() == 6
+    # rows that are gone from the source go from their folder
+    put(root, "2016/007_2016_001.csv", "1,2,3\n")
+    put(root, "2016/007_2016_002.csv", "1,2,3\n")
+    intake(spark, root, out, years=["2016"], mode="drop")
+    assert read_dataset(spark, out).filter("year = 2016").count() == 0
+
+
+def test_trouble_with_some_files(spark, tmp_path):
+    root, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for name in ("good", "c[x]", "ragged", "latin"):
+        put(root, f"2016/{name}_2016.fts", LAYOUT)
+        put(root, f"2016/{name}_2016.csv", "1,x\n2,y\n")
+    put(root, "2016/ragged_2016.csv", "1,x\n2\n")
+    put(root, "2016/latin_2016.csv", "1,é\n".encode("latin-1"))
+    put(root, "2016/_x_2016.csv", "1,x\n")
+    put(root, "2016/y_2015.csv", "1,x\n")
+    put(root, "2016/y_2015.fts", b"Order Column\xff\n----- ------\n")
+    put(root, "2010/z_2010.fts", b"\xff\n")
+    found = {r.file_name: (r.status, r.note) for r in intake(spark, root, out, years=[2016]).collect()}
+    assert {f: s for f, (s, _) in found.items()} == {
+        "good_2016.csv": "parsed", "c[x]_2016.csv": "parsed", "ragged_2016.csv": "failed",
+        "latin_2016.csv": "failed", "y_2015.csv": "bad layout",
+    }
+    assert "expected 2 fields" in found["ragged_2016.csv"][1] and "UTF-8" in found["latin_2016.csv"][1]
+    assert found["y_2015.csv"][1].startswith("folder of 2016, name of 2015; ")
+    assert read_dataset(spark, out, "c[x]").count() == 2 and read_dataset(spark, out).count() == 4
+    rejects = [json.loads(r.value) for r in spark.read.text(out + "/_rejects").collect()]
+    assert [(r["path"].rsplit("/")[-1], r["reason"]) for r in rejects] == [("_x_2016.csv", "hidden name")]
+    fixed = intake(spark, root, str(tmp_path / "again"), stems=["latin"], csv_options={"encoding": "ISO-8859-1"})
+    assert fixed.first().status == "parsed"
+    assert read_dataset(spark, str(tmp_path / "again"), "latin").first().b == "é"
 
 
 def test_no_files(spark, tmp_path):

@@ -18,7 +18,7 @@ def fields(spark, text, *columns, **options):
 def test_scan_of_a_folder(spark, tmp_path):
     (tmp_path / "2016").mkdir()
     (tmp_path / "2016" / "claims_2016.fts").write_text(FIXED_LAYOUT)
-    (tmp_path / "maxdata_ip_2007.fts").write_text(DELIMITED_LAYOUT.replace("\n", "\r\n"))
+    (tmp_path / "visits_ip_2007.fts").write_text(DELIMITED_LAYOUT.replace("\n", "\r\n"))
     (tmp_path / "readme.txt").write_text("no layout")
     layout, shape, file_rows = scan_layouts(spark, str(tmp_path))
     claims = Layout.from_dataframe(layout, "claims_2016.fts")
@@ -32,15 +32,15 @@ def test_scan_of_a_folder(spark, tmp_path):
     assert claims.offsets() == [0, 5, 7, 15, 23] and claims.record_length == 29
     offsets = layout.filter("layout_stem = 'claims_2016'").sort("ord").select("offset").collect()
     assert [r.offset for r in offsets] == claims.offsets()
-    assert Layout.from_dataframe(layout, "maxdata_ip_2007.fts").names == ["BENE_ID", "PMT_AMT", "SRVC_DT"]
+    assert Layout.from_dataframe(layout, "visits_ip_2007.fts").names == ["BENE_ID", "PMT_AMT", "SRVC_DT"]
     shapes = {r.layout_stem: r for r in shape.collect()}
     assert shapes["claims_2016"].expected_rows == 6 and shapes["claims_2016"].expected_columns == 5
     assert shapes["claims_2016"].rows_source == "header"
-    assert shapes["maxdata_ip_2007"].expected_rows is None
-    assert shapes["maxdata_ip_2007"].expected_columns == 3
+    assert shapes["visits_ip_2007"].expected_rows is None
+    assert shapes["visits_ip_2007"].expected_columns == 3
     assert {(r.data_file, r.expected_rows) for r in file_rows.collect()} == {
-        ("maxdata_ak_ip_2007.csv", 3),
-        ("maxdata_co_ip_2007.csv", 20311),
+        ("visits_ak_ip_2007.csv", 3),
+        ("visits_co_ip_2007.csv", 12840),
     }
     with pytest.raises(ValueError, match="no layout rows"):
         Layout.from_dataframe(layout, "nothing.fts")

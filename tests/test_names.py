@@ -7,16 +7,16 @@ from rawloom.functions import names
 FILES = {
     "claims_2016.dat": ("dat", "2016", "claims", None, "claims_2016", "2016", "claims"),
     "claims_2016_001.dat": ("dat", "2016", "claims__001", "001", "claims_2016", "2016", "claims__001"),
-    "claims_res000017155_req014599_2022.dat": (
-        "dat", "2022", "claims_res000017155_req014599", None,
-        "claims_res000017155_req014599_2022", "2022", "claims_res000017155_req014599",
+    "claims_res000004182_lot038279_2022.dat": (
+        "dat", "2022", "claims_res000004182_lot038279", None,
+        "claims_res000004182_lot038279_2022", "2022", "claims_res000004182_lot038279",
     ),
     "claims.dat": ("dat", None, "claims", None, "claims", "claims.dat", "claims"),
-    "maxdata_ak_ip_2007.csv": (
-        "csv", "2007", "maxdata_ak_ip", None, "maxdata_ip_2007", "2007", "maxdata_ak_ip",
+    "visits_ak_ip_2007.csv": (
+        "csv", "2007", "visits_ak_ip", None, "visits_ip_2007", "2007", "visits_ak_ip",
     ),
-    "maxdata_AK_ip_2007.CSV": (
-        "csv", "2007", "maxdata_AK_ip", None, "maxdata_ip_2007", "2007", "maxdata_AK_ip",
+    "visits_AK_ip_2007.CSV": (
+        "csv", "2007", "visits_AK_ip", None, "visits_ip_2007", "2007", "visits_AK_ip",
     ),
     "claims_2011_002.csv": ("csv", "2011", "claims", "002", "claims_2011", "2011", "claims"),
     "claims.csv": ("csv", None, "claims", None, "claims", "unknown", "claims"),
@@ -24,8 +24,12 @@ FILES = {
     "den2002.sas7bdat": ("sas", "2002", "den", None, None, "2002", "den"),
     "mp_2006_1.sas7bdat": ("sas", "2006", "mp__1", "1", None, "2006", "mp__1"),
     "2002.sas7bdat": ("sas", "2002", "2002", None, None, "2002", "2002"),
-    "den_res000017155_2006.sas7bdat": (
-        "sas", "2006", "den_res000017155", None, None, "0000", "den_res17155_2006",
+    "den_res000004182_2006.sas7bdat": (
+        "sas", "2006", "den_res000004182", None, None, "0000", "den_res04182_2006",
+    ),
+    "cl_2016_1000.dat": ("dat", "2016", "cl__1000", "1000", "cl_2016", "2016", "cl_2016"),
+    "plan_2016_2017.dat": (
+        "dat", "2017", "plan_2016", None, "plan_2016_2017", "2016", "plan_2016",
     ),
     "notes.txt": (None,) * 7,
     "noext": (None,) * 7,

@@ -12,6 +12,7 @@ from rawloom import (
     detect_kinds,
     duplicate_rows,
     infer_and_cast,
+    sampled_kinds,
     missing_values,
     numeric_summary,
     read_fixed_width,
@@ -145,12 +146,7 @@ def test_hot_values_against_brute_force(spark):
     }
     surplus = {r.ds: r.duplicate_rows for r in duplicate_rows(df, ["ds"]).collect()}
     assert surplus == {ds: len(v) - len(set(v)) for ds, v in by.items() if len(v) > len(set(v))}
-    for limit in (500_000, 0):
-        profile.REPEATED_HASH_LIMIT, old = limit, profile.REPEATED_HASH_LIMIT
-        try:
-            assert duplicate_rows(df, prefilter=True).first().duplicate_rows == len(rows) - len(set(rows))
-        finally:
-            profile.REPEATED_HASH_LIMIT = old
+    assert duplicate_rows(df, prefilter=True).first().duplicate_rows == len(rows) - len(set(rows))
 
 
 def test_running_total_and_take_while(spark):
@@ -162,9 +158,12 @@ def test_running_total_and_take_while(spark):
         total += v
         expected[g, i] = total
     assert {(r.g, r.i): r.t for r in out} == expected
-    with pytest.raises(Exception, match="no block total"):
-        none = df.withColumn("block", F.lit(None).cast("int"))
-        ordered.row_index(none, ["g"], "block", ["i"]).collect()
+    none = df.withColumns({"block": F.lit(None).cast("int"), "g": F.nullif("g", F.lit("hot"))})
+    assert {(r.g, r.i): r.row_index for r in ordered.row_index(none, ["g"], "block", ["i"]).collect()} == {
+        ("b", 3): 0, **{(None, i): i for i in range(500)},
+    }
+    stopped = ordered.take_while(none, ["g"], "i", F.col("v") == 5).collect()
+    assert {(r.g, r.i) for r in stopped} == {("b", 3), *[(None, i) for i in range(5)]}
     kept = ordered.take_while(df, ["g"], "i", F.col("v") == 5).collect()
     assert {(r.g, r.i) for r in kept} == {("b", 3), *[("hot", i) for i in range(5)]}
 
@@ -185,6 +184,13 @@ def test_reconcile(spark):
     assert rows["y"].row_mismatch is None and rows["y"].column_mismatch is None
 
 
+def test_report_without_text_columns(spark):
+    df = spark.createDataFrame([(1, 2.0), (1, 2.0), (2, None)], "a int, b double")
+    found = json.loads(report(df).first().report)
+    assert found["duplicate_rows"] == 1 and found["top_categories"] == {}
+    assert found["column_checks"]["b"]["missing_values"] == 1
+
+
 def test_kinds(spark):
     df = spark.createDataFrame(
         [
@@ -199,8 +205,13 @@ def test_kinds(spark):
         "time": "string", "stamp": "date", "f": "numeric", "row": "numeric",
     }
     assert {r.column: r.kind for r in detect_kinds(df).collect()} == kinds
-    sampled = {r.column: r.kind for r in detect_kinds(df, sample=10, order=["row"]).collect()}
-    assert sampled == {c: k for c, k in kinds.items() if c != "row"}
+    sampled = {r.column: (r.kind, r.misfits) for r in sampled_kinds(df, ["row"]).collect()}
+    assert sampled == {c: (k, 0) for c, k in kinds.items() if c not in ("row", "f")}
+    late = spark.createDataFrame([(i, str(i) if i < 12 else "late") for i in range(20)], "row int, v string")
+    assert sampled_kinds(late, ["row"]).collect() == [("v", "numeric", 8)]
+    assert infer_and_cast(late).dtypes[1] == ("v", "string")
+    codes = spark.createDataFrame([("00501", "12345678901234567", "0.5", "-07"), ("1", "2", "10", "3")], "a string, b string, c string, d string")
+    assert [r.kind for r in detect_kinds(codes).collect()] == ["string", "string", "numeric", "string"]
     cast = infer_and_cast(df).sort("row").collect()
     assert cast[0] == (dt.date(2016, 1, 1), 1.0, "a", None, "10:30:00", dt.date(1960, 5, 5), 1.5, 1.0)
     assert cast[2] == (None, None, None, None, None, dt.date(2001, 1, 1), None, 3.0)
