@@ -249,10 +249,10 @@ def shape_scan(spark, sf_dir):
 @_c.add(
     "a7_file_rows",
     """
-    SELECT '/in/l' || c_custkey || '.fts' AS layout_file, 'visits_' || v || '.csv' AS data_file,
-           CAST(CASE v WHEN 'ak' THEN c_custkey * 1000 ELSE c_nationkey END AS BIGINT)
+    SELECT '/in/l' || c_custkey || '.fts' AS layout_file, 'visits' || v || '.csv' AS data_file,
+           CAST(CASE v WHEN '_ak' THEN c_custkey * 1000 ELSE c_nationkey END AS BIGINT)
                AS expected_rows
-    FROM customer, (VALUES ('ak'), ('co')) s(v)""",
+    FROM customer, (VALUES ('_ak'), (' co 1')) s(v)""",
 )
 def file_rows(spark, sf_dir):
     texts = table(spark, sf_dir, "customer").select(
@@ -262,7 +262,7 @@ def file_rows(spark, sf_dir):
         F.concat(
             F.lit("Data File: visits_ak.csv  Rows:     "),
             F.format_number(F.col("c_custkey") * 1000, 0),
-            F.lit("  Size(Bytes): 60\nData File: visits_co.csv  Rows: "),
+            F.lit("  Size(Bytes): 60\nData File: visits co 1.csv  Rows: "),
             F.col("c_nationkey").cast("string"),
             F.lit("\nData File: visits_ak.csv  Rows: 1\nRows: 77\n"),
         ).alias("text"),
@@ -303,12 +303,12 @@ def heading_block(spark, sf_dir):
     "e7_span_starts",
     """
     SELECT p_partkey, CAST(k AS INTEGER) AS k,
-           CAST(CASE k WHEN 0 THEN 1 WHEN 1 THEN a + 3 ELSE a + p_size + 4 END AS INTEGER) AS start,
-           CAST(CASE k WHEN 0 THEN 0 WHEN 1 THEN a + 2 ELSE a + p_size + 4 END AS INTEGER)
+           CAST(CASE k WHEN 0 THEN 1 WHEN 1 THEN a + 3 ELSE a + s + 4 END AS INTEGER) AS start,
+           CAST(CASE k WHEN 0 THEN 0 WHEN 1 THEN a + 2 ELSE a + s + 4 END AS INTEGER)
                AS start_by_gap,
-           CAST(CASE k WHEN 0 THEN a WHEN 1 THEN p_size ELSE length(p_type) END AS INTEGER) AS width
-    FROM (SELECT p_partkey, p_size, p_type, length(p_name) AS a FROM part WHERE p_size > 0),
-         (VALUES (0), (1), (2)) s(k)""",
+           CAST(CASE k WHEN 0 THEN a WHEN 1 THEN s ELSE length(p_type) END AS INTEGER) AS width
+    FROM (SELECT p_partkey, greatest(p_size, 0) + 1 AS s, p_type, length(p_name) AS a FROM part),
+         (VALUES (0), (1), (2)) v(k)""",
 )
 def span_starts(spark, sf_dir):
     """Dash runs after a leading blank, with gaps of two blanks and of one."""
@@ -316,14 +316,14 @@ def span_starts(spark, sf_dir):
     def run(length):
         return F.repeat(F.lit("-"), length)
 
-    df = table(spark, sf_dir, "part").filter(F.col("p_size") > 0)
+    df = table(spark, sf_dir, "part")
     df = df.select(
         "p_partkey",
         F.concat(
             F.lit(" "),
             run(F.length("p_name")),
             F.lit("  "),
-            run(F.col("p_size")),
+            run(F.greatest("p_size", F.lit(0)) + 1),
             F.lit(" "),
             run(F.length("p_type")),
         ).alias("line"),
