@@ -3,10 +3,10 @@
 Every text becomes its set of distinct word shingles. Texts with equal sets are one class, for which
 the smallest key stands. Minima of many universal hash functions over a set are cut into bands; texts
 that agree in a band are candidates. Candidates are compared first by signature (two bits of each
-minimum), then by their full sets. In each band's bucket all texts are compared with the smallest one;
-only buckets that then still hold several components are compared pair by pair, and only across
-components. So a bucket of many copies costs one comparison a copy, and no link is missed that could
-join two components.
+minimum), then by their full sets. In each band's bucket all texts are compared with its centre, the text
+that meets most others. Two others of the bucket can then only be a link across components if they
+share shingles that the centre lacks, and only such pairs are compared. So a bucket of many copies
+costs one comparison a copy, and no link is missed that could join two components.
 """
 
 import numpy as np
@@ -24,6 +24,8 @@ SHINGLE = 5
 BANDS, ROWS = 28, 4
 #: Bits of 224 in which signatures may differ: over six standard deviations more than sets of similarity 0.8 do.
 DIFFERENT_BITS = 58
+#: Texts in a bucket of which pairs are compared directly.
+BUCKET = 1000
 #: Keys that a broadcast may hold.
 SMALL = 1_000_000
 
@@ -136,20 +138,6 @@ def _sets(docs: DataFrame) -> DataFrame:
     return docs.select("doc", "text").mapInArrow(rows, fields)
 
 
-@F.pandas_udf(T.LongType())
-def _shared(left: pd.Series, right: pd.Series) -> pd.Series:
-    """How many hashes two sorted sets share."""
-    out = np.zeros(len(left), np.int64)
-    for i, (a, b) in enumerate(zip(left, right)):
-        x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-        if len(x) > len(y):
-            x, y = y, x
-        if len(x):
-            at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-            out[i] = int((y[at] == x).sum())
-    return pd.Series(out)
-
-
 def _agree(left, right, percent: int):
     """Whether sizes and signatures of two texts allow the similarity."""
     bits = sum((F.bit_count(F.get(left["sketch"], F.lit(k)).bitwiseXOR(F.get(right["sketch"], F.lit(k)))) for k in range(4)), F.lit(0))
@@ -157,18 +145,93 @@ def _agree(left, right, percent: int):
     return (100 * small >= percent * large) & (bits <= DIFFERENT_BITS)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (``a``, ``b``) whose full sets are similar enough."""
+TESTED = T.StructType([
+    T.StructField("both", T.LongType()),
+    T.StructField("n_a", T.LongType()),
+    T.StructField("n_b", T.LongType()),
+    T.StructField("extras", T.ArrayType(T.LongType(), False)),
+])
+
+
+def _comparison(percent: int):
+    @F.pandas_udf(TESTED)
+    def compared(left: pd.Series, right: pd.Series, more: pd.Series) -> pd.DataFrame:
+        """Sizes of two sets and of their intersection; with ``more`` what the second has beyond the first.
+
+        Of these extras a prefix (in the order of hashes) is enough: for a link with another text that
+        shares fewer than ``percent`` of the second's size with the first, the rest must be among them.
+        """
+        both, n_a, n_b, extras = [], [], [], []
+        for a, b, m in zip(left, right, more):
+            x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+            at = np.minimum(np.searchsorted(x, y), max(len(x) - 1, 0))
+            inside = x[at] == y if len(x) else np.zeros(len(y), bool)
+            n = int(inside.sum())
+            beyond = y[~inside] if m else y[:0]
+            short = max(1, -((100 * n - percent * len(y)) // 100))
+            both.append(n)
+            n_a.append(len(x))
+            n_b.append(len(y))
+            extras.append(beyond[: max(len(beyond) - short + 1, 0)].view(np.int64))
+        return pd.DataFrame({"both": both, "n_a": n_a, "n_b": n_b, "extras": extras})
+
+    return compared
+
+
+def _tested(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Full comparison of pairs (``a``, ``b``, ``more``)."""
     wanted = stored(pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct(), "wanted")
     few = F.broadcast(wanted) if broadcastable(wanted, SMALL) else wanted
     sets = stored(_sets(docs.join(few, "doc", "left_semi")), "sets")
-    both = (
+    compared = (
         pairs.join(sets.select(F.col("doc").alias("b"), F.col("set").alias("set_b")), "b")
         .join(sets.select(F.col("doc").alias("a"), F.col("set").alias("set_a")), "a")
-        .select("a", "b", (F.length("set_a") / 8).cast("long").alias("n_a"), (F.length("set_b") / 8).cast("long").alias("n_b"),
-                _shared("set_a", "set_b").alias("both"))
+        .select("a", "b", _comparison(percent)("set_a", "set_b", "more").alias("found"))
+    )
+    return stored(compared.select("a", "b", "found.*"), "tested")
+
+
+def _linked(tested: DataFrame, percent: int) -> DataFrame:
+    return tested.where(100 * F.col("both") >= percent * (F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b")
+
+
+def _across(members: DataFrame, found: DataFrame, percent: int, homes: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """What may link components, among texts compared with the same one: pairs, and stars of large buckets.
+
+    Two texts x, y share at most the smaller of what each shares with the text p that both were compared
+    with, and what both have beyond p. So either the former is enough for a link (seldom: then the pair is
+    compared), or they share a shingle of their extras beyond p. Of up to ``BUCKET`` texts that share one,
+    the pairs across components are compared; of more, all with the smallest, whose group is then
+    treated like p's. A pair whose texts both have most in common with another p is left to that p's group.
+    """
+    placed = members.join(found.withColumnRenamed("node", "b"), "b", "left").withColumn("component", F.coalesce("component", "b"))
+    placed = placed.withColumn("home", F.col("a")) if homes is None else placed.join(homes, "b")
+    several = placed.groupBy("a").agg((F.min("component") < F.max("component")).alias("mixed")).where("mixed").select("a")
+    placed = stored(placed.join(stored(several, "several"), "a"), "mixed")
+    extra = placed.select("a", "b", "component", "home", F.explode("extras").alias("shingle"))
+    keys = extra.groupBy("a", "shingle").agg(
+        F.count("*").alias("size"), F.min("b").alias("first"), (F.min("component") < F.max("component")).alias("mixed")
     )
-    return both.where(100 * F.col("both") >= percent * (F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b")
+    keys = stored(keys.where("mixed").select("a", "shingle", "size", "first"), "keys")
+    extra = stored(extra.join(keys, ["a", "shingle"]), "extras")
+    stars = extra.where((F.col("size") > BUCKET) & (F.col("first") != F.col("b"))).select(F.col("first").alias("a"), "b")
+
+    def other(x: str, y: str):
+        return (F.col(f"{x}.b") < F.col(f"{y}.b")) & (F.col(f"{x}.component") != F.col(f"{y}.component")) & (
+            (F.col(f"{x}.home") != F.col(f"{y}.home")) | (F.col(f"{x}.home") == F.col(f"{x}.a")))
+
+    few = extra.where(F.col("size") <= BUCKET)
+    x, y = few.alias("x"), few.alias("y")
+    pairs = x.join(y, (F.col("x.a") == F.col("y.a")) & (F.col("x.shingle") == F.col("y.shingle")) & other("x", "y"))
+    pairs = pairs.select(F.col("x.b").alias("a"), F.col("y.b").alias("b"))
+    # texts that share enough with p alone
+    able = 100 * F.col("both") + percent * F.col("both") >= percent * (F.col("n_b") + F.ceil(F.col("n_b") * percent / 100))
+    x, y = placed.where(able).alias("x"), placed.where(able).alias("y")
+    least = F.least("x.both", "y.both")
+    enough = 100 * least + percent * least >= percent * (F.col("x.n_b") + F.col("y.n_b"))
+    whole = x.join(y, (F.col("x.a") == F.col("y.a")) & other("x", "y") & enough)
+    pairs = pairs.unionByName(whole.select(F.col("x.b").alias("a"), F.col("y.b").alias("b")))
+    return stored(pairs.distinct(), "pairs"), stored(stars.distinct(), "hot")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -198,28 +261,35 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id", tex
     single = stored(single, "single")
 
     member = single.select("doc", F.explode("bands").alias("bucket"))
-    buckets = stored(member.groupBy("bucket").agg(F.min("doc").alias("a"), F.count("*").alias("size")).where("size > 1"), "buckets")
-    member = stored(member.join(buckets, "bucket").select("bucket", "a", "doc"), "members")
-    sketch = single.select("doc", "n", "sketch")
-    stars = member.where("a <> doc").select("a", F.col("doc").alias("b")).distinct()
-    stars = _signature_checked(stars, sketch, percent)
-    links = stored(_verified(stored(stars, "stars"), texts, percent), "links")
-    found = stored(components(links), "found")
-
-    # buckets that still hold several components: every pair across them
-    placed = member.drop("a").join(found.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
-    rest = stored(placed.join(stored(mixed, "mixed"), "bucket").join(sketch, "doc"), "rest")
-    x, y = rest.alias("x"), rest.alias("y")
-    left = {"n": F.col("x.n"), "sketch": F.col("x.sketch")}
-    right = {"n": F.col("y.n"), "sketch": F.col("y.sketch")}
-    across = x.join(
-        y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.doc") < F.col("y.doc")) & (F.col("x.component") != F.col("y.component")) & _agree(left, right, percent)
-    ).select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()
-    more = stored(_verified(stored(across, "across"), texts, percent), "more")
-
-    edges = same.unionByName(found.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))).unionByName(more)
-    reached = components(edges).withColumnRenamed("node", "doc")
+    buckets = stored(member.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
+    member = stored(member.join(buckets, "bucket"), "members")
+    # each bucket's centre: the text that meets most others in all its buckets
+    weight = stored(member.groupBy("doc").agg(F.sum("size").alias("weight")), "weights")
+    member = member.join(weight, "doc")
+    centres = stored(member.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("doc")).alias("minus"))).alias("c")), "centres")
+    stars = member.join(centres, "bucket").select((-F.col("c.minus")).alias("a"), F.col("doc").alias("b")).where("a <> b").distinct()
+    stars = stored(stars, "stars")
+    groups = stored(stars.groupBy("a").agg((F.count("*") > 1).alias("more")), "groups")
+    new = _signature_checked(stars, single.select("doc", "n", "sketch"), percent).join(groups, "a").where("more OR agree")
+
+    # in each bucket all with its centre; then what may link across the components so found
+    tested = _tested(stored(new.select("a", "b", "more"), "candidates"), texts, percent)
+    edges = same.unionByName(_linked(tested, percent))
+    members = tested.join(groups.where("more"), "a").drop("more")
+    best = members.groupBy("b").agg(F.max(F.struct("both", (-F.col("a")).alias("minus"))).alias("best"))
+    homes = stored(best.select("b", (-F.col("best.minus")).alias("home")), "homes")
+    while True:
+        found = stored(components(edges), "found")
+        pairs, hot = _across(members, found, percent, homes)
+        asked = pairs.withColumn("more", F.lit(False)).unionByName(hot.withColumn("more", F.lit(True)))
+        asked = stored(asked.groupBy("a", "b").agg(F.max("more").alias("more")), "asked")
+        if asked.isEmpty():
+            break
+        new = _tested(asked, texts, percent)
+        edges = found.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(_linked(new, percent))
+        # nothing else is compared with the centre of a large bucket in its group
+        members, homes = new.join(hot, ["a", "b"], "left_semi"), None
+    reached = found.withColumnRenamed("node", "doc")
     return (
         signed.select("doc", "n_shingles")
         .join(reached, "doc", "left")
@@ -233,9 +303,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id", tex
 
 
 def _signature_checked(pairs: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
+    """The pairs, and whether their signatures ``agree``."""
     a = sketch.select(F.col("doc").alias("a"), F.struct("n", "sketch").alias("left"))
     b = sketch.select(F.col("doc").alias("b"), F.struct("n", "sketch").alias("right"))
-    return pairs.join(b, "b").join(a, "a").where(_agree(F.col("left"), F.col("right"), percent)).select("a", "b")
+    return pairs.join(b, "b").join(a, "a").select("a", "b", _agree(F.col("left"), F.col("right"), percent).alias("agree"))
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
