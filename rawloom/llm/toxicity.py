@@ -217,8 +217,10 @@ def train(rows: DataFrame, text: str = "text", label: str = "label", train_rows:
             }
             # evidence: the ratio less two standard errors
             sure = {e: r - 2 * math.sqrt(1 / (toxic[e] + 0.5) + 1 / (clean.get(e, 0) + 0.5)) for e, r in ratio.items()}
-            chosen = sorted((e for e in ratio if sure[e] >= least and not _implied(e, ratio)), key=lambda e: (-sure[e], e))
-            lexicon.weights.update({e: round(sure[e], 6) for e in chosen[:entries]})
+            spare = _spare(toxic, ratio)
+            chosen = sorted((e for e in ratio if sure[e] >= least and e not in spare), key=lambda e: (-sure[e], e))[:entries]
+            lexicon.weights.update({f"{e[:-1]}s ": round(sure[e], 6) for e in chosen if e.endswith(" ") and not e.endswith("s ")})  # plurals
+            lexicon.weights.update({e: round(sure[e], 6) for e in chosen})
             shared = rows.sparkSession.sparkContext.broadcast(lexicon)
 
             def measured(batches):
@@ -235,10 +237,19 @@ def train(rows: DataFrame, text: str = "text", label: str = "label", train_rows:
     return lexicon
 
 
-def _implied(entry: str, ratio: dict[str, float]) -> bool:
-    """Whether a shorter beginning of the same word says as much."""
-    stem = entry.rstrip(" ")
-    return any(ratio.get(stem[:n], -9.0) >= ratio[entry] - 0.25 for n in (s + 1 for s in STEMS) if n < len(entry) and stem[:n] != entry)
+def _spare(texts: dict[str, int], ratio: dict[str, float], most: float = 0.9) -> set[str]:
+    """Entries that others stand for: a beginning of which nearly all texts have one and the same
+    longer entry, and longer entries that are a small part of a beginning which says as much."""
+    out = set()
+    for entry, n in texts.items():
+        stem = entry.rstrip(" ")
+        for shorter in (stem[: k + 1] for k in STEMS if k + 1 < len(entry)):
+            if shorter != entry and shorter in texts:
+                if n >= most * texts[shorter]:
+                    out.add(shorter)
+                elif ratio[shorter] >= ratio[entry] - 0.25:
+                    out.add(entry)
+    return out
 
 
 def toxicity(docs: DataFrame, lexicon: Lexicon, text: str = "text", threshold: float = 0.5) -> DataFrame:
