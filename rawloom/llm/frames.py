@@ -50,9 +50,9 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def broadcastable(df: DataFrame, rows: int) -> bool:
-    """Whether a table has at most so many rows; reads one more than that at most."""
-    return df.limit(rows + 1).count() <= rows
+def broadcastable(table: DataFrame, rows: int) -> bool:
+    """Whether a stored table has at most so many rows, by its files' footers."""
+    return table.count() <= rows
 
 
 __all__ = ["broadcastable", "free_name", "remainder", "scratch", "stored", "table", "vocabulary"]

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .frames import broadcastable, free_name, table
+from .frames import broadcastable, free_name, stored, table
 
 # Elements by what HTML and common usage say about them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -275,9 +275,9 @@ def extract(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame
 
     site, paths = free_name(pages, "site"), free_name(pages, "paths")
     placed = pages.withColumn(site, canonical(F.col(url))[0])
-    low = style_tree(placed, page, site)
-    low = low.groupBy("site").agg(F.collect_list("path").alias(paths)).withColumnRenamed("site", site)
-    low = F.broadcast(low) if broadcastable(low.select(F.explode(paths)), SMALL) else low
+    branch = stored(style_tree(placed, page, site), "branches")
+    low = branch.groupBy("site").agg(F.collect_list("path").alias(paths)).withColumnRenamed("site", site)
+    low = F.broadcast(low) if broadcastable(branch, SMALL) else low
 
     @F.pandas_udf("string")
     def text_of(texts: pd.Series, low_paths: pd.Series) -> pd.Series:
