@@ -67,11 +67,16 @@ def stream_profiles(rows: DataFrame, out: str, checkpoint: str) -> StreamingQuer
     """Profile each arriving batch.
 
     A batch that is repeated after a failure replaces its own folder, so every batch is
-    profiled exactly once.
+    profiled exactly once. The raw text of a batch is parsed once and its typed rows are
+    kept for the passes of the profile.
     """
 
     def keep(batch: DataFrame, batch_id: int) -> None:
-        column_profile(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        batch = batch.persist()
+        try:
+            column_profile(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     return (
         rows.writeStream.foreachBatch(keep)
