@@ -64,17 +64,25 @@ def with_dash_spans(
     ``from_previous_end`` assumes a gap of one blank: a span then starts one after the
     end of the run before it, the first one at 0.
     """
-    pieces, runs = F.col(f"{out}_pieces"), F.col(out)
-    df = df.withColumn(f"{out}_pieces", F.regexp_extract_all(line, F.lit("(-+|[^-]+)"), 1))
+    data, first, last, runs = (F.col(f"{out}{x}") for x in ("_bytes", "_first", "_last", ""))
+    # One byte for each character, so that bytes can be looked at by their place.
+    plain = F.regexp_replace(F.col(line), "[^ -~]", " ").cast("binary")
+    df = df.withColumn(f"{out}_bytes", plain)
+    dash = F.lit("-").cast("binary")
+    places = F.sequence(F.lit(1), F.greatest(F.octet_length(data), F.lit(1)))
+
+    def edge(i, step):
+        beside = F.when((i + step >= 1), F.substring(data, i + step, F.lit(1)))
+        return (F.substring(data, i, F.lit(1)) == dash) & F.coalesce(beside != dash, F.lit(True))
+
+    df = df.withColumn(f"{out}_first", F.filter(places, lambda i: edge(i, -1)))
+    df = df.withColumn(f"{out}_last", F.filter(places, lambda i: edge(i, 1)))
     placed = F.transform(
-        pieces,
-        lambda p, i: F.struct(
-            F.length(F.array_join(F.slice(pieces, F.lit(1), i), "")).alias("start"),
-            F.when(F.startswith(p, F.lit("-")), F.length(p)).alias("width"),
-        ),
+        first,
+        lambda s, k: F.struct((s - 1).alias("start"), (F.get(last, k) - s + 1).alias("width")),
     )
-    df = df.withColumn(out, F.filter(placed, lambda s: s["width"].isNotNull()))
-    df = df.drop(f"{out}_pieces")
+    df = df.withColumn(out, F.when(F.col(line).isNotNull(), placed))
+    df = df.drop(f"{out}_bytes", f"{out}_first", f"{out}_last")
     if not from_previous_end:
         return df
     ends = F.transform(runs, lambda s: s["start"] + s["width"] + 1)
@@ -291,10 +299,13 @@ def layout_fields(parsed: DataFrame) -> DataFrame:
     # Delimited: a repeated name keeps its first place and takes its last type.
     df = df.withColumn("named", F.filter("rows", lambda r: r["name"] != ""))
     df = df.withColumn("names", F.array_distinct(F.transform("named", lambda r: r["name"])))
+    df = df.withColumn("backwards", F.reverse("named"))
+    df = df.withColumn("from_last", F.transform("backwards", lambda r: r["name"]))
     df = df.withColumn(
         "lasts",
         F.transform(
-            "names", lambda n: F.element_at(F.filter("named", lambda r: r["name"] == n), -1)
+            "names",
+            lambda n: F.get("backwards", (F.array_position("from_last", n) - 1).cast("int")),
         ),
     )
     unique = F.transform(
@@ -306,16 +317,22 @@ def layout_fields(parsed: DataFrame) -> DataFrame:
     )
     usable = F.col("name_at").isNotNull() & F.col("type_at").isNotNull()
     df = df.withColumn("fields", F.when(usable & fixed, F.col("rows")).when(usable, unique))
-    offset = F.aggregate(
-        F.slice("widths", F.lit(1), F.col("f.ord") - 1),
-        F.lit(0),
-        lambda total, w: total + F.greatest(w, F.lit(0)),
+    running = F.aggregate(
+        "widths",
+        F.struct(F.lit(0).alias("total"), F.array().cast("array<int>").alias("before")),
+        lambda done, w: F.struct(
+            (done["total"] + F.greatest(w, F.lit(0))).alias("total"),
+            F.concat(done["before"], F.array(done["total"])).alias("before"),
+        ),
+        lambda done: done["before"],
     )
+    df = df.withColumn("offsets", running)
+    offset = F.get("offsets", F.col("f.ord") - 1)
     exploded = df.select(
         "layout_file",
         "layout_stem",
         "style",
-        "widths",
+        "offsets",
         F.size("fields").alias("n"),
         F.explode_outer("fields").alias("f"),
     )
