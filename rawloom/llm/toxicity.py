@@ -13,10 +13,10 @@ from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import ragged
 from .frames import remainder, table
@@ -42,6 +42,8 @@ TRAIN_ROWS = 20_000
 #: Entries of the lexicon, the strongest first.
 LEXICON = 5_000
 STEMS = (4, 5, 6)
+#: Entries that a task counts before it passes them on.
+COUNTED = 50_000
 
 
 @lru_cache(1)
@@ -185,15 +187,20 @@ def train(rows: DataFrame, text: str = "text", label: str = "label", train_rows:
     def counted(wanted):
         keep = None if wanted is None else set(wanted.value)
 
+        def packed(seen):
+            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["entry", "n"])
+
         def count(batches):
-            seen, texts = Counter(), 0
+            seen = Counter()
             for batch in batches:
                 for _, own in _texts(batch.column(0)):
                     found = _entries(own)
                     seen.update(found if keep is None else found & keep)
-                    texts += 1
-            seen[""] = texts
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["entry", "n"])
+                    seen[""] += 1
+                    if len(seen) > COUNTED:  # Spark adds up what is sent in parts
+                        yield packed(seen)
+                        seen.clear()
+            yield packed(seen)
 
         return count
 
@@ -259,32 +266,45 @@ def toxicity(docs: DataFrame, lexicon: Lexicon, text: str = "text", threshold: f
     empty table stays empty.
     """
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
+    kept = [c for c in docs.columns if c.lower() not in ("score", "predicted")]
+    names = [f"c{i}" for i in range(len(kept))]
+    fields = T.StructType([T.StructField(n, docs.schema[c].dataType) for n, c in zip(names, kept)]).add("score", "double")
+    place = kept.index(text)
 
-    @F.pandas_udf("double")
-    def scored(series: pd.Series) -> pd.Series:
+    def scored(batches):
         own = shared.value
         automaton = own.automaton()
         constant, *slopes = own.fit
-        out = np.zeros(len(series))
-        for i, t in _texts(pa.array(series, pa.large_string())):
-            found = hits(automaton, t)
-            x = measures(found, _word_count(t)) if found else (0.0, 0.0, 0.0)
-            z = constant + sum(a * b for a, b in zip(slopes, x))
-            out[i] = 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
-        return pd.Series(out)
-
-    return docs.withColumn("score", scored(F.col(text))).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
-
-
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Texts and labels of the rows that may be learned from."""
-    return (
-        labels.where(remainder(F.col("doc_id"), 5) != 0)
-        .where("toxic IS NOT NULL")
-        .select("doc_id", F.col("toxic").alias("label"))
-        .join(docs.select("doc_id", "text").where(remainder(F.col("doc_id"), 5) != 0), "doc_id")
-        .select("text", "label")
-    )
+        for batch in batches:
+            out = np.zeros(batch.num_rows)
+            for i, t in _texts(batch.column(place)):
+                found = hits(automaton, t)
+                x = measures(found, _word_count(t)) if found else (0.0, 0.0, 0.0)
+                z = constant + sum(a * b for a, b in zip(slopes, x))
+                out[i] = 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], fields.names)
+
+    found = docs.select(*[F.col(f"`{c}`").alias(n) for n, c in zip(names, kept)]).mapInArrow(scored, fields)
+    found = found.select(*[F.col(n).alias(c) for n, c in zip(names, kept)], "score")
+    return found.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def labelled(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
+    """Texts and labels of the rows that may be learned from, about ``train_rows`` of each label.
+
+    They are drawn from the labels, by a hash of the key, before texts are looked up; so the list that
+    is broadcast has a fixed size, and texts aren't shuffled.
+    """
+    usable = labels.where((remainder(F.col("doc_id"), 5) != 0) & F.col("toxic").isin(0, 1))
+    usable = usable.select("doc_id", F.col("toxic").cast("int").alias("label"))
+    sizes = {r["label"]: r["n"] for r in usable.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    share = F.lit(0.0)
+    for label, n in sizes.items():
+        share = F.when(F.col("label") == label, F.lit(min(1.0, train_rows / n))).otherwise(share)
+    scale = 1 << 20
+    drawn = usable.where((F.xxhash64("doc_id") % scale + scale) % scale < share * scale)
+    texts = docs.select("doc_id", "text").where(remainder(F.col("doc_id"), 5) != 0)
+    return texts.join(F.broadcast(drawn), "doc_id").select("text", "label")
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
