@@ -45,6 +45,7 @@ def test_query(spark, sql, name):
 # Plans that end in one task, which then holds one row per task or per column, a sorted
 # top-k of each task, or per-task group limits.
 SMALL_ENDS = {
+    "a3_failfast", "b4_failfast", "d5_duplicates_maps", "g4_sampled_kinds", "k5_collisions",
     "a13_report_json", "d15_column_profile", "d3_nulls", "d4_distinct", "d12_detect_kind",
     "d5_duplicates", "d5_duplicates_all_columns", "d5_duplicates_prefiltered",
     "d6_d8_numeric_profile", "f1_top_of_column", "f2_offset_limit", "k4_profile",
