@@ -20,7 +20,7 @@ from .frames import table, vocabulary
 from .pretokens import Remembered, byte_characters, pretokens, take_ragged
 
 #: Pre-tokens whose ids a worker remembers.
-REMEMBERED = 800_000
+REMEMBERED = 300_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -57,6 +57,10 @@ class Codec:
             self.sizes[rank] = len(token)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.bytes = np.frombuffer(b"".join(by_id), np.uint8)
+        self.renew()
+
+    def renew(self) -> None:
+        """Forget all pre-tokens: workers outlive their tasks, and other tasks need the memory."""
         self.forget()
         self.remembered = Remembered(self.learn, self.forget, REMEMBERED)
 
@@ -115,6 +119,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
 
     def rows(batches):
         codec = _codec(path)
+        codec.renew()
         for batch in batches:
             for i, j, data, offsets in ragged.chunks(batch.column(1)):
                 ids, at = codec.encode(data, offsets)
@@ -162,6 +167,7 @@ def round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str = "tex
 
     def rows(batches):
         codec = _codec(path)
+        codec.renew()
         digest = lambda flat, a, b: hashlib.sha256(flat[a:b]).hexdigest()
         for batch in batches:
             for i, j, data, offsets in ragged.chunks(batch.column(1)):
@@ -177,6 +183,7 @@ def round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str = "tex
                     ],
                     [f.name for f in fields],
                 )
+        codec.renew()
 
     return docs.select(key, text).mapInArrow(rows, fields)
 

@@ -10,7 +10,6 @@ costs one comparison a copy, and no link is missed that could join two component
 """
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -153,42 +152,58 @@ TESTED = T.StructType([
 ])
 
 
-def _comparison(percent: int):
-    @F.pandas_udf(TESTED)
-    def compared(left: pd.Series, right: pd.Series, more: pd.Series) -> pd.DataFrame:
-        """Sizes of two sets and of their intersection; with ``more`` what the second has beyond the first.
+def _compared(pairs: DataFrame, percent: int) -> DataFrame:
+    """Sizes of two sets and of their intersection; with ``more`` what the second has beyond the first.
 
-        Of these extras a prefix (in the order of hashes) is enough: for a link with another text that
-        shares fewer than ``percent`` of the second's size with the first, the rest must be among them.
-        """
-        both, n_a, n_b, extras = [], [], [], []
-        for a, b, m in zip(left, right, more):
-            x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-            at = np.minimum(np.searchsorted(x, y), max(len(x) - 1, 0))
-            inside = x[at] == y if len(x) else np.zeros(len(y), bool)
-            n = int(inside.sum())
-            beyond = y[~inside] if m else y[:0]
-            short = max(1, -((100 * n - percent * len(y)) // 100))
-            both.append(n)
-            n_a.append(len(x))
-            n_b.append(len(y))
-            extras.append(beyond[: max(len(beyond) - short + 1, 0)].view(np.int64))
-        return pd.DataFrame({"both": both, "n_a": n_a, "n_b": n_b, "extras": extras})
+    Of these extras a prefix (in the order of hashes) is enough: for a link with another text that
+    shares fewer than ``percent`` of the second's size with the first, the rest must be among them.
+    """
+    fields = T.StructType([pairs.schema["a"], pairs.schema["b"], *TESTED.fields])
 
-    return compared
+    def rows(batches):
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 500):
+                batch = whole.slice(lo, 500)
+                sets = [ragged.flat(batch.column(c)) for c in (2, 3)]
+                both, n_a, n_b, extras = [], [], [], []
+                for i, m in enumerate(batch.column(4).to_pylist()):
+                    x, y = (data[at[i] : at[i + 1]].view(np.uint64) for data, at in sets)
+                    at = np.minimum(np.searchsorted(x, y), max(len(x) - 1, 0))
+                    inside = x[at] == y if len(x) else np.zeros(len(y), bool)
+                    n = int(inside.sum())
+                    beyond = y[~inside] if m else y[:0]
+                    short = max(1, -((100 * n - percent * len(y)) // 100))
+                    both.append(n)
+                    n_a.append(len(x))
+                    n_b.append(len(y))
+                    extras.append(beyond[: max(len(beyond) - short + 1, 0)].view(np.int64))
+                ends = np.concatenate([[0], np.cumsum([len(e) for e in extras])])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *batch.columns[:2],
+                        *[pa.array(c, pa.int64()) for c in (both, n_a, n_b)],
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(extras))),
+                    ],
+                    fields.names,
+                )
+
+    return pairs.select("a", "b", "set_a", "set_b", "more").mapInArrow(rows, fields)
 
 
 def _tested(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Full comparison of pairs (``a``, ``b``, ``more``)."""
     wanted = stored(pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct(), "wanted")
-    few = F.broadcast(wanted) if broadcastable(wanted, SMALL) else wanted
-    sets = stored(_sets(docs.join(few, "doc", "left_semi")), "sets")
+    sets = stored(_sets(docs.join(_small(wanted), "doc", "left_semi")), "sets")
     compared = (
         pairs.join(sets.select(F.col("doc").alias("b"), F.col("set").alias("set_b")), "b")
         .join(sets.select(F.col("doc").alias("a"), F.col("set").alias("set_a")), "a")
-        .select("a", "b", _comparison(percent)("set_a", "set_b", "more").alias("found"))
     )
-    return stored(compared.select("a", "b", "found.*"), "tested")
+    return stored(_compared(compared, percent), "tested")
+
+
+def _small(table: DataFrame) -> DataFrame:
+    """A stored table, marked for broadcast if it has at most ``SMALL`` rows."""
+    return F.broadcast(table) if broadcastable(table, SMALL) else table
 
 
 def _linked(tested: DataFrame, percent: int) -> DataFrame:
@@ -254,10 +269,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id", tex
         able.groupBy("n_shingles", "f1", "f2").agg(F.min("doc").alias("class"), F.count("*").alias("size")).where("size > 1").drop("size"), "classes"
     )
     # one text of each class goes on; a shared key joins classes besides
-    copies = able.select("doc", "n_shingles", "f1", "f2").join(classes, ["n_shingles", "f1", "f2"]).where("doc <> class").distinct()
-    copies = stored(copies, "copies")
+    # a class may hold a third of all rows: they stay where they are if the list of classes is small
+    copies = able.select("doc", "n_shingles", "f1", "f2").join(_small(classes), ["n_shingles", "f1", "f2"])
+    copies = stored(copies.where("doc <> class").distinct(), "copies")
     same = copies.select(F.col("class").alias("a"), F.col("doc").alias("b"))
-    single = able.join(copies, ["doc", "n_shingles", "f1", "f2"], "left_anti").select("doc", F.col("n_shingles").alias("n"), "sketch", "bands")
+    single = able.join(_small(copies), ["doc", "n_shingles", "f1", "f2"], "left_anti").select("doc", F.col("n_shingles").alias("n"), "sketch", "bands")
     single = stored(single, "single")
 
     member = single.select("doc", F.explode("bands").alias("bucket"))
@@ -289,7 +305,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id", tex
         edges = found.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(_linked(new, percent))
         # nothing else is compared with the centre of a large bucket in its group
         members, homes = new.join(hot, ["a", "b"], "left_semi"), None
-    reached = found.withColumnRenamed("node", "doc")
+    reached = _small(found.withColumnRenamed("node", "doc"))
     return (
         signed.select("doc", "n_shingles")
         .join(reached, "doc", "left")

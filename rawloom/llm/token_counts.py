@@ -22,7 +22,7 @@ from .pretokens import Remembered, byte_characters, pretokens, take_ragged
 
 NEVER = np.int32(2**31 - 1)
 #: Pre-tokens whose counts a worker remembers.
-REMEMBERED = 800_000
+REMEMBERED = 300_000
 
 
 class Merges:

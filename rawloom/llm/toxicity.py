@@ -139,13 +139,13 @@ def _word_count(text: str) -> int:
     return len(text.split())
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50) -> np.ndarray:
-    """Weights of a logistic fit by Newton's method; the constant is not held back."""
+def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, ridge: float = 1.0, rounds: int = 50) -> np.ndarray:
+    """Weights of a logistic fit of points that stand for ``n`` rows each, by Newton's method; the constant is not held back."""
     x = np.column_stack([np.ones(len(x)), x])
     w, hold = np.zeros(x.shape[1]), np.diag([1e-6, *[ridge] * (x.shape[1] - 1)])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + hold, x.T @ (y - p) - hold @ w)
+        step = np.linalg.solve((x * (n * p * (1 - p))[:, None]).T @ x + hold, x.T @ (n * (y - p)) - hold @ w)
         w += step
         if np.abs(step).max() < 1e-8:
             break
@@ -236,9 +236,12 @@ def train(rows: DataFrame, text: str = "text", label: str = "label", train_rows:
                     own = [measures(hits(automaton, t), _word_count(t)) for _, t in _texts(batch.column(0))]
                     yield pa.RecordBatch.from_arrays([batch.column(1), *[pa.array([m[k] for m in own], pa.float64()) for k in range(3)]], ["label", "a", "b", "c"])
 
-            points = rows.mapInArrow(measured, "label int, a double, b double, c double").orderBy("a", "b", "c", "label").toArrow()
+            # most texts have no hit at all: equal points count once, with their number
+            points = rows.mapInArrow(measured, "label int, a double, b double, c double").groupBy("a", "b", "c", "label")
+            points = points.agg(F.count("*").alias("n")).toArrow().sort_by([(c, "ascending") for c in ("a", "b", "c", "label")])
             x = np.column_stack([points[c].to_numpy() for c in "abc"])
-            lexicon.fit = tuple(np.round(_logistic(x, points["label"].to_numpy().astype(float)), 6).tolist())
+            y, n = (points[c].to_numpy().astype(float) for c in ("label", "n"))
+            lexicon.fit = tuple(np.round(_logistic(x, y, n), 6).tolist())
     finally:
         rows.unpersist()
     return lexicon
