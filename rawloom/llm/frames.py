@@ -9,7 +9,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Rows that Spark hands to Python at a time: its default suits short rows, not whole documents.
+_BATCH_KEY, _BATCH_DEFAULT, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "2000"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Make batches of documents smaller, unless the session has its own setting."""
+    if spark.conf.get(_BATCH_KEY) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_KEY, BATCH_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -30,6 +41,7 @@ def scratch(spark: SparkSession, label: str) -> str:
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared folder and read it again, which cuts its lineage."""
+    bounded_batches(df.sparkSession)
     path = scratch(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
