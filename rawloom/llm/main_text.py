@@ -45,6 +45,10 @@ NOISE_NAMES = frozenset(
     "navigation breadcrumb breadcrumbs footer masthead topbar share sharing social related recommended widget widgets popup modal overlay newsletter "
     "subscribe subscription pagination pager skip-link".split()
 )
+#: Noise around an article or a main element, by how much it says: a form or the beginning of a name is often the whole page's; a whole name, a
+#: role or one of these tags counts if nothing else is marked; what is hidden or not content never does.
+WEAK, STRONG, NEVER = 1, 2, 3
+AROUND = frozenset("aside footer header menu nav".split())
 #: Importance below which a branch goes, pages that must show it, and the weight of contents against presentation.
 LEAST, PAGES, CONTENT = 0.2, 3, 0.9
 #: (Host, branch) pairs that a broadcast may hold.
@@ -53,22 +57,30 @@ SMALL = 1_000_000
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*>""", re.S)
 #: A page whose source has one of these marks its article, and is read without its host's other pages.
 _MARK = re.compile(r"""<(?:article|main)\b|\brole\s*=\s*["']?main\b""", re.I)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
 
 @dataclass(slots=True)
 class Element:
     tag: str
     name: str = ""
-    noise: bool = False
+    noise: int = 0  # 0, WEAK, STRONG or NEVER
     article: bool = False
     main: bool = False
     parts: list = field(default_factory=list)  # texts and elements in order
 
 
+def _tag_noise(tag: str, inside: bool) -> int:
+    if tag == "form":
+        return WEAK
+    if tag in AROUND:
+        return STRONG if tag in NOISE or (tag == "header" and not inside) else 0
+    return NEVER if tag in NOISE else 0
+
+
 def _element(tag: str, attributes: str, inside: bool) -> Element:
+    noise = _tag_noise(tag, inside)
     if not attributes:
-        noise = tag in NOISE or (tag == "header" and not inside)
         return Element(tag, tag, noise, tag == "article", tag == "main")
     names, role, hidden = [], "", False
     for key, a, b, c in _ATTRIBUTE.findall(attributes):
@@ -77,11 +89,17 @@ def _element(tag: str, attributes: str, inside: bool) -> Element:
             role = value.strip()
         elif key == "hidden" or key == "aria-hidden":
             hidden |= key == "hidden" or value == "true"
-        else:
+        elif key == "class" or key == "id":
             names += value.split()
-    noise = hidden or tag in NOISE or role in NOISE_ROLES or (tag == "header" and not inside)
-    if not noise and tag not in ("html", "body"):
-        noise = any(n in NOISE_NAMES or any(p in NOISE_NAMES for p in re.split(r"[-_]+", n)[:1]) for n in names)
+    if hidden:
+        noise = NEVER
+    elif role in NOISE_ROLES:
+        noise = max(noise, STRONG)
+    if noise < STRONG and tag not in ("html", "body"):
+        if any(n in NOISE_NAMES for n in names):
+            noise = STRONG
+        elif any(re.split(r"[-_]+", n)[0] in NOISE_NAMES for n in names):
+            noise = WEAK
     return Element(tag, ".".join([tag, *sorted(names)]), noise, tag == "article" and not noise, (tag == "main" or role == "main") and not noise)
 
 
@@ -144,23 +162,50 @@ def _closed(stack: list, tags: tuple, depth: int):
     return stack, depth
 
 
-def _marked(element: Element, kind: str) -> list:
-    """Outermost elements marked as article (or main) outside noise, in page order."""
-    out, todo = [], [element]
+def _marked(element: Element, kind: str) -> list[list]:
+    """Outermost elements marked as article (or main) in page order: outside noise, and below WEAK and STRONG noise."""
+    out, todo = [[], [], []], [(element, 0)]
     while todo:
-        e = todo.pop()
-        if e.noise:
+        e, around = todo.pop()
+        around = max(around, e.noise)
+        if around == NEVER:
             continue
         if getattr(e, kind):
-            out.append(e)
+            out[around].append(e)
             continue
-        todo += [p for p in reversed(e.parts) if isinstance(p, Element)]
+        todo += [(p, around) for p in reversed(e.parts) if isinstance(p, Element)]
     return out
 
 
+def _held(elements: list, articles: bool = True) -> int:
+    """Characters of text that elements hold outside noise, without those of articles if so told."""
+    total, todo = 0, list(elements)
+    while todo:
+        for p in todo.pop().parts:
+            if isinstance(p, str):
+                total += sum(map(len, p.split()))
+            elif not p.noise and (articles or not p.article):
+                todo.append(p)
+    return total
+
+
 def regions(root: Element) -> list:
-    """Where the text is: in articles, else in main elements, else anywhere."""
-    return _marked(root, "article") or _marked(root, "main") or [root]
+    """Where the text is: in articles or main elements, else anywhere.
+
+    Articles win over main elements that hold less outside them. Those outside noise win over those below a form or
+    below a name that only begins like noise, unless these hold more; what is left counts if nothing else does.
+    """
+    best, most = [root], 0
+    for around, (articles, mains) in enumerate(zip(_marked(root, "article"), _marked(root, "main"))):
+        if around == STRONG and most:
+            break
+        held = _held(articles)
+        found = articles
+        if mains and _held(mains, False) > held:
+            found, held = mains, _held(mains)
+        if held > most:
+            best, most = found, held
+    return best
 
 
 def _lines(element: Element, path: int, low: frozenset, out: list) -> None:

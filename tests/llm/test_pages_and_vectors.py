@@ -82,6 +82,26 @@ def test_pages_without_marks():
     assert main_text.main_text("<p hidden>x</p><p aria-hidden='true'>y</p><article class='comment'>z</article><p>w</p>") == "w"
 
 
+@pytest.mark.parametrize("attributes", ['style="overflow:hidden"', 'title="Hidden gems"', 'data-hidden="false"', 'data-id="ad"', "data-role=menu", "data-x='a id=ad hidden'"])
+def test_attributes_by_whole_names(attributes):
+    assert main_text.main_text(f"<article {attributes}><p>Text</article>") == "Text"
+    assert main_text.main_text(f"<div {attributes}><p>Text</div>") == "Text"
+
+
+def test_articles_below_noise_and_main_elements():
+    text = main_text.main_text
+    for wrapper in ('div class="sidebar-right"', "div id=menu-open", "form action=/x", "div class=widget", "aside"):
+        tag = wrapper.split()[0]
+        assert text(f"<{wrapper}><div>Other</div><article><header>H</header><p>Story</article></{tag}><footer>F</footer>") == "H\nStory"
+        assert text(f"<{wrapper}><nav>N</nav><main><p>Story</main></{tag}>") == "Story"
+    assert text("<article>Short</article><form><article>The long story itself</article></form>") == "The long story itself"
+    assert text("<article>Short</article><aside><article>A longer teaser</article></aside>") == "Short"
+    assert text("<div hidden><article>Old</article></div><p>New") == "New"
+    assert text("<main><p>All of the long story</p><article>Teaser</article></main>") == "All of the long story\nTeaser"
+    assert text("<main><p>All of the long story</p></main><article>Teaser</article>") == "All of the long story"
+    assert text("<main><p>Intro</p><article>The long story itself</article></main>") == "The long story itself"
+
+
 def test_style_tree(spark):
     """Branches that the pages of a host repeat go, from pages that don't mark their article."""
     page = "<body><div class='box'>Always the same {k}<ul><li>x</li></ul></div><div class='text'><p>Story {i} about {i}</p></div></body>"
