@@ -2,10 +2,10 @@
 
 Each page is read into a tree of elements. What names and roles of elements say is settled first:
 navigation, scripts, forms and the like go, and where a page marks its article, the article is
-the text. For what is left, the trees of one host are merged: branches at one path are one node of
-the site's style tree, which counts how its pages present it (the kinds of its children) and what they
-say in it. A branch that the pages of a host show alike has a low entropy, so low importance, and
-goes from every page.
+the region of the text. What the regions of one host hold is merged: branches at one path below regions
+of one kind are one node of the site's style tree, which counts how its pages present it (the kinds of
+its children) and what they say in it. A branch that the pages of a host show alike has a low entropy,
+so low importance, and goes from every page.
 """
 
 import html as references
@@ -55,8 +55,6 @@ LEAST, PAGES, CONTENT = 0.2, 3, 0.9
 SMALL = 1_000_000
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*>""", re.S)
-#: A page whose source has one of these marks its article, and is read without its host's other pages.
-_MARK = re.compile(r"""<(?:article|main)\b|\brole\s*=\s*["']?main\b""", re.I)
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
 
@@ -189,20 +187,28 @@ def _held(elements: list, articles: bool = True) -> int:
     return total
 
 
-def regions(root: Element) -> list:
-    """Where the text is: in articles or main elements, else anywhere.
+def _path(above: int, element: Element) -> int:
+    return xxhash.xxh64_intdigest(element.name, above & 0xFFFFFFFFFFFFFFFF) >> 1
+
+
+#: Where the branches below articles and main elements begin; no element has such a name.
+ARTICLE, MAIN = _path(0, Element("#article", "#article")), _path(0, Element("#main", "#main"))
+
+
+def regions(root: Element) -> tuple[int, list]:
+    """Where the text is: in articles or main elements, else anywhere; and the path at which branches below such elements begin.
 
     Articles win over main elements that hold less outside them. Those outside noise win over those below a form or
     below a name that only begins like noise, unless these hold more; what is left counts if nothing else does.
     """
-    best, most = [root], 0
+    best, most = (0, [root]), 0
     for around, (articles, mains) in enumerate(zip(_marked(root, "article"), _marked(root, "main"))):
         if around == STRONG and most:
             break
         held = _held(articles)
-        found = articles
+        found = ARTICLE, articles
         if mains and _held(mains, False) > held:
-            found, held = mains, _held(mains)
+            found, held = (MAIN, mains), _held(mains)
         if held > most:
             best, most = found, held
     return best
@@ -231,17 +237,12 @@ def _lines(element: Element, path: int, low: frozenset, out: list) -> None:
         todo += [(p, _path(path, p) if low and isinstance(p, Element) else 0, False) for p in reversed(e.parts)]
 
 
-def _path(above: int, element: Element) -> int:
-    return xxhash.xxh64_intdigest(element.name, above & 0xFFFFFFFFFFFFFFFF) >> 1
-
-
 def main_text(page: str, low: frozenset = frozenset()) -> str:
     """Blocks of the main text, a line each."""
     out: list = []
-    if low and _MARK.search(page):
-        low = frozenset()
-    for e in regions(tree(page)):
-        _lines(e, 0, low, out)
+    begin, elements = regions(tree(page))
+    for e in elements:
+        _lines(e, begin, low, out)
         out.append(None)
     blocks, now = [], []
     for piece in [*out, None]:
@@ -255,30 +256,35 @@ def main_text(page: str, low: frozenset = frozenset()) -> str:
     return "\n".join(blocks)
 
 
-def branches(page: str) -> list[tuple[int, int, int]]:
-    """(path, presentation, contents) of the branches of a page that doesn't mark its article; one row for each path."""
-    if _MARK.search(page):
-        return []
+def branches(page: str) -> list[tuple[int, int, int, int]]:
+    """(path, presentation, contents, text of the page) of the branches below a page's regions; one row for each path."""
     seen: dict[int, list] = {}
-
-    def visit(e: Element, path: int) -> str:
-        kinds, texts = [], []
-        for p in e.parts:
-            if isinstance(p, str):
-                texts.append(" ".join(p.split()))
-            elif not p.noise:
-                kinds.append(p.name)
-                texts.append(visit(p, _path(path, p)))
-        text = " ".join(t for t in texts if t)
-        if path and text:
-            own = seen.setdefault(path, [[], []])
-            own[0] += kinds
-            own[1].append(text)
-        return text
-
-    visit(tree(page), 0)
-    number = lambda parts: xxhash.xxh64_intdigest("\0".join(parts)) >> 1
-    return [(path, number(kinds), number(texts)) for path, (kinds, texts) in seen.items()]
+    whole = xxhash.xxh64()
+    begin, elements = regions(tree(page))
+    for region in elements:
+        todo = [(begin, iter(region.parts), [], [])]
+        while todo:
+            path, parts, kinds, texts = todo[-1]
+            for p in parts:
+                if isinstance(p, str):
+                    text = " ".join(p.split())
+                    if text:
+                        whole.update(text + " ")
+                        texts.append(xxhash.xxh64_digest(text))
+                elif not p.noise:
+                    kinds.append(p.name)
+                    todo.append((_path(path, p), iter(p.parts), [], []))
+                    break
+            else:
+                todo.pop()
+                if texts and todo:  # the region itself is no branch
+                    text = xxhash.xxh64_digest(b"".join(texts))
+                    todo[-1][3].append(text)
+                    own = seen.setdefault(path, [[], []])
+                    own[0] += kinds
+                    own[1].append(text)
+    number = lambda data: xxhash.xxh64_intdigest(data) >> 1
+    return [(path, number("\0".join(kinds)), number(b"".join(texts)), whole.intdigest() >> 1) for path, (kinds, texts) in seen.items()]
 
 
 def _entropy(seen: DataFrame, feature: str) -> DataFrame:
@@ -291,18 +297,21 @@ def _entropy(seen: DataFrame, feature: str) -> DataFrame:
 
 
 def style_tree(pages: DataFrame, page: str = "html", host: str = "host", least: float = LEAST, least_pages: int = PAGES) -> DataFrame:
-    """(``site``, ``path``) of the branches that the pages of a host show alike."""
+    """(``site``, ``path``) of the branches that the pages of a host show alike; pages of one text are one page."""
+    names = ["site", "path", "style", "content", "whole"]
 
     def rows(batches):
         for batch in batches:
-            out = [[], [], [], []]
+            out = [[] for _ in names]
             for site, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for row in branches(text or ""):
                     for column, value in zip(out, (site, *row)):
                         column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), *[pa.array(o, pa.int64()) for o in out[1:]]], ["site", "path", "style", "content"])
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), *[pa.array(o, pa.int64()) for o in out[1:]]], names)
 
-    seen = pages.where(F.col(host) != "").select(F.col(host).alias("site"), page).mapInArrow(rows, "site string, path long, style long, content long")
+    every = pages.where(F.col(host) != "").select(F.col(host).alias("site"), page)
+    every = every.mapInArrow(rows, "site string, path long, style long, content long, whole long")
+    seen = stored(every.dropDuplicates(["site", "path", "whole"]), "presentations")  # both entropies read it
     style, content = _entropy(seen, "style"), _entropy(seen, "content").drop("pages")
     importance = (1 - CONTENT) * F.col("style") + CONTENT * F.col("content")
     return style.join(content, ["site", "path"]).where((F.col("pages") >= least_pages) & (importance < least)).select("site", "path")
@@ -312,9 +321,10 @@ def extract(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame
     """Adds ``text`` and ``n_chars`` to every row; columns of these names are replaced.
 
     White space in a block becomes one blank, blocks are joined by line feeds in page order. NULL and
-    empty pages, and pages without main text, give an empty text. Branches are compared with those of other
-    pages of the host only where a page doesn't mark its article; pages without a host are read alone.
-    Repeated rows stay (and count as pages of their host); an empty table stays empty.
+    empty pages, and pages without main text, give an empty text. Branches below articles are compared with those
+    below articles of other pages of the host, and so for main elements and unmarked pages; pages without a host
+    are read alone. Repeated rows stay, but copies of a text count as one page of their host; an empty table
+    stays empty.
     """
     from .url_filter import canonical
 

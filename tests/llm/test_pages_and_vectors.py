@@ -118,6 +118,22 @@ def test_style_tree(spark):
     assert main_text.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("opening, closing", [("<article class=p{i}>", "</article>"), ("<main>", "</main>"), ("<div role=main>", "</div>")])
+def test_style_tree_below_marks(spark, opening, closing):
+    """What a host repeats inside its articles or mains goes; copies of a page are one page."""
+    block = "<div class=box>Read our <b>daily</b> letter</div>"
+    rows = [(i, "http://one.example/a", f"<nav>N</nav>{opening.format(i=i)}<h1>Story {i}</h1>{block}<p>Text {i * i}</p>{closing}") for i in range(8)]
+    rows += [(i, f"http://two.example/{i}", f"{opening.format(i=0)}<h1>Same story</h1><p>Same text</p>{closing}<div class=ad>{i}</div>") for i in range(10, 18)]
+    rows += [(i, f"http://three.example/{i}", f"<!-- <article> --><script>'<main>'</script><p>Story {i}</p>{block}") for i in range(20, 28)]
+    rows += [(30, "http://one.example/b", f"<p>Unmarked</p>{block}")]
+    rows += [(31, "http://four.example/b", f"{opening.format(i=0)}{'<div>' * 3000}deep")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in main_text.extract(df).collect()}
+    assert got == {i: f"Story {i}\nText {i * i}" for i in range(8)} | {i: "Same story\nSame text" for i in range(10, 18)} | {
+        **{i: f"Story {i}" for i in range(20, 28)}, 30: "Unmarked\nRead our daily letter", 31: "deep"
+    }
+
+
 def brute_nearest(ids, vectors, queries, k=5):
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     out = {}
