@@ -11,12 +11,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import ragged
-from .frames import table
+from .frames import stored, table
 
 WINDOW = 13
 #: Bytes of benchmark text that one broadcast holds; larger benchmarks are searched in several passes.
@@ -157,17 +158,19 @@ def search(data: np.ndarray, offsets: np.ndarray, all_patterns: list[Patterns])
 
 
 def _passes(benchmark: DataFrame, key: str, text: str, limit: int):
-    """Groups of items of about ``limit`` bytes; items are numbered by the order of their keys."""
+    """The number of passes, and an iterator over their groups of items of about ``limit`` bytes; the driver has one group at a time."""
     items = benchmark.select(F.col(key).cast("string").alias("item"), F.col(text).alias("text")).where("item IS NOT NULL AND text IS NOT NULL")
-    group, size, some = [], 0, False
-    for row in items.toLocalIterator():
-        group.append((row["item"], row["text"].encode()))
-        size += len(group[-1][1])
-        if size >= limit:
-            yield group
-            group, size, some = [], 0, True
-    if group or not some:
-        yield group
+    size = items.agg(F.sum(F.octet_length("text").cast("long"))).head()[0] or 0
+    n = max(1, -(-size // limit))
+    if n > 1:
+        items = stored(items.distinct().withColumn("pass", F.pmod(F.xxhash64("item", "text"), F.lit(n))), "items")
+
+    def groups():
+        for k in range(n):
+            rows = items.where(F.col("pass") == k) if n > 1 else items
+            yield [(row["item"], row["text"].encode()) for row in rows.select("item", "text").collect()]
+
+    return n, groups()
 
 
 FOUND = T.StructType([
@@ -177,9 +180,8 @@ FOUND = T.StructType([
 ])
 
 
-def occurrences(docs: DataFrame, items: list, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
-    """One pass: the key, ``n_words``, ``hit_runs`` and ``items`` of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+def occurrences(docs: DataFrame, shared: Broadcast, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
+    """One pass over broadcast items: the key, ``n_words``, ``hit_runs`` and ``items`` of every row."""
     fields = T.StructType([docs.schema[key], *FOUND.fields])
 
     def rows(batches):
@@ -204,20 +206,30 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
                   window: int = WINDOW, pass_bytes: int = PASS_BYTES) -> DataFrame:
     """The key of every document with ``n_words``, the runs of its words inside benchmark windows and the items they are from.
 
-    The benchmark is read to the driver in groups of ``pass_bytes`` and each group is searched in a
-    pass of its own; runs of several passes are merged by key, so keys must then be distinct. With
-    one pass, rows are searched one by one: repeated rows stay. NULL and empty texts have no words;
-    items with a NULL key or text, or without words, find nothing; items of one text are all
-    found. An empty table on either side gives no hits. Further columns are ignored.
+    The benchmark is read to the driver in groups of about ``pass_bytes``, one at a time, and each group is
+    searched in a pass of its own. With several passes the rows are numbered and stored before, the hits of
+    all passes are stored, and each row gets its own by number. Rows are searched one by one: repeated rows,
+    and rows without a key, stay. NULL and empty texts have no words; items with a NULL key or text, or
+    without words, find nothing; items of one text are all found. An empty table on either side gives no
+    hits. Further columns are ignored.
     """
-    passes = [occurrences(docs, group, key, text, window) for group in _passes(benchmark, item, "text", pass_bytes)]
-    if len(passes) == 1:
-        return passes[0]
-    every = passes[0]
-    for other in passes[1:]:
-        every = every.unionByName(other)
-    merged = every.groupBy(key).agg(
-        F.max("n_words").alias("n_words"),
+    context = docs.sparkSession.sparkContext
+    n, groups = _passes(benchmark, item, "text", pass_bytes)
+    if n == 1:
+        return occurrences(docs, context.broadcast(next(groups)), key, text, window)
+    row = F.struct(F.monotonically_increasing_id().alias("number"), F.col(key).alias("key"))
+    numbered = stored(docs.select(row.alias("row"), F.col(text).alias("text")), "documents")
+    first, hits = None, None
+    for group in groups:
+        shared = context.broadcast(group)
+        found = occurrences(numbered, shared, "row", "text", window)
+        if first is None:
+            first = found = stored(found.select("row", "n_words", "hit_runs", "items"), "found")
+        own = found.where(F.size("items") > 0).select("row.number", "hit_runs", "items")
+        own = own if found is first else stored(own, "hits")
+        hits = own if hits is None else hits.unionByName(own)
+        shared.destroy()
+    merged = hits.groupBy("number").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit_runs")))).alias("hit_runs"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
@@ -233,7 +245,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
             ),
         ).otherwise(F.concat(done, F.array(run))),
     )
-    return merged.withColumn("hit_runs", joined)
+    merged = merged.withColumn("hit_runs", joined)
+    no_runs, no_items = F.array().cast("array<array<int>>"), F.array().cast("array<string>")
+    return first.select("row", "n_words").join(merged, F.col("row.number") == F.col("number"), "left").select(
+        F.col("row.key").alias(key), "n_words", F.coalesce("hit_runs", no_runs).alias("hit_runs"), F.coalesce("items", no_items).alias("items")
+    )
 
 
 def op3_columns(found: DataFrame, key: str = "doc_id") -> DataFrame:

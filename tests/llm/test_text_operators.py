@@ -126,6 +126,23 @@ def test_contamination(spark, odd, odd_rows, documents, rows):
     assert decontaminate.contamination(documents.limit(0), items).count() == 0
 
 
+def test_contamination_in_several_passes(spark, odd, odd_rows):
+    """Rows without a key or with one key keep their own result also when the benchmark takes several passes."""
+    benchmark = [(r.item_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").collect()]
+    known = benchmark + [(900, "one"), (904, " ".join(f"word{i} and {i}" for i in range(30))), (905, "one"), (906, "漢字 none")]
+    items = spark.createDataFrame([*known, (None, "and"), (902, None)], "item_id long, text string")
+    more = [(None, "clean words"), (None, known[0][1]), (7, known[1][1]), (7, known[1][1] + " " + known[2][1])]
+    own = odd_rows + more
+    df = odd.select("doc_id", "text").union(spark.createDataFrame(more, "doc_id long, text string"))
+    n, groups = decontaminate._passes(items, "item_id", "text", 1000)
+    groups = list(groups)
+    assert n == len(groups) > 2 and sorted(i for g in groups for i in g) == sorted((str(k), t.encode()) for k, t in known)
+    for name in ("doc_id", "number"):
+        found = decontaminate.contamination(df.withColumnRenamed("doc_id", name), items, name, pass_bytes=1000)
+        got = decontaminate.op3_columns(found, name).collect()
+        assert sorted(map(tuple, got), key=repr) == sorted(brute.contamination(own, known), key=repr)
+
+
 def test_repeats(odd, odd_rows, documents, rows):
     want = brute.repeats(rows)
     got = repeats.remove_repeats(documents).collect()
