@@ -1,7 +1,9 @@
 """The documents' way into a training corpus: toxic ones, copies, repeats and benchmark passages go, the rest is encoded.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before kept. All but the last
-return the columns of ``documents``. Rows without a doc_id have no copies and stay.
+return the columns of ``documents``. Scores, repeats and benchmark passages are judged row by row, also of
+rows that share a doc_id or have none; rows without a doc_id have no copies, and rows that share one are
+one node among the copies, so that they stay or go together.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,8 +43,9 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go of whose words at least a twentieth lies in windows of benchmark items."""
-    found = decontaminate.op3_columns(decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")))
-    return _without(docs, found.where("contaminated"), "contaminated")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    found = decontaminate.op3_columns(decontaminate.contamination(rows, table(spark, sf_dir, "benchmark"), "row"), "row")
+    return found.where("NOT contaminated").select("row.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -47,3 +47,16 @@ def test_stages_with_odd_rows(spark, odd, sf, empty):
     if not empty:
         assert {1, 2, 3, 4, 6, None} <= {r.doc_id for r in got}
         assert 5 not in {r.doc_id for r in got}
+
+
+@pytest.mark.parametrize("pass_bytes", [8 << 20, 1000])
+def test_benchmark_stage_decides_rows(spark, sf, pass_bytes, monkeypatch):
+    """A contaminated row goes, and no other, also without a doc_id or with that of another row."""
+    contamination = pipeline.decontaminate.contamination
+    monkeypatch.setattr(pipeline.decontaminate, "contamination", lambda *a, **b: contamination(*a, **b, pass_bytes=pass_bytes))
+    dirty = [r.text for r in table(spark, sf, "benchmark").orderBy("item_id").limit(2).collect()]
+    rows = [(None, dirty[0]), (None, "clean"), (1, dirty[1]), (1, "also clean"), (2, None), (3, dirty[0])]
+    docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = pipeline.benchmarks(spark, docs, sf)
+    assert left.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=repr) == sorted([(None, "clean"), (1, "also clean"), (2, None)], key=repr)
