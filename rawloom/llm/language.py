@@ -127,16 +127,18 @@ class Model:
 
 
 def train(rows: DataFrame, text: str = "text", lang: str = "lang", train_rows: int = TRAIN_ROWS, smoothing: float = 0.5) -> Model:
-    """Fit on rows with a language. At most about ``train_rows`` of each are read, whole texts."""
+    """Fit on the distinct texts of each language. At most about ``train_rows`` of each are read, whole texts."""
     rows = rows.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    rows = rows.withColumn("hash", F.xxhash64("text"))
+    sizes = {r["lang"]: r["n"] for r in rows.select("lang", "hash").distinct().groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return Model((), np.zeros(0), np.zeros((1 << BITS, 0), np.float32))
     names = tuple(sorted(sizes))
     share = F.create_map(*[F.lit(x) for n in names for x in (n, min(1.0, train_rows / sizes[n]))])
     number = F.create_map(*[F.lit(x) for i, n in enumerate(names) for x in (n, i)])
-    draw = (F.xxhash64("text") % F.lit(1 << 20) + F.lit(1 << 20)) % F.lit(1 << 20)
-    chosen = rows.where(draw < share[F.col("lang")] * F.lit(1 << 20)).select("text", number[F.col("lang")].alias("lang"))
+    draw = F.pmod("hash", F.lit(1 << 20))
+    # copies collapse in their tasks before the shuffle
+    chosen = rows.where(draw < share[F.col("lang")] * F.lit(1 << 20)).dropDuplicates(["lang", "hash"]).select("text", number[F.col("lang")].alias("lang"))
 
     def counted(batches):
         counts = np.zeros((len(names), 1 << BITS), np.int64)

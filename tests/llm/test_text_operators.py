@@ -236,3 +236,15 @@ def test_toxicity(spark, odd):
 def test_thresholds_out_of_range(documents, percent):
     with pytest.raises(ValueError):
         near_duplicates.near_duplicates(documents, percent)
+
+
+def test_language_training_counts_copies_once(spark):
+    """Copies neither fill the sample nor shrink the share of the other texts."""
+    import numpy as np
+
+    texts = [(f"some words of number {i} and {i * 7}", "en") for i in range(400)] + [(f"einige worte {i}", "de") for i in range(5)]
+    once = spark.createDataFrame(texts, "text string, lang string")
+    often = once.union(spark.createDataFrame([texts[0]] * 5000 + [texts[1]] * 5000 + [texts[-1]] * 50, once.schema))
+    for train_rows in (100, 20_000):
+        a, b = (language.train(df, train_rows=train_rows) for df in (once, often))
+        assert a.languages == b.languages and np.array_equal(a.weights, b.weights)
