@@ -1,6 +1,20 @@
 """Queries of the operators, and their SQL where SQL can express them."""
 
-from . import byte_bpe, decontaminate, language, main_text, near_duplicates, neighbours, repeats, token_counts, toxicity, url_filter
+from . import (
+    byte_bpe,
+    clusters,
+    decontaminate,
+    language,
+    main_text,
+    near_duplicates,
+    neighbours,
+    repeats,
+    sharding,
+    token_counts,
+    toxicity,
+    url_filter,
+    vector_codes,
+)
 
 QUERIES = {
     f.__name__: f
@@ -15,6 +29,13 @@ QUERIES = {
         url_filter.op8_url_filter,
         repeats.op9_suffix_array_dedup,
         toxicity.op10_toxicity,
+        vector_codes.op11_vector_codes,
+        sharding.op12_balanced_shards,
+        clusters.op13_centroid_clustering,
     )
 }
-ORACLES = {"op8_url_filter": url_filter.SQL}
+ORACLES = {
+    "op8_url_filter": url_filter.SQL,
+    "op11_vector_codes": vector_codes.SQL,
+    "op13_centroid_clustering": clusters.SQL,
+}

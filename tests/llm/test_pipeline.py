@@ -12,7 +12,7 @@ from rawloom.llm.frames import table
 
 def test_registered():
     names = list(registry.QUERIES)
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(names) | {"pipeline"} <= set(entry.queries())
     assert set(registry.ORACLES) <= set(entry.oracle_sql())
 
