@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,4 +69,24 @@ def broadcastable(table: DataFrame, rows: int) -> bool:
     return table.count() <= rows
 
 
-__all__ = ["broadcastable", "free_name", "remainder", "scratch", "stored", "table", "vocabulary"]
+def released() -> None:
+    """Give memory that a worker no longer uses back to the machine: workers outlive their tasks, one for each core and Python step."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidy(work):
+    """A function on batches that releases memory when its task has ended."""
+
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            released()
+
+    return run
+
+
+__all__ = ["broadcastable", "free_name", "released", "remainder", "scratch", "stored", "table", "tidy", "vocabulary"]

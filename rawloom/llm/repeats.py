@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import ragged
-from .frames import stored, table
+from .frames import released, stored, table, tidy
 from .pretokens import take_ragged
 
 LENGTH = 50
@@ -37,6 +37,11 @@ BUCKET_BYTES = 8 << 20
 
 #: Bytes of text that a task works on at a time.
 SLICE_BYTES = 8 << 20
+#: Strings of a bucket that are sorted at a time.
+PASS = 1 << 17
+#: Documents that are asked for strings around one k-gram, from which on these are dealt out string by string; at most
+#: ``MOST_HEAVY`` k-grams ever are, as more documents then make one heavy.
+HEAVY, MOST_HEAVY = 20_000, 1_000_000
 
 ONE, TWO = ragged.noise(256, 21), ragged.noise(256, 22)
 TRIGGER = np.uint64((1 << 64) // PHRASE)
@@ -48,6 +53,7 @@ BATCH = T.StructType([
     T.StructField("spans", T.BinaryType()),
 ])
 SPAN = "doc long, start long, n long"
+SEGMENT_ROW = np.dtype([("start", "<i8"), ("size", "<u4"), ("late", "<u4")])
 PHRASE_ROW = np.dtype([("h1", "<u8"), ("h2", "<u8"), ("doc", "<u4"), ("start", "<u4"), ("n", "<u4")])
 GRAM_ROW = np.dtype([("code", "<u8"), ("sides", "<u2"), ("doc", "<u2")])
 SPAN_ROW = np.dtype([("doc", "<u4"), ("start", "<u4"), ("n", "<u4")])
@@ -174,7 +180,7 @@ def _parsed(docs: DataFrame, buckets: int, length: int) -> DataFrame:
             for lo, hi in _slices(ragged.flat(whole.column(1))[1]):
                 yield from _parse_batch(whole.slice(lo, hi - lo), buckets, length)
 
-    return docs.select("doc", "text").mapInArrow(rows, BATCH)
+    return docs.select("doc", "text").mapInArrow(tidy(rows), BATCH)
 
 
 def _slices(offsets: np.ndarray):
@@ -337,13 +343,23 @@ def _settle(bucket_table: pa.Table) -> pa.Table:
     return pa.table([pa.array(np.concatenate(o) if o else np.zeros(0, np.int64), pa.int64()) for o in out], ["doc", "start", "n"])
 
 
-def _suffixes(asked: DataFrame, buckets: int, addresses: int, length: int) -> DataFrame:
-    """The strings around the k-grams that documents are asked for, packed by bucket; equal ones of a batch once."""
+def _heavy(settled: DataFrame, heavy: int) -> np.ndarray:
+    """The k-grams for which more than ``heavy`` documents are asked, in order; at most ``MOST_HEAVY``."""
+    asks = settled.where("n < 0")
+    limit = max(heavy, asks.count() // MOST_HEAVY)
+    return asks.groupBy("start").agg(F.count("*").alias("n")).where(F.col("n") > limit).orderBy("start").toArrow()["start"].to_numpy()
+
+
+def _suffixes(asked: DataFrame, buckets: int, addresses: int, length: int, heavy) -> DataFrame:
+    """The strings around the k-grams that documents are asked for, packed by bucket; equal ones of a batch once.
+
+    Strings around a ``heavy`` k-gram go each to the bucket of its own hash, so that no bucket gets all that surrounds one k-gram.
+    """
 
     def rows(batches):
         import zstandard
 
-        unpack = zstandard.ZstdDecompressor().decompress
+        unpack, split = zstandard.ZstdDecompressor().decompress, heavy.value.astype(np.uint64)
         for batch in _smaller(batches):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             texts = pa.array([unpack(t) for t in batch.column(1).to_pylist()], pa.large_binary())
@@ -361,11 +377,18 @@ def _suffixes(asked: DataFrame, buckets: int, addresses: int, length: int) -> Da
                 asker = np.repeat(np.arange(j - i), pa.compute.list_value_length(flat).to_numpy(zero_copy_only=False))
                 mark = lambda who, what: ragged.mixed(what ^ ragged.mixed(who.astype(np.uint64)))
                 hit = np.flatnonzero(np.isin(mark(doc, address), mark(asker, asks)))
-                begin, end = p.run[hit], p.run_stop[hit]
+                begin, end, doc, bucket = p.run[hit], p.run_stop[hit], doc[hit], address[hit] % np.uint64(buckets)
+                apart = np.isin(address[hit], split) if len(split) else np.zeros(len(hit), bool)
+                if apart.any():
+                    n = (end - begin)[apart]
+                    each = np.repeat(begin[apart] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+                    begin, end = np.concatenate([begin[~apart], each]), np.concatenate([end[~apart], each + 1])
+                    doc = np.concatenate([doc[~apart], np.repeat(doc[apart], n)])
+                    bucket = np.concatenate([bucket[~apart], p.rolling.hashes(each, each + length) % np.uint64(buckets)])
                 parts.append((take_ragged(data, begin, end - begin + length - 1), end - begin + length - 1))
-                where[0].append(doc[hit] + i)
-                where[1].append(begin - offsets[doc[hit]])
-                where[2].append(address[hit] % np.uint64(buckets))
+                where[0].append(doc + i)
+                where[1].append(begin - offsets[doc])
+                where[2].append(bucket)
             if not parts:
                 continue
             data, sizes = np.concatenate([x[0] for x in parts]), np.concatenate([x[1] for x in parts])
@@ -373,7 +396,7 @@ def _suffixes(asked: DataFrame, buckets: int, addresses: int, length: int) -> Da
             yield from _pack_suffixes(data, sizes, ids[doc], start, bucket.astype(np.int64), buckets)
 
     fields = "bucket long, docs binary, rows binary, data binary"
-    return asked.select("doc", "packed", "asks").mapInArrow(rows, fields)
+    return asked.select("doc", "packed", "asks").mapInArrow(tidy(rows), fields)
 
 
 def _smaller(batches):
@@ -385,15 +408,17 @@ def _smaller(batches):
 
 def _pack_suffixes(data, sizes, key, start, bucket, buckets: int):
     at = np.cumsum(sizes) - sizes
-    rolling = ragged.Rolling(data, ONE)
-    content = rolling.hashes(at, at + sizes)
-    other = ragged.Rolling(data, TWO).hashes(at, at + sizes)
+    content, other = np.empty(len(at), np.uint64), np.empty(len(at), np.uint64)
+    for lo, hi in ragged.runs(np.append(at, len(data))):
+        here, begin = data[at[lo] : at[hi - 1] + sizes[hi - 1]], at[lo:hi] - at[lo]
+        for values, noise in ((content, ONE), (other, TWO)):
+            values[lo:hi] = ragged.Rolling(here, noise).hashes(begin, begin + sizes[lo:hi])
     # of equal segments the smallest document's speaks; for the others an empty one is sent to be settled here
     order, heads = _groups(content, other)
     earliest = np.empty(len(key), np.int64)
     earliest[order] = _spread(np.minimum.reduceat(key[order], heads), heads, len(key)) if len(key) else earliest
     late = key > earliest
-    rows = np.zeros(len(key), np.dtype([("start", "<i8"), ("size", "<u4"), ("late", "<u4")]))
+    rows = np.zeros(len(key), SEGMENT_ROW)
     rows["start"], rows["size"], rows["late"] = start, sizes, late
     order = np.argsort(bucket, kind="stable")
     edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -422,47 +447,55 @@ def suffix_array(data: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndar
     return _groups(*keys)
 
 
-def _ordered(bucket_table: pa.Table, length: int) -> pa.Table:
-    """Spans of strings that a smaller document has, of one bucket."""
-    data, key, place, out = [], [], [], []
-    base = 0
+def _ordered(bucket_table: pa.Table, length: int, at_once: int = PASS) -> pa.Table:
+    """Spans of strings that a smaller document has, of one bucket.
+
+    Beside the strings' bytes there is a hash for each string; the rest is done for ``at_once`` strings at a time, dealt out by hash.
+    """
+    data, segments, out = [], [], []
     for docs, packed, raw in zip(*(bucket_table.column(c).to_pylist() for c in ("docs", "rows", "data"))):
         ids = np.cumsum(np.frombuffer(docs, np.int64))
-        rows = np.frombuffer(packed, np.dtype([("start", "<i8"), ("size", "<u4"), ("late", "<u4")]))
+        rows = np.frombuffer(packed, SEGMENT_ROW)
         late = rows["late"] > 0
         if late.any():
             out.append((ids[late], rows["start"][late], rows["size"][late].astype(np.int64) - length + 1))
-        rows, ids = rows[~late], ids[~late]
-        sizes = rows["size"].astype(np.int64)
+        segments.append((ids[~late], rows["start"][~late], rows["size"][~late].astype(np.int64)))
         data.append(np.frombuffer(raw, np.uint8))
-        n = sizes - length + 1
-        first = np.cumsum(n) - n
-        within = np.arange(int(n.sum())) - np.repeat(first, n)
-        key.append(np.repeat(ids, n))
-        place.append((np.repeat(base + np.cumsum(sizes) - sizes, n) + within, np.repeat(rows["start"], n) + within))
-        base += int(sizes.sum())
-    data, key = np.concatenate(data), np.concatenate(key)
-    at, start = (np.concatenate([p[k] for p in place]) for k in (0, 1))
-    if len(key):
+    data = np.concatenate(data)
+    key, start, size = (np.concatenate([s[k] for s in segments]) for k in range(3))
+    at = np.cumsum(size) - size
+    n = size - length + 1
+    first = np.cumsum(n) - n  # the strings' numbers
+    total = int(n.sum())
+    hashes = np.empty(total, np.uint64)
+    for lo, hi in ragged.runs(np.append(at, len(data))):
+        rolling = ragged.Rolling(data[at[lo] : at[hi - 1] + size[hi - 1]], ONE)
+        place = np.repeat(at[lo:hi] - at[lo] - (first[lo:hi] - first[lo]), n[lo:hi]) + np.arange(int(n[lo:hi].sum()))
+        hashes[first[lo] : first[lo] + len(place)] = rolling.hashes(place, place + length)
+    gone = []
+    passes = max(1, -(-total // at_once))
+    for k in range(passes):
+        own = np.flatnonzero(hashes % np.uint64(passes) == k) if passes > 1 else np.arange(total)
+        segment = np.searchsorted(first, own, "right") - 1
+        who = key[segment]
         # only strings whose hash several documents have need sorting
-        hashes = ragged.Rolling(data, ONE).hashes(at, at + length)
-        order, heads = _groups(hashes)
-        several = np.minimum.reduceat(key[order], heads) != np.maximum.reduceat(key[order], heads)
-        own = order[_spread(several, heads, len(order))]
+        order, heads = _groups(hashes[own])
+        if not len(order):
+            continue
+        several = np.minimum.reduceat(who[order], heads) != np.maximum.reduceat(who[order], heads)
+        keep = order[_spread(several, heads, len(order))]
+        own, segment, who = own[keep], segment[keep], who[keep]
         if len(own):
-            order, heads = suffix_array(data, at[own], length)
-            ordered = own[order]
-            earliest = _spread(np.minimum.reduceat(key[ordered], heads), heads, len(ordered))
-            gone = ordered[key[ordered] > earliest]
-            doc, first = key[gone], start[gone]
-            order = np.lexsort((first, doc))
-            doc, first = doc[order], first[order]
-            if len(doc):
-                fresh = np.ones(len(doc), bool)
-                fresh[1:] = (doc[1:] != doc[:-1]) | (first[1:] > first[:-1] + 1)
-                heads = np.flatnonzero(fresh)
-                last = np.append(heads[1:], len(doc)) - 1
-                out.append((doc[heads], first[heads], first[last] - first[heads] + 1))
+            order, heads = suffix_array(data, at[segment] + own - first[segment], length)
+            earliest = _spread(np.minimum.reduceat(who[order], heads), heads, len(order))
+            gone.append(own[order[who[order] > earliest]])
+    if gone:
+        gone = np.sort(np.concatenate(gone))
+        segment = np.searchsorted(first, gone, "right") - 1
+        fresh = np.ones(len(gone), bool)
+        fresh[1:] = (np.diff(gone) > 1) | (segment[1:] != segment[:-1])
+        heads = np.flatnonzero(fresh)
+        out.append((key[segment[heads]], (start[segment] + gone - first[segment])[heads], np.diff(np.append(heads, len(gone)))))
     return pa.table([pa.array(np.concatenate([o[k] for o in out]) if out else np.zeros(0, np.int64), pa.int64()) for k in range(3)], ["doc", "start", "n"])
 
 
@@ -479,10 +512,10 @@ def _packed(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), packed, *batch.columns[2:]], ["doc", "packed", *batch.schema.names[2:]])
 
     fields = T.StructType([docs.schema["doc"], T.StructField("packed", T.BinaryType()), *docs.schema.fields[2:]])
-    return docs.mapInArrow(rows, fields)
+    return docs.mapInArrow(tidy(rows), fields)
 
 
-def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
+def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, heavy: int = HEAVY) -> DataFrame:
     """(``doc``, ``start``, ``n``): ``n`` strings of ``length`` bytes from ``start`` on that also begin in a smaller document.
 
     Spans of a document may repeat and overlap. Rows with a NULL key neither lose nor take anything.
@@ -495,15 +528,22 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     buckets = int(min(1 << 30, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))))
 
     def settle(rows: pa.Table) -> pa.Table:
-        return _settle(rows)
+        try:
+            return _settle(rows)
+        finally:
+            released()
 
     def ordered(rows: pa.Table) -> pa.Table:
-        return _ordered(rows, length)
+        try:
+            return _ordered(rows, length)
+        finally:
+            released()
 
     settled = stored(_parsed(texts, buckets, length).groupBy("bucket").applyInArrow(settle, SPAN), "settled")
     asks = settled.where("n < 0").groupBy("doc").agg(F.collect_set("start").alias("asks"))
     asked = _packed(texts).join(asks, "doc")
-    sorted_spans = _suffixes(asked, buckets, buckets, length).groupBy("bucket").applyInArrow(ordered, SPAN)
+    split = spark.sparkContext.broadcast(_heavy(settled, heavy))
+    sorted_spans = _suffixes(asked, buckets, buckets, length, split).groupBy("bucket").applyInArrow(ordered, SPAN)
     return settled.where("n > 0").unionByName(stored(sorted_spans, "sorted"))
 
 
@@ -586,7 +626,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
                 columns = [batch.column(0), *[pa.array(o, pa.int64()) for o in out[:3]], pa.array(out[3], pa.string())]
             yield pa.RecordBatch.from_arrays(columns, fields.names)
 
-    found = rows_in.mapInArrow(rows, fields)
+    found = rows_in.mapInArrow(tidy(rows), fields)
     if not texts:
         return found.select(F.col("doc").cast(kind).alias(key), *found.columns[1:])
     place = {key: F.col("doc").cast(kind), text: F.col("text"), **{c: F.col(f"c{i}") for i, c in enumerate(others)}}

@@ -2,7 +2,10 @@ import base64
 import hashlib
 
 import brute
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 from pyspark.sql import functions as F
 
@@ -248,3 +251,36 @@ def test_language_training_counts_copies_once(spark):
     for train_rows in (100, 20_000):
         a, b = (language.train(df, train_rows=train_rows) for df in (once, often))
         assert a.languages == b.languages and np.array_equal(a.weights, b.weights)
+
+
+def test_repeats_around_one_line(spark):
+    """A line shorter than the strings in all documents, whole passages in some; the strings around the line are dealt out one by one."""
+    line = "All rights reserved by the office."
+    rows = [(i, f"start {i * 7919 % 1000} {line} {'shared ending of some length ' * 2 if i % 5 == 0 else ''}{i * 31 % 70}") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = brute.repeats(rows)
+    gone = {}
+    for r in repeats.repeated_spans(df, heavy=10).collect():
+        gone.setdefault(r.doc, set()).update(range(r.start, r.start + r.n + 49))
+    assert {k: len(v) for k, v in gone.items()} == {k: w[1] for k, w in want.items() if w[1]}
+
+
+def test_no_bucket_holds_all_around_a_line(spark):
+    """Of documents with one line the strings around it are spread over the buckets; passes give the same spans."""
+    line = "All rights reserved by the office."
+    rows = [(i, f"{i * 7919:x} before {i * 104729:x} {line} after {i % 500} and all else") for i in range(3000)]
+    asked = repeats._packed(spark.createDataFrame(rows, "doc long, text string").repartition(4))
+    data, offsets = ragged.flat(pa.array([rows[0][1]]))
+    codes = repeats.Parse(data, offsets, 50, phrases=False).codes()
+    address = repeats._address((codes % np.uint64(16)).astype(np.int64), codes).astype(np.int64)
+    asked = asked.withColumn("asks", F.array(*[F.lit(int(a)) for a in set(address.tolist())]))
+    spans = {}
+    for heavy in (address[:0], np.sort(address)):
+        packed = repeats._suffixes(asked, 16, 16, 50, spark.sparkContext.broadcast(heavy)).toArrow()
+        buckets = [packed.filter(pa.compute.equal(packed["bucket"], b)) for b in range(16)]
+        sizes = sorted((sum(len(x) for x in b["data"].to_pylist()) for b in buckets), reverse=True)
+        assert sizes[0] < 2 * sum(sizes) / 16 if len(heavy) else sizes[0] > 0.5 * sum(sizes)
+        for at_once in (repeats.PASS, 999):
+            gone = [repeats._ordered(b, 50, at_once).to_pylist() for b in buckets if b.num_rows]
+            spans[len(heavy), at_once] = {(r["doc"], r["start"] + k) for g in gone for r in g for k in range(r["n"])}
+    assert len(set(map(frozenset, spans.values()))) == 1 and len(spans[0, 999]) > 100
