@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import ragged
-from .frames import remainder, table
+from .frames import remainder, table, tidy
 
 # Insults that need no labelled row, phrases in which they are harmless, and look-alikes.
 GIVEN = (
@@ -39,8 +39,6 @@ SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@":
 
 #: Labelled rows of a label that are learned from: all of them up to so many, else about so many by a hash of the text.
 TRAIN_ROWS = 20_000
-#: Entries of the lexicon, the strongest first.
-LEXICON = 5_000
 STEMS = (4, 5, 6)
 #: Entries that a task counts before it passes them on.
 COUNTED = 50_000
@@ -62,8 +60,11 @@ def _fold_tables() -> tuple[np.ndarray, np.ndarray]:
     return letter, stands
 
 
-def folded(points: np.ndarray) -> np.ndarray:
-    """Letters of the texts, and blanks (32). Digits and signs count if a letter follows them, straight or after others."""
+def folded(points: np.ndarray, endings: bool = False) -> np.ndarray:
+    """Letters of the texts, and blanks (32). Digits and signs count if a letter follows them, straight or after others.
+
+    With ``endings`` those count too that end a word after a letter (``a$$``); otherwise these are blanks (``idiot1``).
+    """
     letter, stands = _fold_tables()
     out, sub = letter[points], stands[points]
     if sub.any():
@@ -75,21 +76,27 @@ def folded(points: np.ndarray) -> np.ndarray:
         follows = np.zeros(n, bool)
         inside = nxt < n
         follows[inside] = out[nxt[inside]] != 0
+        if endings:
+            before = np.maximum.accumulate(np.where(plain, -1, np.arange(n)))
+            follows |= (before >= 0) & (out[before] != 0)
         out = np.where(plain & follows, sub, out)
     out[out == 0] = 32
     return out
 
 
 def _texts(column):
-    """(row, folded text with a blank at either end) of a column's texts."""
+    """(row, folded text with a blank at either end, the same with endings if it has any) of a column's texts."""
     for i, j, data, offsets in ragged.chunks(column):
         points, at = ragged.code_points(data, offsets)
         ends = np.zeros(len(points) + len(at), np.uint32)  # a separator after each text, so that folding stays inside
         place = np.arange(len(points)) + np.repeat(np.arange(len(at) - 1), np.diff(at))
         ends[place] = points
-        whole = folded(ends).tobytes().decode("utf-32-le")
+        plain, ending = folded(ends), folded(ends, endings=True)
+        other = np.concatenate([[0], np.cumsum(plain != ending)])
+        whole, ended = (x.tobytes().decode("utf-32-le") for x in (plain, ending))
         for k, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())):
-            yield i + k, f" {whole[a + k : b + k]} "
+            a, b = a + k, b + k
+            yield i + k, f" {whole[a:b]} ", f" {ended[a:b]} " if other[b] > other[a] else None
 
 
 @dataclass
@@ -112,18 +119,19 @@ class Lexicon:
         return found
 
 
-def hits(automaton, text: str) -> list[float]:
-    """The largest weight found at each word that begins an occurrence outside exception phrases."""
+def hits(automaton, *texts: str | None) -> list[float]:
+    """The largest weight found at each word that begins an occurrence outside exception phrases, in any of a text's foldings."""
     if not len(automaton):
         return []
     best: dict[int, float] = {}
     spared = []
-    for end, (size, weight) in automaton.iter(text):
-        begin = end - size + 1
-        if weight:
-            best[begin] = max(best.get(begin, 0.0), weight)
-        else:
-            spared.append((begin, end))
+    for text in filter(None, texts):
+        for end, (size, weight) in automaton.iter(text):
+            begin = end - size + 1
+            if weight:
+                best[begin] = max(best.get(begin, 0.0), weight)
+            else:
+                spared.append((begin, end))
     if spared:
         best = {b: w for b, w in best.items() if not any(x <= b < y for x, y in spared)}
     return list(best.values())
@@ -161,12 +169,13 @@ def _entries(text: str) -> set[str]:
     return out
 
 
-def train(rows: DataFrame, text: str = "text", label: str = "label", train_rows: int = TRAIN_ROWS, entries: int = LEXICON,
+def train(rows: DataFrame, text: str = "text", label: str = "label", train_rows: int = TRAIN_ROWS,
           support: int = 5, least: float = 2.5) -> Lexicon:
     """Learn weights and scores from rows labelled 0 or 1; equal texts count once.
 
     About ``train_rows`` rows of each label are read, whole texts. An entry needs ``support`` texts
-    labelled 1 and a smoothed log ratio of ``least`` between the labels. Without rows of both labels,
+    labelled 1 and a smoothed log ratio of ``least`` between the labels, less two standard errors; all that
+    have both are in the lexicon, whose size the rows learned from bound. Without rows of both labels,
     the given list and its default scores stay.
     """
     given = {}
@@ -193,8 +202,8 @@ def train(rows: DataFrame, text: str = "text", label: str = "label", train_rows:
         def count(batches):
             seen = Counter()
             for batch in batches:
-                for _, own in _texts(batch.column(0)):
-                    found = _entries(own)
+                for _, *own in _texts(batch.column(0)):
+                    found = set().union(*map(_entries, filter(None, own)))
                     seen.update(found if keep is None else found & keep)
                     seen[""] += 1
                     if len(seen) > COUNTED:  # Spark adds up what is sent in parts
@@ -205,7 +214,7 @@ def train(rows: DataFrame, text: str = "text", label: str = "label", train_rows:
         return count
 
     def total(only: int, wanted=None):
-        counts = rows.where(F.col("label") == only).select("text").mapInArrow(counted(wanted), "entry string, n long")
+        counts = rows.where(F.col("label") == only).select("text").mapInArrow(tidy(counted(wanted)), "entry string, n long")
         return counts.groupBy("entry").agg(F.sum("n").alias("n"))
 
     try:
@@ -225,7 +234,7 @@ def train(rows: DataFrame, text: str = "text", label: str = "label", train_rows:
             # evidence: the ratio less two standard errors
             sure = {e: r - 2 * math.sqrt(1 / (toxic[e] + 0.5) + 1 / (clean.get(e, 0) + 0.5)) for e, r in ratio.items()}
             spare = _spare(toxic, ratio)
-            chosen = sorted((e for e in ratio if sure[e] >= least and e not in spare), key=lambda e: (-sure[e], e))[:entries]
+            chosen = sorted((e for e in ratio if sure[e] >= least and e not in spare), key=lambda e: (-sure[e], e))
             lexicon.weights.update({f"{e[:-1]}s ": round(sure[e], 6) for e in chosen if e.endswith(" ") and not e.endswith("s ")})  # plurals
             lexicon.weights.update({e: round(sure[e], 6) for e in chosen})
             shared = rows.sparkSession.sparkContext.broadcast(lexicon)
@@ -233,11 +242,11 @@ def train(rows: DataFrame, text: str = "text", label: str = "label", train_rows:
             def measured(batches):
                 automaton = shared.value.automaton()
                 for batch in batches:
-                    own = [measures(hits(automaton, t), _word_count(t)) for _, t in _texts(batch.column(0))]
+                    own = [measures(hits(automaton, *t), _word_count(t[0])) for _, *t in _texts(batch.column(0))]
                     yield pa.RecordBatch.from_arrays([batch.column(1), *[pa.array([m[k] for m in own], pa.float64()) for k in range(3)]], ["label", "a", "b", "c"])
 
             # most texts have no hit at all: equal points count once, with their number
-            points = rows.mapInArrow(measured, "label int, a double, b double, c double").groupBy("a", "b", "c", "label")
+            points = rows.mapInArrow(tidy(measured), "label int, a double, b double, c double").groupBy("a", "b", "c", "label")
             points = points.agg(F.count("*").alias("n")).toArrow().sort_by([(c, "ascending") for c in ("a", "b", "c", "label")])
             x = np.column_stack([points[c].to_numpy() for c in "abc"])
             y, n = (points[c].to_numpy().astype(float) for c in ("label", "n"))
@@ -280,14 +289,14 @@ def toxicity(docs: DataFrame, lexicon: Lexicon, text: str = "text", threshold: f
         constant, *slopes = own.fit
         for batch in batches:
             out = np.zeros(batch.num_rows)
-            for i, t in _texts(batch.column(place)):
-                found = hits(automaton, t)
+            for i, t, ended in _texts(batch.column(place)):
+                found = hits(automaton, t, ended)
                 x = measures(found, _word_count(t)) if found else (0.0, 0.0, 0.0)
                 z = constant + sum(a * b for a, b in zip(slopes, x))
                 out[i] = 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], fields.names)
 
-    found = docs.select(*[F.col(f"`{c}`").alias(n) for n, c in zip(names, kept)]).mapInArrow(scored, fields)
+    found = docs.select(*[F.col(f"`{c}`").alias(n) for n, c in zip(names, kept)]).mapInArrow(tidy(scored), fields)
     found = found.select(*[F.col(n).alias(c) for n, c in zip(names, kept)], "score")
     return found.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
@@ -296,10 +305,10 @@ def labelled(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -
     """Texts and labels of the rows that may be learned from, about ``train_rows`` of each label.
 
     They are drawn from the labels, by a hash of the key, before texts are looked up; so the list that
-    is broadcast has a fixed size, and texts aren't shuffled.
+    is broadcast has a fixed size, and texts aren't shuffled. Repeated labels of a key count once.
     """
     usable = labels.where((remainder(F.col("doc_id"), 5) != 0) & F.col("toxic").isin(0, 1))
-    usable = usable.select("doc_id", F.col("toxic").cast("int").alias("label"))
+    usable = usable.select("doc_id", F.col("toxic").cast("int").alias("label")).distinct()
     sizes = {r["label"]: r["n"] for r in usable.groupBy("label").agg(F.count("*").alias("n")).collect()}
     share = F.lit(0.0)
     for label, n in sizes.items():

@@ -284,3 +284,58 @@ def test_no_bucket_holds_all_around_a_line(spark):
             gone = [repeats._ordered(b, 50, at_once).to_pylist() for b in buckets if b.num_rows]
             spans[len(heavy), at_once] = {(r["doc"], r["start"] + k) for g in gone for r in g for k in range(r["n"])}
     assert len(set(map(frozenset, spans.values()))) == 1 and len(spans[0, 999]) > 100
+
+
+def plain_score(text, lexicon):
+    """A naive scan of the lexicon's patterns and exceptions, a character and a pattern at a time."""
+    import math
+
+    def fold(endings):
+        out = []
+        for i, c in enumerate(text):
+            low = c.lower() if len(c.lower()) == 1 else c
+            if c.isalpha():
+                out.append(chr(ord(c) - 0xFEE0 + (32 if "Ａ" <= c <= "Ｚ" else 0)) if "Ａ" <= c <= "Ｚ" or "ａ" <= c <= "ｚ" else toxicity.HOMOGLYPHS.get(low, low))
+            elif c in toxicity.SUBSTITUTES:
+                after, before = text[i:].lstrip("".join(toxicity.SUBSTITUTES)), text[:i].rstrip("".join(toxicity.SUBSTITUTES))
+                inside = after[:1].isalpha() or (endings and before[-1:].isalpha())
+                out.append(toxicity.SUBSTITUTES[c] if inside else " ")
+            else:
+                out.append(" ")
+        return " " + "".join(out) + " "
+
+    best, spared = {}, []
+    for whole in (fold(False), fold(True)):
+        for pattern, weight in [*lexicon.weights.items(), *((f" {e} ", None) for e in lexicon.exceptions)]:
+            at = whole.find(pattern)
+            while at >= 0:
+                if weight is None:
+                    spared.append((at, at + len(pattern) - 1))
+                else:
+                    best[at] = max(best.get(at, 0), weight)
+                at = whole.find(pattern, at + 1)
+    found = [w for b, w in best.items() if not any(x <= b < y for x, y in spared)]
+    total, n = sum(found), len(fold(False).split())
+    x = (max(found, default=0.0), math.log1p(total), math.log1p(100 * total / max(n, 1)))
+    constant, *slopes = lexicon.fit
+    return 1 / (1 + math.exp(-(constant + sum(a * b for a, b in zip(slopes, x)))))
+
+
+def test_toxicity_against_naive_scan(spark, documents, sf):
+    lexicon = toxicity.train(toxicity.labelled(documents, spark.read.parquet(f"{sf}/labels.parquet")))
+    texts = [r.text for r in documents.orderBy("doc_id").limit(60).collect()] + [
+        "You dumba$$!", "a$$hole", "an 1d10t", "idiot1", "idiot", "IDIOT 5", "mоrоn", "jerk chicken and jerk", "trash bag", "ＩＤＩＯＴ", "a55", "", "$ 4 7", "l0$er5 l0$er",
+    ]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.toxicity(df, lexicon).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == pytest.approx(plain_score(t, lexicon), abs=1e-9), t
+    scores = dict(zip(texts, got.values()))
+    assert scores["You dumba$$!"] > scores["a55"] and scores["idiot1"] == scores["idiot"]
+
+
+def test_repeated_labels_count_once(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(50)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i % 50, None, i % 2) for i in range(2000)] + [(None, 1, 1), (3, 0, None)], "doc_id long, quality int, toxic int")
+    got = toxicity.labelled(docs, labels).collect()
+    assert len(got) == len(set(got)) == sum(1 for i in range(50) if __import__("zlib").crc32(str(i).encode()) % 5)
