@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from . import ragged
-from .frames import table, vocabulary
+from .frames import table, tidy, vocabulary
 from .pretokens import Remembered, byte_characters, pretokens, take_ragged
 
 #: Pre-tokens whose ids a worker remembers.
@@ -132,7 +132,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
                     [f.name for f in fields],
                 )
 
-    return docs.select(key, text).mapInArrow(rows, T.StructType(fields))
+    return docs.select(key, text).mapInArrow(tidy(rows), T.StructType(fields))
 
 
 def decode(encoded: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -148,7 +148,7 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id", ids: str = "ids")
                 data, _ = codec.decode(np.array([v if v is not None and v >= 0 else 2**31 for v in values], np.uint32), np.array([0, len(values)]))
                 yield pa.RecordBatch.from_arrays([batch.column(0)[i : i + 1], pa.array([data.tobytes()], pa.binary())], [f.name for f in fields])
 
-    return encoded.select(key, ids).mapInArrow(rows, fields)
+    return encoded.select(key, ids).mapInArrow(tidy(rows), fields)
 
 
 def round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -185,7 +185,7 @@ def round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str = "tex
                 )
         codec.renew()
 
-    return docs.select(key, text).mapInArrow(rows, fields)
+    return docs.select(key, text).mapInArrow(tidy(rows), fields)
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import ragged
-from .frames import stored, table
+from .frames import stored, table, tidy
 
 WINDOW = 13
 #: Bytes of benchmark text that one broadcast holds; larger benchmarks are searched in several passes.
@@ -199,7 +199,7 @@ def occurrences(docs: DataFrame, shared: Broadcast, key: str = "doc_id", text: s
                     [f.name for f in fields],
                 )
 
-    return docs.select(key, text).mapInArrow(rows, fields)
+    return docs.select(key, text).mapInArrow(tidy(rows), fields)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",

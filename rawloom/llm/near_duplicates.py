@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from . import ragged
 from .components import components
-from .frames import broadcastable, stored, table
+from .frames import broadcastable, stored, table, tidy
 
 SHINGLE = 5
 BANDS, ROWS = 28, 4
@@ -120,7 +120,7 @@ def _signed(docs: DataFrame, key: str, text: str) -> DataFrame:
                     [f.name for f in fields],
                 )
 
-    return docs.select(F.col(key).alias("doc"), F.col(text).alias("text")).mapInArrow(rows, fields)
+    return docs.select(F.col(key).alias("doc"), F.col(text).alias("text")).mapInArrow(tidy(rows), fields)
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -134,7 +134,7 @@ def _sets(docs: DataFrame) -> DataFrame:
                 raw = [hashes[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
                 yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], pa.array(raw, pa.binary())], [f.name for f in fields])
 
-    return docs.select("doc", "text").mapInArrow(rows, fields)
+    return docs.select("doc", "text").mapInArrow(tidy(rows), fields)
 
 
 def _agree(left, right, percent: int):
@@ -187,7 +187,7 @@ def _compared(pairs: DataFrame, percent: int) -> DataFrame:
                     fields.names,
                 )
 
-    return pairs.select("a", "b", "set_a", "set_b", "more").mapInArrow(rows, fields)
+    return pairs.select("a", "b", "set_a", "set_b", "more").mapInArrow(tidy(rows), fields)
 
 
 def _tested(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
