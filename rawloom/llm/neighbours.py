@@ -24,6 +24,8 @@ from .frames import stored, table
 #: Vectors of a group, and of a bucket before it is split. At most a million buckets are ever listed as split.
 GROUP_ROWS = 20_000
 MOST_SPLIT = 1_000_000
+#: Queries that are compared with all vectors at a time.
+QUERY_BLOCK = 4096
 
 
 @dataclass(frozen=True)
@@ -276,15 +278,17 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 5, index: Index = Inde
 
     Rows and queries have the same columns; a query leaves out the row of its own key. Vectors that are
     NULL, empty, zero or hold NULL or values that aren't finite take no part, nor do NULL keys. Only
-    vectors of one size are compared. Ties go to the smaller key. A query has fewer than ``k`` rows if
-    its buckets hold fewer. Repeated rows of one key and vector count once. Of equal vectors only
-    the ``k + 1`` smallest keys are indexed, as no others can be among the nearest. Empty tables
-    give an empty result.
+    vectors of one size are compared. Ties go to the smaller key. Queries whose buckets hold fewer than ``k``
+    others are compared with all vectors, in blocks of ``QUERY_BLOCK`` queries, so that a query has fewer rows only if there
+    are fewer other vectors of its size. Repeated rows of one key and vector count once. A key with several vectors is one
+    query for each, whose nearest are ranked together. Of equal vectors only the ``k + 1`` smallest keys are indexed, as no
+    others can be among the nearest. Empty tables give an empty result.
     """
     spark = rows.sparkSession
     first = Window.partitionBy("vector").orderBy("id")
     points = _vectors(rows, key, vector).distinct()
     distinct = points.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= k + 1).select("id", "vector")
+    distinct = stored(distinct, "vectors")
     indexed = stored(_indexed(distinct, index), "indexed")
     n = indexed.count()
     limit = max(GROUP_ROWS, n // MOST_SPLIT)
@@ -306,6 +310,25 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 5, index: Index = Inde
         .applyInArrow(met, "query long, vec_id long, score double")
         .distinct()
     )
+    reached = stored(_ranked(found, asked, k), "reached")
+    # queries whose buckets hold too few are compared with all vectors, in blocks
+    full = reached.groupBy("query_id").agg(F.count("*").alias("n")).where(F.col("n") >= k)
+    short = stored(asked.join(full, asked["id"] == full["query_id"], "left_anti").select("stands").distinct(), "short")
+    if short.isEmpty():
+        return reached
+    left = stored(single.join(short, single["id"] == short["stands"], "left_semi").withColumn("number", F.monotonically_increasing_id()), "left")
+    every = None
+    for lower, upper in _blocks(left):
+        block = spark.sparkContext.broadcast([tuple(r) for r in left.where(F.col("number").between(lower, upper)).select("id", "vector").collect()])
+        own = distinct.mapInArrow(_compared_with(block, k + 1), "query long, vec_id long, score double")
+        every = own if every is None else every.unionByName(own)
+    of_short = asked.join(short, "stands", "left_semi")
+    others = reached.join(of_short.select(F.col("id").alias("query_id")), "query_id", "left_anti")
+    return others.unionByName(_ranked(every, of_short, k))
+
+
+def _ranked(found: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """The ``k`` nearest of each query from what was found for the one that stands for its vector."""
     nearest_first = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     best = found.withColumn("rank", F.row_number().over(nearest_first)).where(F.col("rank") <= k + 1).drop("rank")
     own = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
@@ -319,6 +342,48 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 5, index: Index = Inde
     )
 
 
+def _blocks(numbered: DataFrame) -> list[tuple[int, int]]:
+    """Ranges of numbers that hold up to ``QUERY_BLOCK`` rows each."""
+    runs = numbered.groupBy(F.floor(F.col("number") / QUERY_BLOCK).alias("run")).agg(F.count("*").alias("n")).orderBy("run").collect()
+    out, rows = [], QUERY_BLOCK + 1
+    for run, n in runs:
+        if rows + n > QUERY_BLOCK:
+            out.append([run * QUERY_BLOCK, 0])
+            rows = 0
+        out[-1][1] = (run + 1) * QUERY_BLOCK - 1
+        rows += n
+    return [tuple(r) for r in out]
+
+
+def _compared_with(block, k: int):
+    """The ``k`` nearest of each query of a block among each batch of vectors of its size."""
+
+    def rows(batches):
+        queries = block.value
+        asked = _unit([v for _, v in queries])
+        names = np.array([i for i, _ in queries], np.int64)
+        for batch in batches:
+            raw, ids = batch.column(1).to_pylist(), batch.column(0).to_numpy(zero_copy_only=False)
+            for size, (at, unit) in _unit(raw).items():
+                if size not in asked:
+                    continue
+                who, query_unit = asked[size]
+                v = np.frombuffer(b"".join(raw[i] for i in at), np.float64).reshape(len(at), size)
+                for lo in range(0, len(who), 256):
+                    some = who[lo : lo + 256]
+                    near = query_unit[lo : lo + 256] @ unit.T
+                    least = np.partition(near, max(len(at) - k, 0), axis=1)[:, max(len(at) - k, 0)]
+                    i, j = np.nonzero(near >= least[:, None] - 1e-9)
+                    q = np.frombuffer(b"".join(queries[s][1] for s in some), np.float64).reshape(len(some), size)
+                    score = _exact(q[i], v[j])
+                    best = _best(i, ids[at[j]], score, k)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(names[some[i[best]]]), pa.array(ids[at[j[best]]]), pa.array(score[best])], ["query", "vec_id", "score"]
+                    )
+
+    return rows
+
+
 def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     return nearest(rows, rows.where(F.col("vec_id") % 50 == 0))

@@ -175,3 +175,19 @@ def test_odd_vectors(spark):
     assert [v for _, v in sorted(got[150])] == [0, 1, 2, 3, 4]
     assert 200 not in got and 100 not in got
     assert neighbours.nearest(df.limit(0), df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("n", [2, 3, 4, 6, 40])
+def test_all_candidates_of_small_tables(spark, n):
+    """Random vectors that share no bucket, besides some of another size: each query has all others up to five, in order."""
+    rng = np.random.default_rng(n)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((n, 64)))] + [(100 + i, v.tolist()) for i, v in enumerate(rng.standard_normal((2, 8)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in neighbours.nearest(df, df).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    for i, v in rows:
+        near = sorted((-float(np.dot(v, w) / np.linalg.norm(v) / np.linalg.norm(w)), j) for j, w in rows if j != i and len(w) == len(v))
+        assert len(got.get(i, [])) == min(5, len(near))
+        if n <= 6:
+            assert got[i] == [j for _, j in near[:5]]
