@@ -339,6 +339,32 @@ def reports_of_runs(spark, sf_dir):
     return _stored_reports(spark, out).join(_stored_totals(spark, out), ["year", "stem"])
 
 
+@_c.add(
+    "k5_rerun",
+    """
+    SELECT y AS year, 'parsed' AS first, CASE y WHEN '1995' THEN 'parsed' WHEN '1996' THEN 'failed' ELSE 'unchanged' END AS second,
+           CASE y WHEN '1995' THEN 2 * n WHEN '1996' THEN NULL ELSE n END AS n_rows, n * (1 + CAST(y = '1995' AS INTEGER)) AS last_good
+    FROM (SELECT CAST(year(o_orderdate) AS VARCHAR) AS y, count(*) AS n FROM orders GROUP BY 1)""",
+)
+def rerun(spark, sf_dir):
+    """Two staged runs over a file a year: one file grows between them, one breaks, the others are not read again."""
+    root, out = scratch_dir(spark, "tree"), scratch_dir(spark, "typed")
+    orders = table(spark, sf_dir, "orders")
+    year = F.year("o_orderdate").cast("string")
+    file = F.concat(F.lit("orders_"), year, F.lit(".csv"))
+    _tree(root, orders, year, file, _csv_line())
+    path = F.concat(F.lit(f"{root}/folder="), "year", F.lit("/orders_"), "year", F.lit(".fts"))
+    layouts = orders.select(year.alias("year")).distinct().select(path.alias("layout_file"), _csv_text().alias("text"))
+    first = intake(spark, root, out, layout_texts=layouts, only_changed=True, staged=True).select("year", F.col("status").alias("first"))
+    first = spark.createDataFrame(first.collect(), first.schema)
+    _tree(root, orders.where(year == "1995"), year, file, _csv_line())
+    _tree(root, orders.where(year == "1996"), year, file, F.col("o_orderkey").cast("string"))
+    second = intake(spark, root, out, layout_texts=layouts, only_changed=True, staged=True).select("year", F.col("status").alias("second"))
+    served = read_dataset(spark, out, "orders").groupBy("year").agg(F.count("*").alias("n_rows"))
+    good = read_dataset(spark, out, "orders", last_good=True).groupBy("year").agg(F.count("*").alias("last_good"))
+    return first.join(second, "year").join(served, "year", "left").join(good, "year", "left")
+
+
 def _put(spark, path: str, content: bytes) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)

@@ -22,6 +22,7 @@ from rawloom.sources.dataset import read_dataset, write_dataset, write_report
 from rawloom.sources.delimited import read_delimited, split_delimited
 from rawloom.sources.fixedwidth import read_fixed_width, slice_fixed
 from rawloom.sources.layouts import scan_layouts
+from rawloom.sources.ledger import file_log, folder_log, remove_superseded
 from rawloom.sources.manifest import build_manifest, collisions
 from rawloom.streaming.incremental import stream_intake, stream_profiles, stream_rows
 
@@ -37,6 +38,8 @@ __all__ = [
     "declared",
     "detect_kinds",
     "duplicate_rows",
+    "file_log",
+    "folder_log",
     "infer_and_cast",
     "sampled_kinds",
     "intake",
@@ -48,6 +51,7 @@ __all__ = [
     "read_dataset",
     "read_delimited",
     "read_fixed_width",
+    "remove_superseded",
     "report",
     "scan_layouts",
     "schema_diff",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+import json
 import re
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Sequence
@@ -18,8 +20,10 @@ from rawloom.operators.infer import infer_and_cast
 from rawloom.operators.profile import profile
 from rawloom.plans.report import report
 from rawloom.session import tune
+from rawloom.sources import ledger
 from rawloom.sources.dataset import (
     KEYS,
+    STRUCTURES,
     Keys,
     existing_folders,
     read_folders,
@@ -175,6 +179,8 @@ def intake(
     dat_options: dict | None = None,
     csv_options: dict | None = None,
     check_duplicates: bool = True,
+    only_changed: bool = False,
+    staged: bool = False,
 ) -> DataFrame:
     """Read all raw files below ``root`` and write them typed below ``out``.
 
@@ -198,19 +204,35 @@ def intake(
     ``layout_texts`` for layouts kept elsewhere; ``layout_file`` then is the path where
     the file would lie.
 
+    With ``only_changed`` a log of files is kept in ``out/_ledger``. Folders whose files, layouts and options
+    are as an earlier run logged them are not read again; their files are ``unchanged``. A file that failed is
+    tried again, and a folder with a new, changed or missing file is taken in as a whole.
+
+    With ``staged`` rows are written to ``out/_runs`` and published together at the end, by ``out/_commits``:
+    ``read_dataset`` sees a run's folders whole or not at all. A folder that failed is no longer served as current, and its
+    report says so. ``remove_superseded`` deletes what no reader needs any more.
+
     SAS files need ``sas_reader``, a function that gives a decoded DataFrame for paths;
     its types are inferred. Returns the manifest with a ``status`` per file: ``parsed``,
     ``failed`` (its folder could not be read or written; the others are), ``bad layout``,
-    ``no layout``, ``empty`` or ``not read``; and a ``note``: why a file failed, that its
+    ``no layout``, ``empty``, ``unchanged`` or ``not read``; and a ``note``: why a file failed, that its
     name tells another year than its folder, or that its layout declares other starts
     than the widths give. The driver sees file names and layouts only.
     """
     tune(spark)
     if layout_texts is None:
         layout_texts = _layout_texts(spark, root if globs else year_folders(root, years))
+    logged = only_changed or staged
     found = attach_layouts(
-        select_files(spark, root, years, stems, kinds, globs, loose), layout_texts
+        select_files(spark, root, years, stems, kinds, globs, loose, dated=logged), layout_texts
     )
+    run_number = ledger.next_run(spark, out) if logged else 0
+    if logged:
+        options = repr((mode, structure, rows_per_file, run_qc, loose, parity, keys, dat_options, csv_options, check_duplicates, staged, names.plain_path(root)))
+        told = layout_texts.select("layout_file", F.sha2("text", 256).alias("_text"))
+        found = found.join(told, "layout_file", "left").withColumn("described", F.sha2(F.concat_ws("\n", F.lit(options), "_text"), 256)).drop("_text")
+        log = ledger.file_log(spark, out) if only_changed else ledger.file_log(spark, out).limit(0)
+        found = ledger.mark_unchanged(found, log)
     # One listing of the tree: file names, not data. Readers need the paths here anyway.
     listing = sorted(found.collect(), key=lambda f: (f.year, f.path))
     if not listing:
@@ -219,7 +241,8 @@ def intake(
     require_no_collisions(manifest)
 
     # Only layouts that describe some file are parsed, and these once.
-    used = manifest.select("layout_file").where("layout_file IS NOT NULL").distinct()
+    pending = manifest.where("NOT unchanged") if logged else manifest
+    used = pending.select("layout_file").where("layout_file IS NOT NULL").distinct()
     texts = layout_texts.join(used, "layout_file", "left_semi").persist()
     readable = F.is_valid_utf8("text")
     bad = {r["layout_file"]: "layout is not UTF-8" for r in texts.where(~readable).select("layout_file").collect()}
@@ -229,7 +252,7 @@ def intake(
         shapes, file_rows = _local(spark, layout_shapes(parsed)), _local(spark, layout_file_rows(parsed))
         wanted: dict[str, set[str]] = defaultdict(set)
         for f in listing:
-            if f.kind in STYLES and f.layout_file:
+            if f.kind in STYLES and f.layout_file and not (logged and f.unchanged):
                 wanted[f.kind].add(f.layout_file)
         layouts = _layouts(located, wanted, bad) if wanted else {}
     finally:
@@ -240,7 +263,7 @@ def intake(
     for (_, file), layout in layouts.items():
         clash = [n for n in layout.names if n.lower() in taken]
         if clash:
-            raise ValueError(f"{file} has columns {clash}: choose other keys than {keys}")
+            bad[file] = f"has columns {clash}: choose other keys than {keys}"
 
     offsets = (dat_options or {}).get("offsets", "cumulative")
     jobs: dict[tuple[str, str], tuple[Layout | None, list[Row]]] = {}
@@ -249,7 +272,9 @@ def intake(
         layout = layouts.get((f.kind, f.layout_file))
         if f.dir_year and f.name_year and f.dir_year != f.name_year:
             notes[f.path].append(f"folder of {f.dir_year}, name of {f.name_year}")
-        if f.length == 0:
+        if logged and f.unchanged:
+            status[f.path] = ledger.UNCHANGED
+        elif f.length == 0:
             status[f.path] = "empty"
         elif f.kind == "sas" and sas_reader is None:
             status[f.path] = "not read"
@@ -278,8 +303,13 @@ def intake(
             "expected_columns int, expected_names array<string>",
         )
 
+    commits: list[tuple] = []
+    places = itertools.count()
+
     def take_in(kind: str, layout: Layout | None, files: list[Row]) -> list[Row]:
         """Write the files' rows; the count per (year, stem) from their reports."""
+        place = f"{run_number}-{next(places)}"
+        base = f"{out}/{ledger.RUNS}/{ledger.PLACE}={place}" if staged else out
         paths = [names.literal_path(f.path) for f in files]
         folders = {(f.year, f.stem) for f in files}
         if kind == "sas":
@@ -289,18 +319,26 @@ def intake(
             read = read_fixed_width if kind == "dat" else read_delimited
             more = (dat_options if kind == "dat" else csv_options) or {}
             rows = read(spark, paths, layout, mode, tags=path_tags(kind, root, loose, keys), **more)
-        write_dataset(rows, out, structure, rows_per_file, keys=keys, folders=folders)
+        write_dataset(rows, base, structure, rows_per_file, keys=keys, folders=folders)
+        done = [(run_number, y, s, place, "parsed", None) for y, s in sorted(folders)]
         if not run_qc:
+            commits.extend(done)
             return []
-        there = existing_folders(spark, out, folders, structure, keys)
+        there = existing_folders(spark, base, folders, structure, keys)
         if not there:
+            commits.extend(done)
             return [Row(year=y, stem=s, actual_rows=0) for y, s in sorted(folders)]
-        written = read_folders(spark, out, there, structure, keys)
+        written = read_folders(spark, base, there, structure, keys)
         result = None if check_duplicates else profile(written, keys, duplicates=False)
         reports = report(written, expected, by=list(keys), result=result)
         as_json = F.to_json(F.struct(*[column(k) for k in keys], "report")).alias("value")
         write_reports(reports.select(as_json, *[column(k) for k in keys]), f"{out}/_reports", keys)
-        stored = read_folders_text(spark, f"{out}/_reports", there, keys)
+        commits.extend(done)
+        return reported(there)
+
+    def reported(folders) -> list[Row]:
+        """The rows of folders, by their stored reports."""
+        stored = read_folders_text(spark, f"{out}/_reports", folders, keys)
         inner = F.get_json_object("value", "$.report")
         return stored.select(
             *[column(k).alias(c) for k, c in zip(keys, KEYS)],
@@ -320,11 +358,17 @@ def intake(
                 for f in files:
                     status[f.path] = "failed"
                     notes[f.path].append(_reason(e))
+                commits.extend((run_number, y, s, None, "failed", _reason(e)) for y, s in by_folder)
                 return []
             return [row for own in by_folder.values() for row in run(((kind, ""), (layout, own)))]
 
     with ThreadPoolExecutor(max(1, parallel_jobs)) as pool:
         counts = [row for found in pool.map(run, sorted(jobs.items(), key=lambda j: j[0])) for row in found]
+    if logged and run_qc and counts:
+        # folders left as they are count in the totals of layouts that they share with others
+        shared = {f.layout_file for f in listing if not f.unchanged} - {None}
+        as_before = {(f.year, f.stem) for f in listing if f.unchanged and f.layout_file in shared}
+        counts += reported(existing_folders(spark, f"{out}/_reports", as_before, STRUCTURES[0], keys)) if as_before else []
     if counts:
         counted = spark.createDataFrame(counts, "year string, stem string, actual_rows bigint")
         totals = total_check(counted, manifest, shapes)
@@ -335,7 +379,21 @@ def intake(
     verdicts = spark.createDataFrame(
         [(p, s, "; ".join(notes[p]) or None) for p, s in status.items()], "path string, status string, note string"
     )
-    return manifest.join(verdicts, "path", "left")
+    result = manifest.join(verdicts, "path", "left")
+    if staged:
+        _publish(spark, out, commits, keys, run_qc)
+    if logged:
+        entries = result.where(F.col("status") != ledger.UNCHANGED).withColumn("run", F.lit(run_number).cast("bigint"))
+        ledger.log_files(entries.select(*[c.split()[0] for c in ledger.FILES_SCHEMA.split(", ")]), out)
+    return result.drop("modified", "described", "unchanged") if logged else result
+
+
+def _publish(spark: SparkSession, out: str, commits: list[tuple], keys: Keys, run_qc: bool) -> None:
+    """Log a run's folders, which readers then see; reports of failed ones say so."""
+    failed = [(json.dumps({keys[0]: y, keys[1]: s, "report": json.dumps({"status": "failed", "note": note})}), y, s) for _, y, s, place, _, note in commits if place is None]
+    if failed and run_qc:
+        write_reports(spark.createDataFrame(failed, f"value string, {ident(keys[0])} string, {ident(keys[1])} string"), f"{out}/_reports", keys)
+    ledger.log_folders(spark.createDataFrame(commits, ledger.FOLDERS_SCHEMA), out)
 
 
 def _reason(error: Exception) -> str:

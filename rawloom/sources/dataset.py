@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from rawloom.functions.names import literal_path
 from rawloom.functions.text import column
+from rawloom.sources import ledger
 
 # Characters that Spark writes as %XX in the folders of partition values.
 _ESCAPED = set("\"#%'*/:=?\\\x7f{[]^") | {chr(c) for c in range(1, 32)}
@@ -77,8 +78,19 @@ def read_dataset(
     structure: str = "year/file_stem",
     parts: bool = True,
     keys: Keys = KEYS,
+    last_good: bool = False,
 ) -> DataFrame:
-    """A logical table: all years of a stem, and of its numbered parts (``stem__001``)."""
+    """A logical table: all years of a stem, and of its numbered parts (``stem__001``).
+
+    Of a staged dataset (``intake(staged=True)``) the folders that the last run of each published. A folder whose
+    last run failed has no rows; with ``last_good`` it has those of its last run that succeeded.
+    """
+    if ledger.is_staged(spark, out):
+        runs = f"{out}/{ledger.RUNS}"
+        found = ledger.published(_read(spark, runs, [runs], (*keys, ledger.PLACE)), ledger.folder_log(spark, out, last_good), keys)
+        exact = column(keys[1]) == stem
+        numbered = column(keys[1]).rlike("^" + re.escape(stem or "") + "__[0-9]+$")
+        return found if stem is None else found.filter(exact | numbered if parts else exact)
     if stem is None:
         return _read(spark, out, [out], keys)
     name = _escaped(stem)
@@ -137,7 +149,7 @@ def _escaped(value: str) -> str:
     return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in value)
 
 
-def _read(spark: SparkSession, out: str, paths: list[str], keys: Keys) -> DataFrame:
+def _read(spark: SparkSession, out: str, paths: list[str], keys: tuple[str, ...]) -> DataFrame:
     """Folders with year and stem as text: ``007`` is a stem, not the number 7."""
     reader = spark.read.option("basePath", out).option("mergeSchema", True)
     schema = T.StructType(

@@ -14,6 +14,7 @@ from rawloom.functions import names
 # In a folder holding several kinds, only the first of these is read.
 KIND_PREFERENCE = ("dat", "csv", "sas")
 LISTING_SCHEMA = "path string, length bigint"
+DATED_SCHEMA = LISTING_SCHEMA + ", modified timestamp"
 
 
 def year_folders(root: str, years: Iterable | None) -> str:
@@ -25,8 +26,8 @@ def year_folders(root: str, years: Iterable | None) -> str:
     return f"{root.rstrip('/')}/{{{some}}}"
 
 
-def list_files(spark: SparkSession, root: str | Sequence[str]) -> DataFrame:
-    """Path and size of every file; contents are not read. Folders may be patterns."""
+def list_files(spark: SparkSession, root: str | Sequence[str], dated: bool = False) -> DataFrame:
+    """Path and size of every file, and with ``dated`` when it was ``modified``; contents are not read. Folders may be patterns."""
     try:
         files = (
             spark.read.format("binaryFile")
@@ -36,8 +37,9 @@ def list_files(spark: SparkSession, root: str | Sequence[str]) -> DataFrame:
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        return spark.createDataFrame([], LISTING_SCHEMA)
-    return files.select(F.regexp_replace("path", "^file:/+", "/").alias("path"), "length")
+        return spark.createDataFrame([], DATED_SCHEMA if dated else LISTING_SCHEMA)
+    when = [F.col("modificationTime").alias("modified")] if dated else []
+    return files.select(F.regexp_replace("path", "^file:/+", "/").alias("path"), "length", *when)
 
 
 def hidden_files(spark: SparkSession, root: str) -> DataFrame:
@@ -56,12 +58,14 @@ def describe_files(files: DataFrame, root: str | None = None, loose: bool = Fals
     """Derive kind, years, stem, part and layout name from ``path`` and ``length``.
 
     The parts of a file written by a distributed job count as one file. The folder's
-    year wins over the name's. Unsupported files have a NULL ``kind``.
+    year wins over the name's. Unsupported files have a NULL ``kind``. The time of the last
+    change, if given, follows at the end.
     """
+    dated = [c for c in ("modified",) if c in files.columns]
     whole = (
-        files.select(names.raw_file(F.col("path")).alias("path"), "length")
+        files.select(names.raw_file(F.col("path")).alias("path"), "length", *dated)
         .groupBy("path")
-        .agg(F.sum("length").alias("length"))
+        .agg(F.sum("length").alias("length"), *[F.max(c).alias(c) for c in dated])
     )
     named = whole.withColumn("file_name", names.raw_name(F.col("path"))).withColumn(
         "kind", names.kind_of(F.col("file_name"))
@@ -79,6 +83,7 @@ def describe_files(files: DataFrame, root: str | None = None, loose: bool = Fals
         "length",
         names.dir_name(F.col("path")).alias("dir"),
         names.layout_stem(name, kind, loose).alias("layout_stem"),
+        *dated,
     ).withColumn("year", F.coalesce("dir_year", "name_year"))
 
 
@@ -250,9 +255,10 @@ def select_files(
     kinds: str | Sequence[str] = "auto",
     globs: Sequence[str] | None = None,
     loose: bool = False,
+    dated: bool = False,
 ) -> DataFrame:
     """Raw files to read, directly in the year folders below ``root`` or by globs."""
-    listed = list_files(spark, root if globs else year_folders(root, years))
+    listed = list_files(spark, root if globs else year_folders(root, years), dated)
     files = describe_files(listed, root, loose)
     if globs:
         candidates = select_globs(files, root, globs)
