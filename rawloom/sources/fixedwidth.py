@@ -20,7 +20,7 @@ from rawloom.layout import Layout
 from rawloom.operators.ordered import indexed_lines, row_slice
 
 
-_PLAIN, _DATA, _TEXT = "_printable", "_bytes", "_text"
+_PLAIN, _DATA, _TEXT, _HERE = "_printable", "_bytes", "_text", "_here"
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -31,15 +31,14 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 
 def _byte_fields(layout: Layout, starts: list[int], encoding: str) -> list[Column]:
-    """Fields cut from bytes. A printable line has one byte a character: its text is cut
-    as it is, and only other lines are cut, checked and repaired byte by byte."""
-    data, text, plain = F.col(_DATA), F.col(_TEXT), F.col(_PLAIN)
+    """Fields cut from bytes. A printable line has one byte a character, so that its bytes are its
+    text; only other lines are checked and repaired."""
+    data, plain = F.col(_DATA), F.col(_PLAIN)
     out = []
     for f, start in zip(layout.fields, starts):
         if f.name:
-            place = start + 1, max(f.width, 0)
-            decoded = decode_bytes(F.substring(data, *place), encoding)
-            out.append(F.when(plain, F.substring(text, *place)).otherwise(decoded).alias(f.name))
+            raw = F.substring(data, start + 1, max(f.width, 0))
+            out.append(F.when(plain, raw.cast("string")).otherwise(decode_bytes(raw, encoding)).alias(f.name))
     return out
 
 
@@ -63,6 +62,7 @@ def slice_fixed(
     encoding: str = "utf-8",
     offsets: str = "cumulative",
     count_newline: bool = False,
+    stored_lines: bool = False,
 ) -> DataFrame:
     """Cut each line into the layout's fields, as strings without outer white space.
 
@@ -71,7 +71,8 @@ def slice_fixed(
     (``drop``). ``unit="char"`` cuts characters, gives the last field the rest of the
     line and lets short lines end in empty fields. By default the unit is bytes unless
     the layout leaves a width open. ``count_newline`` lets the line feed stand in for
-    one missing byte. Other columns of ``df`` follow unchanged.
+    one missing byte. Other columns of ``df`` follow unchanged. ``stored_lines`` says that lines are read
+    as they are; else they are computed in one place, before the checks, which would compute them again.
     """
     check_mode(mode)
     unit = unit or layout.default_unit
@@ -80,6 +81,10 @@ def slice_fixed(
     others = [column(c) for c in df.columns if c != value_col]
     if unit not in ("byte", "char"):
         raise ValueError("unit must be 'byte' or 'char'")
+    if not stored_lines:
+        # filters are not pushed below a column like this
+        df = df.select(*others, value.alias(value_col), F.spark_partition_id().alias(_HERE))
+    seen = F.lit(True) if stored_lines else F.col(_HERE) >= 0
     marks = []
     if unit == "byte":
         needed = max(start + max(f.width, 0) for f, start in zip(layout.fields, starts))
@@ -89,9 +94,9 @@ def slice_fixed(
         if mode == "failfast":
             # A filter, so that the check survives whatever columns are selected later.
             complaint = F.raise_error(message).cast("boolean")
-            df = df.filter(F.when(short, complaint).otherwise(True))
+            df = df.filter(F.when(short, complaint).otherwise(seen))
         elif mode == "drop":
-            df = df.filter(~short)
+            df = df.filter(~short & seen)
         else:
             marks = [F.when(short, message).alias(REASON)]
         fields = _byte_fields(layout, starts, encoding)
@@ -102,8 +107,8 @@ def slice_fixed(
 
     # Looking for rare white space once per line spares looking for it in every field.
     marked = [F.col(REASON)] if marks else []
-    lines = df.select(*others, *marks, without_return(value).alias(_DATA))
     text = F.col(_DATA).cast("string") if is_utf8(encoding) else F.decode(_DATA, encoding)
+    lines = df.select(*others, *marks, without_return(value).alias(_DATA))
     lines = lines.withColumn(_TEXT, text).withColumn(_PLAIN, printable(F.col(_TEXT)))
     cut = lines.select(*fields, *others, *marked, _PLAIN)
     return cut.select(*strip_fields(layout.names, F.col(_PLAIN)), *others, *marked)
@@ -132,5 +137,5 @@ def read_fixed_width(
         lines = read_lines(spark, paths)
     if tags:
         lines = lines.select("value", *[c.alias(n) for n, c in tags.items()])
-    cut = slice_fixed(lines, layout, mode=mode, **slicing)
+    cut = slice_fixed(lines, layout, mode=mode, stored_lines=True, **slicing)
     return cast_by_layout(cut, layout, mode, stripped=True)
