@@ -30,6 +30,7 @@ from rawloom import (
 from rawloom.operators.ordered import indexed_lines
 from rawloom.session import scratch_dir
 from rawloom.streaming.incremental import read_profiles
+from rawloom.streaming.tree import read_tree, stream_tree
 
 _c = Catalog()
 QUERIES, ORACLES = _c.queries, _c.oracles
@@ -466,6 +467,38 @@ def incremental(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@_c.add(
+    "i1_tree",
+    """
+    SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, stem, count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_keys,
+           CASE stem WHEN 'states' THEN count(DISTINCT o_orderstatus) ELSE 0 END AS states,
+           CAST(CASE stem WHEN 'states' THEN 0 ELSE sum(CAST(o_totalprice AS DECIMAL(18, 2))) END AS DOUBLE) AS total
+    FROM orders, (SELECT unnest(['fixed', 'prices', 'states']) AS stem) GROUP BY 1, 2""",
+)
+def incremental_tree(spark, sf_dir):
+    """Fixed-width and delimited files of three layouts arrive mixed, in two arrivals and three runs."""
+    root, out, memory = (scratch_dir(spark, n) for n in ("tree", "typed", "checkpoint"))
+    orders = table(spark, sf_dir, "orders")
+    year = F.year("o_orderdate").cast("string")
+    early = F.col("o_orderdate") < F.lit("1995-01-01").cast("timestamp_ntz")
+    kinds = (("fixed", "dat", order_line(), F.lit(_LAYOUT_TEXT)), ("prices", "csv", _csv_line(), _csv_text()), ("states", "csv", _csv_line("state"), _csv_text("state")))
+    layouts = None
+    for stem, _, _, text in kinds:
+        path = F.concat(F.lit(f"{root}/folder="), "year", F.lit(f"/{stem}_"), "year", F.lit(".fts"))
+        own = orders.select(year.alias("year")).distinct().select(path.alias("layout_file"), text.alias("text"))
+        layouts = own if layouts is None else layouts.unionByName(own)
+    for arrival in (orders.where(early), orders.where(~early), None):
+        for stem, ext, line, _ in kinds if arrival is not None else ():
+            _tree(root, arrival, year, F.concat(F.lit(f"{stem}_"), year, F.lit(f".{ext}")), line)
+        stream_tree(spark, root, out, memory, layouts).awaitTermination()
+    return read_tree(spark, out).groupBy("year", "stem").agg(
+        F.count("*").alias("n_rows"),
+        F.count_distinct("o_orderkey").alias("n_keys"),
+        F.count_distinct(F.when(F.col("stem") == "states", F.col("o_orderstatus"))).alias("states"),
+        F.coalesce(F.sum(F.when(F.col("stem") != "states", F.col("o_totalprice").cast("decimal(18,2)"))).cast("double"), F.lit(0.0)).alias("total"),
+    )
+
+
 @_c.add(
     "i2_batch_profiles",
     """

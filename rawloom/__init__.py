@@ -25,6 +25,7 @@ from rawloom.sources.layouts import scan_layouts
 from rawloom.sources.ledger import file_log, folder_log, remove_superseded
 from rawloom.sources.manifest import build_manifest, collisions
 from rawloom.streaming.incremental import stream_intake, stream_profiles, stream_rows
+from rawloom.streaming.tree import read_tree, stream_tree, tree_files
 
 __all__ = [
     "Field",
@@ -51,6 +52,7 @@ __all__ = [
     "read_dataset",
     "read_delimited",
     "read_fixed_width",
+    "read_tree",
     "remove_superseded",
     "report",
     "scan_layouts",
@@ -61,7 +63,9 @@ __all__ = [
     "stream_intake",
     "stream_profiles",
     "stream_rows",
+    "stream_tree",
     "top_values",
+    "tree_files",
     "tune",
     "unique_values",
     "value_counts",

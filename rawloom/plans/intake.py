@@ -57,7 +57,10 @@ def path_tags(
     kind: str, root: str, loose: bool = False, keys: Keys = KEYS
 ) -> dict[str, Column]:
     """Year and stem of the file a row comes from, computed from its path."""
-    path = names.raw_file(names.source_path())
+    return tags_of(names.raw_file(names.source_path()), kind, root, loose, keys)
+
+
+def tags_of(path: Column, kind: str, root: str, loose: bool = False, keys: Keys = KEYS) -> dict[str, Column]:
     name = names.raw_name(path)
     year = F.coalesce(
         names.folder_year(path, root), names.year_of_name(name, F.lit(kind), loose)
@@ -97,6 +100,28 @@ def _layouts(
     return out
 
 
+def describe_layouts(
+    spark: SparkSession, root: str, files: DataFrame, layout_texts: DataFrame | None = None
+) -> tuple[list[Row], dict[tuple[str, str], Layout], dict[str, str]]:
+    """Files with their layout files, the layouts by (kind, layout file), and what is wrong with some."""
+    texts = _layout_texts(spark, root) if layout_texts is None else layout_texts
+    listing = attach_layouts(files, texts).collect()
+    wanted: dict[str, set[str]] = defaultdict(set)
+    for f in listing:
+        if f.kind in STYLES and f.layout_file:
+            wanted[f.kind].add(f.layout_file)
+    if not wanted:
+        return listing, {}, {}
+    used = spark.createDataFrame([(n,) for n in sorted(set().union(*wanted.values()))], "layout_file string")
+    texts = texts.join(F.broadcast(used), "layout_file", "left_semi").persist()
+    try:
+        readable = F.is_valid_utf8("text")
+        bad = {r["layout_file"]: "layout is not UTF-8" for r in texts.where(~readable).select("layout_file").collect()}
+        return listing, _layouts(located_tables(texts.where(readable)), wanted, bad), bad
+    finally:
+        texts.unpersist()
+
+
 def _expectations(manifest: DataFrame, shapes: DataFrame, file_rows: DataFrame) -> DataFrame:
     """Declared rows and columns per output folder (year, stem).
 

@@ -1,9 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 from test_readers import CLAIMS, IP, write
-from samples import CSV_TEXT, FIXED_RECORDS
+from samples import CSV_TEXT, FIXED_LAYOUT, FIXED_RECORDS
 
-from rawloom import column_profile, read_fixed_width, stream_intake, stream_profiles, stream_rows
+from rawloom import column_profile, read_fixed_width, read_tree, stream_intake, stream_profiles, stream_rows, stream_tree, tree_files
 from rawloom.functions import names
 from rawloom.streaming.incremental import read_profiles
 
@@ -52,3 +52,33 @@ def test_streams_are_profiled_in_batches_only(spark, tmp_path):
     (tmp_path / "in").mkdir()
     with pytest.raises(ValueError, match="foreachBatch"):
         column_profile(stream_rows(spark, str(tmp_path / "in"), CLAIMS))
+
+
+def test_tree_of_kinds_and_layouts(spark, tmp_path):
+    """Two kinds and two layouts arrive mixed; three runs take each row in once, and odd files are told."""
+    from test_intake import LAYOUT, put
+
+    root, out, memory = (str(tmp_path / n) for n in ("in", "out", "memory"))
+    put(root, "2016/claims_2016.dat", FIXED_RECORDS)
+    put(root, "2016/claims_2016.fts", FIXED_LAYOUT)
+    put(root, "2016/a_2016.csv", "1,x\r\n2,y\n")
+    put(root, "2016/a_2016.fts", LAYOUT)
+    put(root, "2016/lost_2016.csv", "1,x\n")
+    put(root, "2016/notes.txt", "text")
+    run(stream_tree(spark, root, out, memory))
+    put(root, "2017/a_2017.csv", "3,z\n")
+    put(root, "2017/a_2017.fts", LAYOUT)
+    put(root, "2017/b_2017.csv", "4,w\n")
+    put(root, "2017/b_2017.fts", LAYOUT.replace("b      CHAR", "c      CHAR"))
+    put(root, "2017/clash_2017.csv", "4,w\n")
+    put(root, "2017/clash_2017.fts", LAYOUT.replace("b      CHAR", "Stem   CHAR"))
+    run(stream_tree(spark, root, out, memory))
+    run(stream_tree(spark, root, out, memory))
+    assert sorted((r.year, r.a, r.b) for r in read_tree(spark, out, "a").collect()) == [("2016", 1.0, "x"), ("2016", 2.0, "y"), ("2017", 3.0, "z")]
+    assert [(r.year, r.a, r.b, r.c) for r in read_tree(spark, out, "b").collect()] == [("2017", 4.0, None, "w")]
+    assert read_tree(spark, out, "claims").count() == len(FIXED_RECORDS.splitlines())
+    status = {r.path.rsplit("/", 1)[1]: (r.batch, r.status) for r in tree_files(spark, out).collect()}
+    assert status == {
+        "claims_2016.dat": (0, "parsed"), "a_2016.csv": (0, "parsed"), "lost_2016.csv": (0, "no layout"), "notes.txt": (0, "unsupported kind"),
+        "a_2017.csv": (1, "parsed"), "b_2017.csv": (1, "parsed"), "clash_2017.csv": (1, "bad layout"),
+    }
