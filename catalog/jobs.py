@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from rawloom import (
     intake,
+    merged_profile,
     qc_folder,
     read_dataset,
     read_delimited,
@@ -24,6 +25,7 @@ from rawloom import (
     stream_intake,
     stream_profiles,
     stream_rows,
+    stream_states,
     write_dataset,
     write_report,
 )
@@ -520,3 +522,28 @@ def batch_profiles(spark, sf_dir):
     return read_profiles(spark, out).filter(wanted).select(
         "batch_id", "column", "unique_values", "max"
     )
+
+
+@_c.add(
+    "i2_merged_profile",
+    """
+    SELECT 'o_custkey' AS "column", count(*) - count(o_custkey) AS missing_values, count(DISTINCT o_custkey) AS unique_values,
+           CAST(min(o_custkey) AS DOUBLE) AS min, CAST(max(o_custkey) AS DOUBLE) AS max, round(avg(o_custkey), 4) AS mean,
+           round(stddev_pop(o_custkey), 4) AS stddev FROM orders
+    UNION ALL
+    SELECT 'o_totalprice', count(*) - count(o_totalprice), count(DISTINCT o_totalprice), min(o_totalprice), max(o_totalprice),
+           round(avg(o_totalprice), 4), round(stddev_pop(o_totalprice), 4) FROM orders
+    UNION ALL
+    SELECT 'o_orderpriority', count(*) - count(o_orderpriority), count(DISTINCT o_orderpriority), NULL, NULL, NULL, NULL FROM orders""",
+)
+def merged_profiles(spark, sf_dir):
+    """The profile of all orders from the states of three batches of raw lines, whose rows are read once."""
+    raw, out, memory = (scratch_dir(spark, n) for n in ("arrivals", "states", "checkpoint"))
+    orders = table(spark, sf_dir, "orders")
+    for k in range(3):
+        order_lines(orders.filter(F.month("o_orderdate") % 3 == k)).write.mode("append").text(raw)
+        stream_states(stream_rows(spark, raw, ORDERS_LAYOUT), out, memory).awaitTermination()
+    wanted = F.col("column").isin("o_custkey", "o_totalprice", "o_orderpriority")
+    return merged_profile(spark, out).filter(wanted).select(
+        "column", "missing_values", "unique_values", "min", "max", F.round("mean", 4).alias("mean"), F.round("stddev", 4).alias("stddev")
+    )

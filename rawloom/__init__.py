@@ -14,6 +14,7 @@ from rawloom.operators.profile import (
     value_counts,
 )
 from rawloom.operators.reconcile import schema_diff, shape_check
+from rawloom.operators.profile_state import merged_profile, stream_states, write_state
 from rawloom.plans.intake import intake
 from rawloom.plans.qc import declared, qc_folder
 from rawloom.plans.report import report
@@ -44,6 +45,7 @@ __all__ = [
     "infer_and_cast",
     "sampled_kinds",
     "intake",
+    "merged_profile",
     "missing_values",
     "num",
     "numeric_summary",
@@ -63,6 +65,7 @@ __all__ = [
     "stream_intake",
     "stream_profiles",
     "stream_rows",
+    "stream_states",
     "stream_tree",
     "top_values",
     "tree_files",
@@ -71,4 +74,5 @@ __all__ = [
     "value_counts",
     "write_dataset",
     "write_report",
+    "write_state",
 ]

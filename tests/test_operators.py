@@ -13,6 +13,7 @@ from rawloom import (
     duplicate_rows,
     infer_and_cast,
     sampled_kinds,
+    merged_profile,
     missing_values,
     numeric_summary,
     read_fixed_width,
@@ -23,6 +24,7 @@ from rawloom import (
     unique_values,
     value_counts,
     write_report,
+    write_state,
 )
 from rawloom.operators import ordered, profile
 
@@ -228,3 +230,25 @@ def test_kinds(spark):
 def test_early_timestamps_round_down(spark):
     df = spark.sql("SELECT TIMESTAMP_NTZ '1960-05-05 13:00:00' AS t")
     assert infer_and_cast(df).first().t == dt.date(1960, 5, 5)
+
+
+def test_states_add_up_to_the_profile(spark, tmp_path):
+    """Batches of unlike size, with NULLs, a batch repeated, a column of NULLs and one that cannot be grouped."""
+    rows = [(i, None if i % 7 == 0 else f"v{i % 13}", 1e9 + i / 8, None, {"a": i}) for i in range(200)] + [(None, "", -5.0, None, None), (1, "", float("nan"), None, None)]
+    df = spark.createDataFrame(rows, "a bigint, `b c` string, d double, e int, m map<string,int>")
+    out = str(tmp_path / "states")
+    numbered = [spark.createDataFrame(rows[lo:hi], df.schema) for lo, hi in ((0, 1), (1, 150), (150, 202))]
+    write_state(numbered[2], out, 0)
+    for k, batch in enumerate(numbered):
+        write_state(batch, out, k)
+    want = {r["column"]: r for r in column_profile(df).collect()}
+    got = merged_profile(spark, out)
+    assert got.columns == column_profile(df).columns
+    for r in got.collect():
+        for name, value in r.asDict().items():
+            other = want[r["column"]][name]
+            if isinstance(value, float):
+                assert value == pytest.approx(other, rel=1e-9, nan_ok=True), (r["column"], name)
+            else:
+                assert value == other, (r["column"], name)
+    assert len(want) == got.count()
