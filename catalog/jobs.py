@@ -378,38 +378,41 @@ def _put(spark, path: str, content: bytes) -> None:
 @_c.add(
     "k5_status",
     """
-    SELECT * FROM (VALUES
-        ('good_2016.dat', 'parsed', NULL), ('c[x]_2016.dat', 'parsed', NULL), ('latin_2015.dat', 'parsed', 'folder of 2016, name of 2015'),
+    SELECT file_name, status, note, CASE status WHEN 'parsed' THEN n END AS n_rows,
+           CASE status WHEN 'parsed' THEN first END AS first_name, CASE status WHEN 'parsed' THEN last END AS last_name
+    FROM (VALUES
+        ('good_2016.dat', 'parsed', NULL), ('late_2015.dat', 'parsed', 'folder of 2016, name of 2015'),
         ('short_2016.dat', 'failed', 'record shorter than 20 bytes: 3'), ('code_2016.dat', 'bad layout', 'layout is not UTF-8'),
+        ('keyed_2016.dat', 'bad layout', 'has columns [''Stem'']: choose other keys than (''year'', ''stem'')'),
         ('_hidden_2016.dat', 'rejected', 'hidden name'), ('notes.txt', 'rejected', 'unsupported kind')) AS t(file_name, status, note),
-        (SELECT count(*) AS n_rows, min(n_name) AS first_name, max(n_name) AS last_name FROM nation)""",
+        (SELECT count(*) AS n, min(c_name) AS first, max(c_name) AS last FROM customer)""",
 )
 def statuses(spark, sf_dir):
-    """A tree with every kind of trouble: each file has its status, and what can be read is."""
+    """All customers in files with every kind of trouble: each file has its status, and what can be read is."""
     root, out = scratch_dir(spark, "tree"), scratch_dir(spark, "typed")
-    nation = [r.n_name for r in table(spark, sf_dir, "nation").select("n_name").collect()]
-    layout = _LAYOUT_TEXT.split("\n1     Key")[0].replace("Columns in File: 6", "Columns in File: 1") + "\n1     Name        name            CHAR 1     20\n"
-    plain = "".join(f"{n:<20}\n" for n in nation)
-    for name in ("good_2016", "c[x]_2016", "latin_2015", "short_2016"):
-        _put(spark, f"{root}/2016/{name}.fts", layout.encode())
-    _put(spark, f"{root}/2016/code_2016.fts", layout.replace("Name", "N\xe4me").encode("latin-1"))
-    for name in ("good_2016", "c[x]_2016", "code_2016", "_hidden_2016"):
-        _put(spark, f"{root}/2016/{name}.dat", plain.encode())
-    _put(spark, f"{root}/2016/latin_2015.dat", plain.replace("A", "\xc4").encode("latin-1"))
-    _put(spark, f"{root}/2016/short_2016.dat", (plain + "abc\n").encode())
-    _put(spark, f"{root}/2016/notes.txt", b"x")
-    found = intake(spark, root, out, dat_options={"encoding": "ISO-8859-1"}).select("file_name", "status", "note")
+    customer = table(spark, sf_dir, "customer")
+    stems = ("good_2016", "late_2015", "short_2016", "code_2016", "keyed_2016")
+    each = customer.select(F.rpad("c_name", 20, " ").alias("line"), F.explode(F.array(*[F.lit(s) for s in stems])).alias("file"))
+    _tree(root, each, F.lit("2016"), F.concat("file", F.lit(".dat")), F.col("line"))
+    _tree(root, customer.where("c_custkey = 1"), F.lit("2016"), F.lit("short_2016.dat"), F.lit("abc"))
+    for name in ("_hidden_2016.dat", "notes.txt"):
+        _put(spark, f"{root}/folder=2016/{name}", b"x")
+    text = _LAYOUT_TEXT.split("\n1     Key")[0].replace("Columns in File: 6", "Columns in File: 1") + "\n1     Name        {}            CHAR 1     20\n"
+    layouts = spark.createDataFrame(
+        [(f"{root}/folder=2016/{s}.fts", text.format("Stem" if s[0] == "k" else "name").encode() + (b"\xe4" if s[0] == "c" else b"")) for s in stems],
+        "layout_file string, text binary",
+    ).withColumn("text", F.col("text").cast("string"))
+    found = intake(spark, root, out, layout_texts=layouts).select("file_name", "stem", "status", "note")
     gone = spark.read.text(f"{out}/_rejects").select(
         F.regexp_extract(F.get_json_object("value", "$.path"), "([^/]*)$", 1).alias("file_name"),
+        F.lit(None).cast("string").alias("stem"),
         F.lit("rejected").alias("status"),
         F.get_json_object("value", "$.reason").alias("note"),
     )
-    written = read_dataset(spark, out).withColumn("name", F.replace("name", F.lit("\xc4"), F.lit("A")))
-    written = written.groupBy("stem").agg(F.count("*").alias("n_rows"), F.min("name").alias("first_name"), F.max("name").alias("last_name"))
-    # what was written, whatever the status
-    best = written.agg(F.min("n_rows").alias("n_rows"), F.min("first_name").alias("first_name"), F.max("last_name").alias("last_name"), F.count("*").alias("folders"))
-    told = best.where("folders = 3").drop("folders").collect()
-    return found.unionByName(gone).select("*", *[F.lit(v).alias(c) for r in told for c, v in r.asDict().items()])
+    written = read_dataset(spark, out).groupBy("stem").agg(
+        F.count("*").alias("n_rows"), F.min("name").alias("first_name"), F.max("name").alias("last_name")
+    )
+    return found.unionByName(gone).join(written, "stem", "left").drop("stem")
 
 
 @_c.add(
