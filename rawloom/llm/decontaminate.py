@@ -7,6 +7,7 @@ those whose first block also agrees are compared word by word. All texts of a ba
 together, in lanes that advance by their own shifts.
 """
 
+import uuid
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -23,7 +24,6 @@ WINDOW = 13
 #: Bytes of benchmark text that one broadcast holds; larger benchmarks are searched in several passes.
 PASS_BYTES = 8 << 20
 LANE = 256
-_BITS = 18
 
 IS_WORD = np.zeros(256, bool)
 IS_WORD[ord("0") : ord("9") + 1] = IS_WORD[ord("a") : ord("z") + 1] = IS_WORD[ord("A") : ord("Z") + 1] = IS_WORD[128:] = True
@@ -44,39 +44,49 @@ def spelled(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> bytes:
     return b" ".join(raw[a:b] for a, b in zip((starts - starts[0]).tolist(), (ends - starts[0]).tolist()))
 
 
-@dataclass
 class Patterns:
-    """All windows of one length."""
-
-    length: int
-    windows: dict[bytes, list[int]] = field(default_factory=dict)  # as spelled: the items that have them
-    hashes: list = field(default_factory=list)
-
-    def add(self, text: bytes, hashes: np.ndarray, item: int) -> None:
-        items = self.windows.setdefault(text, [])
-        if not items:
-            self.hashes.append(hashes)
-        if item not in items:
-            items.append(item)
-
-    def build(self) -> "Patterns":
-        m, block = self.length, min(2, self.length)
-        self.texts = list(self.windows)
-        words = np.array(self.hashes, np.uint64).reshape(len(self.texts), m)
-        self.block = block
-        self.shift = np.full(1 << _BITS, m - block + 1, np.int64)
+    """All windows of one length, as places among the words of all items: ``place`` is a window's first word.
+
+    Equal windows, told by 128 bits of hash, are one pattern; ``owners`` are the numbers of the items that have it.
+    """
+
+    def __init__(self, length: int, place: np.ndarray, item: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray, data: np.ndarray):
+        m, block = length, min(2, length)
+        self.length, self.block = length, block
+        self.starts, self.ends, self.hashes, self.data = starts, ends, hashes, data
+        marks = []
+        for seed in (41, 42):
+            factors = ragged.noise(m, seed) | np.uint64(1)
+            marks.append(sum(((hashes[place + k] * factors[k]) for k in range(m)), np.zeros(len(place), np.uint64)))
+        order = np.lexsort((item, *marks))
+        fresh = np.ones(len(order), bool)
+        for mark in marks:
+            mark[:] = mark[order]
+        fresh[1:] = (marks[0][1:] != marks[0][:-1]) | (marks[1][1:] != marks[1][:-1])
+        heads = np.flatnonzero(fresh)
+        self.place, self.owners = place[order[heads]], item[order]
+        self.owners_at = np.append(heads, len(order))
+        # a slot for each block many times over, so that few blocks of other texts meet one
+        self.bits = int(np.clip(np.ceil(np.log2(max(len(heads), 1) * 8)), 16, 24))
+        self.shift = np.full(1 << self.bits, m - block + 1, np.int8 if m < 128 else np.int64)
         for j in range(m - block + 1):  # later blocks are nearer to the end and so need less
-            np.minimum.at(self.shift, self.slots(words[:, j], words[:, j + block - 1]), m - block - j)
-        suffix = self.slots(words[:, m - block], words[:, m - 1])
-        order = np.argsort(suffix, kind="stable")
-        self.order, self.words = order, words
-        self.bucket = np.searchsorted(suffix[order], np.arange((1 << _BITS) + 1))
-        return self
+            slot = self.slots(hashes[self.place + j], hashes[self.place + j + block - 1], self.bits)
+            self.shift[slot] = np.minimum(self.shift[slot], m - block - j)
+        suffix = self.slots(hashes[self.place + m - block], hashes[self.place + m - 1], self.bits)
+        self.order = np.argsort(suffix, kind="stable")
+        self.suffix = suffix[self.order].astype(np.int32)
+
+    def items(self, pattern: int) -> list[int]:
+        return self.owners[self.owners_at[pattern] : self.owners_at[pattern + 1]].tolist()
+
+    def spelled(self, pattern: int) -> bytes:
+        own = slice(self.place[pattern], self.place[pattern] + self.length)
+        return spelled(self.data, self.starts[own], self.ends[own])
 
     @staticmethod
-    def slots(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    def slots(first: np.ndarray, last: np.ndarray, bits: int) -> np.ndarray:
         x = (first * np.uint64(0x9E3779B97F4A7C15)) ^ (last + (first >> np.uint64(7)))
-        return ((x * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - _BITS)).astype(np.int64)
+        return ((x * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - bits)).astype(np.int64)
 
     def search(self, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(first word, pattern) of the occurrences by their hashes; none crosses texts."""
@@ -84,7 +94,7 @@ class Patterns:
         sizes = np.diff(first)
         # a lane tests the windows that end in its part of a text
         long = np.flatnonzero(sizes >= m)
-        if not len(long) or not self.texts:
+        if not len(long) or not len(self.place):
             return none, none
         lanes = -(-(sizes[long] - m + 1) // LANE)
         text = np.repeat(long, lanes)
@@ -93,18 +103,19 @@ class Patterns:
         stop = np.minimum(at + LANE, first[text + 1])
         found_at, found = [], []
         while len(at):
-            slot = self.slots(hashes[at - self.block + 1], hashes[at])
+            slot = self.slots(hashes[at - self.block + 1], hashes[at], self.bits)
             step = self.shift[slot]
             hit = np.flatnonzero(step == 0)
             if len(hit):
                 here, slot = at[hit], slot[hit]
-                n = self.bucket[slot + 1] - self.bucket[slot]
+                bucket = np.searchsorted(self.suffix, slot, "left")
+                n = np.searchsorted(self.suffix, slot, "right") - bucket
                 where = np.repeat(here, n)
                 offset = np.arange(len(where)) - np.repeat(np.cumsum(n) - n, n)
-                pattern = self.order[np.repeat(self.bucket[slot], n) + offset]
+                pattern = self.order[np.repeat(bucket, n) + offset]
                 begin = where - m + 1
                 for k in (0, m - 1, *range(1, m - 1)):
-                    same = hashes[begin + k] == self.words[pattern, k]
+                    same = hashes[begin + k] == self.hashes[self.place[pattern] + k]
                     begin, pattern = begin[same], pattern[same]
                     if not len(begin):
                         break
@@ -118,19 +129,36 @@ class Patterns:
 
 def patterns(items: list[tuple[object, bytes]], window: int = WINDOW) -> list[Patterns]:
     """The windows of the items, by length: of ``window`` words, and whole items of fewer."""
-    by_length: dict[int, Patterns] = {}
-    for item, raw in items:
-        data = np.frombuffer(raw, np.uint8)
-        starts, ends, hashes, _ = words(data, np.array([0, len(data)]))
-        m = min(window, len(starts))
+    data = np.frombuffer(b"".join(raw for _, raw in items), np.uint8)
+    starts, ends, hashes, first = words(data, np.cumsum([0, *(len(raw) for _, raw in items)]))
+    sizes = np.diff(first)
+    out = []
+    for m in np.unique(np.minimum(sizes, window)).tolist():
+        own = np.flatnonzero(np.minimum(sizes, window) == m)
         if m:
-            own = by_length.setdefault(m, Patterns(m))
-            for i in range(len(starts) - m + 1):
-                own.add(spelled(data, starts[i : i + m], ends[i : i + m]), hashes[i : i + m], item)
-    return [p.build() for p in by_length.values()]
+            n = sizes[own] - m + 1
+            place = np.repeat(first[own] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            out.append(Patterns(m, place, np.repeat(own, n), starts, ends, hashes, data))
+    return out
 
 
-def search(data: np.ndarray, offsets: np.ndarray, all_patterns: list[Patterns]) -> tuple[np.ndarray, list[list[tuple[int, int]]], list[set]]:
+@dataclass
+class Kept:
+    """The index that a worker has built last, which its next tasks use again."""
+
+    name: str = ""
+    index: list[Patterns] = field(default_factory=list)
+
+    def of(self, name: str, items: list[tuple[object, bytes]], window: int) -> list[Patterns]:
+        if name != self.name:
+            self.name, self.index = name, patterns(items, window)
+        return self.index
+
+
+_kept = Kept()
+
+
+def search(data: np.ndarray, offsets: np.ndarray, all_patterns: list[Patterns], names: list) -> tuple[np.ndarray, list[list[tuple[int, int]]], list[set]]:
     """Per text: its words, the runs of hit words (first, after the last), and the items found."""
     starts, ends, hashes, first = words(data, offsets)
     n = len(offsets) - 1
@@ -141,10 +169,10 @@ def search(data: np.ndarray, offsets: np.ndarray, all_patterns: list[Patterns])
         at, which = p.search(hashes, first)
         owner = np.searchsorted(first, at, "right") - 1
         for a, k, text in zip(at.tolist(), which.tolist(), owner.tolist()):
-            if spelled(data, starts[a : a + p.length], ends[a : a + p.length]) == p.texts[k]:
+            if spelled(data, starts[a : a + p.length], ends[a : a + p.length]) == p.spelled(k):
                 edge[a] += 1
                 edge[a + p.length] -= 1
-                items[text].update(p.windows[p.texts[k]])
+                items[text].update(names[i] for i in p.items(k))
     hit = np.concatenate([[False], np.cumsum(edge[:-1]) > 0, [False]])
     turns = np.flatnonzero(hit[1:] != hit[:-1])
     # runs of neighbouring texts may touch: cut them where a text begins
@@ -180,15 +208,21 @@ FOUND = T.StructType([
 ])
 
 
+def _named(items: list[tuple[object, bytes]]) -> tuple[str, list[tuple[object, bytes]]]:
+    """Items under a name of their own, by which workers know an index that they have built."""
+    return uuid.uuid4().hex, items
+
+
 def occurrences(docs: DataFrame, shared: Broadcast, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """One pass over broadcast items: the key, ``n_words``, ``hit_runs`` and ``items`` of every row."""
     fields = T.StructType([docs.schema[key], *FOUND.fields])
 
     def rows(batches):
-        own = patterns(shared.value, window)
+        name, items = shared.value
+        own, item_names = _kept.of(name, items, window), [i for i, _ in items]
         for batch in batches:
             for i, j, data, offsets in ragged.chunks(batch.column(1)):
-                n, runs, found = search(data, offsets, own)
+                n, runs, found = search(data, offsets, own, item_names)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0)[i:j],
@@ -216,12 +250,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     context = docs.sparkSession.sparkContext
     n, groups = _passes(benchmark, item, "text", pass_bytes)
     if n == 1:
-        return occurrences(docs, context.broadcast(next(groups)), key, text, window)
+        return occurrences(docs, context.broadcast(_named(next(groups))), key, text, window)
     row = F.struct(F.monotonically_increasing_id().alias("number"), F.col(key).alias("key"))
     numbered = stored(docs.select(row.alias("row"), F.col(text).alias("text")), "documents")
     first, hits = None, None
     for group in groups:
-        shared = context.broadcast(group)
+        shared = context.broadcast(_named(group))
         found = occurrences(numbered, shared, "row", "text", window)
         if first is None:
             first = found = stored(found.select("row", "n_words", "hit_runs", "items"), "found")

@@ -339,3 +339,17 @@ def test_repeated_labels_count_once(spark):
     labels = spark.createDataFrame([(i % 50, None, i % 2) for i in range(2000)] + [(None, 1, 1), (3, 0, None)], "doc_id long, quality int, toxic int")
     got = toxicity.labelled(docs, labels).collect()
     assert len(got) == len(set(got)) == sum(1 for i in range(50) if __import__("zlib").crc32(str(i).encode()) % 5)
+
+
+def test_index_of_a_large_benchmark():
+    """A million windows: skips stay long, and a worker builds an index once."""
+    rng = np.random.default_rng(4)
+    items = [(str(i), " ".join(map(str, rng.integers(0, 200_000, 100))).encode()) for i in range(12_000)]
+    kept = decontaminate.Kept()
+    index = kept.of("a", items, 13)
+    assert kept.of("a", [], 13) is index and kept.of("b", items[:5], 13) is not index
+    assert len(index[0].place) == 12_000 * 88 and index[0].shift.mean() > 10
+    texts = [b"x " * 50 + items[7][1][40:240] + b" y", items[5][1].upper(), b"none of it " * 100]
+    data, offsets = ragged.flat(pa.array(texts, pa.large_binary()))
+    _, runs, found = decontaminate.search(data, offsets, index, [k for k, _ in items])
+    assert found == [{"7"}, {"5"}, set()] and runs[1] == [(0, 100)] and not runs[2]
