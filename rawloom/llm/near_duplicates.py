@@ -255,13 +255,15 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id", tex
     Texts are linked whose sets of shingles of five words have 100 * intersection >= percent * union
     (80 to 100). Words are runs of anything but ASCII white space, A-Z in lower case; a text of one to
     four words has one shingle. ``component_id`` is the smallest key that links reach. NULL, empty and
-    blank texts have no shingles and no links. Keys should be distinct: rows that share a key are one
+    blank texts have no shingles and no links. Keys are whole numbers and should be distinct: rows that share a key are one
     node, each with its own count, and stay or go together. Rows with a NULL key have no links, a NULL
     component and are kept. An empty table gives an empty table. Two texts of the threshold's similarity
     are missed with a probability of 4e-7 at 80 and 2e-9 at 85 percent.
     """
     if not 80 <= percent <= 100:
         raise ValueError("bands and signatures are made for similarities of 0.8 or more")
+    if not isinstance(docs.schema[key].dataType, T.IntegralType):
+        raise ValueError(f"{key} must be whole numbers; number other keys first")
     texts = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
     signed = stored(_signed(docs, key, text), "signed")
     able = signed.where("n_shingles > 0 AND doc IS NOT NULL")
