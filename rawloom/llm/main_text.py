@@ -1,11 +1,13 @@
 """Main text of web pages by a site style tree.
 
-Each page is read into a tree of elements. What names and roles of elements say is settled first:
-navigation, scripts, forms and the like go, and where a page marks its article, the article is
-the region of the text. What the regions of one host hold is merged: branches at one path below regions
-of one kind are one node of the site's style tree, which counts how its pages present it (the kinds of
-its children) and what they say in it. A branch that the pages of a host show alike has a low entropy,
-so low importance, and goes from every page.
+Each page is read into a tree of elements. The whole pages of one host, menus, boxes and footers included,
+are merged into the host's style tree: branches at one path are one node, which counts how its pages
+present it (the kinds of its children) and what they say in it. A branch that the pages of a host show
+alike has a low entropy, so low importance, and goes from every page. Of branches whose names or roles say
+menu, advert or the like only the presentation counts, as such boxes say something else on every page.
+Articles and main elements begin paths of their own, wherever a page has them. What is left of
+a page is its text: in its article if it marks one, and without what names and roles still tell apart,
+which is all there is for hosts with few pages.
 """
 
 import html as references
@@ -35,7 +37,7 @@ SIBLINGS = {
 }
 SCOPES = frozenset("table ul ol dl article section div nav aside header footer main body html select td th".split())
 NOISE = frozenset(
-    "nav aside form script style noscript template svg math button select textarea iframe object canvas head dialog menu audio "
+    "nav aside form script style noscript template svg button select textarea iframe object canvas head dialog menu audio "
     "video title footer xmp noembed noframes map datalist".split()
 )
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
@@ -45,6 +47,13 @@ NOISE_NAMES = frozenset(
     "navigation breadcrumb breadcrumbs footer masthead topbar share sharing social related recommended widget widgets popup modal overlay newsletter "
     "subscribe subscription pagination pager skip-link".split()
 )
+# Names that mean noise also inside an article, where others (social, related, menu, notice of a term) may well be what it is about.
+NOISE_IN_ARTICLES = frozenset(
+    "ad ads advert advertisement adverts advertising adsense adbox ad-box ad-banner ad-container ad-slot sponsored cookie cookies cookie-notice "
+    "cookie-banner cookie-consent gdpr notice notices sidebar side-bar comment comments comment-list comments-area commentlist reader-comments "
+    "disqus respond nav navbar navigation breadcrumb breadcrumbs pagination pager newsletter social-share share-buttons related-posts "
+    "related-articles skip-link".split()
+)
 #: Noise around an article or a main element, by how much it says: a form or the beginning of a name is often the whole page's; a whole name, a
 #: role or one of these tags counts if nothing else is marked; what is hidden or not content never does.
 WEAK, STRONG, NEVER = 1, 2, 3
@@ -54,8 +63,8 @@ LEAST, PAGES, CONTENT = 0.2, 3, 0.9
 #: (Host, branch) pairs that a broadcast may hold.
 SMALL = 1_000_000
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*>""", re.S)
-_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>=\s*(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*)|[^>=]++|=)*+)>|<[!?/][^>]*>""", re.S)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 
 
 @dataclass(slots=True)
@@ -65,10 +74,11 @@ class Element:
     noise: int = 0  # 0, WEAK, STRONG or NEVER
     article: bool = False
     main: bool = False
+    inside: int = 0  # 2 in an article, 1 in a main element
     parts: list = field(default_factory=list)  # texts and elements in order
 
 
-def _tag_noise(tag: str, inside: bool) -> int:
+def _tag_noise(tag: str, inside: int) -> int:
     if tag == "form":
         return WEAK
     if tag in AROUND:
@@ -76,10 +86,11 @@ def _tag_noise(tag: str, inside: bool) -> int:
     return NEVER if tag in NOISE else 0
 
 
-def _element(tag: str, attributes: str, inside: bool) -> Element:
+def _element(tag: str, attributes: str, above: Element) -> Element:
+    inside = 2 if above.article else max(above.inside, above.main)
     noise = _tag_noise(tag, inside)
     if not attributes:
-        return Element(tag, tag, noise, tag == "article", tag == "main")
+        return Element(tag, tag, noise, tag == "article", tag == "main", inside)
     names, role, hidden = [], "", False
     for key, a, b, c in _ATTRIBUTE.findall(attributes):
         value, key = (a or b or c).lower(), key.lower()
@@ -94,18 +105,17 @@ def _element(tag: str, attributes: str, inside: bool) -> Element:
     elif role in NOISE_ROLES:
         noise = max(noise, STRONG)
     if noise < STRONG and tag not in ("html", "body"):
-        if any(n in NOISE_NAMES for n in names):
+        if any(n in (NOISE_IN_ARTICLES if inside == 2 else NOISE_NAMES) for n in names):
             noise = STRONG
-        elif any(re.split(r"[-_]+", n)[0] in NOISE_NAMES for n in names):
+        elif not inside and any(re.split(r"[-_]+", n)[0] in NOISE_NAMES for n in names):
             noise = WEAK
-    return Element(tag, ".".join([tag, *sorted(names)]), noise, tag == "article" and not noise, (tag == "main" or role == "main") and not noise)
+    return Element(tag, ".".join([tag, *sorted(names)]), noise, tag == "article" and not noise, (tag == "main" or role == "main") and not noise, inside)
 
 
 def tree(page: str) -> Element:
     """The elements of a page; ends that are missing are found as browsers do for common cases."""
     root = Element("#root", "#root")
     stack, at, n = [root], 0, len(page)
-    depth = 0  # of open articles and mains
     while at < n:
         m = _TOKEN.search(page, at)
         if m is None:
@@ -121,7 +131,6 @@ def tree(page: str) -> Element:
         if m.group(1):
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == tag:
-                    depth -= sum(e.article or e.main for e in stack[k:])
                     del stack[k:]
                     break
                 if tag not in BLOCK and stack[k].tag in SCOPES:
@@ -132,10 +141,10 @@ def tree(page: str) -> Element:
             continue
         attributes = m.group(3)
         if tag in CLOSES_P:
-            stack, depth = _closed(stack, ("p",), depth)
+            _close(stack, ("p",))
         if tag in SIBLINGS and tag != "p":
-            stack, depth = _closed(stack, SIBLINGS[tag], depth)
-        element = _element(tag, attributes, depth > 0)
+            _close(stack, SIBLINGS[tag])
+        element = _element(tag, attributes, stack[-1])
         stack[-1].parts.append(element)
         if tag in VOID or attributes.endswith("/") and tag not in BLOCK:
             continue
@@ -143,21 +152,18 @@ def tree(page: str) -> Element:
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             at = n if end is None else end.end()
             continue
-        depth += element.article or element.main
         stack.append(element)
     return root
 
 
-def _closed(stack: list, tags: tuple, depth: int):
+def _close(stack: list, tags: tuple) -> None:
     """Close the innermost open element of ``tags`` in the scope."""
     for k in range(len(stack) - 1, 0, -1):
         if stack[k].tag in tags:
-            depth -= sum(e.article or e.main for e in stack[k:])
             del stack[k:]
-            break
+            return
         if stack[k].tag in SCOPES and stack[k].tag not in tags:
-            break
-    return stack, depth
+            return
 
 
 def _marked(element: Element, kind: str) -> list[list]:
@@ -187,62 +193,84 @@ def _held(elements: list, articles: bool = True) -> int:
     return total
 
 
-def _path(above: int, element: Element) -> int:
-    return xxhash.xxh64_intdigest(element.name, above & 0xFFFFFFFFFFFFFFFF) >> 1
+def _below(above: int, name: str) -> int:
+    return xxhash.xxh64_intdigest(name, above & 0xFFFFFFFFFFFFFFFF) >> 1
+
 
+#: Paths of articles and main elements; no element has such a name.
+ARTICLE, MAIN = _below(0, "#article"), _below(0, "#main")
 
-#: Where the branches below articles and main elements begin; no element has such a name.
-ARTICLE, MAIN = _path(0, Element("#article", "#article")), _path(0, Element("#main", "#main"))
 
+def _path(above: int, e: Element) -> int:
+    """Path of an element below another's; ``html`` and ``body``, which a page may leave out, are no step."""
+    return ARTICLE if e.article else MAIN if e.main else above if e.tag in ("html", "body") else _below(above, e.name)
 
-def regions(root: Element) -> tuple[int, list]:
-    """Where the text is: in articles or main elements, else anywhere; and the path at which branches below such elements begin.
+
+def prune(root: Element, low: frozenset) -> None:
+    """Take the branches at ``low`` paths out of a tree; an end of a block stays in place of a block."""
+    todo = [(root, 0)]
+    while todo:
+        e, above = todo.pop()
+        kept = []
+        for p in e.parts:
+            if isinstance(p, Element):
+                path = _path(above, p)
+                if path in low:
+                    p = Element(p.tag, p.name)
+                else:
+                    todo.append((p, path))
+            kept.append(p)
+        e.parts = kept
+
+
+def regions(root: Element) -> list:
+    """Where the text is: in articles or main elements, else anywhere.
 
     Articles win over main elements that hold less outside them. Those outside noise win over those below a form or
     below a name that only begins like noise, unless these hold more; what is left counts if nothing else does.
     """
-    best, most = (0, [root]), 0
+    best, most = [root], 0
     for around, (articles, mains) in enumerate(zip(_marked(root, "article"), _marked(root, "main"))):
         if around == STRONG and most:
             break
-        held = _held(articles)
-        found = ARTICLE, articles
+        found, held = articles, _held(articles)
         if mains and _held(mains, False) > held:
-            found, held = (MAIN, mains), _held(mains)
+            found, held = mains, _held(mains)
         if held > most:
             best, most = found, held
     return best
 
 
-def _lines(element: Element, path: int, low: frozenset, out: list) -> None:
+def _lines(element: Element, out: list) -> None:
     """Append the texts of an element, with None where a block begins or ends."""
-    todo = [(element, path, False)]
+    todo = [(element, False)]
     while todo:
-        e, path, ended = todo.pop()
+        e, ended = todo.pop()
         if isinstance(e, str):
             out.append(e)
             continue
         if ended:
             out.append(None)
             continue
-        if e.noise or (low and path in low):
-            if e.tag in BLOCK:
-                out.append(None)
-            continue
         if e.tag in BLOCK:
             out.append(None)
-            todo.append((e, path, True))
         elif e.tag == "br":
             out.append("\n")
-        todo += [(p, _path(path, p) if low and isinstance(p, Element) else 0, False) for p in reversed(e.parts)]
+        if e.noise:
+            continue
+        if e.tag in BLOCK:
+            todo.append((e, True))
+        todo += [(p, False) for p in reversed(e.parts)]
 
 
 def main_text(page: str, low: frozenset = frozenset()) -> str:
     """Blocks of the main text, a line each."""
     out: list = []
-    begin, elements = regions(tree(page))
-    for e in elements:
-        _lines(e, begin, low, out)
+    root = tree(page)
+    if low:
+        prune(root, low)
+    for e in regions(root):
+        _lines(e, out)
         out.append(None)
     blocks, now = [], []
     for piece in [*out, None]:
@@ -256,35 +284,46 @@ def main_text(page: str, low: frozenset = frozenset()) -> str:
     return "\n".join(blocks)
 
 
-def branches(page: str) -> list[tuple[int, int, int, int]]:
-    """(path, presentation, contents, text of the page) of the branches below a page's regions; one row for each path."""
+def branches(page: str) -> list[tuple[int, int, int, int, int, int]]:
+    """(path, path above, named as noise, presentation, contents, main text of the page) of a page's branches that hold text.
+
+    A page has one row for each path. Articles and main elements are no branches themselves, and what is around the
+    page's main text doesn't count as named.
+    """
     seen: dict[int, list] = {}
-    whole = xxhash.xxh64()
-    begin, elements = regions(tree(page))
-    for region in elements:
-        todo = [(begin, iter(region.parts), [], [])]
-        while todo:
-            path, parts, kinds, texts = todo[-1]
-            for p in parts:
-                if isinstance(p, str):
-                    text = " ".join(p.split())
-                    if text:
-                        whole.update(text + " ")
-                        texts.append(xxhash.xxh64_digest(text))
-                elif not p.noise:
-                    kinds.append(p.name)
-                    todo.append((_path(path, p), iter(p.parts), [], []))
-                    break
+    root = tree(page)
+    whole: list = []
+    found = regions(root)
+    for region in found:
+        _lines(region, whole)
+    around = {id(region) for region in found}
+    todo = [(0, 0, root, iter(root.parts), [], [])]
+    while todo:
+        path, above, e, parts, kinds, texts = todo[-1]
+        for p in parts:
+            if isinstance(p, str):
+                text = " ".join(p.split())
+                if text:
+                    texts.append(xxhash.xxh64_digest(text))
             else:
-                todo.pop()
-                if texts and todo:  # the region itself is no branch
-                    text = xxhash.xxh64_digest(b"".join(texts))
-                    todo[-1][3].append(text)
-                    own = seen.setdefault(path, [[], []])
-                    own[0] += kinds
-                    own[1].append(text)
+                kinds.append(p.name)
+                todo.append((_path(path, p), path, p, iter(p.parts), [], []))
+                break
+        else:
+            todo.pop()
+            if id(e) in around and todo:
+                around.add(id(todo[-1][2]))
+            if texts and todo:
+                text = xxhash.xxh64_digest(b"".join(texts))
+                todo[-1][5].append(text)
+                if path != above and not e.article and not e.main:
+                    own = seen.setdefault(path, [above, 1, [], []])
+                    own[1] &= e.noise >= STRONG and id(e) not in around
+                    own[2] += kinds
+                    own[3].append(text)
     number = lambda data: xxhash.xxh64_intdigest(data) >> 1
-    return [(path, number("\0".join(kinds)), number(b"".join(texts)), whole.intdigest() >> 1) for path, (kinds, texts) in seen.items()]
+    whole = number(" ".join("".join(p or " " for p in whole).split()))
+    return [(path, above, noise, number("\0".join(kinds)), number(b"".join(texts)), whole) for path, (above, noise, kinds, texts) in seen.items()]
 
 
 def _entropy(seen: DataFrame, feature: str) -> DataFrame:
@@ -297,8 +336,11 @@ def _entropy(seen: DataFrame, feature: str) -> DataFrame:
 
 
 def style_tree(pages: DataFrame, page: str = "html", host: str = "host", least: float = LEAST, least_pages: int = PAGES) -> DataFrame:
-    """(``site``, ``path``) of the branches that the pages of a host show alike; pages of one text are one page."""
-    names = ["site", "path", "style", "content", "whole"]
+    """(``site``, ``path``) of the outermost branches that the pages of a host show alike.
+
+    Pages of one main text are one page. A branch counts as named like noise if it is so on all pages.
+    """
+    names = ["site", "path", "above", "noise", "style", "content", "whole"]
 
     def rows(batches):
         for batch in batches:
@@ -310,11 +352,18 @@ def style_tree(pages: DataFrame, page: str = "html", host: str = "host", least:
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), *[pa.array(o, pa.int64()) for o in out[1:]]], names)
 
     every = pages.where(F.col(host) != "").select(F.col(host).alias("site"), page)
-    every = every.mapInArrow(rows, "site string, path long, style long, content long, whole long")
-    seen = stored(every.dropDuplicates(["site", "path", "whole"]), "presentations")  # both entropies read it
-    style, content = _entropy(seen, "style"), _entropy(seen, "content").drop("pages")
-    importance = (1 - CONTENT) * F.col("style") + CONTENT * F.col("content")
-    return style.join(content, ["site", "path"]).where((F.col("pages") >= least_pages) & (importance < least)).select("site", "path")
+    every = every.mapInArrow(rows, ", ".join(["site string", *[f"{n} long" for n in names[1:]]]))
+    # Of the pages of one text one shows a branch, the same one each time; both entropies read it.
+    first = F.min(F.struct(*names[2:6])).alias("first")
+    seen = stored(every.groupBy("site", "path", "whole").agg(first, F.min("noise").alias("named")).select("site", "path", "named", "first.*"), "presentations")
+    style = _entropy(seen, "style")
+    content = _entropy(seen, "content").drop("pages")
+    known = seen.groupBy("site", "path").agg(F.min("named").alias("named"), F.min("above").alias("above"))
+    importance = F.when(F.col("named") > 0, F.col("style")).otherwise((1 - CONTENT) * F.col("style") + CONTENT * F.col("content"))
+    low = style.join(content, ["site", "path"]).join(known, ["site", "path"]).where((F.col("pages") >= least_pages) & (importance < least))
+    low = stored(low.select("site", "path", "above"), "unimportant")
+    outer = low.select("site", F.col("path").alias("above"))
+    return low.join(outer, ["site", "above"], "left_anti").select("site", "path")
 
 
 def extract(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
@@ -322,8 +371,8 @@ def extract(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame
 
     White space in a block becomes one blank, blocks are joined by line feeds in page order. NULL and
     empty pages, and pages without main text, give an empty text. Branches below articles are compared with those
-    below articles of other pages of the host, and so for main elements and unmarked pages; pages without a host
-    are read alone. Repeated rows stay, but copies of a text count as one page of their host; an empty table
+    below articles of other pages of the host, and so for main elements and the rest of the page; pages without a host
+    are read alone, and so are those of hosts with fewer than three texts. Repeated rows stay, but copies of a text count as one page of their host; an empty table
     stays empty.
     """
     from .url_filter import canonical

@@ -134,6 +134,59 @@ def test_style_tree_below_marks(spark, opening, closing):
     }
 
 
+def test_nothing_lost_in_articles():
+    text = main_text.main_text
+    for part in ('p class="related-work"', 'p class="ad-hoc"', 'div class="social"', "p class=menu-of-the-day", "p id=shared-memory", "math"):
+        tag = part.split()[0]
+        assert text(f"<article><h1>A</h1><{part}>Kept</{tag}><p>B</article>").split() == ["A", "Kept", "B"]
+    for part in ('div class="ad"', "section id=comments", "div class=cookie-notice", "aside", "nav", "form", "div role=navigation"):
+        assert text(f"<article><h1>A</h1><{part}>Gone</{part.split()[0]}><p>B</article>") == "A\nB"
+    assert text("<p title=it's>first</p><p>don't</p><p>z</p>") == "first\ndon't\nz"
+    assert text("<p a= b>x</p><p a==b c='>' d=\">\">y</p><p class=>z</p><p q='>w") == "x\ny\nz\nw"
+    assert text("<p " + "a=b " * 50_000).startswith("<p a=b")  # no end, in linear time
+
+
+def test_style_tree_of_wrappers(spark):
+    """What surrounds an article stays, whatever it is called; boxes of one form go, an ambiguous name only if its contents repeat."""
+    page = '<div class=widget><article><h1>S {i}</h1><div class=social>{s}</div><p>T {i}</article></div><div class="box">{b}</div><footer>F {i}</footer>'
+    rows = [(i, f"http://one.example/{i}", page.format(i=i, s=f"about {i}", b="b")) for i in range(6)]
+    rows += [(i, f"http://two.example/{i}", page.format(i=i, s="Share this", b="b")) for i in range(10, 16)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in main_text.extract(df).collect()}
+    assert got == {i: f"S {i}\nabout {i}\nT {i}" for i in range(6)} | {i: f"S {i}\nT {i}" for i in range(10, 16)}
+
+
+def test_style_tree_against_plain_entropies(spark, sf):
+    rows = [(by_hand(r.url)[0], r.html) for r in spark.read.parquet(f"{sf}/pages.parquet").collect()]
+    seen = {}
+    for host, page in rows:
+        for path, above, named, style, content, whole in main_text.branches(page or "") if host else ():
+            seen.setdefault((host, path), {}).setdefault(whole, []).append((above, named, style, content))
+
+    def entropy(values):
+        counts, n = {}, len(values)
+        for v in values:
+            counts[v] = counts.get(v, 0) + 1
+        return -sum(c / n * np.log(c / n) for c in counts.values()) / np.log(n) if n > 1 else 1.0
+
+    low = {}
+    for (host, path), pages in seen.items():
+        first = [min((named, style, content) for _, named, style, content in rows) for rows in pages.values()]
+        style, content = entropy([f[1] for f in first]), entropy([f[2] for f in first])
+        named = min(f[0] for f in first)
+        importance = style if named else (1 - main_text.CONTENT) * style + main_text.CONTENT * content
+        if len(pages) >= main_text.PAGES and importance < main_text.LEAST:
+            low[host, path] = min(rows[0][0] for rows in pages.values())
+    want = {(host, path) for (host, path), above in low.items() if (host, above) not in low}
+    df = spark.createDataFrame(rows, "host string, html string")
+    got = [(r.site, r.path) for r in main_text.style_tree(df).collect()]
+    assert set(got) == want and len(got) == len(want) > 0
+    # menus, adverts and footers of every host with enough pages
+    top = lambda name: main_text._below(0, name)
+    hosts = {h for h, _ in want}
+    assert {(h, top(name)) for h in hosts for name in ("nav", "div.ad", "footer")} <= want
+
+
 def brute_nearest(ids, vectors, queries, k=5):
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     out = {}
