@@ -5,7 +5,7 @@ from __future__ import annotations
 from catalog.common import Catalog, table
 from pyspark.sql import functions as F
 
-from rawloom.operators import infer, profile, reconcile
+from rawloom.operators import infer, long_values, profile, reconcile
 from rawloom.sources.dataset import union_parts
 
 _c = Catalog()
@@ -177,6 +177,29 @@ def top5_by(spark, sf_dir):
     return profile.top_values(documents, by=["lang"])
 
 
+@_c.add(
+    "e1_top5_long_text",
+    """
+    SELECT lang, "column", value, n, CAST(rank AS INTEGER) AS rank FROM (
+        SELECT *, row_number() OVER (PARTITION BY lang, "column" ORDER BY n DESC, value) AS rank
+        FROM (SELECT lang, 'source' AS "column", source AS value, count(*) AS n FROM documents
+              GROUP BY lang, source UNION ALL
+              SELECT lang, 'text', text, count(*) FROM documents GROUP BY lang, text))
+    WHERE rank <= 5 AND value IS NOT NULL""",
+)
+def top5_long_text(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("lang", "source", "text")
+    return long_values.top_long_values(documents, by=["lang"])
+
+
+@_c.add(
+    "d4_distinct_long_text",
+    " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS unique_values FROM pages" for c in ("url", "html")),
+)
+def distinct_long_text(spark, sf_dir):
+    return long_values.unique_long_values(table(spark, sf_dir, "pages"))
+
+
 def _profile_sql(names, source):
     out = []
     for i, (n, kind) in enumerate(names):

@@ -2,6 +2,7 @@
 
 from rawloom.layout import Field, Layout
 from rawloom.functions.casting import cast_by_layout, char, date, num
+from rawloom.operators.long_values import long_value_counts, top_long_values, unique_long_values
 from rawloom.operators.infer import detect_kinds, infer_and_cast, sampled_kinds
 from rawloom.operators.profile import (
     column_profile,
@@ -45,6 +46,7 @@ __all__ = [
     "infer_and_cast",
     "sampled_kinds",
     "intake",
+    "long_value_counts",
     "merged_profile",
     "missing_values",
     "num",
@@ -67,9 +69,11 @@ __all__ = [
     "stream_rows",
     "stream_states",
     "stream_tree",
+    "top_long_values",
     "top_values",
     "tree_files",
     "tune",
+    "unique_long_values",
     "unique_values",
     "value_counts",
     "write_dataset",

@@ -26,7 +26,7 @@ from rawloom import (
     write_report,
     write_state,
 )
-from rawloom.operators import ordered, profile
+from rawloom.operators import long_values, ordered, profile
 
 
 @pytest.fixture(scope="module")
@@ -252,3 +252,31 @@ def test_states_add_up_to_the_profile(spark, tmp_path):
             else:
                 assert value == other, (r["column"], name)
     assert len(want) == got.count()
+
+
+def test_long_values_as_whole_values(spark):
+    """Texts round the length of a digest, common beginnings, ties, NULLs, odd names."""
+    long = "the same beginning of all of these texts "
+    texts = [None, None, None, "", "a", "a", "x" * 31, "x" * 32, "x" * 32, "é" * 16, "é" * 15 + "e", *[long + str(i % 9) for i in range(15)], long + "z" * 5000]
+    rows = [(g, t, None if i % 4 else t, i) for g in ("p", None) for i, t in enumerate(texts)] + [("q", None, None, 0)]
+    df = spark.createDataFrame(rows, "`the key` string, `a.b` string, value string, i int")
+    for by in ([], ["the key"]):
+        for k in (1, 3, 5, 100):
+            for nulls in (False, True):
+                want = profile.top_values(df, k, by, exclude_null_first=nulls)
+                got = long_values.top_long_values(df, k, by, exclude_null_first=nulls)
+                assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+        plain = profile.unique_values(df.drop("i"), by)
+        assert sorted(map(str, long_values.unique_long_values(df, by=by).select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
+    assert long_values.top_long_values(df.limit(0)).count() == long_values.unique_long_values(df.select("i")).count() == 0
+
+
+def test_long_values_shuffle_no_texts(spark, tmp_path):
+    spark.range(3000).select(F.repeat(F.col("id").cast("string"), 500).alias("t")).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    counts = long_values.long_value_counts(df)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(column" in counts and not any("value" in line for line in counts.split("\n") if "Exchange" in line)
+    top = long_values.top_long_values(df)
+    rows = top.collect()
+    assert [r.value for r in rows] == sorted(str(i) * 500 for i in range(3000))[:5]
+    assert "BroadcastHashJoin" in top._jdf.queryExecution().executedPlan().toString()
