@@ -342,6 +342,30 @@ def reports_of_runs(spark, sf_dir):
     return _stored_reports(spark, out).join(_stored_totals(spark, out), ["year", "stem"])
 
 
+@_c.add(
+    "k5_packed",
+    """
+    SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS keys, TRUE AS packed
+    FROM orders GROUP BY 1""",
+)
+def packed(spark, sf_dir):
+    """Forty raw files a year, brought together by estimated rows: fewer Parquet files than raw ones, all rows."""
+    root, out = scratch_dir(spark, "tree"), scratch_dir(spark, "typed")
+    orders = table(spark, sf_dir, "orders")
+    year = F.year("o_orderdate").cast("string")
+    part = F.lpad((F.col("o_orderkey") % 40).cast("string"), 3, "0")
+    _tree(root, orders, year, F.concat(F.lit("orders_"), year, F.lit("_"), part, F.lit(".csv")), _csv_line())
+    path = F.concat(F.lit(f"{root}/folder="), "year", F.lit("/orders_"), "year", F.lit(".fts"))
+    layouts = orders.select(year.alias("year")).distinct().select(path.alias("layout_file"), _csv_text().alias("text"))
+    taken = intake(spark, root, out, layout_texts=layouts, pack_rows=1_000_000, run_qc=False)
+    raw = taken.where("status = 'parsed'").groupBy("year").agg(F.count("*").alias("raw"))
+    rows = read_dataset(spark, out, "orders").withColumn("file", F.input_file_name())
+    found = rows.groupBy("year").agg(
+        F.count("*").alias("n_rows"), F.sum("o_orderkey").cast("long").alias("keys"), F.count_distinct("file").alias("files")
+    )
+    return found.join(raw, "year").select("year", "n_rows", "keys", (F.col("files") < F.col("raw")).alias("packed"))
+
+
 @_c.add(
     "k5_rerun",
     """

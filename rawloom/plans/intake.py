@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import json
+import math
 import re
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Sequence
@@ -28,6 +29,7 @@ from rawloom.sources.dataset import (
     existing_folders,
     read_folders,
     read_folders_text,
+    union_parts,
     write_dataset,
     write_report,
     write_reports,
@@ -44,6 +46,7 @@ from rawloom.sources.layouts import (
 )
 from rawloom.sources.manifest import (
     attach_layouts,
+    plan_parts,
     rejected_files,
     require_no_collisions,
     select_files,
@@ -51,6 +54,8 @@ from rawloom.sources.manifest import (
 )
 
 STYLES = {"dat": FIXED, "csv": DELIMITED}
+#: Bytes that a delimited field takes, for estimates: their layouts need not tell widths.
+FIELD_BYTES = 8
 
 
 def path_tags(
@@ -206,6 +211,7 @@ def intake(
     check_duplicates: bool = True,
     only_changed: bool = False,
     staged: bool = False,
+    pack_rows: int | None = None,
 ) -> DataFrame:
     """Read all raw files below ``root`` and write them typed below ``out``.
 
@@ -237,6 +243,10 @@ def intake(
     ``read_dataset`` sees a run's folders whole or not at all. A folder that failed is no longer served as current, and its
     report says so. ``remove_superseded`` deletes what no reader needs any more.
 
+    With ``pack_rows`` estimated sizes deal out the writing: where a folder has several files whose lengths tell fewer
+    rows, these are brought together in one exchange, into about so many rows a task, so that thousands of small files
+    give few Parquet files. Rows of larger files are still written, in order, by the task that read them.
+
     SAS files need ``sas_reader``, a function that gives a decoded DataFrame for paths;
     its types are inferred. Returns the manifest with a ``status`` per file: ``parsed``,
     ``failed`` (its folder could not be read or written; the others are), ``bad layout``,
@@ -284,6 +294,7 @@ def intake(
         located.unpersist()
         texts.unpersist()
 
+    sizes = _estimated_rows(pending, layouts) if pack_rows and layouts else {}
     taken = {k.lower() for k in keys}
     for (_, file), layout in layouts.items():
         clash = [n for n in layout.names if n.lower() in taken]
@@ -335,7 +346,6 @@ def intake(
         """Write the files' rows; the count per (year, stem) from their reports."""
         place = f"{run_number}-{next(places)}"
         base = f"{out}/{ledger.RUNS}/{ledger.PLACE}={place}" if staged else out
-        paths = [names.literal_path(f.path) for f in files]
         folders = {(f.year, f.stem) for f in files}
         if kind == "sas":
             own = [F.lit(files[0][c]).cast("string").alias(k) for c, k in zip(KEYS, keys)]
@@ -343,7 +353,13 @@ def intake(
         else:
             read = read_fixed_width if kind == "dat" else read_delimited
             more = (dat_options if kind == "dat" else csv_options) or {}
-            rows = read(spark, paths, layout, mode, tags=path_tags(kind, root, loose, keys), **more)
+            read_files = lambda paths: read(spark, paths, layout, mode, tags=path_tags(kind, root, loose, keys), **more)
+            small, packed = _packed(files, sizes, pack_rows)
+            parts = [read_files([names.literal_path(f.path) for f in files if f.path not in small])] if len(small) < len(files) else []
+            if small:
+                brought = read_files([names.literal_path(p) for p in sorted(small)])
+                parts.append(brought.hint("rebalance", packed, *[column(k) for k in keys]))
+            rows = union_parts(*parts)
         write_dataset(rows, base, structure, rows_per_file, keys=keys, folders=folders)
         done = [(run_number, y, s, place, "parsed", None) for y, s in sorted(folders)]
         if not run_qc:
@@ -413,6 +429,34 @@ def intake(
     return result.drop("modified", "described", "unchanged") if logged else result
 
 
+def _estimated_rows(manifest: DataFrame, layouts: dict[tuple[str, str], Layout]) -> dict[str, int]:
+    """Rows of each file by its length.
+
+    What layouts declare is the total of all files that share them, so it tells nothing about one.
+    """
+    spark = manifest.sparkSession
+    told = [(k, file, max(f.width, 0) if k == "dat" else FIELD_BYTES) for (k, file), layout in layouts.items() for f in layout.fields]
+    widths = spark.createDataFrame(told, "kind string, layout_file string, width int")
+    untold = spark.createDataFrame([], "layout_file string, expected_rows bigint")
+    out = {}
+    for kind in STYLES:
+        files = manifest.where(F.col("kind") == kind).withColumn("kind", F.lit("dat"))
+        found = plan_parts(files, widths.where(F.col("kind") == kind).drop("kind"), untold, None).select("path", "n_rows_est")
+        out |= {r.path: r.n_rows_est for r in found.where("n_rows_est IS NOT NULL").collect()}
+    return out
+
+
+def _packed(files: list[Row], sizes: dict[str, int], pack_rows: int | None) -> tuple[set[str], int]:
+    """Files to write together, where a folder has several small ones, and the number of tasks for them."""
+    by_folder: dict[tuple, list[str]] = defaultdict(list)
+    for f in files:
+        if pack_rows and sizes.get(f.path, pack_rows) < pack_rows:
+            by_folder[f.year, f.stem].append(f.path)
+    several = [paths for paths in by_folder.values() if len(paths) > 1]
+    tasks = sum(math.ceil(max(1, sum(sizes[p] for p in paths)) / pack_rows) for paths in several)
+    return {p for paths in several for p in paths}, tasks
+
+
 def _publish(spark: SparkSession, out: str, commits: list[tuple], keys: Keys, run_qc: bool) -> None:
     """Log a run's folders, which readers then see; reports of failed ones say so."""
     failed = [(json.dumps({keys[0]: y, keys[1]: s, "report": json.dumps({"status": "failed", "note": note})}), y, s) for _, y, s, place, _, note in commits if place is None]

@@ -2,6 +2,8 @@
 
 import os
 
+from pyspark.sql import Row
+from pyspark.sql import functions as F
 from test_intake import LAYOUT, put
 
 from rawloom import folder_log, intake, read_dataset, remove_superseded
@@ -99,3 +101,31 @@ def test_unpublished_rows_are_invisible(spark, tmp_path):
     assert rows_of(spark, out) == served
     assert remove_superseded(spark, out) == 1
     assert rows_of(spark, out) == served
+
+
+def test_small_files_are_packed(spark, tmp_path):
+    """500 small files and one large: one Parquet file for each folder of small ones, the large one split as read."""
+    root, out, plain = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "plain")
+    for part in range(250):
+        for stem in ("s", "t"):
+            put(root, f"2016/{stem}_2016_{part:03}.csv", f"{part},{stem}\n" * (part % 3 + 1))
+    put(root, "2016/s_2016_999.csv", "".join(f"{i},large\n" for i in range(50_000)))
+    put(root, "2016/u_2016.csv", "1,alone\n")
+    for stem in ("s", "t", "u"):
+        put(root, f"2016/{stem}_2016.fts", LAYOUT)
+    assert set(by_name(intake(spark, root, out, pack_rows=1000, run_qc=False)).values()) == {"parsed"}
+    intake(spark, root, plain, run_qc=False)
+    assert rows_of(spark, out) == rows_of(spark, plain) and len(rows_of(spark, out)) == 2 * 499 + 50_001
+    count = lambda base, stem: len(files_below(f"{base}/year=2016/stem={stem}"))
+    assert count(plain, "t") > 8 and count(out, "t") == 1 and count(out, "s") <= 1 + count(plain, "s") // 2 and count(out, "u") == 1
+    large = read_dataset(spark, out, "s").where("b = 'large'").select(F.input_file_name().alias("f")).distinct().count()
+    assert count(out, "s") == large + 1
+
+
+def test_packing_by_estimates():
+    from rawloom.plans.intake import _packed
+
+    files = [Row(path=p, year=y, stem="s") for p, y in (("a", "1"), ("b", "1"), ("c", "1"), ("d", "2"), ("e", "3"), ("f", "3"), ("g", "3"))]
+    sizes = {"a": 60, "b": 60, "c": 100, "d": 1, "e": 0, "f": 5}
+    assert _packed(files, sizes, 100) == ({"a", "b", "e", "f"}, 3)
+    assert _packed(files, {}, 100) == _packed(files, sizes, None) == (set(), 0)
