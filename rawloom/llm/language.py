@@ -127,7 +127,10 @@ class Model:
 
 
 def train(rows: DataFrame, text: str = "text", lang: str = "lang", train_rows: int = TRAIN_ROWS, smoothing: float = 0.5) -> Model:
-    """Fit on the distinct texts of each language. At most about ``train_rows`` of each are read, whole texts."""
+    """Fit on the distinct texts of each language. At most about ``train_rows`` of each are read, whole texts.
+
+    All languages are equally likely beforehand, however many texts they have.
+    """
     rows = rows.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
     rows = rows.withColumn("hash", F.xxhash64("text"))
     sizes = {r["lang"]: r["n"] for r in rows.select("lang", "hash").distinct().groupBy("lang").agg(F.count("*").alias("n")).collect()}

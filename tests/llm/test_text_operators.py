@@ -1,5 +1,7 @@
 import base64
 import hashlib
+import math
+from collections import Counter
 
 import brute
 import numpy as np
@@ -192,6 +194,45 @@ def test_language(odd, documents):
     assert language.identify(odd.limit(0), model).count() == 0
 
 
+def plain_ngrams(text):
+    """Hashed n-grams of one to three characters, a number at a time."""
+    points = [ord(c.lower()) if c.isalpha() and len(c.lower()) == 1 else ord(c) if c.isalpha() else 32 for c in text]
+    low = 0xFFFFFFFF
+    for size in (1, 2, 3):
+        for at in range(len(points) - size + 1):
+            x = size
+            for point in points[at : at + size]:
+                x = (x ^ point) * 0x9E3779B1 & low
+                x ^= x >> 15
+            yield (x * 0x85EBCA6B & low) >> 16
+
+
+def test_language_against_plain_naive_bayes(documents, odd):
+    rows = documents.select("doc_id", "text", "lang").collect()
+    texts = {(r.lang, r.text) for r in rows if r.doc_id % 3 != 1 and r.lang is not None and r.text is not None}
+    counts = {}
+    for lang, text in texts:
+        counts.setdefault(lang, Counter()).update(plain_ngrams(text))
+    names = sorted(counts)
+    total = {lang: sum(counts[lang].values()) + 0.5 * 2**16 for lang in names}
+
+    def plain(text):
+        if not any(c.isalpha() for c in text or ""):
+            return "und", 0.0
+        found = Counter(plain_ngrams(text))
+        logs = [sum(n * math.log((counts[lang][f] + 0.5) / total[lang]) for f, n in found.items()) for lang in names]
+        best = max(range(len(names)), key=lambda k: logs[k])
+        return names[best], 1 / sum(math.exp(x - logs[best]) for x in logs)
+
+    model = language.train(documents.where(F.col("doc_id") % 3 != 1))
+    both = documents.select("doc_id", "text").unionByName(odd.select(F.col("doc_id").cast(documents.schema["doc_id"].dataType), "text"))
+    got = language.identify(both, model).collect()
+    assert len(got) == both.count() > 200
+    for r in got:
+        lang, score = plain(r.text)
+        assert r.lang_pred == lang and r.score == pytest.approx(score, abs=1e-3)
+
+
 def test_language_of_long_texts_in_pieces(documents, monkeypatch):
     import pyarrow as pa
 
