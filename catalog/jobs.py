@@ -27,6 +27,7 @@ from rawloom import (
     stream_rows,
     stream_states,
     write_dataset,
+    write_line_index,
     write_report,
 )
 from rawloom.operators.ordered import indexed_lines
@@ -52,6 +53,18 @@ def delimited_files(spark, sf_dir):
     return read_delimited(spark, raw, PART_LAYOUT)
 
 
+@_c.add("e9_stored_slices", ORDERS_SQL)
+def stored_slices(spark, sf_dir):
+    """Slices of every file by one stored line index, each written as a part: together they are all rows."""
+    raw, index, out = (scratch_dir(spark, n) for n in ("dat", "line_index", "typed"))
+    order_lines(table(spark, sf_dir, "orders")).write.text(raw)
+    write_line_index(spark, raw, index)
+    for part, (start, rows) in enumerate([(0, 500), (500, 1500), (2000, None)], 1):
+        some = read_fixed_width(spark, raw, ORDERS_LAYOUT, start_row=start, num_rows=rows, line_index=index)
+        some.write.parquet(f"{out}/part={part}")
+    return spark.read.parquet(out).drop("part")
+
+
 _BY_YEAR = """
     SELECT *, CAST(year(o_orderdate) AS VARCHAR) AS year, 'orders__00' || o_orderpriority[1:1] AS stem
     FROM orders"""

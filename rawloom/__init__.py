@@ -25,6 +25,7 @@ from rawloom.sources.delimited import read_delimited, split_delimited
 from rawloom.sources.fixedwidth import read_fixed_width, slice_fixed
 from rawloom.sources.layouts import scan_layouts
 from rawloom.sources.ledger import file_log, folder_log, remove_superseded
+from rawloom.sources.line_index import read_line_slice, slice_blocks, write_line_index
 from rawloom.sources.manifest import build_manifest, collisions
 from rawloom.streaming.incremental import stream_intake, stream_profiles, stream_rows
 from rawloom.streaming.tree import read_tree, stream_tree, tree_files
@@ -56,12 +57,14 @@ __all__ = [
     "read_dataset",
     "read_delimited",
     "read_fixed_width",
+    "read_line_slice",
     "read_tree",
     "remove_superseded",
     "report",
     "scan_layouts",
     "schema_diff",
     "shape_check",
+    "slice_blocks",
     "slice_fixed",
     "split_delimited",
     "stream_intake",
@@ -77,6 +80,7 @@ __all__ = [
     "unique_values",
     "value_counts",
     "write_dataset",
+    "write_line_index",
     "write_report",
     "write_state",
 ]

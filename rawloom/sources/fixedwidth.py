@@ -18,6 +18,7 @@ from rawloom.functions.text import (
 )
 from rawloom.layout import Layout
 from rawloom.operators.ordered import indexed_lines, row_slice
+from rawloom.sources.line_index import read_line_slice
 
 
 _PLAIN, _DATA, _TEXT, _HERE = "_printable", "_bytes", "_text", "_here"
@@ -122,17 +123,23 @@ def read_fixed_width(
     tags: dict[str, Column] | None = None,
     start_row: int = 0,
     num_rows: int | None = None,
+    line_index: str | DataFrame | None = None,
     **slicing,
 ) -> DataFrame:
     """Typed table of fixed-width files. ``tags`` adds columns, e.g. from the path.
 
     ``start_row`` and ``num_rows`` take a slice of each file. Lines have to be counted
-    and shuffled for that; reading whole files needs neither.
+    and shuffled for that; reading whole files needs neither. With a ``line_index`` (see
+    ``write_line_index``) they were counted before, and a slice reads only its blocks.
     """
     if start_row or num_rows is not None:
         if tags:
             raise ValueError("a slice of rows carries no tags")
-        lines = row_slice(indexed_lines(spark, paths), start_row, num_rows).select("value")
+        if line_index is not None:
+            lines = read_line_slice(spark, paths, line_index, start_row, num_rows)
+        else:
+            lines = row_slice(indexed_lines(spark, paths), start_row, num_rows)
+        lines = lines.select("value")
     else:
         lines = read_lines(spark, paths)
     if tags:

@@ -1,9 +1,22 @@
 import datetime as dt
+import gzip
+import os
+from urllib.parse import unquote
 
 import pytest
+from pyspark.sql import functions as F
 from samples import CSV_TEXT, FIXED_RECORDS
 
-from rawloom import Field, Layout, read_delimited, read_fixed_width, slice_fixed
+from rawloom import (
+    Field,
+    Layout,
+    read_delimited,
+    read_fixed_width,
+    read_line_slice,
+    slice_blocks,
+    slice_fixed,
+    write_line_index,
+)
 from rawloom.operators.ordered import indexed_lines, positioned_lines, row_slice
 
 CLAIMS = Layout(
@@ -168,3 +181,61 @@ def test_line_numbers_across_splits(spark, tmp_path):
         assert row_slice(numbered, 5000, 10).count() == 0
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("block", [97, 1000, 1 << 20])
+def test_slices_by_a_stored_line_index(spark, tmp_path, block):
+    """Each slice is what a plain reader gives, whatever the blocks; lines may be empty, long, or unended."""
+    raw = tmp_path / "raw files"
+    raw.mkdir()
+    contents = {
+        "a.dat": b"\n".join(b"%06d" % i + b"x" * (i % 50) for i in range(300)),
+        "b c.dat": b"\n\n\xff\xc3\r\n" + b"y" * 900 + b"\n\nlast\n",
+        "empty.dat": b"",
+        "one.dat": b"z",
+    }
+    for name, content in contents.items():
+        write(raw, content, name)
+    lines = {n: c.split(b"\n")[: -1 if c.endswith(b"\n") or not c else None] for n, c in contents.items()}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        index = write_line_index(spark, str(raw), str(tmp_path / "index")).cache()
+        for start, n in ((0, None), (2, 3), (3, 150), (299, 5), (400, 2)):
+            found = {}
+            for r in read_line_slice(spark, str(raw), index, start, n).select("_file", "row_index", F.col("value").cast("binary")).collect():
+                found.setdefault(unquote(r._file).split("/")[-1], []).append((r.row_index, bytes(r.value)))
+            wanted = {f: list(enumerate(all_))[start : None if n is None else start + n] for f, all_ in lines.items()}
+            assert {f: sorted(v) for f, v in found.items()} == {f: v for f, v in wanted.items() if v}
+        # only the blocks of the slice are looked at: the rest of a file may be anything
+        if block == 1000:
+            blocks = slice_blocks(spark, str(raw), index, 200, 3).collect()
+            assert sum(b.block_length for b in blocks) < sum(map(len, contents.values())) / 3
+            kept = os.stat(raw / "a.dat")
+            spoilt = bytearray(b"?" * len(contents["a.dat"]))
+            lower, upper = min(b.block_start for b in blocks), max(b.block_start + b.block_length for b in blocks) + 60
+            spoilt[lower:upper] = contents["a.dat"][lower:upper]
+            (raw / "a.dat").write_bytes(bytes(spoilt))
+            os.utime(raw / "a.dat", ns=(kept.st_atime_ns, kept.st_mtime_ns))
+            assert {r.value.encode() for r in read_line_slice(spark, str(raw), index, 200, 3).collect()} == set(lines["a.dat"][200:203])
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_a_line_index_must_be_current(spark, tmp_path):
+    raw, index = tmp_path / "raw", str(tmp_path / "index")
+    raw.mkdir()
+    path = write(raw, FIXED_RECORDS)
+    write_line_index(spark, path, index)
+    whole = read_fixed_width(spark, path, CLAIMS).collect()
+    assert read_fixed_width(spark, path, CLAIMS, start_row=1, num_rows=3, line_index=index).collect() == whole[1:4]
+    write(raw, FIXED_RECORDS, "new.dat")
+    with pytest.raises(Exception, match="not in the line index"):
+        read_line_slice(spark, str(raw), index, 1, 3).collect()
+    write(raw, FIXED_RECORDS[30:])
+    with pytest.raises(Exception, match="not in the line index"):
+        read_line_slice(spark, path, index, 1, 3).collect()
+    packed = write(raw, gzip.compress(FIXED_RECORDS), "x.dat.gz")
+    with pytest.raises(Exception, match="compressed"):
+        write_line_index(spark, packed, index)
