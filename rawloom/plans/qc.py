@@ -10,6 +10,8 @@ from rawloom.plans.report import report
 from rawloom.sources.dataset import write_report
 from rawloom.sources.layouts import layout_file_rows, layout_shapes, parsed_layouts, read_layout_texts
 
+REPORT_FOLDER = "_qc_report"
+
 
 def declared(
     spark: SparkSession, layout: str | DataFrame, data_file: str | None = None, parity: bool = False
@@ -31,12 +33,15 @@ def declared(
 
 def qc_folder(
     spark: SparkSession, folder: str, layout: str | DataFrame | None = None, data_file: str | None = None,
-    parity: bool = False, out: str | None = None,
+    parity: bool = False, out: str | None = "auto",
 ) -> DataFrame:
     """Profile a Parquet folder and compare it with a layout: one ``report`` text.
 
-    Without a layout the expectations are absent. ``out`` stores the report besides.
+    Without a layout the expectations are absent. The report is also stored: in ``out``, by default in the
+    folder's ``_qc_report``, which readers of the folder pass over; None stores nothing.
     """
+    if out == "auto":
+        out = f"{folder.rstrip('/')}/{REPORT_FOLDER}"
     rows = spark.read.parquet(folder)
     told = None if layout is None else declared(spark, layout, data_file, parity)
     if told is not None:  # one row, computed once

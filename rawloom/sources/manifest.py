@@ -42,15 +42,20 @@ def list_files(spark: SparkSession, root: str | Sequence[str], dated: bool = Fal
     return files.select(F.regexp_replace("path", "^file:/+", "/").alias("path"), "length", *when)
 
 
-def hidden_files(spark: SparkSession, root: str) -> DataFrame:
-    """Files in year folders whose names begin with ``_`` or ``.``, which readers leave out."""
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/*/[_.]*")
-    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
-    rows = [
-        (names.plain_path(f.getPath().toString()), f.getLen())
-        for f in found
-        if f.isFile() and not f.getPath().getName().endswith(".crc")
-    ]
+def hidden_files(spark: SparkSession, root: str, depth: int = 1) -> DataFrame:
+    """Files in year folders whose names begin with ``_`` or ``.``, which readers leave out.
+
+    ``depth`` counts the levels of folders to look in, year folders being the first.
+    """
+    system, rows = None, []
+    for level in range(depth):
+        pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/*{'/[!_.]*' * level}/[_.]*")
+        system = system or pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+        rows += [
+            (names.plain_path(f.getPath().toString()), f.getLen())
+            for f in system.globStatus(pattern) or []
+            if f.isFile() and not f.getPath().getName().endswith(".crc")
+        ]
     return spark.createDataFrame(rows, LISTING_SCHEMA)
 
 
@@ -274,9 +279,14 @@ def build_manifest(spark: SparkSession, root: str, *args, **kwargs) -> DataFrame
 
 
 def rejected_files(spark: SparkSession, root: str) -> DataFrame:
-    """Files of no supported kind, layout files aside, without a year, or with hidden names."""
+    """Files of no supported kind, layout files aside, without a year, or with hidden names.
+
+    Hidden names are looked for one level deeper than the deepest visible file lies.
+    """
     files = describe_files(list_files(spark, root), root).withColumn("hidden", F.lit(False))
-    hidden = describe_files(hidden_files(spark, root), root).withColumn("hidden", F.lit(True))
+    below = F.substring("dir", len(names.plain_path(root)) + 1, 2**31 - 1)
+    deepest = files.agg(F.max(F.length(below) - F.length(F.replace(below, F.lit("/"))))).first()[0]
+    hidden = describe_files(hidden_files(spark, root, (deepest or 0) + 1), root).withColumn("hidden", F.lit(True))
     # what Spark's writers leave beside their output is no raw file
     hidden = hidden.filter(F.col("kind").isNotNull())
     unusable = F.col("hidden") | F.col("kind").isNull() | F.col("year").isNull()

@@ -4,7 +4,7 @@ import os
 import pytest
 from samples import CSV_TEXT, DELIMITED_LAYOUT, FIXED_LAYOUT, FIXED_RECORDS
 
-from rawloom import intake, read_dataset
+from rawloom import intake, qc_folder, read_dataset
 from rawloom.sources.manifest import build_manifest, collisions, rejected_files
 
 
@@ -247,3 +247,20 @@ def test_no_files(spark, tmp_path):
     os.makedirs(tmp_path / "in" / "2016")
     with pytest.raises(ValueError, match="no raw files"):
         intake(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+
+
+def test_hidden_names_at_any_depth(spark, tmp_path):
+    root = str(tmp_path / "in")
+    for name in ("2016/_a_2016.dat", "2016/sub/_b_2016.dat", "2016/sub/c_2016.csv", "2016/sub/more/.d_2016.csv", "2016/e_2016.dat/part-0",
+                 "2016/e_2016.dat/_SUCCESS", "2016/_notes.txt"):
+        put(root, name, "x\n")
+    found = rejected_files(spark, root).where("reason = 'hidden name'").collect()
+    assert {r.path[len(root) + 1 :] for r in found} == {"2016/_a_2016.dat", "2016/sub/_b_2016.dat", "2016/sub/more/.d_2016.csv"}
+
+
+def test_qc_report_beside_the_data(spark, tmp_path):
+    folder = str(tmp_path / "rows")
+    spark.range(3).write.parquet(folder)
+    told = qc_folder(spark, folder).first().report
+    assert spark.read.text(folder + "/_qc_report").first().value == told and spark.read.parquet(folder).count() == 3
+    assert qc_folder(spark, folder, out=None).first().report == told
