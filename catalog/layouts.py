@@ -330,7 +330,8 @@ def span_starts(spark, sf_dir):
     )
     df = lay.with_dash_spans(df, "line", "spans")
     df = lay.with_dash_spans(df, "line", "gapped", from_previous_end=True)
-    return df.select("p_partkey", F.posexplode("spans").alias("k", "span"), "gapped").select(
+    exploded = df.select("p_partkey", F.posexplode_outer("spans").alias("k", "span"), "gapped")
+    return exploded.filter(F.col("span").isNotNull()).select(
         "p_partkey",
         "k",
         F.col("span.start").alias("start"),

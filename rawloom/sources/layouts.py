@@ -64,38 +64,32 @@ def with_dash_spans(
     ``from_previous_end`` assumes a gap of one blank: a span then starts one after the
     end of the run before it, the first one at 0.
     """
-    data, first, last, runs = (F.col(f"{out}{x}") for x in ("_bytes", "_first", "_last", ""))
-    # One byte for each character, so that bytes can be looked at by their place.
-    plain = F.regexp_replace(F.col(line), "[^ -~]", " ").cast("binary")
-    df = df.withColumn(f"{out}_bytes", plain)
+    # The first dash of each run alone, one byte for each character, so that bytes can be looked at by their place.
+    firsts = F.regexp_replace(F.col(line), "[^-]|(?<=-)-", " ").cast("binary")
     dash = F.lit("-").cast("binary")
-    places = F.sequence(F.lit(1), F.greatest(F.octet_length(data), F.lit(1)))
 
-    def edge(i, step):
-        beside = F.when((i + step >= 1), F.substring(data, i + step, F.lit(1)))
-        return (F.substring(data, i, F.lit(1)) == dash) & F.coalesce(beside != dash, F.lit(True))
+    def places(data):
+        positions = F.sequence(F.lit(1), F.greatest(F.octet_length(data), F.lit(1)))
+        return F.filter(positions, lambda i: F.substring(data, i, F.lit(1)) == dash)
 
-    df = df.withColumn(f"{out}_first", F.filter(places, lambda i: edge(i, -1)))
-    df = df.withColumn(f"{out}_last", F.filter(places, lambda i: edge(i, 1)))
-    placed = F.transform(
-        first,
-        lambda s, k: F.struct((s - 1).alias("start"), (F.get(last, k) - s + 1).alias("width")),
+    def after_previous(runs):
+        def start(k):
+            before = F.get(runs, k - 1)
+            return F.when(k == 0, F.lit(0)).otherwise(before["start"] + before["width"] + 1)
+
+        return F.transform(runs, lambda s, k: F.struct(start(k).alias("start"), s["width"].alias("width")))
+
+    runs = F.zip_with(
+        _once(firsts, places),
+        F.regexp_extract_all(F.col(line), F.lit("-+"), F.lit(0)),
+        lambda place, run: F.struct((place - 1).alias("start"), F.length(run).alias("width")),
     )
-    df = df.withColumn(out, F.when(F.col(line).isNotNull(), placed))
-    df = df.drop(f"{out}_bytes", f"{out}_first", f"{out}_last")
-    if not from_previous_end:
-        return df
-    ends = F.transform(runs, lambda s: s["start"] + s["width"] + 1)
-    shifted = F.concat(F.array(F.lit(0)), ends)
-    return df.withColumn(f"{out}_from", shifted).withColumn(
-        out,
-        F.transform(
-            runs,
-            lambda s, k: F.struct(
-                F.get(f"{out}_from", k).alias("start"), s["width"].alias("width")
-            ),
-        ),
-    ).drop(f"{out}_from")
+    return df.withColumn(out, _once(runs, after_previous) if from_previous_end else runs)
+
+
+def _once(value: Column, use) -> Column:
+    """``use`` of a value that is computed once for each row, however often a loop over its items looks at it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def with_heading_block(

@@ -2,7 +2,7 @@ import pytest
 from samples import DELIMITED_LAYOUT, FIXED_LAYOUT
 
 from rawloom import Layout, scan_layouts
-from rawloom.sources.layouts import layout_fields, layout_file_rows, layout_shapes, parsed_layouts
+from rawloom.sources.layouts import layout_fields, layout_file_rows, layout_shapes, parsed_layouts, with_dash_spans
 
 
 def parse(spark, text, name="/in/x.fts", **options):
@@ -130,3 +130,27 @@ def test_plan_stays_small(spark):
     """No filter may be copied down through the chain of derived columns."""
     for df in (layout_fields(parse(spark, FIXED_LAYOUT)), layout_shapes(parse(spark, FIXED_LAYOUT))):
         assert len(df._jdf.queryExecution().optimizedPlan().toString()) < 40_000
+
+
+def test_dash_spans(spark):
+    lines = [(0, " -- ---"), (1, "ä-\U0001f600--\n-"), (2, "--"), (3, "abc"), (4, ""), (5, None)]
+    df = spark.createDataFrame(lines, "i int, line string")
+
+    def spans(**options):
+        found = with_dash_spans(df, "line", "spans", **options).orderBy("i").collect()
+        return [r.spans and [tuple(s) for s in r.spans] for r in found]
+
+    assert spans() == [[(1, 2), (4, 3)], [(1, 1), (3, 2), (6, 1)], [(0, 2)], [], [], None]
+    assert spans(from_previous_end=True) == [[(0, 2), (4, 3)], [(0, 1), (3, 2), (6, 1)], [(0, 2)], [], [], None]
+
+
+def test_dash_spans_are_found_once_a_line(spark, tmp_path):
+    from catalog.layouts import span_starts
+
+    rows = [(1, "ab", "c", 3), (2, "", "d", -5), (3, None, "e", 1)]
+    spark.createDataFrame(rows, "p_partkey bigint, p_name string, p_type string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    found = span_starts(spark, str(tmp_path))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "regexp" in line]
+    assert sorted(map(tuple, found.where("p_partkey = 1").collect())) == [(1, 0, 1, 0, 2), (1, 1, 5, 4, 4), (1, 2, 10, 10, 1)]
+    assert found.where("p_partkey = 3").count() == 0
