@@ -6,6 +6,7 @@ import itertools
 import json
 import math
 import re
+import uuid
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -105,26 +106,36 @@ def _layouts(
     return out
 
 
+def _computed_once(texts: DataFrame) -> DataFrame:
+    """Given layout texts in a cache of their own: what is asked of their names is not pushed to the rows they are made of."""
+    return texts.select("layout_file", "text", F.lit(uuid.uuid4().hex).alias("_own")).persist()
+
+
 def describe_layouts(
     spark: SparkSession, root: str, files: DataFrame, layout_texts: DataFrame | None = None
 ) -> tuple[list[Row], dict[tuple[str, str], Layout], dict[str, str]]:
     """Files with their layout files, the layouts by (kind, layout file), and what is wrong with some."""
-    texts = _layout_texts(spark, root) if layout_texts is None else layout_texts
-    listing = attach_layouts(files, texts).collect()
-    wanted: dict[str, set[str]] = defaultdict(set)
-    for f in listing:
-        if f.kind in STYLES and f.layout_file:
-            wanted[f.kind].add(f.layout_file)
-    if not wanted:
-        return listing, {}, {}
-    used = spark.createDataFrame([(n,) for n in sorted(set().union(*wanted.values()))], "layout_file string")
-    texts = texts.join(F.broadcast(used), "layout_file", "left_semi").persist()
+    given = None if layout_texts is None else _computed_once(layout_texts)
     try:
-        readable = F.is_valid_utf8("text")
-        bad = {r["layout_file"]: "layout is not UTF-8" for r in texts.where(~readable).select("layout_file").collect()}
-        return listing, _layouts(located_tables(texts.where(readable)), wanted, bad), bad
+        texts = _layout_texts(spark, root) if given is None else given.drop("_own")
+        listing = attach_layouts(files, texts).collect()
+        wanted: dict[str, set[str]] = defaultdict(set)
+        for f in listing:
+            if f.kind in STYLES and f.layout_file:
+                wanted[f.kind].add(f.layout_file)
+        if not wanted:
+            return listing, {}, {}
+        used = spark.createDataFrame([(n,) for n in sorted(set().union(*wanted.values()))], "layout_file string")
+        texts = texts.join(F.broadcast(used), "layout_file", "left_semi").persist()
+        try:
+            readable = F.is_valid_utf8("text")
+            bad = {r["layout_file"]: "layout is not UTF-8" for r in texts.where(~readable).select("layout_file").collect()}
+            return listing, _layouts(located_tables(texts.where(readable)), wanted, bad), bad
+        finally:
+            texts.unpersist()
     finally:
-        texts.unpersist()
+        if given is not None:
+            given.unpersist()
 
 
 def _expectations(manifest: DataFrame, shapes: DataFrame, file_rows: DataFrame) -> DataFrame:
@@ -255,44 +266,51 @@ def intake(
     than the widths give. The driver sees file names and layouts only.
     """
     tune(spark)
-    if layout_texts is None:
-        layout_texts = _layout_texts(spark, root if globs else year_folders(root, years))
-    logged = only_changed or staged
-    found = attach_layouts(
-        select_files(spark, root, years, stems, kinds, globs, loose, dated=logged), layout_texts
-    )
-    run_number = ledger.next_run(spark, out) if logged else 0
-    if logged:
-        options = repr((mode, structure, rows_per_file, run_qc, loose, parity, keys, dat_options, csv_options, check_duplicates, staged, names.plain_path(root)))
-        told = layout_texts.select("layout_file", F.sha2("text", 256).alias("_text"))
-        found = found.join(told, "layout_file", "left").withColumn("described", F.sha2(F.concat_ws("\n", F.lit(options), "_text"), 256)).drop("_text")
-        log = ledger.file_log(spark, out) if only_changed else ledger.file_log(spark, out).limit(0)
-        found = ledger.mark_unchanged(found, log)
-    # One listing of the tree: file names, not data. Readers need the paths here anyway.
-    listing = sorted(found.collect(), key=lambda f: (f.year, f.path))
-    if not listing:
-        raise ValueError(f"no raw files found below {root}")
-    manifest = spark.createDataFrame(listing, found.schema)
-    require_no_collisions(manifest)
-
-    # Only layouts that describe some file are parsed, and these once.
-    pending = manifest.where("NOT unchanged") if logged else manifest
-    used = pending.select("layout_file").where("layout_file IS NOT NULL").distinct()
-    texts = layout_texts.join(used, "layout_file", "left_semi").persist()
-    readable = F.is_valid_utf8("text")
-    bad = {r["layout_file"]: "layout is not UTF-8" for r in texts.where(~readable).select("layout_file").collect()}
-    located = located_tables(texts.where(readable), parity=parity).persist()
+    given = None if layout_texts is None else _computed_once(layout_texts)
     try:
-        parsed = parsed_layouts(None, located=located)
-        shapes, file_rows = _local(spark, layout_shapes(parsed)), _local(spark, layout_file_rows(parsed))
-        wanted: dict[str, set[str]] = defaultdict(set)
-        for f in listing:
-            if f.kind in STYLES and f.layout_file and not (logged and f.unchanged):
-                wanted[f.kind].add(f.layout_file)
-        layouts = _layouts(located, wanted, bad) if wanted else {}
+        if given is None:
+            layout_texts = _layout_texts(spark, root if globs else year_folders(root, years))
+        else:
+            layout_texts = given.drop("_own")
+        logged = only_changed or staged
+        found = attach_layouts(
+            select_files(spark, root, years, stems, kinds, globs, loose, dated=logged), layout_texts
+        )
+        run_number = ledger.next_run(spark, out) if logged else 0
+        if logged:
+            options = repr((mode, structure, rows_per_file, run_qc, loose, parity, keys, dat_options, csv_options, check_duplicates, staged, names.plain_path(root)))
+            told = layout_texts.select("layout_file", F.sha2("text", 256).alias("_text"))
+            found = found.join(told, "layout_file", "left").withColumn("described", F.sha2(F.concat_ws("\n", F.lit(options), "_text"), 256)).drop("_text")
+            log = ledger.file_log(spark, out) if only_changed else ledger.file_log(spark, out).limit(0)
+            found = ledger.mark_unchanged(found, log)
+        # One listing of the tree: file names, not data. Readers need the paths here anyway.
+        listing = sorted(found.collect(), key=lambda f: (f.year, f.path))
+        if not listing:
+            raise ValueError(f"no raw files found below {root}")
+        manifest = spark.createDataFrame(listing, found.schema)
+        require_no_collisions(manifest)
+
+        # Only layouts that describe some file are parsed, and these once.
+        pending = manifest.where("NOT unchanged") if logged else manifest
+        used = pending.select("layout_file").where("layout_file IS NOT NULL").distinct()
+        texts = layout_texts.join(used, "layout_file", "left_semi").persist()
+        readable = F.is_valid_utf8("text")
+        bad = {r["layout_file"]: "layout is not UTF-8" for r in texts.where(~readable).select("layout_file").collect()}
+        located = located_tables(texts.where(readable), parity=parity).persist()
+        try:
+            parsed = parsed_layouts(None, located=located)
+            shapes, file_rows = _local(spark, layout_shapes(parsed)), _local(spark, layout_file_rows(parsed))
+            wanted: dict[str, set[str]] = defaultdict(set)
+            for f in listing:
+                if f.kind in STYLES and f.layout_file and not (logged and f.unchanged):
+                    wanted[f.kind].add(f.layout_file)
+            layouts = _layouts(located, wanted, bad) if wanted else {}
+        finally:
+            located.unpersist()
+            texts.unpersist()
     finally:
-        located.unpersist()
-        texts.unpersist()
+        if given is not None:
+            given.unpersist()
 
     sizes = _estimated_rows(pending, layouts) if pack_rows and layouts else {}
     taken = {k.lower() for k in keys}
@@ -353,7 +371,7 @@ def intake(
         else:
             read = read_fixed_width if kind == "dat" else read_delimited
             more = (dat_options if kind == "dat" else csv_options) or {}
-            read_files = lambda paths: read(spark, paths, layout, mode, tags=path_tags(kind, root, loose, keys), **more)
+            read_files = lambda paths: read(spark, paths, layout, mode, tags=path_tags(kind, root, loose, keys), tags_per_file=True, **more)
             small, packed = _packed(files, sizes, pack_rows)
             parts = [read_files([names.literal_path(f.path) for f in files if f.path not in small])] if len(small) < len(files) else []
             if small:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rawloom.functions.casting import REASON, cast_by_layout, check_mode, string_schema
 from rawloom.functions.text import column, ident, is_utf8, printable, strip_fields
 from rawloom.layout import Layout
+from rawloom.sources.tags import tagged
 
 _RECORD = "_parsed_record"
 _BAD = "_bad_record"
@@ -98,8 +99,10 @@ def read_delimited(
     sep: str = ",",
     tags: dict[str, Column] | None = None,
     encoding: str = "utf-8",
+    tags_per_file: bool = False,
 ) -> DataFrame:
-    """Typed table of delimited files.
+    """Typed table of delimited files. ``tags`` adds columns, e.g. from the path; with ``tags_per_file`` they follow from
+    the path alone and are computed once a file.
 
     Lines are read as text first, because only there bad bytes can still be seen.
     ``header=True`` (skip the first line of each file) and ``multiline=True`` (line
@@ -108,9 +111,9 @@ def read_delimited(
     """
     check_mode(mode)
     load = paths if isinstance(paths, str) else list(paths)
-    tag_columns = [c.alias(n) for n, c in (tags or {}).items()]
+    tags = tags or {}
     if not header and not multiline:
-        lines = spark.read.text(load, recursiveFileLookup=True).select("value", *tag_columns)
+        lines = tagged(spark.read.text(load, recursiveFileLookup=True), tags, tags_per_file)
         rows = split_delimited(
             lines, layout, "value", mode, encoding_errors, sep, stripped=True, encoding=encoding
         )
@@ -132,6 +135,8 @@ def read_delimited(
         .options(**options)
         .csv(load, header=header, multiLine=multiline, recursiveFileLookup=True)
     )
+    rows = tagged(rows, tags, tags_per_file)
+    tag_columns = [column(n) for n in tags]
     if mode == "permissive":
         reason = F.when(F.col(_BAD).isNotNull(), F.lit("malformed record")).alias(REASON)
         rows = rows.select(*[column(n) for n in layout.names], *tag_columns, reason)

@@ -19,6 +19,7 @@ from rawloom.functions.text import (
 from rawloom.layout import Layout
 from rawloom.operators.ordered import indexed_lines, row_slice
 from rawloom.sources.line_index import read_line_slice
+from rawloom.sources.tags import tagged
 
 
 _PLAIN, _DATA, _TEXT, _HERE = "_printable", "_bytes", "_text", "_here"
@@ -124,9 +125,11 @@ def read_fixed_width(
     start_row: int = 0,
     num_rows: int | None = None,
     line_index: str | DataFrame | None = None,
+    tags_per_file: bool = False,
     **slicing,
 ) -> DataFrame:
-    """Typed table of fixed-width files. ``tags`` adds columns, e.g. from the path.
+    """Typed table of fixed-width files. ``tags`` adds columns, e.g. from the path; with
+    ``tags_per_file`` they follow from the path alone and are computed once a file.
 
     ``start_row`` and ``num_rows`` take a slice of each file. Lines have to be counted
     and shuffled for that; reading whole files needs neither. With a ``line_index`` (see
@@ -143,6 +146,6 @@ def read_fixed_width(
     else:
         lines = read_lines(spark, paths)
     if tags:
-        lines = lines.select("value", *[c.alias(n) for n, c in tags.items()])
+        lines = tagged(lines, tags, tags_per_file)
     cut = slice_fixed(lines, layout, mode=mode, stored_lines=True, **slicing)
     return cast_by_layout(cut, layout, mode, stripped=True)

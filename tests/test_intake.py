@@ -264,3 +264,46 @@ def test_qc_report_beside_the_data(spark, tmp_path):
     told = qc_folder(spark, folder).first().report
     assert spark.read.text(folder + "/_qc_report").first().value == told and spark.read.parquet(folder).count() == 3
     assert qc_folder(spark, folder, out=None).first().report == told
+
+
+def test_paths_are_taken_apart_once_a_file(spark, tmp_path):
+    from rawloom.functions import names
+    from rawloom.plans.intake import path_tags
+    from rawloom.sources.tags import tagged
+
+    stems = ("a b", "a+b", "a%20b", "\u00e4#?x", "a{1}", "[q]*")
+    for stem in stems:
+        put(str(tmp_path), f"{stem}_2016.dat", "x\ny\n")
+    for root in (str(tmp_path), f"file://{tmp_path}"):
+        lines = spark.read.text([names.literal_path(f"{root}/{s}_2016.dat") for s in stems])
+        each, once = (tagged(lines, path_tags("dat", root), per_file) for per_file in (False, True))
+        assert once.columns == ["value", "year", "stem"]
+        assert sorted(once.collect()) == sorted(each.collect()) == sorted((v, "2016", s) for s in stems for v in "xy")
+        plan = once._jdf.queryExecution().optimizedPlan().toString()
+        of_rows = [line for line in plan.splitlines() if line.lstrip().startswith(":")]
+        assert of_rows and "regexp" in plan and not [line for line in of_rows if "regexp" in line]
+
+
+def test_given_layouts_are_computed_once(spark, tmp_path, monkeypatch):
+    """What is asked of layout names stays above them; it is not pushed to the rows they are made of."""
+    from pyspark.sql import functions as F
+    from rawloom.plans import intake as plan
+
+    seen = []
+
+    def attach(files, texts):
+        seen.append(texts._jdf.queryExecution().optimizedPlan().toString())
+        return attached(files, texts)
+
+    attached = plan.attach_layouts
+    monkeypatch.setattr(plan, "attach_layouts", attach)
+    root = str(tmp_path / "in")
+    put(root, "2016/a_2016.csv", "1,x\n")
+    rows = spark.createDataFrame([("2016", i) for i in range(9)], "year string, i int")
+    texts = rows.select("year").distinct().select(F.concat(F.lit(f"{root}/"), "year", F.lit("/a_2016.fts")).alias("layout_file"), F.lit(LAYOUT).alias("text"))
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+    intake(spark, root, str(tmp_path / "out"), layout_texts=texts)
+    plan.describe_layouts(spark, root, plan.select_files(spark, root), texts)
+    assert len(seen) == 2 and all("InMemoryRelation" in p for p in seen)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
+    assert [(r.a, r.b) for r in read_dataset(spark, str(tmp_path / "out"), "a").collect()] == [(1.0, "x")]
