@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,12 +14,13 @@ from rawloom.functions import names
 from rawloom.functions.casting import cast_by_layout
 from rawloom.functions.text import column
 from rawloom.layout import DELIMITED, Layout
-from rawloom.plans.intake import STYLES, describe_layouts, tags_of
+from rawloom.plans.intake import STYLES, describe_layouts, path_tags
 from rawloom.session import tune
 from rawloom.sources.dataset import KEYS, Keys
 from rawloom.sources.delimited import split_delimited
-from rawloom.sources.fixedwidth import slice_fixed
-from rawloom.sources.manifest import attach_layouts, describe_files
+from rawloom.sources.fixedwidth import read_lines, slice_fixed
+from rawloom.sources.manifest import describe_files
+from rawloom.sources.tags import local_files, tagged
 
 PATH, FILES = "_path", "_files"
 
@@ -38,7 +40,7 @@ def stream_tree(
 ) -> StreamingQuery:
     """Take in all files that have arrived below ``root``, then stop; one checkpoint remembers them.
 
-    A batch's files are joined with the layouts beside them, and the lines of files whose layouts read alike go through one plan.
+    A batch's files are joined with the layouts beside them, and files whose layouts read alike are read by one plan.
     Rows are written below ``out`` by batch and plan, so that a batch repeated after a failure replaces what it wrote.
     ``read_tree`` reads them, ``tree_files`` what became of each file: ``parsed``, ``no layout``, ``bad layout``, ``no year``
     or ``unsupported kind``. A file without a layout counts as seen; send it again, or use ``intake``, when its layout is there.
@@ -48,14 +50,19 @@ def stream_tree(
     reader = spark.readStream.option("recursiveFileLookup", True).option("lineSep", "\n")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    lines = reader.text(root).select("value", names.raw_file(names.source_path()).alias(PATH))
+    lines = reader.text(root).select("value", F.col("_metadata.file_path").alias(PATH))
 
     def take_in(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        paths = batch.select(F.col(PATH).alias("path"), F.lit(0).cast("bigint").alias("length")).distinct()
+        # names of the files of one batch; what they tell is found for each of them, not for each line
+        arrived = local_files(session, [r[0] for r in batch.select(PATH).distinct().collect()])
+        arrived = arrived.select(F.col("_metadata.file_path").alias(PATH), names.raw_file(names.source_path()).alias("path"))
+        stored = defaultdict(list)
+        for f in arrived.collect():
+            stored[f.path].append(names.literal_path(unquote(f[PATH])))
+        paths = arrived.select("path", F.lit(0).cast("bigint").alias("length")).distinct()
         described = describe_files(paths, root, loose).where("ext <> 'fts' OR ext IS NULL")
         texts = layout_texts() if callable(layout_texts) else layout_texts
-        # names of the files of one batch
         listing, layouts, bad = describe_layouts(session, root, described, texts)
         plans: dict[tuple[str, str], tuple[Layout, list]] = {}
         seen, taken = [], {k.lower() for k in keys}
@@ -73,9 +80,9 @@ def stream_tree(
                 plans.setdefault((f.kind, layout.fingerprint()), (layout, []))[1].append(f)
             seen.append((f.path, status))
         for k, ((kind, _), (layout, files)) in enumerate(sorted(plans.items(), key=lambda p: p[0])):
-            # a filter and not a join, below which the checks of records would be pushed, to lines of other files
-            rows = batch.where(F.col(PATH).isin([f.path for f in files]))
-            rows = rows.select("value", *[c.alias(k) for k, c in tags_of(F.col(PATH), kind, root, loose, keys).items()])
+            # a plan reads its own files only, not the lines of all plans
+            rows = read_lines(session, [p for f in files for p in stored[f.path]])
+            rows = tagged(rows, path_tags(kind, root, loose, keys), per_file=True)
             more = (dat_options if kind == "dat" else csv_options) or {}
             if layout.style == DELIMITED:
                 rows = rows.withColumn("value", F.regexp_replace("value", "\r$", ""))

@@ -82,3 +82,30 @@ def test_tree_of_kinds_and_layouts(spark, tmp_path):
         "claims_2016.dat": (0, "parsed"), "a_2016.csv": (0, "parsed"), "lost_2016.csv": (0, "no layout"), "notes.txt": (0, "unsupported kind"),
         "a_2017.csv": (1, "parsed"), "b_2017.csv": (1, "parsed"), "clash_2017.csv": (1, "bad layout"),
     }
+
+
+def test_plans_of_a_tree_read_their_own_files(spark, tmp_path, monkeypatch):
+    from rawloom.streaming import tree
+    from test_intake import LAYOUT, put
+
+    read, seen = tree.read_lines, []
+
+    def reading(session, paths):
+        seen.append(sorted(p.rsplit("/", 1)[1] for p in paths))
+        return read(session, paths)
+
+    monkeypatch.setattr(tree, "read_lines", reading)
+    root, out, memory = (str(tmp_path / n) for n in ("in", "out", "memory"))
+    for stem, text in (("a b", LAYOUT), ("c+%20", LAYOUT), ("d", LAYOUT.replace("b      CHAR", "c      CHAR"))):
+        put(root, f"2016/{stem}_2016.csv", f"1,{stem}\r\n")
+        put(root, f"2016/{stem}_2016.fts", text)
+    put(root, "2016/parts_2016.csv/part-0.csv", "2,x\n")
+    put(root, "2016/parts_2016.fts", LAYOUT)
+    run(stream_tree(spark, root, out, memory))
+    put(root, "2016/parts_2016.csv/part-1.csv", "3,y\n")
+    run(stream_tree(spark, root, out, memory))
+    assert sorted(seen) == [["a b_2016.csv", "c+%20_2016.csv", "part-0.csv"], ["d_2016.csv"], ["part-1.csv"]]
+    assert sorted((r.year, r.stem, r.a, r.b, r.c) for r in read_tree(spark, out).collect()) == [
+        ("2016", "a b", 1.0, "a b", None), ("2016", "c+%20", 1.0, "c+%20", None), ("2016", "d", 1.0, None, "d"),
+        ("2016", "parts", 2.0, "x", None), ("2016", "parts", 3.0, "y", None),
+    ]
