@@ -84,14 +84,19 @@ def folded(points: np.ndarray, endings: bool = False) -> np.ndarray:
     return out
 
 
-def _texts(column):
-    """(row, folded text with a blank at either end, the same with endings if it has any) of a column's texts."""
+def _texts(column, endings: bool = False):
+    """(row, folded text with a blank at either end) of a column's texts; ``endings`` adds the same with endings if it has any."""
     for i, j, data, offsets in ragged.chunks(column):
         points, at = ragged.code_points(data, offsets)
         ends = np.zeros(len(points) + len(at), np.uint32)  # a separator after each text, so that folding stays inside
         place = np.arange(len(points)) + np.repeat(np.arange(len(at) - 1), np.diff(at))
         ends[place] = points
-        plain, ending = folded(ends), folded(ends, endings=True)
+        plain = folded(ends)
+        if not endings:
+            whole = plain.tobytes().decode("utf-32-le")
+            yield from ((i + k, f" {whole[a + k : b + k]} ") for k, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())))
+            continue
+        ending = folded(ends, endings=True)
         other = np.concatenate([[0], np.cumsum(plain != ending)])
         whole, ended = (x.tobytes().decode("utf-32-le") for x in (plain, ending))
         for k, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())):
@@ -202,7 +207,7 @@ def train(rows: DataFrame, text: str = "text", label: str = "label", train_rows:
         def count(batches):
             seen = Counter()
             for batch in batches:
-                for _, *own in _texts(batch.column(0)):
+                for _, *own in _texts(batch.column(0), endings=True):
                     found = set().union(*map(_entries, filter(None, own)))
                     seen.update(found if keep is None else found & keep)
                     seen[""] += 1
@@ -242,7 +247,7 @@ def train(rows: DataFrame, text: str = "text", label: str = "label", train_rows:
             def measured(batches):
                 automaton = shared.value.automaton()
                 for batch in batches:
-                    own = [measures(hits(automaton, *t), _word_count(t[0])) for _, *t in _texts(batch.column(0))]
+                    own = [measures(hits(automaton, *t), _word_count(t[0])) for _, *t in _texts(batch.column(0), endings=True)]
                     yield pa.RecordBatch.from_arrays([batch.column(1), *[pa.array([m[k] for m in own], pa.float64()) for k in range(3)]], ["label", "a", "b", "c"])
 
             # most texts have no hit at all: equal points count once, with their number
@@ -289,7 +294,7 @@ def toxicity(docs: DataFrame, lexicon: Lexicon, text: str = "text", threshold: f
         constant, *slopes = own.fit
         for batch in batches:
             out = np.zeros(batch.num_rows)
-            for i, t, ended in _texts(batch.column(place)):
+            for i, t, ended in _texts(batch.column(place), endings=True):
                 found = hits(automaton, t, ended)
                 x = measures(found, _word_count(t)) if found else (0.0, 0.0, 0.0)
                 z = constant + sum(a * b for a, b in zip(slopes, x))
